@@ -24,8 +24,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
+        # the decode projection compiles to methods above the JVM's 8 KB JIT
+        # limit; let the JIT compile them (set the same on executors of a cluster)
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)

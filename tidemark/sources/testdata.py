@@ -38,7 +38,19 @@ DAY_MS = 86_400_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan a driver table.  When the files give fewer input splits than the
+    cluster has cores (a single unsplittable row group, say), the rows are spread
+    round-robin so the CPU-heavy encode/decode work runs on every core; a large
+    table already has enough splits and is left untouched (no extra shuffle)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _map(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
