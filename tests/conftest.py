@@ -13,7 +13,9 @@ from tidemark.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4, app="tidemark-tests")
+    import tempfile
+    s = build_session(master="local[4]", shuffle_partitions=4, app="tidemark-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidemark-wh-")})
     yield s
     s.stop()
 

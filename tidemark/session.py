@@ -17,7 +17,8 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidemark",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and benchmarks (clusters bring their own session)."""
     builder = (
         SparkSession.builder.master(master)
@@ -32,7 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
-    for k, v in SESSION_DEFAULTS.items():
+    for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

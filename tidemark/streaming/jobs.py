@@ -4,7 +4,10 @@ Run modes (the replay / resume contract):
   * ``resume`` - stable checkpoint folder: committed offsets and sink state are
     reused, so a restart continues where the last committed batch ended;
   * ``replay`` - a fresh checkpoint folder and output version, reading from the
-    earliest offset.  Nothing is deleted; the earlier run stays as it was.
+    earliest offset.  Nothing is deleted; the earlier run stays as it was.  The
+    output version matters: a file sink records committed batch ids in its
+    folder's ``_spark_metadata`` and skips them, so a replay into the same folder
+    would write nothing.  Use ``run_folder`` for the output root as well.
 """
 
 from __future__ import annotations
