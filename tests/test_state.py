@@ -147,3 +147,34 @@ def test_apply_changes(spark):
         ORDERS.payload_schema)
     ch = order_bronze(spark, [("u", 1, "PAID", 5, 1, 1), ("d", 2, "BASE", 1, 1, 1), ("c", 4, "NEW", 1, 1, 1)])
     assert rows_of(apply_changes(base, ch, ORDERS), "order_id", "status") == [(1, "PAID"), (3, "BASE"), (4, "NEW")]
+
+
+def test_volume_generator_through_feed(spark):
+    from tidemark.operators.feed import snapshot_feed
+    from tidemark.sources.generate import volume_orders
+    rows = volume_orders(spark, 4000, 4010, 1001)
+    assert rows.count() == 11 and rows.where("amount < 0 OR amount >= 100").count() == 0
+    assert sorted(r.amount for r in rows.collect()) == sorted(r.amount for r in volume_orders(spark, 4000, 4010, 1001).collect())
+    assert snapshot_feed(rows, ORDERS).where("op = 'r'").count() == 11
+
+
+def test_fanout_left_join_equals_left_join(spark):
+    from tidemark.operators.joins import fanout_left_join
+    left = spark.createDataFrame([(k, f"o{k}") for k in range(5)], "k long, a string")
+    # key 1 is hot: a third of the right rows
+    right = spark.createDataFrame([(1, i) for i in range(10)] + [(k, 0) for k in (2, 3, None)] + [(7, 1)] * 17,
+                                  "k long, b long")
+    got = sorted(map(tuple, fanout_left_join(left, right, "k").collect()), key=str)
+    want = sorted(map(tuple, left.join(right, "k", "left").collect()), key=str)
+    assert got == want
+
+
+def test_daily_dates_in_utc_whatever_the_session_zone(spark):
+    from tidemark.plans.queries import gold_daily_revenue
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = gold_daily_revenue(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert df.count() > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
