@@ -96,11 +96,12 @@ def order_payment_status(
         F.col("amount").alias("order_amount"),
         F.col("created_at").alias("order_created_at"),
     )
-    # 1:1 join: at most one newest transaction per order
-    o = o.join(latest_transaction_per_order(transactions), "order_id", "left")
     pay = (latest_payment_per_order(payments) if latest_payment_only else payments.select("order_id", "payment_status"))
     pay = pay.where(F.col("order_id").isNotNull()).select("order_id", F.col("payment_status").alias("latest_payment_status"))
     joined = o.join(pay, "order_id", "left") if latest_payment_only else fanout_left_join(o, pay, "order_id")
+    # at most one newest transaction per order: joined after the fan-out so the
+    # ranking runs once; a hot order only makes the (splittable) left side large
+    joined = joined.join(latest_transaction_per_order(transactions), "order_id", "left")
     return joined.select(
         "order_id", "customer_id", "order_status", "order_amount",
         "latest_payment_status", "latest_transaction_status", "order_created_at",
