@@ -6,22 +6,27 @@ view ``op <> 'd'`` over it.
 
 Layout under ``root``::
 
-    staging/v<batch>/              batch reduced to one row per key (lineage cut)
-    data/v<batch>/_bucket=<b>/     rewritten buckets of version <batch>
-    _manifest/v<batch>/            (bucket, path) rows; complete once _SUCCESS exists
+    data/v<batch>/_bucket=<b>/      buckets rewritten by batch <batch>
+    _manifest/v<batch>.json         bucket -> data version holding it; written last
 
-A batch rewrites only the buckets its keys hash to (``pmod(xxhash64(key), B)``);
+The micro-batch itself is re-readable from its source (files or a fixed range
+of topic offsets), so it is not copied; the merged state is written once per
+batch, which cuts lineage for the next batch.  A batch rewrites only the buckets its keys hash to (``pmod(xxhash64(key), B)``);
 other buckets are carried over by reference in the new manifest.  The merge is
 the same associative max-by reduce as the batch layer, so delivering a batch
 twice, in any order or split, yields the same state (exactly-once by
 construction).  A retried batch id always starts from the newest manifest
 *below* its id and overwrites its own version, so a crash between the data write
-and the manifest write is repaired by the retry.
+and the manifest write is repaired by the retry.  The manifest is published by
+rename, so readers only ever see complete versions.
 """
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +35,7 @@ from pyspark.sql import types as T
 from tidemark.entities import EntitySpec
 from tidemark.operators.state import latest_per_key, silver_from_state
 
-_MANIFEST_SCHEMA = T.StructType([
-    T.StructField("bucket", T.IntegerType(), False),
-    T.StructField("path", T.StringType(), False),
-])
+BUCKET_COL = "_bucket"
 
 
 def _version_name(batch_id: int) -> str:
@@ -42,10 +44,10 @@ def _version_name(batch_id: int) -> str:
 
 class HadoopPaths:
     """Small file-system helper over the session's Hadoop configuration
-    (works for local, HDFS and object-store paths alike)."""
+    (local, HDFS and object-store paths alike); used for folder listings and the
+    few-hundred-byte manifests only."""
 
     def __init__(self, spark: SparkSession):
-        self._spark = spark
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -57,11 +59,33 @@ class HadoopPaths:
         fs, p = self._fs(path)
         return bool(fs.exists(p))
 
-    def list_dirs(self, path: str) -> list[str]:
+    def list_names(self, path: str, dirs: bool | None = None) -> list[str]:
         fs, p = self._fs(path)
         if not fs.exists(p):
             return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)
+                      if dirs is None or bool(s.isDirectory()) == dirs)
+
+    def read_text(self, path: str) -> str:
+        fs, p = self._fs(path)
+        stream = fs.open(p)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text_atomic(self, path: str, text: str) -> None:
+        fs, p = self._fs(path)
+        tmp = self._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        if fs.exists(p):
+            fs.delete(p, False)
+        if not fs.rename(tmp, p):
+            raise IOError(f"could not publish {path}")
 
 
 class KeyedStateStore:
@@ -80,38 +104,50 @@ class KeyedStateStore:
         self.tie_breaker = tuple(tie_breaker)
         self.fs = HadoopPaths(spark)
         self.schema = T.StructType([f for f in spec.bronze_schema.fields if f.name != "raw_json"])
+        self._stored = T.StructType([*self.schema.fields, T.StructField(BUCKET_COL, T.IntegerType(), True)])
+        self._cache: tuple[int, dict[int, str]] | None = None
 
     # ----------------------------------------------------------------- manifests
-    def _complete_versions(self) -> list[int]:
-        base = f"{self.root}/_manifest"
-        out = []
-        for name in self.fs.list_dirs(base):
-            if name.startswith("v") and self.fs.exists(f"{base}/{name}/_SUCCESS"):
-                out.append(int(name[1:]))
-        return sorted(out)
+    def versions(self) -> list[int]:
+        return [int(n[1:-5]) for n in self.fs.list_names(f"{self.root}/_manifest", dirs=False)
+                if n.startswith("v") and n.endswith(".json")]
 
     def latest_version(self, below: int | None = None) -> int | None:
-        vs = [v for v in self._complete_versions() if below is None or v < below]
-        return vs[-1] if vs else None
+        vs = [v for v in self.versions() if below is None or v < below]
+        return max(vs) if vs else None
 
     def _manifest(self, version: int | None) -> dict[int, str]:
         if version is None:
             return {}
-        rows = self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{self.root}/_manifest/{_version_name(version)}").collect()
-        return {r["bucket"]: r["path"] for r in rows}  # at most `buckets` rows
-
-    def _write_manifest(self, version: int, manifest: dict[int, str]) -> None:
-        rows = sorted(manifest.items())
-        (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("overwrite").json(f"{self.root}/_manifest/{_version_name(version)}"))
+        if self._cache and self._cache[0] == version:
+            return dict(self._cache[1])
+        doc = json.loads(self.fs.read_text(f"{self.root}/_manifest/{_version_name(version)}.json"))
+        manifest = {int(b): d for b, d in doc["buckets"].items()}
+        self._cache = (version, manifest)
+        return dict(manifest)
+
+    def _publish(self, version: int, manifest: dict[int, str]) -> None:
+        doc = {"version": version, "buckets": {str(b): d for b, d in sorted(manifest.items())}}
+        self.fs.write_text_atomic(f"{self.root}/_manifest/{_version_name(version)}.json", json.dumps(doc))
+        self._cache = (version, dict(manifest))
 
     def _bucket(self) -> F.Column:
         return F.pmod(F.xxhash64(F.col(self.spec.key)), F.lit(self.buckets)).cast("int")
 
-    def _read_paths(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def _read(self, manifest: dict[int, str], only: Sequence[int] | None = None) -> DataFrame:
+        """Rows of the listed buckets: one scan per data version, pruned to its
+        buckets by the partition column."""
+        by_dir: dict[str, list[int]] = defaultdict(list)
+        for b, d in manifest.items():
+            if only is None or b in only:
+                by_dir[d].append(b)
+        if not by_dir:
+            return self.spark.createDataFrame([], self._stored)
+        parts = [
+            self.spark.read.schema(self._stored).parquet(d).where(F.col(BUCKET_COL).isin(sorted(bs)))
+            for d, bs in sorted(by_dir.items())
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
     # --------------------------------------------------------------------- merge
     def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -119,34 +155,32 @@ class KeyedStateStore:
         cols = [f.name for f in self.schema.fields]
         key = self.spec.key
         version = _version_name(batch_id)
-        staging = f"{self.root}/staging/{version}"
-        reduced = latest_per_key(
-            batch.select(*cols).where(F.col(key).isNotNull()), key, tie_breaker=self.tie_breaker
-        ).withColumn("_bucket", self._bucket())
-        reduced.write.mode("overwrite").parquet(staging)
-
-        staged = self.spark.read.parquet(staging)
-        touched = sorted(r["_bucket"] for r in staged.select("_bucket").distinct().collect())  # <= buckets ints
+        rows = batch.select(*cols).where(F.col(key).isNotNull()).withColumn(BUCKET_COL, self._bucket())
+        # at most `buckets` small ints reach the driver
+        touched = sorted(r[0] for r in rows.select(BUCKET_COL).distinct().collect())
         if not touched:
             return
         prev = self._manifest(self.latest_version(below=batch_id))
-        old = self._read_paths([prev[b] for b in touched if b in prev]).withColumn("_bucket", self._bucket())
+        # Reduce the batch per key first (partial max_by on the map side, so a hot
+        # key crosses the shuffle as one row per task), then bring batch and old
+        # rows of each bucket together: one task per bucket writes one file.
+        reduced = latest_per_key(rows, key, tie_breaker=self.tie_breaker)
         merged = latest_per_key(
-            staged.unionByName(old).repartition("_bucket"),
-            ["_bucket", key],
+            reduced.unionByName(self._read(prev, touched)).repartition(BUCKET_COL),
+            [BUCKET_COL, key],
             tie_breaker=self.tie_breaker,
         )
         out = f"{self.root}/data/{version}"
-        merged.write.mode("overwrite").partitionBy("_bucket").parquet(out)
+        merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(out)
         manifest = dict(prev)
         for b in touched:
-            manifest[b] = f"{out}/_bucket={b}"
-        self._write_manifest(batch_id, manifest)
+            manifest[b] = out
+        self._publish(batch_id, manifest)
 
     # --------------------------------------------------------------------- reads
     def state(self, version: int | None = None) -> DataFrame:
         v = self.latest_version() if version is None else version
-        return self._read_paths(sorted(self._manifest(v).values()))
+        return self._read(self._manifest(v)).drop(BUCKET_COL)
 
     def silver(self, version: int | None = None) -> DataFrame:
         return silver_from_state(self.state(version), self.spec)
