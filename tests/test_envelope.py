@@ -138,3 +138,13 @@ def test_envelope_view(spark):
     t = dt.datetime(2024, 1, 1)
     v = envelope_view(spark.createDataFrame([("k", WRAPPED, t)], TOPIC_SCHEMA)).collect()[0]
     assert v.op == "c" and v.before is None and v.after["status"] == "CREATED"
+
+
+def test_cast_error_tracking(spark):
+    from tidemark.operators.quality import cast_error_counts
+    msgs = ['{"op":"c","after":{"order_id":1,"amount":"abc","created_at":"nope"}}',
+            '{"op":"c","after":{"order_id":"2","amount":"1.5"},"source":{"ts_ms":"x"}}', "not json"]
+    b = decode_envelope(topic(spark, msgs), ORDERS, track_cast_errors=True)
+    assert sorted(r.cast_errors for r in b.collect()) == [0, 1, 2]
+    r = cast_error_counts({"o": b}).collect()[0]
+    assert (r.cnt, r.rows_with_errors, r.cast_errors) == (3, 2, 3)

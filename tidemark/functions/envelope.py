@@ -60,6 +60,7 @@ def decode_envelope(
     ts_col: str = "timestamp",
     strict_casts: bool = False,
     scalars_only: bool = False,
+    track_cast_errors: bool = False,
 ) -> DataFrame:
     """Topic records ``(value, timestamp)`` -> Bronze rows.
 
@@ -68,7 +69,9 @@ def decode_envelope(
     * each payload column comes from ``before`` when op is ``'d'``, otherwise from
       ``after`` (a null op takes the ``after`` branch);
     * text is cast leniently (bad text -> null) unless ``strict_casts``;
-    * malformed JSON still yields a row: nulls plus ``raw_json``.
+    * malformed JSON still yields a row: nulls plus ``raw_json``;
+    * ``track_cast_errors`` adds ``cast_errors``: fields whose text was present
+      but did not cast (what lenient casting turned into null).
     """
     env = F.from_json(F.col("raw_json"), envelope_schema(spec))
     src = (
@@ -83,13 +86,20 @@ def decode_envelope(
     op = _first(e, "op")
     is_delete = op == F.lit("d")
     cols = [F.date_trunc("millisecond", F.col("kafka_event_ts")).alias("kafka_event_ts"), op.alias("op")]
-    for name, dtype in spec.columns:
-        text = F.when(is_delete, _first(e, "before", name)).otherwise(_first(e, "after", name))
+    errors = []
+    for name, dtype in [*spec.columns, ("source_ts_ms", T.LongType())]:
+        if name == "source_ts_ms":
+            text = _first(e, "source", "ts_ms")
+        else:
+            text = F.when(is_delete, _first(e, "before", name)).otherwise(_first(e, "after", name))
         if scalars_only:
             text = _non_scalar_to_null(text)
-        cols.append(lenient_cast(text, dtype, strict=strict_casts).alias(name))
-    cols.append(lenient_cast(_first(e, "source", "ts_ms"), T.LongType(), strict=strict_casts).alias("source_ts_ms"))
+        typed = lenient_cast(text, dtype, strict=strict_casts)
+        cols.append(typed.alias(name))
+        errors.append(F.when(text.isNotNull() & typed.isNull(), F.lit(1)).otherwise(F.lit(0)))
     cols.append(F.col("raw_json"))
+    if track_cast_errors:
+        cols.append(sum(errors[1:], errors[0]).alias("cast_errors"))
     return src.select(*cols)
 
 

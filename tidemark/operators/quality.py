@@ -75,8 +75,8 @@ def delete_ops_present(tables: Mapping[str, DataFrame], op_col: str = "bronze_op
 
 
 def bronze_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per Bronze table, one pass: rows, rows with null ``raw_json``, and cast
-    errors (a payload field that has raw text but decoded to null)."""
+    """Per Bronze table, one pass: rows, rows with null ``raw_json``, rows with a
+    null op."""
     return _union([
         df.agg(
             F.count(F.lit(1)).cast("long").alias("cnt"),
@@ -87,6 +87,19 @@ def bronze_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
+def cast_error_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per Bronze table decoded with ``track_cast_errors``: rows, rows with a cast
+    error and the number of failed fields -> (table_name, cnt, rows_with_errors, cast_errors)."""
+    return _union([
+        df.agg(
+            F.count(F.lit(1)).cast("long").alias("cnt"),
+            F.count(F.when(F.col("cast_errors") > 0, F.lit(1))).cast("long").alias("rows_with_errors"),
+            F.coalesce(F.sum("cast_errors"), F.lit(0)).cast("long").alias("cast_errors"),
+        ).select(F.lit(name).alias("table_name"), "cnt", "rows_with_errors", "cast_errors")
+        for name, df in tables.items()
+    ])
+
+
 def table_counts(tables: Mapping[str, DataFrame], label: str = "table_name") -> DataFrame:
     """Row count per table -> (<label>, cnt)."""
     return _union([
@@ -118,17 +131,15 @@ ALLOWED_OPS = ("c", "u", "d", "r")
 
 def validate_change_log(bronze: DataFrame, key: str, allowed_ops: Sequence[str] = ALLOWED_OPS,
                         order_col: str = "source_ts_ms", arrival_col: str = "kafka_event_ts") -> DataFrame:
-    """Change-log checklist in one grouped pass per key, then one global pass:
+    """Change-log checklist -> (check_name, violations):
 
     * ``unexpected_op``   - rows whose op is null or not an allowed value;
-    * ``duplicate_event`` - extra copies of the same (key, op, order, arrival) event;
-    * ``out_of_order``    - keys whose events arrived out of commit order
-      (max arrival of an older event is later than min arrival of a newer one
-      is approximated per key by comparing the arrival order with the commit order
-      of first and last events);
+    * ``duplicate_event`` - extra copies of the same (key, op, commit, arrival) event;
+    * ``out_of_order``    - keys whose newest event (by commit order) is not the
+      last to arrive, i.e. an older change arrived after it;
     * ``delete_without_before`` - deletes whose key could not be read from ``before``.
 
-    -> (check_name, violations)
+    Every check is a grouped or global aggregate (partial on the map side).
     """
     allowed = F.col("op").isin(*allowed_ops)
     per_event = bronze.groupBy(key, "op", order_col, arrival_col).agg(F.count(F.lit(1)).alias("_copies"))

@@ -237,6 +237,12 @@ SELECT {_ms('o_orderdate')} AS kafka_event_ts,
        TRUE AS has_raw_json
 FROM orders WHERE o_orderpriority <> '1-URGENT'"""
 
+CAST_ERRORS = """
+SELECT 'orders_bronze' AS table_name, count(*) AS cnt,
+       count(*) FILTER (WHERE o_orderpriority IN ('3-MEDIUM', '5-LOW')) AS rows_with_errors,
+       count(*) FILTER (WHERE o_orderpriority IN ('3-MEDIUM', '5-LOW')) AS cast_errors
+FROM orders WHERE o_orderpriority <> '1-URGENT'"""
+
 MINIMAL_EVENTS = """
 SELECT 'replay' AS consumer_mode, 'orders-jsonl-replay' AS consumer_group,
        CASE WHEN order_id % 2 = 0 THEN op END AS op,
@@ -321,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
         out[f"silver_{e}"] = with_layers(f"SELECT * FROM {e}_silver")
     out["bronze_malformed_and_null"] = MALFORMED
     out["bronze_orders_stream"] = out["bronze_orders"]
+    out["dq_cast_errors"] = CAST_ERRORS
     out["silver_payments_window"] = out["silver_payments"]
     out["silver_payments_stream"] = out["silver_payments"]
     out["silver_transactions_replay"] = out["silver_transactions"]

@@ -69,6 +69,13 @@ def bronze_malformed_and_null(spark: SparkSession, sf: str) -> DataFrame:
                            "created_at", "source_ts_ms", F.col("raw_json").isNotNull().alias("has_raw_json")))
 
 
+def dq_cast_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze cast-error counts over the edge-message topic."""
+    ensure_session_defaults(spark)
+    b = decode_envelope(td.malformed_order_records(spark, sf), ORDERS, track_cast_errors=True)
+    return quality.cast_error_counts({"orders_bronze": b})
+
+
 # --------------------------------------------------------------------- Silver
 def silver_query(entity: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
@@ -336,6 +343,7 @@ QUERIES = {
     **{f"bronze_{e}": bronze_query(e) for e in ENTITY_NAMES},
     "bronze_malformed_and_null": bronze_malformed_and_null,
     "bronze_orders_stream": bronze_orders_stream,
+    "dq_cast_errors": dq_cast_errors,
     **{f"silver_{e}": silver_query(e) for e in ENTITY_NAMES},
     "silver_payments_window": silver_payments_window,
     "silver_payments_stream": silver_payments_stream,
