@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tests.conftest import order_bronze, rows_of
 from tidemark.entities import ORDERS, PAYMENTS
-from tidemark.functions.envelope import decode_envelope
 from tidemark.operators.state import silver
 from tidemark.sources import testdata as td
 from tidemark.streaming import (

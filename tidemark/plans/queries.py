@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.entities import AMOUNT_TYPE, CUSTOMERS, ORDERS, PAYMENTS, TRANSACTIONS
+from tidemark.entities import AMOUNT_TYPE, CUSTOMERS, ORDERS, PAYMENTS
 from tidemark.functions.casts import to_ntz
 from tidemark.functions.envelope import decode_envelope, encode_envelope, envelope_view, minimal_order_event, split_keyed_line
 from tidemark.operators import marts, quality
 from tidemark.operators.feed import change_feed, snapshot_feed
-from tidemark.operators.state import apply_changes, keyed_state, merge_upsert, rank_latest, silver, to_silver_columns, live_rows
+from tidemark.operators.state import apply_changes, live_rows, merge_upsert, rank_latest, silver, to_silver_columns
 from tidemark.plans.catalog import register_views
 from tidemark.session import ensure_session_defaults, scratch_path
 from tidemark.sources import testdata as td
