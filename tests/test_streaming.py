@@ -155,3 +155,24 @@ def test_hot_key_third_of_rows(spark):
     assert out[1] == "S299" and len(out) == 601
     plan = latest_per_key(b.drop("raw_json"), "order_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max_by") > plan.index("Exchange")  # partial below (after) the exchange in the tree text
+
+
+def test_suggest_buckets():
+    from tidemark.streaming.state_store import suggest_buckets
+    assert suggest_buckets(0) == 8
+    assert suggest_buckets(10 << 30) == 64  # 10 GiB / 256 MiB = 40 -> 64
+    assert suggest_buckets(100 << 40) == 524288  # 100 TiB
+
+
+def test_range_buckets_rewrite_only_touched_ranges(spark):
+    store = KeyedStateStore(spark, fresh(), ORDERS, range_width=100)
+    store.merge_batch(order_bronze(spark, [("c", k, "A", 1, 1, 1) for k in range(0, 1000, 7)]), 0)
+    v0 = store._manifest(store.latest_version())
+    store.merge_batch(order_bronze(spark, [("u", 905, "B", 1, 2, 2), ("c", 1001, "N", 1, 2, 2)]), 1)
+    v1 = store._manifest(store.latest_version())
+    changed = sorted(b for b in v1 if v1[b] != v0.get(b))
+    assert changed == [9, 10]
+    got = {r.order_id: r.status for r in store.silver().collect()}
+    # 905 was not inserted before (905 is not a multiple of 7): the update creates it
+    assert got[905] == "B" and got[1001] == "N" and got[7] == "A"
+    assert len(got) == len(range(0, 1000, 7)) + 2
