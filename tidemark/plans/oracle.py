@@ -343,6 +343,9 @@ def oracle_sql() -> dict[str, str]:
     out["dq_table_counts"] = with_layers(_table_counts(), gold=True)
     out["dq_gold_keys"] = with_layers(_gold_keys(), gold=True)
     out["dq_change_log"] = with_layers(_change_log())
+    out["dq_table_health"] = with_layers(_union([
+        f"SELECT '{e}_bronze' AS table_name, count(*) AS row_count, count(*) > 0 AS healthy FROM {e}_bronze"
+        for e in ENTITY_NAMES]))
     out["minimal_order_events"] = with_layers(MINIMAL_EVENTS)
     out["envelope_view_orders"] = with_layers(ENVELOPE_VIEW)
     out["change_feed_orders"] = CHANGE_FEED
