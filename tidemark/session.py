@@ -61,8 +61,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if existing.isDefined():
             # SparkContext puts a per-application uuid folder under the configured one
             return existing.get()
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # nothing configured (local tests): register a fresh folder; later calls
+        # find it through the SparkContext
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+        return sc._jsc.sc().getCheckpointDir().get()
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
