@@ -176,3 +176,16 @@ def test_range_buckets_rewrite_only_touched_ranges(spark):
     # 905 was not inserted before (905 is not a multiple of 7): the update creates it
     assert got[905] == "B" and got[1001] == "N" and got[7] == "A"
     assert len(got) == len(range(0, 1000, 7)) + 2
+
+
+def test_expire_versions_keeps_current_state(spark):
+    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=2)
+    for i in range(5):
+        store.merge_batch(order_bronze(spark, [("u", k, f"S{i}", 1, i, i) for k in range(1, 9)]), i)
+    store.merge_batch(order_bronze(spark, [("u", 1, "LAST", 1, 9, 9)]), 5)  # touches one bucket only
+    before = rows_of(store.silver(), "order_id", "status")
+    removed = store.expire_versions(keep=1)
+    assert store.versions() == [5]
+    assert len(removed) == 4  # v0-v3 unreferenced; v4 still holds the untouched bucket
+    assert rows_of(store.silver(), "order_id", "status") == before
+    assert store.expire_versions(keep=1) == []

@@ -66,6 +66,10 @@ class HadoopPaths:
         return sorted(s.getPath().getName() for s in fs.listStatus(p)
                       if dirs is None or bool(s.isDirectory()) == dirs)
 
+    def delete(self, path: str, recursive: bool = False) -> bool:
+        fs, p = self._fs(path)
+        return bool(fs.delete(p, recursive))
+
     def read_text(self, path: str) -> str:
         fs, p = self._fs(path)
         stream = fs.open(p)
@@ -196,6 +200,30 @@ class KeyedStateStore:
             manifest[b] = out
         self._publish(batch_id, manifest)
 
+    def expire_versions(self, keep: int = 10) -> list[str]:
+        """Retention: drop manifests older than the newest ``keep`` and every data
+        folder that none of the kept manifests references and that is older than
+        the oldest kept one.  Run it between batches; readers of an expired
+        version lose their files, so size ``keep`` to the longest read."""
+        if keep < 1:
+            raise ValueError("keep must be >= 1")
+        vs = sorted(self.versions())
+        if len(vs) <= keep:
+            return []
+        kept = vs[-keep:]
+        referenced = set()
+        for v in kept:
+            referenced |= set(self._manifest(v).values())
+        removed = []
+        for name in self.fs.list_names(f"{self.root}/data", dirs=True):
+            d = f"{self.root}/data/{name}"
+            if name.startswith("v") and int(name[1:]) < kept[0] and d not in referenced:
+                self.fs.delete(d, recursive=True)
+                removed.append(d)
+        for v in vs[:-keep]:
+            self.fs.delete(f"{self.root}/_manifest/{_version_name(v)}.json")
+        return removed
+
     # --------------------------------------------------------------------- reads
     def state(self, version: int | None = None) -> DataFrame:
         v = self.latest_version() if version is None else version
