@@ -8,6 +8,8 @@ A change message is JSON with ``op``, ``before``, ``after`` and ``source``
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,7 +149,7 @@ def split_keyed_line(lines: DataFrame, line_col: str = "value", sep: str = "|")
     """Console-consumer text lines ``key|value`` -> (key, value); split at the
     first separator, both sides trimmed; blank lines and lines without a
     separator are dropped."""
-    parts = F.split(F.trim(F.col(line_col)), "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep, 2)
+    parts = F.split(F.trim(F.col(line_col)), re.escape(sep), 2)
     return (
         lines.select(parts.alias("_p"))
         .where(F.size("_p") == 2)
