@@ -147,3 +147,14 @@ def test_cast_error_tracking(spark):
     assert sorted(r.cast_errors for r in b.collect()) == [0, 1, 2]
     r = cast_error_counts({"o": b}).collect()[0]
     assert (r.cnt, r.rows_with_errors, r.cast_errors) == (3, 2, 3)
+
+
+def test_lsn_tie_breaker_for_same_commit_time(spark):
+    from tidemark.operators.state import silver
+    same_ms = [
+        '{"payload":{"op":"u","after":{"order_id":5,"status":"SECOND"},"source":{"ts_ms":100,"lsn":11}}}',
+        '{"payload":{"op":"c","after":{"order_id":5,"status":"FIRST"},"source":{"ts_ms":100,"lsn":10}}}',
+    ]
+    b = decode_envelope(topic(spark, same_ms), ORDERS, keep_lsn=True)
+    assert sorted(r.source_lsn for r in b.collect()) == [10, 11]
+    assert [r.status for r in silver(b, ORDERS, tie_breaker=("source_lsn",)).collect()] == ["SECOND"]

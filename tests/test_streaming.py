@@ -189,3 +189,21 @@ def test_expire_versions_keeps_current_state(spark):
     assert len(removed) == 4  # v0-v3 unreferenced; v4 still holds the untouched bucket
     assert rows_of(store.silver(), "order_id", "status") == before
     assert store.expire_versions(keep=1) == []
+
+
+def test_bronze_partitioned_by_ingest_date(spark):
+    from tidemark.streaming.jobs import bronze_read_schema
+    root = fresh()
+    write_topic(spark, root, "customers", files=2)
+    start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic/*"), td.SPECS["customers"],
+                 f"{root}/bronze", f"{root}/ck/b", available_now=True, partition_by_date=True).awaitTermination()
+    assert any(n.startswith("ingest_date=") for n in os.listdir(f"{root}/bronze"))
+    b = spark.read.schema(bronze_read_schema(td.SPECS["customers"], True)).parquet(f"{root}/bronze")
+    day = b.where("ingest_date = DATE'2024-01-02'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert day.count() == b.where(F.to_date("kafka_event_ts") == "2024-01-02").count() > 0
+    store = KeyedStateStore(spark, f"{root}/state", td.SPECS["customers"], buckets=4)
+    start_silver(spark, f"{root}/bronze", td.SPECS["customers"], store, f"{root}/ck/s", available_now=True,
+                 bronze_partitioned_by_date=True).awaitTermination()
+    assert store.silver().count() == silver(td.bronze(spark, SF, "customers"), td.SPECS["customers"]).count()

@@ -63,6 +63,7 @@ def decode_envelope(
     strict_casts: bool = False,
     scalars_only: bool = False,
     track_cast_errors: bool = False,
+    keep_lsn: bool = False,
 ) -> DataFrame:
     """Topic records ``(value, timestamp)`` -> Bronze rows.
 
@@ -73,7 +74,9 @@ def decode_envelope(
     * text is cast leniently (bad text -> null) unless ``strict_casts``;
     * malformed JSON still yields a row: nulls plus ``raw_json``;
     * ``track_cast_errors`` adds ``cast_errors``: fields whose text was present
-      but did not cast (what lenient casting turned into null).
+      but did not cast (what lenient casting turned into null);
+    * ``keep_lsn`` adds ``source_lsn`` (the log position), the tie-breaker for
+      changes committed in the same millisecond (pass ``tie_breaker=("source_lsn",)``).
     """
     env = F.from_json(F.col("raw_json"), envelope_schema(spec))
     src = (
@@ -100,6 +103,8 @@ def decode_envelope(
         cols.append(typed.alias(name))
         errors.append(F.when(text.isNotNull() & typed.isNull(), F.lit(1)).otherwise(F.lit(0)))
     cols.append(F.col("raw_json"))
+    if keep_lsn:
+        cols.append(lenient_cast(_first(e, "source", "lsn"), T.LongType(), strict=strict_casts).alias("source_lsn"))
     if track_cast_errors:
         cols.append(sum(errors[1:], errors[0]).alias("cast_errors"))
     return src.select(*cols)

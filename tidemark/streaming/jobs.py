@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,6 +30,7 @@ TOPIC_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
 ])
 
+INGEST_DATE = "ingest_date"
 COMMIT_INTERVAL = "10 seconds"   # Bronze / Silver commit cadence
 POLL_INTERVAL = "5 seconds"      # Silver polling of Bronze
 RUN_MODES = ("replay", "resume")
@@ -104,17 +106,32 @@ def start_bronze(
     available_now: bool = False,
     if_running: str = "error",
     strict_casts: bool = False,
+    partition_by_date: bool = False,
 ) -> StreamingQuery:
-    """Append-only Bronze sink; every decoded message becomes one row."""
+    """Append-only Bronze sink; every decoded message becomes one row.
+
+    ``partition_by_date`` adds ``ingest_date`` (UTC day of the broker time) and
+    partitions the folder by it, so reads of a time range prune whole folders."""
     name = f"{spec.bronze_table}"
     guard_running(topic.sparkSession, name, if_running)
-    w = (decode_envelope(topic, spec, strict_casts=strict_casts).writeStream
-         .format("parquet").outputMode("append")
+    rows = decode_envelope(topic, spec, strict_casts=strict_casts)
+    if partition_by_date:
+        rows = rows.withColumn(INGEST_DATE, F.to_date("kafka_event_ts"))
+    w = (rows.writeStream.format("parquet").outputMode("append")
          .option("path", bronze_path).option("checkpointLocation", checkpoint)
          .queryName(name))
+    if partition_by_date:
+        w = w.partitionBy(INGEST_DATE)
     return _trigger(w, trigger, available_now).start()
 
 
+def bronze_read_schema(spec: EntitySpec, partitioned_by_date: bool = False) -> T.StructType:
+    fields = list(spec.bronze_schema.fields)
+    if partitioned_by_date:
+        fields.append(T.StructField(INGEST_DATE, T.DateType(), True))
+    return T.StructType(fields)
+
+
 def start_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -126,11 +143,12 @@ def start_silver(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
     if_running: str = "error",
+    bronze_partitioned_by_date: bool = False,
 ) -> StreamingQuery:
     """Incremental scan of a Bronze folder folded into the keyed state store."""
     name = f"{spec.silver_table}"
     guard_running(spark, name, if_running)
-    r = spark.readStream.schema(spec.bronze_schema)
+    r = spark.readStream.schema(bronze_read_schema(spec, bronze_partitioned_by_date))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     w = (r.parquet(bronze_path).writeStream
