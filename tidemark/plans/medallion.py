@@ -61,3 +61,47 @@ class Medallion:
             "order_payment_status_gold": self.order_payment_status(),
             "daily_revenue_gold": self.daily_revenue(),
         }
+
+
+GOLD_KEYS = {
+    "customer_order_summary_gold": "customer_id",
+    "order_payment_status_gold": "order_id",
+    "daily_revenue_gold": "revenue_date",
+}
+
+
+def build_gold(
+    spark: SparkSession,
+    silvers: dict[str, DataFrame],
+    path_root: str,
+    database: str | None = None,
+) -> DataFrame:
+    """Build step for the marts: each mart is rebuilt in full (overwrite) from the
+    Silver tables, then its key is tested (not null, unique) on the written copy.
+
+    ``silvers`` maps ``customers / orders / payments / transactions`` to Silver
+    DataFrames.  Marts go to ``<path_root>/<mart>`` and, with ``database``, are
+    registered as ``<database>.<mart>``.  Returns the key-test rows
+    (model_name, column_name, test_name, failures); all failures 0 = pass.
+    """
+    from tidemark.operators import quality
+    from tidemark.plans.catalog import write_full_refresh
+
+    marts_df = {
+        "customer_order_summary_gold": marts.customer_order_summary(
+            silvers["customers"], silvers["orders"], silvers["payments"]),
+        "order_payment_status_gold": marts.order_payment_status(
+            silvers["orders"], silvers["payments"], silvers["transactions"]),
+        "daily_revenue_gold": marts.daily_revenue(
+            silvers["orders"], silvers["payments"], silvers["transactions"]),
+    }
+    written = {}
+    for name, df in marts_df.items():
+        path = f"{path_root.rstrip('/')}/{name}"
+        if database:
+            write_full_refresh(df, f"{database}.{name}", path=path)
+            written[name] = spark.table(f"{database}.{name}")
+        else:
+            df.write.mode("overwrite").parquet(path)
+            written[name] = spark.read.parquet(path)
+    return quality.key_tests({name: (written[name], GOLD_KEYS[name]) for name in written})
