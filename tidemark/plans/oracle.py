@@ -207,7 +207,7 @@ def _change_log() -> str:
 SELECT '{t}' AS table_name, 'unexpected_op' AS check_name,
        count(*) FILTER (WHERE op IS NULL OR op NOT IN ('c', 'u', 'd', 'r')) AS violations FROM {t}
 UNION ALL
-SELECT '{t}', 'duplicate_event', coalesce(sum(n - 1), 0) FROM
+SELECT '{t}', 'duplicate_event', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM
   (SELECT count(*) AS n FROM {t} GROUP BY {k}, op, source_ts_ms, kafka_event_ts) g
 UNION ALL
 SELECT '{t}', 'out_of_order', count(*) FILTER (WHERE arr_newest < last_arrival) FROM
