@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.entities import SUM_AMOUNT_TYPE
 from tidemark.operators.joins import fanout_left_join
 
+
 def _zero():
     return F.lit(0).cast(SUM_AMOUNT_TYPE)
 
@@ -50,31 +51,31 @@ def customer_order_summary(customers: DataFrame, orders: DataFrame, payments: Da
     )
 
 
-def latest_transaction_per_order(transactions: DataFrame, tie_breaker: str | None = "transaction_id") -> DataFrame:
-    """Newest Silver transaction per order (many transactions per order)."""
+def _newest_per_order(df: DataFrame, value_col: str, alias: str, tie_breaker: str | None) -> DataFrame:
+    """``row_number() = 1`` per order by Silver lineage time, newest first.
+    Spark plans a partial WindowGroupLimit before the shuffle, so an order with
+    very many rows sends one row per task."""
     order = [F.col("bronze_source_ts_ms").desc_nulls_last(), F.col("bronze_kafka_event_ts").desc_nulls_last()]
     if tie_breaker:
         order.append(F.col(tie_breaker).desc_nulls_last())
     w = Window.partitionBy("order_id").orderBy(*order)
+    cols = ["order_id", value_col, "bronze_source_ts_ms", "bronze_kafka_event_ts", *([tie_breaker] if tie_breaker else [])]
     return (
-        transactions.select("order_id", "txn_status", "bronze_source_ts_ms", "bronze_kafka_event_ts",
-                            *( [tie_breaker] if tie_breaker else []))
+        df.select(*cols)
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") == 1)
-        .select("order_id", F.col("txn_status").alias("latest_transaction_status"))
+        .select("order_id", F.col(value_col).alias(alias))
     )
 
 
+def latest_transaction_per_order(transactions: DataFrame, tie_breaker: str | None = "transaction_id") -> DataFrame:
+    """Newest Silver transaction status per order (many transactions per order)."""
+    return _newest_per_order(transactions, "txn_status", "latest_transaction_status", tie_breaker)
+
+
 def latest_payment_per_order(payments: DataFrame, tie_breaker: str | None = "payment_id") -> DataFrame:
-    order = [F.col("bronze_source_ts_ms").desc_nulls_last(), F.col("bronze_kafka_event_ts").desc_nulls_last()]
-    if tie_breaker:
-        order.append(F.col(tie_breaker).desc_nulls_last())
-    w = Window.partitionBy("order_id").orderBy(*order)
-    return (
-        payments.withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") == 1)
-        .select("order_id", "payment_status")
-    )
+    """Newest Silver payment status per order."""
+    return _newest_per_order(payments, "payment_status", "payment_status", tie_breaker)
 
 
 def order_payment_status(
