@@ -40,6 +40,15 @@ def fold(events):
     return sorted((k, e[2]) for k, (_, e) in best.items() if e[0] is not None and e[0] != "d")
 
 
+def _stream(spark, arrived, cuts, **store_opts):
+    store = KeyedStateStore(spark, tempfile.mkdtemp(prefix="tidemark-prop-"), ORDERS, **store_opts)
+    bounds = [0, *cuts, len(arrived)]
+    for bid, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        if b > a:
+            store.merge_batch(order_bronze(spark, arrived[a:b]), bid)
+    return rows_of(store.silver(), "order_id", "status")
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(logs())
 def test_silver_is_order_and_batch_invariant(spark, case):
@@ -47,9 +56,12 @@ def test_silver_is_order_and_batch_invariant(spark, case):
     expected = fold(events)
     arrived = [events[i] for i in perm] + [events[i] for i in dup]
     assert rows_of(silver(order_bronze(spark, arrived), ORDERS), "order_id", "status") == expected
-    store = KeyedStateStore(spark, tempfile.mkdtemp(prefix="tidemark-prop-"), ORDERS, buckets=3)
-    bounds = [0, *cuts, len(arrived)]
-    for bid, (a, b) in enumerate(zip(bounds, bounds[1:])):
-        if b > a:
-            store.merge_batch(order_bronze(spark, arrived[a:b]), bid)
-    assert rows_of(store.silver(), "order_id", "status") == expected
+    assert _stream(spark, arrived, cuts, buckets=3) == expected
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(logs())
+def test_merge_on_read_matches_fold(spark, case):
+    events, perm, dup, cuts = case
+    arrived = [events[i] for i in perm] + [events[i] for i in dup]
+    assert _stream(spark, arrived, cuts, buckets=3, compact_every=2) == fold(events)

@@ -167,9 +167,9 @@ def test_suggest_buckets():
 def test_range_buckets_rewrite_only_touched_ranges(spark):
     store = KeyedStateStore(spark, fresh(), ORDERS, range_width=100)
     store.merge_batch(order_bronze(spark, [("c", k, "A", 1, 1, 1) for k in range(0, 1000, 7)]), 0)
-    v0 = store._manifest(store.latest_version())
+    v0 = store._manifest(store.latest_version())[0]
     store.merge_batch(order_bronze(spark, [("u", 905, "B", 1, 2, 2), ("c", 1001, "N", 1, 2, 2)]), 1)
-    v1 = store._manifest(store.latest_version())
+    v1 = store._manifest(store.latest_version())[0]
     changed = sorted(b for b in v1 if v1[b] != v0.get(b))
     assert changed == [9, 10]
     got = {r.order_id: r.status for r in store.silver().collect()}
@@ -207,3 +207,24 @@ def test_bronze_partitioned_by_ingest_date(spark):
     start_silver(spark, f"{root}/bronze", td.SPECS["customers"], store, f"{root}/ck/s", available_now=True,
                  bronze_partitioned_by_date=True).awaitTermination()
     assert store.silver().count() == silver(td.bronze(spark, SF, "customers"), td.SPECS["customers"]).count()
+
+
+def test_merge_on_read_deltas_compaction_and_retry(spark):
+    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=2, compact_every=3)
+    store.merge_batch(order_bronze(spark, [("c", 1, "A", 1, 1, 1), ("c", 2, "A", 1, 1, 1)]), 0)
+    store.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("d", 2, "A", 1, 2, 2)]), 1)
+    base, deltas = store._manifest(store.latest_version())
+    assert base == {} and len(deltas) == 2  # nothing rewritten yet
+    assert rows_of(store.silver(), "order_id", "status") == [(1, "B")]
+    store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9), ("c", 3, "N", 1, 3, 3)]), 2)
+    base, deltas = store._manifest(store.latest_version())
+    assert deltas == [] and base  # third batch compacted
+    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "N")]
+    store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9), ("c", 3, "N", 1, 3, 3)]), 2)  # retry
+    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "N")]
+    store.merge_batch(order_bronze(spark, [("u", 3, "M", 1, 4, 4)]), 3)
+    store.compact(4)
+    assert store._manifest(4)[1] == []
+    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "M")]
+    store.expire_versions(keep=1)
+    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "M")]

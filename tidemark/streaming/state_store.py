@@ -7,7 +7,9 @@ view ``op <> 'd'`` over it.
 Layout under ``root``::
 
     data/v<batch>/_bucket=<b>/      buckets rewritten by batch <batch>
-    _manifest/v<batch>.json         bucket -> data version holding it; written last
+    deltas/v<batch>/                merge-on-read only: the batch reduced per key
+    _manifest/v<batch>.json         bucket -> data version holding it, pending
+                                    deltas; written last
 
 The micro-batch itself is re-readable from its source (files or a fixed range
 of topic offsets), so it is not copied; the merged state is written once per
@@ -111,12 +113,22 @@ class KeyedStateStore:
         buckets: int = 64,
         tie_breaker: Sequence[str] = (),
         range_width: int | None = None,
+        compact_every: int | None = None,
     ):
         """``buckets``: hash buckets (``pmod(xxhash64(key), buckets)``), balanced for
         any key.  ``range_width``: bucket = ``key div range_width`` instead, for
         integer keys that grow over time (orders, payments): changes cluster on
         recent keys, so a micro-batch rewrites only the newest ranges, and each
-        bucket holds at most ``range_width`` keys whatever the key distribution."""
+        bucket holds at most ``range_width`` keys whatever the key distribution.
+
+        ``compact_every``: merge-on-read.  A micro-batch only writes its own rows
+        (reduced per key) as a delta, so ingest cost follows the batch, not the
+        state; readers reduce base + deltas with the same max-by; every
+        ``compact_every`` batches the deltas are folded into the base buckets.
+        ``None`` (default) is copy-on-write: every batch rewrites its buckets."""
+        if compact_every is not None and compact_every < 1:
+            raise ValueError("compact_every must be >= 1")
+        self.compact_every = compact_every
         self.spark = spark
         self.range_width = range_width
         self.root = root.rstrip("/")
@@ -126,7 +138,7 @@ class KeyedStateStore:
         self.fs = HadoopPaths(spark)
         self.schema = T.StructType([f for f in spec.bronze_schema.fields if f.name != "raw_json"])
         self._stored = T.StructType([*self.schema.fields, T.StructField(BUCKET_COL, T.LongType(), True)])
-        self._cache: tuple[int, dict[int, str]] | None = None
+        self._cache: tuple[int, dict[int, str], list[str]] | None = None
 
     # ----------------------------------------------------------------- manifests
     def versions(self) -> list[int]:
@@ -137,20 +149,22 @@ class KeyedStateStore:
         vs = [v for v in self.versions() if below is None or v < below]
         return max(vs) if vs else None
 
-    def _manifest(self, version: int | None) -> dict[int, str]:
+    def _manifest(self, version: int | None) -> tuple[dict[int, str], list[str]]:
+        """(bucket -> base data version, delta folders not yet compacted)."""
         if version is None:
-            return {}
+            return {}, []
         if self._cache and self._cache[0] == version:
-            return dict(self._cache[1])
+            return dict(self._cache[1]), list(self._cache[2])
         doc = json.loads(self.fs.read_text(f"{self.root}/_manifest/{_version_name(version)}.json"))
-        manifest = {int(b): d for b, d in doc["buckets"].items()}
-        self._cache = (version, manifest)
-        return dict(manifest)
+        buckets = {int(b): d for b, d in doc["buckets"].items()}
+        deltas = list(doc.get("deltas", []))
+        self._cache = (version, buckets, deltas)
+        return dict(buckets), list(deltas)
 
-    def _publish(self, version: int, manifest: dict[int, str]) -> None:
-        doc = {"version": version, "buckets": {str(b): d for b, d in sorted(manifest.items())}}
+    def _publish(self, version: int, buckets: dict[int, str], deltas: list[str]) -> None:
+        doc = {"version": version, "buckets": {str(b): d for b, d in sorted(buckets.items())}, "deltas": deltas}
         self.fs.write_text_atomic(f"{self.root}/_manifest/{_version_name(version)}.json", json.dumps(doc))
-        self._cache = (version, dict(manifest))
+        self._cache = (version, dict(buckets), list(deltas))
 
     def _bucket(self) -> F.Column:
         if self.range_width:
@@ -172,33 +186,62 @@ class KeyedStateStore:
         ]
         return reduce(DataFrame.unionByName, parts)
 
+    def _read_deltas(self, deltas: Sequence[str]) -> DataFrame:
+        if not deltas:
+            return self.spark.createDataFrame([], self._stored)
+        return self.spark.read.schema(self._stored).parquet(*deltas)
+
     # --------------------------------------------------------------------- merge
-    def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """foreachBatch sink: fold a micro-batch of Bronze rows into the state."""
-        cols = [f.name for f in self.schema.fields]
+    def _rewrite(self, rows: DataFrame, batch_id: int, base: dict[int, str]) -> dict[int, str]:
+        """Fold ``rows`` (with ``_bucket``) into the base buckets they touch; write
+        those buckets as data version ``batch_id``; return the new bucket map."""
         key = self.spec.key
-        version = _version_name(batch_id)
-        rows = batch.select(*cols).where(F.col(key).isNotNull()).withColumn(BUCKET_COL, self._bucket())
-        # at most `buckets` small ints reach the driver
+        # distinct bucket ids only: at most `buckets` (hash) or the ranges hit
         touched = sorted(r[0] for r in rows.select(BUCKET_COL).distinct().collect())
         if not touched:
-            return
-        prev = self._manifest(self.latest_version(below=batch_id))
-        # Reduce the batch per key first (partial max_by on the map side, so a hot
-        # key crosses the shuffle as one row per task), then bring batch and old
-        # rows of each bucket together: one task per bucket writes one file.
+            return base
+        # Reduce the rows per key first (partial max_by on the map side, so a hot
+        # key crosses the shuffle as one row per task), then bring them together
+        # with the old rows of each bucket: one task per bucket writes one file.
         reduced = latest_per_key(rows, key, tie_breaker=self.tie_breaker)
         merged = latest_per_key(
-            reduced.unionByName(self._read(prev, touched)).repartition(BUCKET_COL),
+            reduced.unionByName(self._read(base, touched)).repartition(BUCKET_COL),
             [BUCKET_COL, key],
             tie_breaker=self.tie_breaker,
         )
-        out = f"{self.root}/data/{version}"
+        out = f"{self.root}/data/{_version_name(batch_id)}"
         merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(out)
-        manifest = dict(prev)
+        new = dict(base)
         for b in touched:
-            manifest[b] = out
-        self._publish(batch_id, manifest)
+            new[b] = out
+        return new
+
+    def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """foreachBatch sink: fold a micro-batch of Bronze rows into the state."""
+        cols = [f.name for f in self.schema.fields]
+        key = self.spec.key
+        rows = batch.select(*cols).where(F.col(key).isNotNull()).withColumn(BUCKET_COL, self._bucket())
+        base, deltas = self._manifest(self.latest_version(below=batch_id))
+        if self.compact_every is None:
+            self._publish(batch_id, self._rewrite(rows, batch_id, base), [])
+            return
+        out = f"{self.root}/deltas/{_version_name(batch_id)}"
+        latest_per_key(rows, key, tie_breaker=self.tie_breaker).write.mode("overwrite").parquet(out)
+        deltas = [*deltas, out]
+        if len(deltas) >= self.compact_every:
+            base, deltas = self._rewrite(self._read_deltas(deltas), batch_id, base), []
+        self._publish(batch_id, base, deltas)
+
+    def compact(self, batch_id: int) -> None:
+        """Fold pending deltas into the base now, as version ``batch_id`` (an id
+        above the latest; e.g. between streaming runs)."""
+        latest = self.latest_version()
+        if latest is not None and batch_id <= latest:
+            raise ValueError(f"compaction id {batch_id} must be above the latest version {latest}")
+        base, deltas = self._manifest(latest)
+        if deltas:
+            base = self._rewrite(self._read_deltas(deltas), batch_id, base)
+        self._publish(batch_id, base, [])
 
     def expire_versions(self, keep: int = 10) -> list[str]:
         """Retention: drop manifests older than the newest ``keep`` and every data
@@ -213,13 +256,15 @@ class KeyedStateStore:
         kept = vs[-keep:]
         referenced = set()
         for v in kept:
-            referenced |= set(self._manifest(v).values())
+            base, deltas = self._manifest(v)
+            referenced |= set(base.values()) | set(deltas)
         removed = []
-        for name in self.fs.list_names(f"{self.root}/data", dirs=True):
-            d = f"{self.root}/data/{name}"
-            if name.startswith("v") and int(name[1:]) < kept[0] and d not in referenced:
-                self.fs.delete(d, recursive=True)
-                removed.append(d)
+        for folder in ("data", "deltas"):
+            for name in self.fs.list_names(f"{self.root}/{folder}", dirs=True):
+                d = f"{self.root}/{folder}/{name}"
+                if name.startswith("v") and int(name[1:]) < kept[0] and d not in referenced:
+                    self.fs.delete(d, recursive=True)
+                    removed.append(d)
         for v in vs[:-keep]:
             self.fs.delete(f"{self.root}/_manifest/{_version_name(v)}.json")
         return removed
@@ -227,7 +272,13 @@ class KeyedStateStore:
     # --------------------------------------------------------------------- reads
     def state(self, version: int | None = None) -> DataFrame:
         v = self.latest_version() if version is None else version
-        return self._read(self._manifest(v)).drop(BUCKET_COL)
+        base, deltas = self._manifest(v)
+        rows = self._read(base)
+        if deltas:
+            # merge on read: the same reduce as the merge itself
+            rows = latest_per_key(rows.unionByName(self._read_deltas(deltas)), self.spec.key,
+                                  tie_breaker=self.tie_breaker)
+        return rows.drop(BUCKET_COL)
 
     def silver(self, version: int | None = None) -> DataFrame:
         return silver_from_state(self.state(version), self.spec)
