@@ -228,3 +228,15 @@ def test_merge_on_read_deltas_compaction_and_retry(spark):
     assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "M")]
     store.expire_versions(keep=1)
     assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "M")]
+
+
+def test_merge_on_read_size_triggered_compaction(spark):
+    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=2, compact_delta_ratio=0.5)
+    big = [("c", k, "A", 1, 1, 1) for k in range(1, 400)]
+    store.merge_batch(order_bronze(spark, big), 0)  # empty base: compacted at once
+    assert store._manifest(0)[1] == []
+    store.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2)]), 1)  # small delta stays a delta
+    assert len(store._manifest(1)[1]) == 1
+    store.merge_batch(order_bronze(spark, [("u", k, "C", 1, 3, 3) for k in range(1, 400)]), 2)  # large: compact
+    assert store._manifest(2)[1] == []
+    assert rows_of(store.silver(), "status") == [("C",)] * 399

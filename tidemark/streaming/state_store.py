@@ -72,6 +72,10 @@ class HadoopPaths:
         fs, p = self._fs(path)
         return bool(fs.delete(p, recursive))
 
+    def size(self, path: str) -> int:
+        fs, p = self._fs(path)
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
     def read_text(self, path: str) -> str:
         fs, p = self._fs(path)
         stream = fs.open(p)
@@ -114,6 +118,7 @@ class KeyedStateStore:
         tie_breaker: Sequence[str] = (),
         range_width: int | None = None,
         compact_every: int | None = None,
+        compact_delta_ratio: float | None = None,
     ):
         """``buckets``: hash buckets (``pmod(xxhash64(key), buckets)``), balanced for
         any key.  ``range_width``: bucket = ``key div range_width`` instead, for
@@ -125,10 +130,16 @@ class KeyedStateStore:
         (reduced per key) as a delta, so ingest cost follows the batch, not the
         state; readers reduce base + deltas with the same max-by; every
         ``compact_every`` batches the deltas are folded into the base buckets.
-        ``None`` (default) is copy-on-write: every batch rewrites its buckets."""
+        ``compact_delta_ratio``: merge-on-read too, compacting as soon as the
+        pending deltas reach this fraction of the base's bytes, so the read-side
+        reduce stays a bounded share of a full read however the state grows.
+        Both ``None`` (default) is copy-on-write: every batch rewrites its buckets."""
         if compact_every is not None and compact_every < 1:
             raise ValueError("compact_every must be >= 1")
+        if compact_delta_ratio is not None and compact_delta_ratio <= 0:
+            raise ValueError("compact_delta_ratio must be > 0")
         self.compact_every = compact_every
+        self.compact_delta_ratio = compact_delta_ratio
         self.spark = spark
         self.range_width = range_width
         self.root = root.rstrip("/")
@@ -222,16 +233,27 @@ class KeyedStateStore:
         key = self.spec.key
         rows = batch.select(*cols).where(F.col(key).isNotNull()).withColumn(BUCKET_COL, self._bucket())
         base, deltas = self._manifest(self.latest_version(below=batch_id))
-        if self.compact_every is None:
+        if self.compact_every is None and self.compact_delta_ratio is None:
             self._publish(batch_id, self._rewrite(rows, batch_id, base), [])
             return
         out = f"{self.root}/deltas/{_version_name(batch_id)}"
         latest_per_key(rows, key, tie_breaker=self.tie_breaker).write.mode("overwrite").parquet(out)
         deltas = [*deltas, out]
-        if len(deltas) >= self.compact_every:
+        if self._should_compact(base, deltas):
             base, deltas = self._rewrite(self._read_deltas(deltas), batch_id, base), []
         self._publish(batch_id, base, deltas)
 
+    def _should_compact(self, base: dict[int, str], deltas: list[str]) -> bool:
+        if self.compact_every is not None and len(deltas) >= self.compact_every:
+            return True
+        if self.compact_delta_ratio is not None:
+            # file-system metadata only; base folders may also hold superseded
+            # buckets, which makes the trigger slightly late, never early
+            base_bytes = sum(self.fs.size(d) for d in set(base.values()))
+            delta_bytes = sum(self.fs.size(d) for d in deltas)
+            return delta_bytes >= self.compact_delta_ratio * base_bytes
+        return False
+
     def compact(self, batch_id: int) -> None:
         """Fold pending deltas into the base now, as version ``batch_id`` (an id
         above the latest; e.g. between streaming runs)."""
