@@ -247,7 +247,7 @@ def envelope_view_orders(spark: SparkSession, sf: str) -> DataFrame:
 def _orders_rows(spark: SparkSession, sf: str) -> DataFrame:
     o = td.read_table(spark, sf, "orders")
     ts = F.date_trunc("millisecond", F.col("o_orderdate").cast(T.TimestampType()))
-    status = td._map(F.col("o_orderstatus"), td.ORDER_STATUS)
+    status = td.map_values(F.col("o_orderstatus"), td.ORDER_STATUS)
     return o.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), status.alias("status"),
         F.col("o_totalprice").cast(AMOUNT_TYPE).alias("amount"), ts.alias("created_at"), ts.alias("updated_at"),

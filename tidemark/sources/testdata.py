@@ -53,7 +53,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def _map(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
+def map_values(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
+    """CASE c WHEN k THEN v ... ELSE default END for a fixed mapping."""
     out = None
     for k, v in mapping.items():
         out = (F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v)))
@@ -99,7 +100,7 @@ def customers_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "created_at": ts,
         "updated_at": ts,
     })
-    op = _map(F.col("event_type"), CUSTOMER_OP, F.lit("u"))
+    op = map_values(F.col("event_type"), CUSTOMER_OP, F.lit("u"))
     return _changes(j, _event(op, row, F.unix_millis(ts), ts))
 
 
@@ -110,12 +111,12 @@ def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = _row(ORDERS, {
         "order_id": F.col("o_orderkey"),
         "customer_id": F.col("o_custkey"),
-        "status": _map(F.col("o_orderstatus"), ORDER_STATUS),
+        "status": map_values(F.col("o_orderstatus"), ORDER_STATUS),
         "amount": F.col("o_totalprice").cast(AMOUNT_TYPE),
         "created_at": ts,
         "updated_at": ts,
     })
-    first = _event(_map(F.col("o_orderstatus"), ORDER_OP), row, F.unix_millis(ts), ts)
+    first = _event(map_values(F.col("o_orderstatus"), ORDER_OP), row, F.unix_millis(ts), ts)
     del_ts = F.timestamp_millis(F.unix_millis(ts) + F.lit(DAY_MS))
     delete = _event(F.lit("d"), row, F.unix_millis(ts) + F.lit(DAY_MS), del_ts)
     events = F.when(F.col("o_orderpriority") == ORDER_DELETE_PRIORITY, F.array(first, delete)).otherwise(F.array(first))
@@ -144,13 +145,13 @@ def payments_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payment_id": pid,
         "order_id": F.col("l_orderkey"),
         "customer_id": F.col("o_custkey"),
-        "payment_method": _map(F.col("l_linestatus"), PAYMENT_METHOD),
+        "payment_method": map_values(F.col("l_linestatus"), PAYMENT_METHOD),
         "payment_status": F.when(F.col("l_returnflag") == "A", F.lit("PAID")).otherwise(F.lit("PENDING")),
         "amount": F.col("l_extendedprice").cast(AMOUNT_TYPE),
         "created_at": ts,
         "updated_at": ts,
     })
-    return _changes(_lineitem_orders(spark, sf_dir), _event(_map(F.col("l_returnflag"), PAYMENT_OP), row, src, kts))
+    return _changes(_lineitem_orders(spark, sf_dir), _event(map_values(F.col("l_returnflag"), PAYMENT_OP), row, src, kts))
 
 
 def transactions_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,8 +162,8 @@ def transactions_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payment_id": pid,
         "order_id": F.col("l_orderkey"),
         "customer_id": F.col("o_custkey"),
-        "txn_type": _map(F.col("l_linestatus"), TXN_TYPE),
-        "txn_status": _map(F.col("l_linestatus"), TXN_STATUS),
+        "txn_type": map_values(F.col("l_linestatus"), TXN_TYPE),
+        "txn_status": map_values(F.col("l_linestatus"), TXN_STATUS),
         "amount": F.col("l_extendedprice").cast(AMOUNT_TYPE),
         "created_at": ts,
         "updated_at": ts,
@@ -222,11 +223,11 @@ def malformed_order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     after = F.struct(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        _map(F.col("o_orderstatus"), ORDER_STATUS).alias("status"), amount_text.alias("amount"),
+        map_values(F.col("o_orderstatus"), ORDER_STATUS).alias("status"), amount_text.alias("amount"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
     )
     body = F.struct(
-        F.when(pr != "4-NOT SPECIFIED", _map(F.col("o_orderstatus"), ORDER_OP)).alias("op"),
+        F.when(pr != "4-NOT SPECIFIED", map_values(F.col("o_orderstatus"), ORDER_OP)).alias("op"),
         after.alias("after"),
         F.struct(F.unix_millis(ts).alias("ts_ms")).alias("source"),
     )
