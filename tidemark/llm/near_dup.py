@@ -4,10 +4,10 @@ Documents whose sets of 5-word shingles have a Jaccard similarity of 75 % or mor
 linked; a group is a connected component of links.
 
 1. Every document gives its shingle set's size and digest, ``BANDS * ROWS`` minima and,
-   of each minimum, its low ``BITS`` bits (the signature).  Documents with equal sets
-   form a class; one member stands for it from here on.
-2. Bands of ``ROWS`` minima give candidate buckets.  A pair at the threshold misses all
-   bands with probability (1 - 0.75^4)^40 = 2e-7.
+   of each minimum, its low 16 bits, packed into the signature.  Documents with equal
+   sets form a class; one member stands for it from here on.
+2. Bands of ``ROWS`` minima give candidate buckets: a band's key is its 64 bits of the
+   signature.  A pair at the threshold misses all bands with probability (1 - 0.75^4)^40 = 2e-7.
 3. *Star round*: each member is checked against one bucket minimum.  Links contract to
    components, so a large bucket of copies of one text is mostly settled by as many
    checks as it has members.
@@ -49,10 +49,12 @@ SHINGLE = 5
 ROWS, BANDS = 4, 40
 PERCENT = 75
 MARGIN = 0.17
+CHANCE = 1 / 65536  # two different minima share their low 16 bits
 TILE = 256
 SEED = 20240229
 
 _U = np.uint64
+# odd multipliers of the shingle hash
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], _U)
 
 FEATURES = T.StructType([
@@ -106,14 +108,9 @@ def minima(sets: np.ndarray, by: np.ndarray) -> np.ndarray:
     return (low >> _U(32)).astype(np.uint32)
 
 
-def band_keys(m: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key per band of minima, different for different bands."""
-    with np.errstate(over="ignore"):
-        parts = m.reshape(-1, rows).astype(_U)
-        key = np.arange(1, len(parts) + 1, dtype=_U) * _MIX[0]
-        for i in range(rows):
-            key = _mix((key ^ parts[:, i]) * _MIX[1 + i % 4])
-    return key.view(np.int64)
+def signature(m: np.ndarray) -> bytes:
+    """The low 16 bits of each minimum, packed; every 8 bytes are the key of a band."""
+    return m.astype("<u2").tobytes()
 
 
 def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +122,22 @@ def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not len(s) or doc is None:
             yield from out.add((doc, len(s), None, None, None))
             continue
-        m = minima(s, by)
-        yield from out.add((doc, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                            m.astype(np.uint8).tobytes(), band_keys(m)))
+        sig = signature(minima(s, by))
+        yield from out.add((doc, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), sig, np.frombuffer(sig, "<i8")))
     yield from out.flush()
 
 
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sorted shingle sets reach the threshold."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or 100 * len(a) < percent * len(b):  # the smaller set bounds what they share
+        return False
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _confirm_task(percent: int):
     """Rows sorted by hub and kind: the hub's text, then the texts to check against it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +148,7 @@ def _confirm_task(percent: int):
             if kind == 0:
                 hub, salt_of, own = a, salt, s
             elif (a, salt) == (hub, salt_of):
-                both = len(s) + len(own) - len(np.union1d(s, own))
-                if 100 * both >= percent * (len(s) + len(own) - both):
+                if linked(own, s, percent):
                     yield from out.add((a, b))
         yield from out.flush()
     return run
@@ -175,84 +181,147 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _nearest_task(best_only: bool, percent: int, margin: float):
-    """Rows sorted by bucket, tile and kind: outsiders of a bucket, then all its members."""
+class _Tile:
+    """Outsiders of a bucket, held while the bucket's members stream past."""
+
+    def __init__(self, band: int, best_only: bool, least: float):
+        self.band, self.best_only, self.least = band, best_only, least
+        self.rows: list[tuple] = []
+        self.ids = None
+
+    def pack(self) -> None:
+        self.ids, self.comps, sigs, _ = _columns(self.rows)
+        self.lanes, self.words = sigs.view("<u2"), sigs.view("<i8")
+        self.score = np.zeros(len(self.ids))
+        self.partner = np.zeros(len(self.ids), np.int64)
+
+    def past(self, rows: list[tuple]) -> list[tuple[int, np.ndarray]]:
+        """Per streamed member the outsiders to check it with (none where only the best partner is kept)."""
+        if self.ids is None:
+            self.pack()
+        ids, comps, sigs, outside = _columns(rows)
+        lanes, words = sigs.view("<u2"), sigs.view("<i8")
+        wanted = self.comps[:, None] != comps[None, :]
+        if not self.best_only:
+            wanted &= ~outside[None, :] | (self.ids[:, None] < ids[None, :])  # two outsiders meet twice
+            if self.band:  # a pair belongs to the first band it shares
+                earlier = (self.words[:, None, :self.band] == words[None, :, :self.band]).any(axis=2)
+                wanted &= ~earlier
+        i, j = np.nonzero(wanted)
+        same = np.empty(len(i))
+        for at in range(0, len(i), 8192):
+            p = slice(at, at + 8192)
+            same[p] = (self.lanes[i[p]] == lanes[j[p]]).mean(axis=1)
+        est = (same - CHANCE) / (1 - CHANCE)
+        ok = est >= self.least
+        i, j, est = i[ok], j[ok], est[ok]
+        if not self.best_only:
+            by = np.argsort(j, kind="stable")
+            cuts = np.flatnonzero(np.diff(j[by])) + 1
+            return [(int(ids[j[p[0]]]), self.ids[i[p]]) for p in np.split(by, cuts) if len(p)]
+        order = np.argsort(est, kind="stable")  # the best of each row is written last
+        top, mate = np.zeros(len(self.ids)), np.zeros(len(self.ids), np.int64)
+        top[i[order]], mate[i[order]] = est[order], ids[j[order]]
+        better = top > self.score
+        self.score[better], self.partner[better] = top[better], mate[better]
+        return []
+
+
+def _columns(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ids, comps, sigs, outside = zip(*rows)
+    return (np.array(ids, np.int64), np.array(comps, np.int64), np.frombuffer(b"".join(sigs), np.uint8).reshape(len(ids), -1),
+            np.array(outside, bool))
+
+
+def _nearest_task(best_only: bool, least: float):
+    """Rows sorted by bucket, tile and kind: a tile of a bucket's outsiders, then all members of the bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        chance = 1 / 256
-        state: dict = {"at": None, "ids": [], "comps": [], "sigs": [], "packed": None, "best": None}
-
-        def flush():
-            if best_only and state["best"] is not None:
-                own, (score, partner) = state["packed"][0], state["best"]
-                ok = score >= percent / 100 - margin
-                if ok.any():
-                    yield pa.record_batch([pa.array(partner[ok]), pa.array(own[ok])], schema=schema)
-
-        def compare(ids, comps, sigs):
-            if state["packed"] is None:
-                state["packed"] = (np.array(state["ids"], np.int64), np.array(state["comps"], np.int64),
-                                   np.frombuffer(b"".join(state["sigs"]), np.uint8).reshape(len(state["ids"]), -1))
-                state["best"] = (np.full(len(state["ids"]), -1.0), np.zeros(len(state["ids"]), np.int64))
-            own, own_comp, own_sig = state["packed"]
-            same = (own_sig[:, None, :] == sigs[None, :, :]).mean(axis=2)
-            est = np.where(own_comp[:, None] == comps[None, :], -1.0, (same - chance) / (1 - chance))
-            if best_only:
-                at = est.argmax(axis=1)
-                top = est[np.arange(len(own)), at]
-                score, partner = state["best"]
-                better = top > score
-                score[better], partner[better] = top[better], ids[at[better]]
-            else:
-                i, j = np.nonzero(est >= percent / 100 - margin)
-                if len(i):
-                    yield pa.record_batch([pa.array(ids[j]), pa.array(own[i])], schema=schema)
-
-        pend: tuple[list, list, list] = ([], [], [])
+        schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("tile", pa.int32()), ("b", pa.int64()), ("outsiders", pa.list_(pa.int64()))])
+        at, tile, members = None, None, []
+        out = Out(schema)
 
         def send():
-            if pend[0]:
-                yield from compare(np.array(pend[0], np.int64), np.array(pend[1], np.int64),
-                                   np.frombuffer(b"".join(pend[2]), np.uint8).reshape(len(pend[0]), -1))
-                for c in pend:
-                    c.clear()
-
-        for key, tile, kind, doc, comp, sig in rows_of(batches, "key", "tile", "kind", "id", "comp", "sig"):
-            if (key, tile) != state["at"]:
-                yield from send()
-                yield from flush()
-                state.update(at=(key, tile), ids=[], comps=[], sigs=[], packed=None, best=None)
+            if members and tile.rows:
+                for b, wanted in tile.past(members):
+                    yield from out.add((*at, b, wanted), 8 * len(wanted))
+            members.clear()
+
+        def end():
+            yield from send()
+            if best_only and tile is not None and tile.ids is not None:
+                for own, mate in zip(tile.ids[tile.score > 0].tolist(), tile.partner[tile.score > 0].tolist()):
+                    yield from out.add((*at, mate, [own]))
+
+        for band, key, part, kind, *row in rows_of(batches, "band", "key", "tile", "kind", "id", "comp", "sig", "outside"):
+            if (band, key, part) != at:
+                yield from end()
+                at, tile = (band, key, part), _Tile(band, best_only, least)
             if kind == 0:
-                for c, v in zip(("ids", "comps", "sigs"), (doc, comp, sig)):
-                    state[c].append(v)
-            elif state["ids"]:
-                for c, v in zip(pend, (doc, comp, sig)):
-                    c.append(v)
-                if len(pend[0]) >= TILE:
+                tile.rows.append(tuple(row))
+            else:
+                members.append(tuple(row))
+                if len(members) >= TILE:
                     yield from send()
-        yield from send()
-        yield from flush()
+        yield from end()
+        yield from out.flush()
     return run
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, sigs: DataFrame, best_only: bool, percent: int, margin: float) -> DataFrame:
-    """Candidate pairs (a, b) between different components of a bucket, by signature estimate.
+KEY = ["band", "key", "tile"]
+
+
+def open_lists(members: DataFrame, labels: DataFrame, sigs: DataFrame, best_only: bool, least: float) -> tuple[DataFrame, DataFrame]:
+    """Candidates between different components of a bucket whose estimate is at least ``least``.
 
-    Only members outside their bucket's largest component are compared with the bucket.
+    Only members outside their bucket's largest component are compared with the
+    bucket.  Gives (tile, b, outsiders): a member and those of a tile's outsiders to check it with; and
+    (tile, id): the outsiders themselves.  ``best_only`` keeps each outsider's best partner per
+    bucket; otherwise every pair comes once, from the first band that it shares.
     """
-    m = (members.join(labels, "id", "left").withColumn("comp", F.coalesce("label", "id")).select("key", "id", "comp"))
+    m = members.join(labels, "id", "left").withColumn("comp", F.coalesce("label", "id")).select("band", "key", "id", "comp")
     m = checkpointed(m)
-    sizes = m.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    top = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-    unsettled = top.where("all > top.n").select("key", F.col("top.comp").alias("main"),
+    sizes = m.groupBy("band", "key", "comp").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
+    unsettled = top.where("all > top.n").select("band", "key", F.col("top.comp").alias("main"),
                                                 F.ceil((F.col("all") - F.col("top.n")) / TILE).cast("int").alias("tiles"))
-    held = checkpointed(m.join(unsettled, "key")).join(sigs, "id")
-    outside = held.where("comp <> main").select("key", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"),
-                                                F.lit(0).alias("kind"), "id", "comp", "sig")
-    past = held.select("key", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.lit(1).alias("kind"), "id", "comp", "sig")
-    rows = outside.unionByName(past).repartition("key", "tile").sortWithinPartitions("key", "tile", "kind", "id")
-    pairs = rows.mapInArrow(_nearest_task(best_only, percent, margin), "a long, b long")
-    return checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    held = checkpointed(m.join(unsettled, ["band", "key"]).withColumn("outside", F.col("comp") != F.col("main")))
+    place = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    outsiders = held.where("outside").withColumn("tile", place)
+    signed = held.join(sigs, "id")
+    columns = (*KEY, "kind", "id", "comp", "sig", "outside")
+    tiled = signed.where("outside").withColumn("tile", place).withColumn("kind", F.lit(0)).select(*columns)
+    past = signed.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("kind", F.lit(1)).select(*columns)
+    rows = tiled.unionByName(past).repartition(*KEY).sortWithinPartitions(*KEY, "kind", "id")
+    lists = rows.mapInArrow(_nearest_task(best_only, least), "band int, key long, tile int, b long, outsiders array<bigint>")
+    return staged(lists, "near_lists"), outsiders.select(*KEY, "id")
+
+
+def _confirm_lists_task(percent: int):
+    """Rows sorted by tile and kind: the outsiders' texts, then members with the outsiders to check them with."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Out(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        at, own = None, {}
+        for band, key, tile, kind, doc, body, wanted in rows_of(batches, *KEY, "kind", "id", "body", "outsiders"):
+            if (band, key, tile) != at:
+                at, own = (band, key, tile), {}
+            s = shingles(body)
+            if kind == 0:
+                own[doc] = s
+                continue
+            for other in wanted:
+                if linked(own[other], s, percent):
+                    yield from out.add((min(doc, other), max(doc, other)))
+        yield from out.flush()
+    return run
+
+
+def confirmed_lists(lists: DataFrame, outsiders: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) among the pairs of ``lists``; a tile's texts are held once, however many pairs they are in."""
+    own = (outsiders.join(lists.select(*KEY).distinct(), KEY, "left_semi").join(texts, "id")
+           .select(*KEY, F.lit(0).alias("kind"), "id", "body", F.lit(None).cast("array<bigint>").alias("outsiders")))
+    rest = lists.join(texts, F.col("b") == F.col("id")).select(*KEY, F.lit(1).alias("kind"), "id", "body", "outsiders")
+    rows = own.unionByName(rest).repartition(*KEY).sortWithinPartitions(*KEY, "kind")
+    return staged(rows.mapInArrow(_confirm_lists_task(percent), "a long, b long"), "near_links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, margin: float = MARGIN) -> DataFrame:
@@ -262,9 +331,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, margin: float = MAR
     classes = checkpointed(feats.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
     reps = (feats.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
             .dropDuplicates(["doc_id"]))
-    banded = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    members = staged(banded.join(buckets, "key"), "near_members")
+    banded = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
+    buckets = (banded.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
+               .where("n > 1").select("band", "key", "hub"))
+    members = staged(banded.join(buckets, ["band", "key"]), "near_members")
     involved = checkpointed(members.select("id").distinct())
     texts = (body.join(involved, "id", "left_semi")
              .select("id", "body").dropDuplicates(["id"]))
@@ -274,9 +344,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, margin: float = MAR
     votes = members.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
     star = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("hub")).alias("hub"))).alias("best"))
     links = confirmed(star.select((-F.col("best.hub")).alias("a"), F.col("id").alias("b")), texts, percent)
-    for best_only in (True, False):
-        pairs = open_pairs(members, components(links), sigs, best_only, percent, margin)
-        links = links.union(confirmed(pairs, texts, percent))
+    least = percent / 100 - margin
+    lists, _ = open_lists(members, components(links), sigs, True, least)
+    nearest = lists.select(F.least("b", F.col("outsiders")[0]).alias("a"), F.greatest("b", F.col("outsiders")[0]).alias("b")).distinct()
+    links = links.union(confirmed(checkpointed(nearest), texts, percent))
+    lists, outsiders = open_lists(members, components(links), sigs, False, least)
+    links = links.union(confirmed_lists(lists, outsiders, texts, percent))
     label = components(links)
     rep = feats.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     own = rep.join(label.withColumnRenamed("id", "rep"), "rep", "left")
