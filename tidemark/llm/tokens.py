@@ -15,10 +15,22 @@ per worker and kept in a cache of bounded size.  Two splits are used:
 from __future__ import annotations
 
 import os
+import struct
 
 import numpy as np
 
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20  # of each of two generations
+_FORMATS: dict[int, struct.Struct] = {}
+
+
+def pack_ids(n: int, *ids: int) -> bytes:
+    if n not in _FORMATS:
+        if len(_FORMATS) > 1000:
+            _FORMATS.clear()
+        _FORMATS[n] = struct.Struct(f"<{n}I")
+    return _FORMATS[n].pack(*ids)
+
+
 _LOADED: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -31,17 +43,33 @@ class Encoder:
         self.lib.encode_special_tokens = True
         self.split = split
         self._clear()
+        self.marks = {m: self.whole(m) for m in (b",", b".")}
 
     def _clear(self) -> None:
         self.first: dict[bytes, bytes | None] = {}
         self.spaced: dict[bytes, bytes | None] = {}
+        self.old_first: dict[bytes, bytes | None] = {}
+        self.old_spaced: dict[bytes, bytes | None] = {}
         self.held = 0
 
+    def _age(self) -> None:
+        """Start a new generation; chunks still in use move over from the last one."""
+        self.old_first, self.old_spaced = self.first, self.spaced
+        self.first, self.spaced, self.held = {}, {}, 0
+
     def whole(self, body: bytes) -> bytes:
         return np.array(self.lib.encode(body.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, cache: dict, chunks: set[bytes], lead: str) -> None:
-        new = [c for c in chunks if c not in cache]
+    def _learn(self, cache: dict, old: dict, chunks: set[bytes], lead: str) -> None:
+        new, marked = [], []
+        for c in chunks.difference(cache):
+            if c in old:
+                self._hold(cache, c, old[c])
+            elif c[-1:] in self.marks and c[-2:-1].isalpha():  # a mark behind a letter is a word of its own
+                marked.append(c)
+            else:
+                new.append(c)
+        new += {c[:-1] for c in marked}.difference(cache, new)
         texts = []
         for c in new:
             t = c.decode()
@@ -49,21 +77,27 @@ class Encoder:
             texts.append(None if bad else lead + t)
         got = iter(self.lib.encode_batch_fast([t for t in texts if t is not None], add_special_tokens=False))
         for c, t in zip(new, texts):
-            cache[c] = None if t is None else np.array(next(got).ids, "<u4").tobytes()
-            self.held += 200 + len(c) + len(cache[c] or b"")
+            self._hold(cache, c, None if t is None else pack_ids(len(ids := next(got).ids), *ids))
+        for c in marked:
+            stem = cache[c[:-1]]
+            self._hold(cache, c, None if stem is None else stem + self.marks[c[-1:]])
+
+    def _hold(self, cache: dict, chunk: bytes, ids: bytes | None) -> None:
+        cache[chunk] = ids
+        self.held += 140 + len(chunk) + len(ids or b"")
 
     def many(self, bodies: list[bytes | None]) -> list[bytes]:
         """Little-endian uint32 ids of each text (null: empty)."""
         if self.held > CACHE_BYTES:
-            self._clear()
+            self._age()
         if self.split == "words":
             cut = [(b or b"").split() for b in bodies]
-            self._learn(self.first, set().union(*cut), "")
+            self._learn(self.first, self.old_first, set().union(*cut), "")
             get = self.first.__getitem__
             return [b"".join(map(get, c)) for c in cut]
         cut = [[line.split(b" ") for line in b.split(b"\n")] if b else None for b in bodies]
-        self._learn(self.first, {line[0] for c in cut if c for line in c}, "")
-        self._learn(self.spaced, set().union(*(line[1:] for c in cut if c for line in c)), " ")
+        self._learn(self.first, self.old_first, {line[0] for c in cut if c for line in c}, "")
+        self._learn(self.spaced, self.old_spaced, set().union(*(line[1:] for c in cut if c for line in c)), " ")
         feed = self.whole(b"\n")
         out = []
         for body, lines in zip(bodies, cut):
