@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.entities import ORDERS
 from tidemark.functions.envelope import (
@@ -158,3 +159,17 @@ def test_lsn_tie_breaker_for_same_commit_time(spark):
     b = decode_envelope(topic(spark, same_ms), ORDERS, keep_lsn=True)
     assert sorted(r.source_lsn for r in b.collect()) == [10, 11]
     assert [r.status for r in silver(b, ORDERS, tie_breaker=("source_lsn",)).collect()] == ["SECOND"]
+
+
+def test_minimal_event_needs_strict_json(spark):
+    good = '{"payload":{"op":"c","after":{"order_id":"1"}}}'
+    rows = [('{"payload":{"order_id":"1"}}', v) for v in (good, good + " junk", good.replace('"', "'"), "junk", "")]
+    ev = minimal_order_event(spark.createDataFrame(rows, "key string, value string"), "resume", "g")
+    assert ev.count() == 1
+
+
+def test_time_without_a_date_is_null(spark):
+    from tidemark.functions.casts import parse_event_time
+    df = spark.createDataFrame([("10:00",), ("2024-01-01T10:00:00Z",), ("1704103200000",)], "t string")
+    got = [r[0] is not None for r in df.select(parse_event_time(F.col("t"))).collect()]
+    assert got == [False, True, True]

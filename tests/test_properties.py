@@ -56,7 +56,7 @@ def test_silver_is_order_and_batch_invariant(spark, case):
     expected = fold(events)
     arrived = [events[i] for i in perm] + [events[i] for i in dup]
     assert rows_of(silver(order_bronze(spark, arrived), ORDERS), "order_id", "status") == expected
-    assert _stream(spark, arrived, cuts, buckets=3) == expected
+    assert _stream(spark, arrived, cuts, compact_every=1) == expected
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -64,4 +64,4 @@ def test_silver_is_order_and_batch_invariant(spark, case):
 def test_merge_on_read_matches_fold(spark, case):
     events, perm, dup, cuts = case
     arrived = [events[i] for i in perm] + [events[i] for i in dup]
-    assert _stream(spark, arrived, cuts, buckets=3, compact_every=2) == fold(events)
+    assert _stream(spark, arrived, cuts, compact_every=2) == fold(events)

@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import order_bronze, rows_of
+from tests.conftest import order_bronze, rows_of, ts
 from tidemark.entities import ORDERS, PAYMENTS
 from tidemark.operators.state import silver
 from tidemark.sources import testdata as td
@@ -35,7 +35,7 @@ def test_stream_equals_batch(spark):
     bronze = spark.read.schema(PAYMENTS.bronze_schema).parquet(f"{root}/bronze")
     batch_bronze = td.bronze(spark, SF, "payments")
     assert bronze.count() == batch_bronze.count()
-    store = KeyedStateStore(spark, f"{root}/state", PAYMENTS, buckets=4)
+    store = KeyedStateStore(spark, f"{root}/state", PAYMENTS)
     qs = start_silver(spark, f"{root}/bronze", PAYMENTS, store, f"{root}/ck/s", available_now=True,
                       max_files_per_trigger=1)
     qs.awaitTermination()
@@ -46,7 +46,7 @@ def test_stream_equals_batch(spark):
 
 
 def test_retry_same_batch_id_is_idempotent(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=3)
+    store = KeyedStateStore(spark, fresh(), ORDERS)
     b0 = order_bronze(spark, [("c", 1, "A", 1, 1, 1), ("c", 2, "A", 1, 1, 1)])
     b1 = order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("d", 2, "A", 1, 2, 2)])
     store.merge_batch(b0, 0)
@@ -57,8 +57,6 @@ def test_retry_same_batch_id_is_idempotent(spark):
     # a late event for the deleted key arriving in a later batch does not resurrect it
     store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9)]), 2)
     assert rows_of(store.silver(), "order_id", "status") == [(1, "B")]
-    # older versions stay readable
-    assert rows_of(store.silver(version=0), "order_id") == [(1,), (2,)]
 
 
 def test_replay_vs_resume(spark):
@@ -125,7 +123,7 @@ def test_bronze_and_silver_run_concurrently(spark):
     import time
     root = fresh()
     write_topic(spark, root, "orders", files=3)
-    store = KeyedStateStore(spark, f"{root}/state", ORDERS, buckets=4)
+    store = KeyedStateStore(spark, f"{root}/state", ORDERS)
     # Silver polls the Bronze folder while Bronze is still being written
     spark.createDataFrame([], ORDERS.bronze_schema).write.parquet(f"{root}/bronze")
     qs = start_all([
@@ -157,40 +155,6 @@ def test_hot_key_third_of_rows(spark):
     assert plan.index("partial_max_by") > plan.index("Exchange")  # partial below (after) the exchange in the tree text
 
 
-def test_suggest_buckets():
-    from tidemark.streaming.state_store import suggest_buckets
-    assert suggest_buckets(0) == 8
-    assert suggest_buckets(10 << 30) == 64  # 10 GiB / 256 MiB = 40 -> 64
-    assert suggest_buckets(100 << 40) == 524288  # 100 TiB
-
-
-def test_range_buckets_rewrite_only_touched_ranges(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, range_width=100)
-    store.merge_batch(order_bronze(spark, [("c", k, "A", 1, 1, 1) for k in range(0, 1000, 7)]), 0)
-    v0 = store._manifest(store.latest_version())[0]
-    store.merge_batch(order_bronze(spark, [("u", 905, "B", 1, 2, 2), ("c", 1001, "N", 1, 2, 2)]), 1)
-    v1 = store._manifest(store.latest_version())[0]
-    changed = sorted(b for b in v1 if v1[b] != v0.get(b))
-    assert changed == [9, 10]
-    got = {r.order_id: r.status for r in store.silver().collect()}
-    # 905 was not inserted before (905 is not a multiple of 7): the update creates it
-    assert got[905] == "B" and got[1001] == "N" and got[7] == "A"
-    assert len(got) == len(range(0, 1000, 7)) + 2
-
-
-def test_expire_versions_keeps_current_state(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=2)
-    for i in range(5):
-        store.merge_batch(order_bronze(spark, [("u", k, f"S{i}", 1, i, i) for k in range(1, 9)]), i)
-    store.merge_batch(order_bronze(spark, [("u", 1, "LAST", 1, 9, 9)]), 5)  # touches one bucket only
-    before = rows_of(store.silver(), "order_id", "status")
-    removed = store.expire_versions(keep=1)
-    assert store.versions() == [5]
-    assert len(removed) == 4  # v0-v3 unreferenced; v4 still holds the untouched bucket
-    assert rows_of(store.silver(), "order_id", "status") == before
-    assert store.expire_versions(keep=1) == []
-
-
 def test_bronze_partitioned_by_ingest_date(spark):
     from tidemark.streaming.jobs import bronze_read_schema
     root = fresh()
@@ -203,40 +167,77 @@ def test_bronze_partitioned_by_ingest_date(spark):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
     assert day.count() == b.where(F.to_date("kafka_event_ts") == "2024-01-02").count() > 0
-    store = KeyedStateStore(spark, f"{root}/state", td.SPECS["customers"], buckets=4)
+    store = KeyedStateStore(spark, f"{root}/state", td.SPECS["customers"])
     start_silver(spark, f"{root}/bronze", td.SPECS["customers"], store, f"{root}/ck/s", available_now=True,
                  bronze_partitioned_by_date=True).awaitTermination()
     assert store.silver().count() == silver(td.bronze(spark, SF, "customers"), td.SPECS["customers"]).count()
 
 
-def test_merge_on_read_deltas_compaction_and_retry(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=2, compact_every=3)
+def eight(status, at):
+    return [("u", k, status, 1, at, at) for k in range(1, 9)]
+
+
+def test_deltas_and_compaction(spark):
+    store = KeyedStateStore(spark, fresh(), ORDERS, compact_every=3)
     store.merge_batch(order_bronze(spark, [("c", 1, "A", 1, 1, 1), ("c", 2, "A", 1, 1, 1)]), 0)
     store.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("d", 2, "A", 1, 2, 2)]), 1)
-    base, deltas = store._manifest(store.latest_version())
-    assert base == {} and len(deltas) == 2  # nothing rewritten yet
+    assert store._commit()["base"] is None and len(store._commit()["deltas"]) == 2
     assert rows_of(store.silver(), "order_id", "status") == [(1, "B")]
     store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9), ("c", 3, "N", 1, 3, 3)]), 2)
-    base, deltas = store._manifest(store.latest_version())
-    assert deltas == [] and base  # third batch compacted
+    assert store._commit()["base"] and store._commit()["deltas"] == []
     assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "N")]
     store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9), ("c", 3, "N", 1, 3, 3)]), 2)  # retry
     assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "N")]
-    store.merge_batch(order_bronze(spark, [("u", 3, "M", 1, 4, 4)]), 3)
-    store.compact(4)
-    assert store._manifest(4)[1] == []
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "M")]
-    store.expire_versions(keep=1)
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "M")]
-
-
-def test_merge_on_read_size_triggered_compaction(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, buckets=2, compact_delta_ratio=0.5)
-    big = [("c", k, "A", 1, 1, 1) for k in range(1, 400)]
-    store.merge_batch(order_bronze(spark, big), 0)  # empty base: compacted at once
-    assert store._manifest(0)[1] == []
-    store.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2)]), 1)  # small delta stays a delta
-    assert len(store._manifest(1)[1]) == 1
-    store.merge_batch(order_bronze(spark, [("u", k, "C", 1, 3, 3) for k in range(1, 400)]), 2)  # large: compact
-    assert store._manifest(2)[1] == []
-    assert rows_of(store.silver(), "status") == [("C",)] * 399
+
+
+def test_last_batch_again_keeps_the_state(spark):
+    store = KeyedStateStore(spark, fresh(), ORDERS, compact_every=2)
+    for i in range(3):
+        store.merge_batch(order_bronze(spark, eight(f"S{i}", i)), i)
+    store.merge_batch(order_bronze(spark, [("u", 1, "S2", 1, 2, 2)]), 2)
+    assert rows_of(store.silver(), "order_id", "status") == [(k, "S2") for k in range(1, 9)]
+
+
+def test_batch_ids_do_not_matter(spark):
+    """Any id, lower, equal or far above, is folded into the newest state."""
+    store = KeyedStateStore(spark, fresh(), ORDERS, compact_every=2)
+    store.merge_batch(order_bronze(spark, eight("A", 1)), 1000)
+    store.merge_batch(order_bronze(spark, [("u", 3, "B", 1, 2, 2)]), 1)
+    assert store.silver().count() == 8
+    assert (3, "B") in rows_of(store.silver(), "order_id", "status")
+
+
+def test_fresh_checkpoint_on_the_same_store(spark):
+    root = fresh()
+    store = KeyedStateStore(spark, f"{root}/state", ORDERS)
+    order_bronze(spark, eight("A", 1)).write.parquet(f"{root}/b1")
+    order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("u", 2, "B", 1, 2, 2)]).write.parquet(f"{root}/b2")
+    for name in ("b1", "b2"):
+        start_silver(spark, f"{root}/{name}", ORDERS, store, f"{root}/ck-{name}", available_now=True).awaitTermination()
+    got = rows_of(store.silver(), "order_id", "status")
+    assert got == [(1, "B"), (2, "B"), *((k, "A") for k in range(3, 9))]
+
+
+def test_reopened_with_other_settings(spark):
+    root = fresh()
+    KeyedStateStore(spark, root, ORDERS, compact_every=4).merge_batch(order_bronze(spark, eight("A", 1)), 0)
+    again = KeyedStateStore(spark, root, ORDERS, compact_every=1)  # pending deltas are folded in
+    again.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2)]), 1)
+    assert again.silver().count() == 8
+    with pytest.raises(ValueError):
+        KeyedStateStore(spark, root, ORDERS, tie_breaker=("source_lsn",)).silver()
+    with pytest.raises(ValueError):
+        KeyedStateStore(spark, root, PAYMENTS).silver()
+
+
+def test_tie_breaker_end_to_end(spark):
+    """Two changes of one commit: the later log position wins, also through the streams."""
+    root = fresh()
+    value = '{"op":"u","after":{"order_id":1,"status":"%s"},"source":{"ts_ms":5,"lsn":%d}}'
+    rows = [("1", value % ("SECOND", 20), ts(0)), ("1", value % ("FIRST", 10), ts(0))]
+    spark.createDataFrame(rows, "key string, value string, timestamp timestamp").write.parquet(f"{root}/topic")
+    start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic"), ORDERS, f"{root}/bronze", f"{root}/ck/b",
+                 available_now=True, keep_lsn=True).awaitTermination()
+    store = KeyedStateStore(spark, f"{root}/state", ORDERS, tie_breaker=("source_lsn",))
+    start_silver(spark, f"{root}/bronze", ORDERS, store, f"{root}/ck/s", available_now=True).awaitTermination()
+    assert rows_of(store.silver(), "order_id", "status") == [(1, "SECOND")]

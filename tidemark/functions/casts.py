@@ -20,7 +20,8 @@ def parse_event_time(c: Column, strict: bool = False) -> Column:
     kept at millisecond precision."""
     as_long = c.cast(T.LongType()) if strict else c.try_cast(T.LongType())
     as_ts = c.cast(T.TimestampType()) if strict else c.try_cast(T.TimestampType())
-    parsed = F.when(c.rlike(r"^\s*-?[0-9]+\s*$"), F.timestamp_millis(as_long)).otherwise(as_ts)
+    dated = F.when(c.rlike(r"^\s*[+-]?[0-9]{4,}-"), as_ts)  # a time alone would take today's date
+    parsed = F.when(c.rlike(r"^\s*-?[0-9]+\s*$"), F.timestamp_millis(as_long)).otherwise(as_ts if strict else dated)
     return F.date_trunc("millisecond", parsed)
 
 

@@ -176,7 +176,7 @@ _MIN_KEY = T.StructType([
     T.StructField("payload", _MAP, True),
     T.StructField("_corrupt_record", T.StringType(), True),
 ])
-_JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+_JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "false"}
 
 
 def envelope_view(topic: DataFrame, key_col: str = "key", value_col: str = "value") -> DataFrame:
@@ -205,9 +205,13 @@ def minimal_order_event(
     """
     k = F.from_json(F.col(key_col).cast("string"), _MIN_KEY, _JSON_OPTS)
     v = F.from_json(F.col(value_col).cast("string"), _MIN_VALUE, _JSON_OPTS)
-    parsed = topic.select(k.alias("_k"), v.alias("_v")).where(
+    # the struct parser stops at the end of the first value; as the only element of an array, text behind it is an error
+    alone = lambda c: F.size(F.from_json(F.concat(F.lit("["), F.col(c).cast("string"), F.lit("]")), T.ArrayType(T.StringType()), _JSON_OPTS)) == 1
+    ok = alone(key_col) & alone(value_col)
+    parsed = topic.select(k.alias("_k"), v.alias("_v"), ok.alias("_ok")).where(
         F.col("_k").isNotNull() & F.col("_v").isNotNull()
         & F.col("_k._corrupt_record").isNull() & F.col("_v._corrupt_record").isNull()
+        & F.col("_ok")
     )
     p = F.col("_v.payload")
     after, before = p.getField("after"), p.getField("before")

@@ -331,6 +331,7 @@ def oracle_sql() -> dict[str, str]:
     out["silver_payments_window"] = out["silver_payments"]
     out["silver_payments_stream"] = out["silver_payments"]
     out["silver_transactions_replay"] = out["silver_transactions"]
+    out["silver_orders_resume"] = out["silver_orders"]
     out["gold_customer_order_summary"] = with_layers("SELECT * FROM customer_order_summary_gold", gold=True)
     out["gold_order_payment_status"] = with_layers("SELECT * FROM order_payment_status_gold", gold=True)
     out["gold_order_payment_status_latest"] = with_layers("SELECT * FROM order_payment_status_latest_gold", gold=True)

@@ -14,6 +14,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a hot order's payments are split even where the split costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -61,8 +63,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if existing.isDefined():
             # SparkContext puts a per-application uuid folder under the configured one
             return existing.get()
-        # nothing configured (local tests): register a fresh folder; later calls
-        # find it through the SparkContext
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # nothing configured in local mode (tests): register a fresh folder; later
+        # calls find it through the SparkContext
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
         return sc._jsc.sc().getCheckpointDir().get()
     if not sc._jsc.sc().getCheckpointDir().isDefined():

@@ -107,14 +107,16 @@ def start_bronze(
     if_running: str = "error",
     strict_casts: bool = False,
     partition_by_date: bool = False,
+    keep_lsn: bool = False,
 ) -> StreamingQuery:
     """Append-only Bronze sink; every decoded message becomes one row.
 
     ``partition_by_date`` adds ``ingest_date`` (UTC day of the broker time) and
-    partitions the folder by it, so reads of a time range prune whole folders."""
+    partitions the folder by it, so reads of a time range prune whole folders.
+    ``keep_lsn`` adds ``source_lsn``, the tie-breaker of changes in one commit."""
     name = f"{spec.bronze_table}"
     guard_running(topic.sparkSession, name, if_running)
-    rows = decode_envelope(topic, spec, strict_casts=strict_casts)
+    rows = decode_envelope(topic, spec, strict_casts=strict_casts, keep_lsn=keep_lsn)
     if partition_by_date:
         rows = rows.withColumn(INGEST_DATE, F.to_date("kafka_event_ts"))
     w = (rows.writeStream.format("parquet").outputMode("append")
@@ -148,7 +150,9 @@ def start_silver(
     """Incremental scan of a Bronze folder folded into the keyed state store."""
     name = f"{spec.silver_table}"
     guard_running(spark, name, if_running)
-    r = spark.readStream.schema(bronze_read_schema(spec, bronze_partitioned_by_date))
+    schema = bronze_read_schema(spec, bronze_partitioned_by_date)
+    extra = [f for f in store.schema.fields if f.name not in schema.names]  # tie-breaker columns
+    r = spark.readStream.schema(T.StructType([*schema.fields, *extra]))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     w = (r.parquet(bronze_path).writeStream
@@ -170,7 +174,7 @@ def start_minimal_events_jsonl(
 ) -> StreamingQuery:
     """JSON-lines sink of compact order events with ingest audit columns."""
     w = (minimal_order_event(topic, mode, group).writeStream
-         .format("json").outputMode("append")
+         .format("json").option("ignoreNullFields", "false").outputMode("append")
          .option("path", out_path).option("checkpointLocation", checkpoint)
          .queryName(f"orders_jsonl_{mode}"))
     return _trigger(w, trigger, available_now).start()

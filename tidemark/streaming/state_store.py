@@ -4,50 +4,44 @@ The table *is* the state: one row per key, newest event, tombstones (``op='d'``)
 kept so a late older event can never bring a deleted key back.  Silver is the
 view ``op <> 'd'`` over it.
 
-Layout under ``root``::
+Under ``root``::
 
-    data/v<batch>/_bucket=<b>/      buckets rewritten by batch <batch>
-    deltas/v<batch>/                merge-on-read only: the batch reduced per key
-    _manifest/v<batch>.json         bucket -> data version holding it, pending
-                                    deltas; written last
+    rows/<unique>/          one micro-batch reduced per key, or a full state
+    commits/c<n>.json       the folders that make up the state after commit n
 
-The micro-batch itself is re-readable from its source (files or a fixed range
-of topic offsets), so it is not copied; the merged state is written once per
-batch, which cuts lineage for the next batch.  A batch rewrites only the buckets its keys hash to (``pmod(xxhash64(key), B)``);
-other buckets are carried over by reference in the new manifest.  The merge is
-the same associative max-by reduce as the batch layer, so delivering a batch
-twice, in any order or split, yields the same state (exactly-once by
-construction).  A retried batch id always starts from the newest manifest
-*below* its id and overwrites its own version, so a crash between the data write
-and the manifest write is repaired by the retry.  The manifest is published by
-rename, so readers only ever see complete versions.
+A micro-batch is written as a delta; every ``compact_every`` commits the base and
+its deltas are reduced into a new base.  So ingest cost follows the batch, a read
+touches one base and fewer than ``compact_every`` deltas, and a commit file has a constant size.
+
+Safety rests on three rules:
+
+* a merge always starts from the newest commit, whatever its batch id is;
+* no folder or commit name is ever used twice, and nothing is deleted or overwritten;
+* the reduce is the same associative max-by as the batch layer, so a batch that is
+  delivered again (retry, replay, fresh checkpoint) leaves the state as it was.
+
+Rows with equal order values are told apart by ``tie_breaker`` columns only; without
+them such ties may fall either way.  Key and tie-breaker are stored with the commits;
+a store opened with others is refused.  One writer at a time; a second one fails at its commit.
 """
 
 from __future__ import annotations
 
 import json
-from collections import defaultdict
+import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.entities import EntitySpec
 from tidemark.operators.state import latest_per_key, silver_from_state
 
-BUCKET_COL = "_bucket"
-
-
-def _version_name(batch_id: int) -> str:
-    return f"v{batch_id:015d}"
-
 
 class HadoopPaths:
     """Small file-system helper over the session's Hadoop configuration
     (local, HDFS and object-store paths alike); used for folder listings and the
-    few-hundred-byte manifests only."""
+    small commit files only."""
 
     def __init__(self, spark: SparkSession):
         self._jvm = spark.sparkContext._jvm
@@ -68,14 +62,6 @@ class HadoopPaths:
         return sorted(s.getPath().getName() for s in fs.listStatus(p)
                       if dirs is None or bool(s.isDirectory()) == dirs)
 
-    def delete(self, path: str, recursive: bool = False) -> bool:
-        fs, p = self._fs(path)
-        return bool(fs.delete(p, recursive))
-
-    def size(self, path: str) -> int:
-        fs, p = self._fs(path)
-        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
     def read_text(self, path: str) -> str:
         fs, p = self._fs(path)
         stream = fs.open(p)
@@ -84,223 +70,77 @@ class HadoopPaths:
         finally:
             stream.close()
 
-    def write_text_atomic(self, path: str, text: str) -> None:
+    def publish_text(self, path: str, text: str) -> None:
+        """Write a new file under a name that must not exist yet: content first, then the name."""
         fs, p = self._fs(path)
-        tmp = self._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+        tmp = self._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
         out = fs.create(tmp, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        if not fs.rename(tmp, p):
-            raise IOError(f"could not publish {path}")
-
-
-def suggest_buckets(state_bytes: int, target_bucket_bytes: int = 256 << 20, minimum: int = 8) -> int:
-    """Bucket count for a state of about ``state_bytes``: one file of roughly
-    ``target_bucket_bytes`` per bucket, a power of two, at least ``minimum``.
-    Each micro-batch rewrites only touched buckets, so larger states want more."""
-    b = minimum
-    while b * target_bucket_bytes < state_bytes:
-        b *= 2
-    return b
+        if fs.exists(p) or not fs.rename(tmp, p):
+            raise IOError(f"could not publish {path}: another writer was faster")
 
 
 class KeyedStateStore:
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        spec: EntitySpec,
-        buckets: int = 64,
-        tie_breaker: Sequence[str] = (),
-        range_width: int | None = None,
-        compact_every: int | None = None,
-        compact_delta_ratio: float | None = None,
-    ):
-        """``buckets``: hash buckets (``pmod(xxhash64(key), buckets)``), balanced for
-        any key.  ``range_width``: bucket = ``key div range_width`` instead, for
-        integer keys that grow over time (orders, payments): changes cluster on
-        recent keys, so a micro-batch rewrites only the newest ranges, and each
-        bucket holds at most ``range_width`` keys whatever the key distribution.
-
-        ``compact_every``: merge-on-read.  A micro-batch only writes its own rows
-        (reduced per key) as a delta, so ingest cost follows the batch, not the
-        state; readers reduce base + deltas with the same max-by; every
-        ``compact_every`` batches the deltas are folded into the base buckets.
-        ``compact_delta_ratio``: merge-on-read too, compacting as soon as the
-        pending deltas reach this fraction of the base's bytes, so the read-side
-        reduce stays a bounded share of a full read however the state grows.
-        Both ``None`` (default) is copy-on-write: every batch rewrites its buckets."""
-        if compact_every is not None and compact_every < 1:
+    def __init__(self, spark: SparkSession, root: str, spec: EntitySpec, tie_breaker: Sequence[str] = (), compact_every: int = 8):
+        """``compact_every=1`` rewrites the whole state with every micro-batch; larger values write
+        deltas and leave their reduce to the readers until the next compaction."""
+        if compact_every < 1:
             raise ValueError("compact_every must be >= 1")
-        if compact_delta_ratio is not None and compact_delta_ratio <= 0:
-            raise ValueError("compact_delta_ratio must be > 0")
+        self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.compact_every = compact_every
-        self.compact_delta_ratio = compact_delta_ratio
-        self.spark = spark
-        self.range_width = range_width
-        self.root = root.rstrip("/")
-        self.spec = spec
-        self.buckets = buckets
         self.tie_breaker = tuple(tie_breaker)
         self.fs = HadoopPaths(spark)
-        self.schema = T.StructType([f for f in spec.bronze_schema.fields if f.name != "raw_json"])
-        self._stored = T.StructType([*self.schema.fields, T.StructField(BUCKET_COL, T.LongType(), True)])
-        self._cache: tuple[int, dict[int, str], list[str]] | None = None
-
-    # ----------------------------------------------------------------- manifests
-    def versions(self) -> list[int]:
-        return [int(n[1:-5]) for n in self.fs.list_names(f"{self.root}/_manifest", dirs=False)
-                if n.startswith("v") and n.endswith(".json")]
-
-    def latest_version(self, below: int | None = None) -> int | None:
-        vs = [v for v in self.versions() if below is None or v < below]
-        return max(vs) if vs else None
-
-    def _manifest(self, version: int | None) -> tuple[dict[int, str], list[str]]:
-        """(bucket -> base data version, delta folders not yet compacted)."""
-        if version is None:
-            return {}, []
-        if self._cache and self._cache[0] == version:
-            return dict(self._cache[1]), list(self._cache[2])
-        doc = json.loads(self.fs.read_text(f"{self.root}/_manifest/{_version_name(version)}.json"))
-        buckets = {int(b): d for b, d in doc["buckets"].items()}
-        deltas = list(doc.get("deltas", []))
-        self._cache = (version, buckets, deltas)
-        return dict(buckets), list(deltas)
-
-    def _publish(self, version: int, buckets: dict[int, str], deltas: list[str]) -> None:
-        doc = {"version": version, "buckets": {str(b): d for b, d in sorted(buckets.items())}, "deltas": deltas}
-        self.fs.write_text_atomic(f"{self.root}/_manifest/{_version_name(version)}.json", json.dumps(doc))
-        self._cache = (version, dict(buckets), list(deltas))
-
-    def _bucket(self) -> F.Column:
-        if self.range_width:
-            return F.floor(F.col(self.spec.key) / F.lit(self.range_width)).cast("long")
-        return F.pmod(F.xxhash64(F.col(self.spec.key)), F.lit(self.buckets)).cast("long")
-
-    def _read(self, manifest: dict[int, str], only: Sequence[int] | None = None) -> DataFrame:
-        """Rows of the listed buckets: one scan per data version, pruned to its
-        buckets by the partition column."""
-        by_dir: dict[str, list[int]] = defaultdict(list)
-        for b, d in manifest.items():
-            if only is None or b in only:
-                by_dir[d].append(b)
-        if not by_dir:
-            return self.spark.createDataFrame([], self._stored)
-        parts = [
-            self.spark.read.schema(self._stored).parquet(d).where(F.col(BUCKET_COL).isin(sorted(bs)))
-            for d, bs in sorted(by_dir.items())
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    def _read_deltas(self, deltas: Sequence[str]) -> DataFrame:
-        if not deltas:
-            return self.spark.createDataFrame([], self._stored)
-        return self.spark.read.schema(self._stored).parquet(*deltas)
-
-    # --------------------------------------------------------------------- merge
-    def _rewrite(self, rows: DataFrame, batch_id: int, base: dict[int, str]) -> dict[int, str]:
-        """Fold ``rows`` (with ``_bucket``) into the base buckets they touch; write
-        those buckets as data version ``batch_id``; return the new bucket map."""
-        key = self.spec.key
-        # distinct bucket ids only: at most `buckets` (hash) or the ranges hit
-        touched = sorted(r[0] for r in rows.select(BUCKET_COL).distinct().collect())
-        if not touched:
-            return base
-        # Reduce the rows per key first (partial max_by on the map side, so a hot
-        # key crosses the shuffle as one row per task), then bring them together
-        # with the old rows of each bucket: one task per bucket writes one file.
-        reduced = latest_per_key(rows, key, tie_breaker=self.tie_breaker)
-        merged = latest_per_key(
-            reduced.unionByName(self._read(base, touched)).repartition(BUCKET_COL),
-            [BUCKET_COL, key],
-            tie_breaker=self.tie_breaker,
-        )
-        out = f"{self.root}/data/{_version_name(batch_id)}"
-        merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(out)
-        new = dict(base)
-        for b in touched:
-            new[b] = out
-        return new
-
-    def merge_batch(self, batch: DataFrame, batch_id: int) -> None:
+        fields = [f for f in spec.bronze_schema.fields if f.name != "raw_json"]
+        fields += [T.StructField(c, T.LongType(), True) for c in self.tie_breaker if c not in {f.name for f in fields}]
+        self.schema = T.StructType(fields)
+
+    def commits(self) -> list[int]:
+        return [int(n[1:-5]) for n in self.fs.list_names(f"{self.root}/commits", dirs=False) if n.startswith("c") and n.endswith(".json")]
+
+    def latest_version(self) -> int | None:
+        return max(self.commits(), default=None)
+
+    def _commit(self) -> dict:
+        n = self.latest_version()
+        if n is None:
+            return {"n": -1, "key": self.spec.key, "tie_breaker": list(self.tie_breaker), "base": None, "deltas": []}
+        doc = json.loads(self.fs.read_text(f"{self.root}/commits/c{n:015d}.json"))
+        if (doc["key"], doc["tie_breaker"]) != (self.spec.key, list(self.tie_breaker)):
+            raise ValueError(f"{self.root} holds state for key {doc['key']!r} and tie-breaker {doc['tie_breaker']}")
+        return doc
+
+    def _rows(self, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/rows/{f}" for f in folders])
+
+    def _write(self, rows: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        latest_per_key(rows, self.spec.key, tie_breaker=self.tie_breaker).write.parquet(f"{self.root}/rows/{name}")
+        return name
+
+    def merge_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
         """foreachBatch sink: fold a micro-batch of Bronze rows into the state."""
-        cols = [f.name for f in self.schema.fields]
-        key = self.spec.key
-        rows = batch.select(*cols).where(F.col(key).isNotNull()).withColumn(BUCKET_COL, self._bucket())
-        base, deltas = self._manifest(self.latest_version(below=batch_id))
-        if self.compact_every is None and self.compact_delta_ratio is None:
-            self._publish(batch_id, self._rewrite(rows, batch_id, base), [])
-            return
-        out = f"{self.root}/deltas/{_version_name(batch_id)}"
-        latest_per_key(rows, key, tie_breaker=self.tie_breaker).write.mode("overwrite").parquet(out)
-        deltas = [*deltas, out]
-        if self._should_compact(base, deltas):
-            base, deltas = self._rewrite(self._read_deltas(deltas), batch_id, base), []
-        self._publish(batch_id, base, deltas)
-
-    def _should_compact(self, base: dict[int, str], deltas: list[str]) -> bool:
-        if self.compact_every is not None and len(deltas) >= self.compact_every:
-            return True
-        if self.compact_delta_ratio is not None:
-            # file-system metadata only; base folders may also hold superseded
-            # buckets, which makes the trigger slightly late, never early
-            base_bytes = sum(self.fs.size(d) for d in set(base.values()))
-            delta_bytes = sum(self.fs.size(d) for d in deltas)
-            return delta_bytes >= self.compact_delta_ratio * base_bytes
-        return False
-
-    def compact(self, batch_id: int) -> None:
-        """Fold pending deltas into the base now, as version ``batch_id`` (an id
-        above the latest; e.g. between streaming runs)."""
-        latest = self.latest_version()
-        if latest is not None and batch_id <= latest:
-            raise ValueError(f"compaction id {batch_id} must be above the latest version {latest}")
-        base, deltas = self._manifest(latest)
-        if deltas:
-            base = self._rewrite(self._read_deltas(deltas), batch_id, base)
-        self._publish(batch_id, base, [])
-
-    def expire_versions(self, keep: int = 10) -> list[str]:
-        """Retention: drop manifests older than the newest ``keep`` and every data
-        folder that none of the kept manifests references and that is older than
-        the oldest kept one.  Run it between batches; readers of an expired
-        version lose their files, so size ``keep`` to the longest read."""
-        if keep < 1:
-            raise ValueError("keep must be >= 1")
-        vs = sorted(self.versions())
-        if len(vs) <= keep:
-            return []
-        kept = vs[-keep:]
-        referenced = set()
-        for v in kept:
-            base, deltas = self._manifest(v)
-            referenced |= set(base.values()) | set(deltas)
-        removed = []
-        for folder in ("data", "deltas"):
-            for name in self.fs.list_names(f"{self.root}/{folder}", dirs=True):
-                d = f"{self.root}/{folder}/{name}"
-                if name.startswith("v") and int(name[1:]) < kept[0] and d not in referenced:
-                    self.fs.delete(d, recursive=True)
-                    removed.append(d)
-        for v in vs[:-keep]:
-            self.fs.delete(f"{self.root}/_manifest/{_version_name(v)}.json")
-        return removed
-
-    # --------------------------------------------------------------------- reads
-    def state(self, version: int | None = None) -> DataFrame:
-        v = self.latest_version() if version is None else version
-        base, deltas = self._manifest(v)
-        rows = self._read(base)
-        if deltas:
-            # merge on read: the same reduce as the merge itself
-            rows = latest_per_key(rows.unionByName(self._read_deltas(deltas)), self.spec.key,
-                                  tie_breaker=self.tie_breaker)
-        return rows.drop(BUCKET_COL)
-
-    def silver(self, version: int | None = None) -> DataFrame:
-        return silver_from_state(self.state(version), self.spec)
+        old = self._commit()
+        rows = batch.select(*self.schema.names).where(batch[self.spec.key].isNotNull())
+        base, deltas = old["base"], old["deltas"]
+        if len(deltas) + 1 >= self.compact_every:
+            base, deltas = self._write(self._rows([f for f in (base, *deltas) if f]).unionByName(rows)), []
+        else:
+            deltas = [*deltas, self._write(rows)]
+        n = old["n"] + 1
+        doc = {**old, "n": n, "base": base, "deltas": deltas, "batch_id": batch_id}
+        self.fs.publish_text(f"{self.root}/commits/c{n:015d}.json", json.dumps(doc))
+
+    def state(self) -> DataFrame:
+        doc = self._commit()
+        rows = self._rows([f for f in (doc["base"], *doc["deltas"]) if f])
+        if len(doc["deltas"]) + bool(doc["base"]) > 1:
+            rows = latest_per_key(rows, self.spec.key, tie_breaker=self.tie_breaker)
+        return rows
+
+    def silver(self) -> DataFrame:
+        return silver_from_state(self.state(), self.spec)
