@@ -70,6 +70,18 @@ def rows_of(batches: Iterator[pa.RecordBatch], *cols: str, rows: int = ROWS) ->
             yield from zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in cols))
 
 
+_ACTIVE: list = []
+
+
+def only_cache(cache):
+    """Make ``cache`` the one word cache that this Python worker keeps; the last operator's is emptied."""
+    for other in _ACTIVE:
+        if other is not cache:
+            other.clear()
+    _ACTIVE[:] = [cache]
+    return cache
+
+
 class Out:
     """Collects output rows and cuts them into record batches of bounded size."""
 

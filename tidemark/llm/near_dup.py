@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Out, checkpointed, id_and_text, rows_of, staged
+from tidemark.llm.common import Out, checkpointed, id_and_text, only_cache, rows_of, staged
 
 SHINGLE = 5
 ROWS, BANDS = 4, 40
@@ -67,7 +67,7 @@ class _Words(dict):
     """Word -> 64-bit hash, of bounded size."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -114,6 +114,7 @@ def signature(m: np.ndarray) -> bytes:
 
 
 def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only_cache(_WORDS)
     by = multipliers()
     out = Out(pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()),
                          ("bands", pa.list_(pa.int64()))]))

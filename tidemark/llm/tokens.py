@@ -19,7 +19,9 @@ import struct
 
 import numpy as np
 
-CACHE_BYTES = 64 << 20  # of each of two generations
+from tidemark.llm.common import only_cache
+
+CACHE_BYTES = 48 << 20  # of each of two generations
 _FORMATS: dict[int, struct.Struct] = {}
 
 
@@ -110,6 +112,7 @@ class Encoder:
 
 def encoder(path: str, split: str) -> Encoder:
     """The worker's encoder for this file, loaded once."""
+    only_cache(_LOADED)
     if (path, split) not in _LOADED:
         _LOADED[path, split] = Encoder(path, split)
     return _LOADED[path, split]

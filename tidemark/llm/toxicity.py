@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Out, id_and_text, rows_of, ship, staged
+from tidemark.llm.common import Out, id_and_text, only_cache, rows_of, ship, staged
 
 SAMPLE = 30_000
 DICTIONARY = 4096
@@ -68,7 +68,7 @@ class _Features(dict):
     """Word -> hashes of the word and of its prefixes, of bounded size."""
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 300_000:
+        if len(self) > 120_000:
             self.clear()
         text = word.decode()
         names = {b"w" + word} | {b"p" + text[:n].encode() for n in (4, 5, 6) if len(text) >= n}
@@ -106,7 +106,7 @@ class Model:
         for word in words:
             own = known.get(word)
             if own is None:
-                if len(known) > 300_000:
+                if len(known) > 120_000:
                     known.clear()
                 own = known[word] = tuple(f for f in _FEATURES[word] if f in w)
             if own:
@@ -123,6 +123,7 @@ def held_out(doc_id: Column) -> Column:
 def _present_task(wanted=None, kinds=IDENTITY_TERMS):
     """Per labelled document its features (only those in ``wanted``, if given) and those gained or lost by identity swaps."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(_FEATURES)
         keep = None if wanted is None else wanted.value
         list_type = pa.list_(pa.int64())
         out = Out(pa.schema([("toxic", pa.int32()), ("features", list_type), ("gained", pa.list_(list_type)), ("lost", pa.list_(list_type))]))
@@ -244,6 +245,7 @@ SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("hel
 def _score_task(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, {}
+        only_cache(_FEATURES)
         out = Out(pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]))
         for doc, held, body in rows_of(batches, "id", "held_out", "body"):
             p = model.score(words_of(body), known)
@@ -262,6 +264,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 def _clean_task(shared, text_col: str, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, {}
+        only_cache(_FEATURES)
         for batch in batches:
             keep = [model.score(words_of(t.encode() if t else None), known) < threshold for (t,) in rows_of([batch], text_col)]
             yield batch.filter(pa.array(keep, pa.bool_()))
