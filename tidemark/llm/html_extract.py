@@ -70,7 +70,6 @@ CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _CLASS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
-_DIGITS = re.compile(r"\d+")
 
 
 def _hash(text: str) -> int:
@@ -83,7 +82,7 @@ class Node:
     def __init__(self, tag: str, attrs: str, parent: "Node | None"):
         names = " ".join(sorted(a or b or c for a, b, c in _CLASS.findall(attrs))).lower() if attrs else ""
         self.tag, self.parent, self.children, self.texts = tag, parent, [], []
-        self.key = _hash(f"{parent.key if parent else 0}/{tag}.{_DIGITS.sub('0', names)}")
+        self.key = _hash(f"{parent.key if parent else 0}/{tag}.{names}")
         inside = parent is not None and parent.article
         self.article = inside or tag in ARTICLE
         found = set(_NAME.findall(names)) & NOISE_NAMES if names and tag not in ("html", "body", "article", "main") else set()
