@@ -61,10 +61,10 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL = {
     "op1_exact_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS imp
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS imp
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
             SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.imp, d.imp)::BIGINT AS score
             FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),

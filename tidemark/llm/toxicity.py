@@ -183,7 +183,7 @@ def solve(y: np.ndarray, rows: list[np.ndarray], weight: np.ndarray, gained: lis
         grad[n] = error.sum()
         if len(gained):
             change = np.bincount(plus_row, x[plus], len(gained)) - np.bincount(minus_row, x[minus], len(gained))
-            pull = 2 * swap_weight * change / swap_weight.sum()
+            pull = 2 * swap_weight * change / len(gained)
             grad[:n] += np.bincount(plus, pull[plus_row], n) - np.bincount(minus, pull[minus_row], n)
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.999 * m2 + 0.001 * grad * grad
