@@ -150,15 +150,24 @@ def encode_envelope(
     )
 
 
+# every character that Unicode counts as white space, the ASCII separators included
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+               + "\u2028\u2029\u202f\u205f\u3000")
+
+
+def _strip(c: Column) -> Column:
+    return F.trim(c, F.lit(WHITE_SPACE))
+
+
 def split_keyed_line(lines: DataFrame, line_col: str = "value", sep: str = "|") -> DataFrame:
     """Console-consumer text lines ``key|value`` -> (key, value); split at the
-    first separator, both sides trimmed; blank lines and lines without a
+    first separator, both sides stripped of any white space; blank lines and lines without a
     separator are dropped."""
-    parts = F.split(F.trim(F.col(line_col)), re.escape(sep), 2)
+    parts = F.split(_strip(F.col(line_col)), re.escape(sep), 2)
     return (
         lines.select(parts.alias("_p"))
         .where(F.size("_p") == 2)
-        .select(F.trim(F.col("_p")[0]).alias("key"), F.trim(F.col("_p")[1]).alias("value"))
+        .select(_strip(F.col("_p")[0]).alias("key"), _strip(F.col("_p")[1]).alias("value"))
     )
 
 

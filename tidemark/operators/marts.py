@@ -6,6 +6,8 @@ at most one row per key and a hot customer / order never lands in one task.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,3 +134,13 @@ def daily_revenue(orders: DataFrame, payments: DataFrame, transactions: DataFram
         F.coalesce(F.col("t.total_successful_transactions"), F.lit(0)).cast("long").alias("total_successful_transactions"),
         F.coalesce(F.col("t.gross_revenue"), _zero()).cast(SUM_AMOUNT_TYPE).alias("gross_revenue"),
     )
+
+
+def all_marts(silvers: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every mart over the Silver tables ``customers``, ``orders``, ``payments`` and ``transactions``."""
+    c, o, p, t = (silvers[e] for e in ("customers", "orders", "payments", "transactions"))
+    return {
+        "customer_order_summary_gold": customer_order_summary(c, o, p),
+        "order_payment_status_gold": order_payment_status(o, p, t),
+        "daily_revenue_gold": daily_revenue(o, p, t),
+    }

@@ -14,6 +14,12 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _as_rows(one: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
+    """The columns of a one-row result as (name, value) rows, from a single evaluation."""
+    pairs = [F.struct(F.lit(c).alias(name), F.col(c).alias(value)) for c in columns]
+    return one.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
+
+
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is null (empty = pass)."""
     return df.where(F.col(column).isNull())
@@ -31,16 +37,20 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def key_tests(models: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """not_null + unique on each model's key -> (model_name, column_name, test_name, failures)."""
+    """not_null + unique on each model's key -> (model_name, column_name, test_name, failures).
+
+    Both tests come from one grouped pass per model (counts per key, combined on
+    the map side): failures are the rows with a null key and the values seen twice.
+    """
     rows = []
     for name, (df, col) in models.items():
-        for test, failing in (("not_null", check_not_null(df, col)), ("unique", check_unique(df, col))):
-            rows.append(
-                failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(name).alias("model_name"), F.lit(col).alias("column_name"),
-                    F.lit(test).alias("test_name"), F.col("failures").cast("long").alias("failures"),
-                )
-            )
+        null = F.col(col).isNull()
+        both = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.coalesce(F.sum(F.when(null, F.col("_n"))), F.lit(0)).cast("long").alias("not_null"),
+            F.count(F.when(~null & (F.col("_n") > 1), F.lit(1))).cast("long").alias("unique"),
+        )
+        rows.append(_as_rows(both, ("not_null", "unique"), "test_name", "failures").select(
+            F.lit(name).alias("model_name"), F.lit(col).alias("column_name"), "test_name", "failures"))
     return _union(rows)
 
 
@@ -176,9 +186,6 @@ def validate_change_log(bronze: DataFrame, key: str, allowed_ops: Sequence[str]
     late = F.col(key).isNotNull() & (F.col("_events") > 1) & (F.col("_arr_of_newest") < F.col("_last_arrival"))
     ooo = per_key.agg(F.count(F.when(late, F.lit(1))).cast("long").alias("v"))
     return _union([
-        totals.select(F.lit("unexpected_op").alias("check_name"), F.col("unexpected_op").alias("violations")),
-        totals.select(F.lit("duplicate_event").alias("check_name"), F.col("duplicate_event").alias("violations")),
+        _as_rows(totals, ("unexpected_op", "duplicate_event", "delete_without_before"), "check_name", "violations"),
         ooo.select(F.lit("out_of_order").alias("check_name"), F.col("v").alias("violations")),
-        totals.select(F.lit("delete_without_before").alias("check_name"),
-                      F.col("delete_without_before").alias("violations")),
     ])

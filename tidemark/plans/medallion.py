@@ -56,11 +56,7 @@ class Medallion:
         return marts.daily_revenue(self.silver("orders"), self.silver("payments"), self.silver("transactions"))
 
     def gold(self) -> dict[str, DataFrame]:
-        return {
-            "customer_order_summary_gold": self.customer_order_summary(),
-            "order_payment_status_gold": self.order_payment_status(),
-            "daily_revenue_gold": self.daily_revenue(),
-        }
+        return marts.all_marts({e: self.silver(e) for e in ("customers", "orders", "payments", "transactions")})
 
 
 GOLD_KEYS = {
@@ -87,16 +83,8 @@ def build_gold(
     from tidemark.operators import quality
     from tidemark.plans.catalog import write_full_refresh
 
-    marts_df = {
-        "customer_order_summary_gold": marts.customer_order_summary(
-            silvers["customers"], silvers["orders"], silvers["payments"]),
-        "order_payment_status_gold": marts.order_payment_status(
-            silvers["orders"], silvers["payments"], silvers["transactions"]),
-        "daily_revenue_gold": marts.daily_revenue(
-            silvers["orders"], silvers["payments"], silvers["transactions"]),
-    }
     written = {}
-    for name, df in marts_df.items():
+    for name, df in marts.all_marts(silvers).items():
         path = f"{path_root.rstrip('/')}/{name}"
         if database:
             write_full_refresh(df, f"{database}.{name}", path=path)

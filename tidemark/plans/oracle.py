@@ -199,9 +199,9 @@ def _gold_keys() -> str:
     return _union(parts)
 
 
-def _change_log() -> str:
+def _change_log(entities: tuple[str, ...] = ENTITY_NAMES) -> str:
     parts = []
-    for e in ENTITY_NAMES:
+    for e in entities:
         k, t = ENTITIES[e].key, f"{e}_bronze"
         parts.append(f"""
 SELECT '{t}' AS table_name, 'unexpected_op' AS check_name,
@@ -221,6 +221,23 @@ SELECT '{t}', 'delete_without_before', count(*) FILTER (WHERE op = 'd' AND {k} I
     return _union(parts)
 
 
+DIRTY_LOG = f"""
+WITH o AS (SELECT o_orderkey AS order_id, {_ms('o_orderdate')} AS ts, o_orderpriority AS pr,
+                  CASE o_orderstatus WHEN 'F' THEN 'r' WHEN 'O' THEN 'c' WHEN 'P' THEN 'u' END AS op FROM orders),
+orders_bronze AS (
+  SELECT order_id, 'x' AS op, epoch_ms(ts) AS source_ts_ms, ts AS kafka_event_ts FROM o WHERE pr = '1-URGENT'
+  UNION ALL SELECT order_id, op, epoch_ms(ts), ts FROM o WHERE pr IN ('2-HIGH', '3-MEDIUM')
+  UNION ALL SELECT order_id, op, epoch_ms(ts), ts FROM o WHERE pr = '2-HIGH'
+  UNION ALL SELECT order_id, 'u', epoch_ms(ts) - 86400000, ts + INTERVAL 1 DAY FROM o WHERE pr = '3-MEDIUM'
+  UNION ALL SELECT NULL, 'd', epoch_ms(ts), ts FROM o WHERE pr = '4-NOT SPECIFIED'
+  UNION ALL SELECT order_id, NULL, epoch_ms(ts), ts FROM o WHERE pr = '5-LOW')"""
+
+SAME_COMMIT = f"""
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, 'DELIVERED' AS status, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
+       {_ms('o_orderdate')} AS created_at, {_ms('o_orderdate')} AS updated_at, 'u' AS bronze_op,
+       epoch_ms({_ms('o_orderdate')}) AS bronze_source_ts_ms, {_ms('o_orderdate')} AS bronze_kafka_event_ts
+FROM orders"""
+
 MALFORMED = f"""
 SELECT {_ms('o_orderdate')} AS kafka_event_ts,
        CASE WHEN o_orderpriority IN ('2-HIGH', '4-NOT SPECIFIED') THEN NULL
@@ -347,7 +364,16 @@ def oracle_sql() -> dict[str, str]:
     out["dq_table_health"] = with_layers(_union([
         f"SELECT '{e}_bronze' AS table_name, count(*) AS row_count, count(*) > 0 AS healthy FROM {e}_bronze"
         for e in ENTITY_NAMES]))
+    out["dq_change_log_dirty"] = DIRTY_LOG + "SELECT check_name, violations FROM (" + _change_log(("orders",)) + ") v"
+    out["dq_bronze_counts_dirty"] = DIRTY_LOG + """
+SELECT 'orders_bronze' AS table_name, count(*) AS cnt, count(*) FILTER (WHERE op = 'x') AS raw_json_nulls,
+       count(*) FILTER (WHERE op IS NULL) AS null_ops FROM orders_bronze"""
+    out["bronze_orders_raw"] = with_layers(
+        "SELECT kafka_event_ts, op AS raw_op, order_id AS raw_order_id, status AS raw_status, source_ts_ms AS raw_ts_ms FROM orders_bronze")
+    out["silver_orders_same_commit"] = SAME_COMMIT
     out["minimal_order_events"] = with_layers(MINIMAL_EVENTS)
+    out["minimal_order_events_dirty"] = with_layers(MINIMAL_EVENTS + " WHERE order_id % 5 >= 3")
+    out["orders_jsonl"] = with_layers(f"SELECT *, 10 AS n_fields FROM ({MINIMAL_EVENTS}) m")
     out["envelope_view_orders"] = with_layers(ENVELOPE_VIEW)
     out["change_feed_orders"] = CHANGE_FEED
     out["snapshot_feed_customers"] = SNAPSHOT_FEED

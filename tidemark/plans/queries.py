@@ -22,7 +22,7 @@ from tidemark.operators.state import apply_changes, live_rows, merge_upsert, ran
 from tidemark.plans.catalog import register_views
 from tidemark.session import ensure_session_defaults, scratch_path
 from tidemark.sources import testdata as td
-from tidemark.streaming.jobs import read_topic, start_bronze, start_silver
+from tidemark.streaming.jobs import read_topic, start_bronze, start_minimal_events_jsonl, start_silver
 from tidemark.streaming.state_store import KeyedStateStore
 
 ENTITY_NAMES = ("customers", "orders", "payments", "transactions")
@@ -62,6 +62,14 @@ def bronze_query(entity: str):
     return q
 
 
+def bronze_orders_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Values read again from the kept message text, of either shape."""
+    raw = lambda *paths: F.coalesce(*[F.get_json_object("raw_json", f"$.{w}{p}") for w in ("payload.", "") for p in paths])
+    return report(_bronze(spark, sf, "orders").select(
+        "kafka_event_ts", raw("op").alias("raw_op"), raw("before.order_id", "after.order_id").cast("long").alias("raw_order_id"),
+        raw("before.status", "after.status").alias("raw_status"), raw("source.ts_ms").cast("long").alias("raw_ts_ms")))
+
+
 def bronze_malformed_and_null(spark: SparkSession, sf: str) -> DataFrame:
     ensure_session_defaults(spark)
     b = decode_envelope(td.malformed_order_records(spark, sf), ORDERS)
@@ -130,6 +138,17 @@ def silver_orders_resume(spark: SparkSession, sf: str) -> DataFrame:
     return report(store.silver())
 
 
+def silver_orders_same_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """Two changes in one commit: the log position decides, in whichever order the store gets them."""
+    ensure_session_defaults(spark)
+    topic = encode_envelope(td.same_commit_orders_changes(spark, sf), ORDERS, lsn_col="lsn")
+    bronze = decode_envelope(topic, ORDERS, keep_lsn=True)
+    store = KeyedStateStore(spark, scratch_path(spark, "orders_same_commit"), ORDERS, tie_breaker=("source_lsn",))
+    store.merge_batch(bronze.where("op = 'u'"), 0)
+    store.merge_batch(bronze.where("op = 'c'"), 1)
+    return report(store.silver())
+
+
 def silver_payments_stream(spark: SparkSession, sf: str) -> DataFrame:
     return report(_stream_silver(spark, sf, "payments", deliveries=1))
 
@@ -203,12 +222,7 @@ def dq_bronze_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    s = _silvers(spark, sf)
-    return {
-        "customer_order_summary_gold": marts.customer_order_summary(s["customers"], s["orders"], s["payments"]),
-        "order_payment_status_gold": marts.order_payment_status(s["orders"], s["payments"], s["transactions"]),
-        "daily_revenue_gold": marts.daily_revenue(s["orders"], s["payments"], s["transactions"]),
-    }
+    return marts.all_marts(_silvers(spark, sf))
 
 
 def dq_table_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,6 +260,22 @@ def dq_change_log(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _dirty_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze of the faulty orders log, as left by a writer that lost the text of events with an unknown op."""
+    ensure_session_defaults(spark)
+    b = decode_envelope(encode_envelope(td.dirty_orders_changes(spark, sf), ORDERS, lsn_col="lsn"), ORDERS)
+    lost = F.coalesce(F.col("op") == td.UNKNOWN_OP, F.lit(False))
+    return b.withColumn("raw_json", F.when(~lost, F.col("raw_json")))
+
+
+def dq_change_log_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.validate_change_log(_dirty_bronze(spark, sf), ORDERS.key)
+
+
+def dq_bronze_counts_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.bronze_counts({"orders_bronze": _dirty_bronze(spark, sf)})
+
+
 # ------------------------------------------------------ topic views / consumers
 def minimal_order_events(spark: SparkSession, sf: str) -> DataFrame:
     """Console-consumer lines ``key|value`` -> split -> compact order events."""
@@ -256,6 +286,31 @@ def minimal_order_events(spark: SparkSession, sf: str) -> DataFrame:
     return ev.drop("ingested_at")
 
 
+def minimal_order_events_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """Console lines padded with white space, some with text behind the value, single quotes or a key that is no JSON."""
+    ensure_session_defaults(spark)
+    kind = F.pmod(F.get_json_object("key", "$.payload.order_id").cast("long"), F.lit(5))
+    key = F.when(kind == 2, F.lit("no json")).otherwise(F.col("key"))
+    value = (F.when(kind == 0, F.concat("value", F.lit(" junk"))).when(kind == 1, F.lit("{'payload':{'op':'c'}}"))
+             .otherwise(F.col("value")))
+    lines = td.topic_records(spark, sf, "orders").select(
+        F.concat(F.lit("\t "), key, F.lit("\u00a0|\t"), value, F.lit("\u3000\r")).alias("value"))
+    return minimal_order_event(split_keyed_line(lines), "replay", "orders-jsonl-replay").drop("ingested_at")
+
+
+def orders_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Compact events streamed to JSON lines and read back, with the number of fields on each line."""
+    ensure_session_defaults(spark)
+    root = scratch_path(spark, "orders_jsonl")
+    topic = td.topic_records(spark, sf, "orders")
+    topic.write.parquet(f"{root}/topic")
+    start_minimal_events_jsonl(read_topic(spark, fmt="parquet", path=f"{root}/topic"), f"{root}/out", f"{root}/_ckpt",
+                               "replay", "orders-jsonl-replay", available_now=True).awaitTermination()
+    schema = minimal_order_event(topic, "", "").drop("ingested_at").schema
+    lines = spark.read.text(f"{root}/out")
+    return lines.select(F.from_json("value", schema).alias("_e"), F.size(F.json_object_keys("value")).alias("n_fields")).select("_e.*", "n_fields")
+
+
 def envelope_view_orders(spark: SparkSession, sf: str) -> DataFrame:
     ensure_session_defaults(spark)
     v = envelope_view(td.topic_records(spark, sf, "orders"))
@@ -363,12 +418,14 @@ QUERIES = {
     **{f"bronze_{e}": bronze_query(e) for e in ENTITY_NAMES},
     "bronze_malformed_and_null": bronze_malformed_and_null,
     "bronze_orders_stream": bronze_orders_stream,
+    "bronze_orders_raw": bronze_orders_raw,
     "dq_cast_errors": dq_cast_errors,
     **{f"silver_{e}": silver_query(e) for e in ENTITY_NAMES},
     "silver_payments_window": silver_payments_window,
     "silver_payments_stream": silver_payments_stream,
     "silver_transactions_replay": silver_transactions_replay,
     "silver_orders_resume": silver_orders_resume,
+    "silver_orders_same_commit": silver_orders_same_commit,
     "gold_customer_order_summary": gold_customer_order_summary,
     "gold_order_payment_status": gold_order_payment_status,
     "gold_order_payment_status_latest": gold_order_payment_status_latest,
@@ -382,7 +439,11 @@ QUERIES = {
     "dq_gold_keys": dq_gold_keys,
     "dq_table_health": dq_table_health,
     "dq_change_log": dq_change_log,
+    "dq_change_log_dirty": dq_change_log_dirty,
+    "dq_bronze_counts_dirty": dq_bronze_counts_dirty,
     "minimal_order_events": minimal_order_events,
+    "minimal_order_events_dirty": minimal_order_events_dirty,
+    "orders_jsonl": orders_jsonl,
     "envelope_view_orders": envelope_view_orders,
     "change_feed_orders": change_feed_orders,
     "snapshot_feed_customers": snapshot_feed_customers,

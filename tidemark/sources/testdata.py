@@ -35,6 +35,8 @@ TXN_TYPE = {"O": "CAPTURE", "F": "AUTH"}
 TXN_STATUS = {"O": "SUCCESS", "F": "PENDING"}
 TXN_DELETE_QUANTITY = 45.0
 DAY_MS = 86_400_000
+UNKNOWN_OP = "x"
+SECOND_STATUS = "DELIVERED"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,7 +94,8 @@ def customers_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(j, _event(op, row, F.unix_millis(ts), ts))
 
 
-def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:
+    """(orders table, its time, its order row)"""
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     ts = _ts(F.col("o_orderdate"))
@@ -104,6 +107,11 @@ def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "created_at": ts,
         "updated_at": ts,
     })
+    return o, ts, row
+
+
+def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, ts, row = _orders_rows(spark, sf_dir)
     first = _event(map_values(F.col("o_orderstatus"), ORDER_OP), row, F.unix_millis(ts), ts)
     del_ts = F.timestamp_millis(F.unix_millis(ts) + F.lit(DAY_MS))
     delete = _event(F.lit("d"), row, F.unix_millis(ts) + F.lit(DAY_MS), del_ts)
@@ -111,6 +119,32 @@ def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.explode(events).alias("_ev")).select("_ev.*")
 
 
+def dirty_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An orders log with one fault per priority: an unknown op (1), a duplicate (2), an older change that
+    arrives a day late (3), a delete without its before image (4), no op (5)."""
+    o, ts, row = _orders_rows(spark, sf_dir)
+    ms = F.unix_millis(ts)
+    first = _event(map_values(F.col("o_orderstatus"), ORDER_OP), row, ms, ts)
+    late = _event(F.lit("u"), row, ms - F.lit(DAY_MS), F.timestamp_millis(ms + F.lit(DAY_MS)))
+    blind = F.struct(F.lit("d").alias("op"), F.when(F.lit(False), row).alias("before"), F.when(F.lit(False), row).alias("after"),
+                     ms.alias("source_ts_ms"), ts.alias("kafka_event_ts"), ms.alias("lsn"))
+    pr = F.col("o_orderpriority")
+    events = (F.when(pr == "1-URGENT", F.array(_event(F.lit(UNKNOWN_OP), row, ms, ts)))
+              .when(pr == "2-HIGH", F.array(first, first)).when(pr == "3-MEDIUM", F.array(first, late))
+              .when(pr == "4-NOT SPECIFIED", F.array(blind))
+              .otherwise(F.array(_event(F.lit(None).cast("string"), row, ms, ts))))
+    return o.select(F.explode(events).alias("_ev")).select("_ev.*")
+
+
+def same_commit_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two changes of every order in one commit: equal times, told apart by the log position only."""
+    o, ts, row = _orders_rows(spark, sf_dir)
+    ms = F.unix_millis(ts)
+    first = _event(F.lit("c"), row, ms, ts)
+    second = _event(F.lit("u"), row.withField("status", F.lit(SECOND_STATUS)), ms, ts, ms + 1)
+    return o.select(F.explode(F.array(first, second)).alias("_ev")).select("_ev.*")
+
+
 def _lineitem_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
