@@ -82,8 +82,21 @@ def test_epoch_ms_and_iso_timestamps(spark):
 
 def test_nested_object_where_text_expected(spark):
     msg = '{"op":"c","after":{"order_id":1,"status":{"a":1}}}'
-    assert decode(spark, [msg])[0].status == '{"a":1}'
-    assert decode(spark, [msg], scalars_only=True)[0].status is None
+    assert decode(spark, [msg])[0].status is None
+    assert decode(spark, [msg], scalars_only=False)[0].status == '{"a":1}'
+
+
+def test_scalars_by_json_type(spark):
+    def status(value, op="c"):
+        side = "before" if op == "d" else "after"
+        return [decode(spark, [t % ('{"op":"%s","%s":{"order_id":1,"status":%s}}' % (op, side, value))])[0].status
+                for t in ("%s", '{"payload":%s}')]
+    assert status('"[VIP] x"') == ["[VIP] x"] * 2 and status('"{y}"', "d") == ["{y}"] * 2
+    assert status('["a"]') == [None] * 2 and status('{"a":"b"}', "d") == [None] * 2
+    assert status("12.5") == ["12.5"] * 2 and status("true") == ["true"] * 2 and status("null") == [None] * 2
+    # an object in the wrapped place falls through to the flat one
+    both = '{"payload":{"op":"c","after":{"status":{"a":1}}},"after":{"order_id":1,"status":"flat"}}'
+    assert decode(spark, [both])[0].status == "flat"
 
 
 def test_kafka_time_truncated_to_ms(spark):
@@ -138,6 +151,7 @@ def test_envelope_view(spark):
     t = dt.datetime(2024, 1, 1)
     v = envelope_view(spark.createDataFrame([("k", WRAPPED, t)], TOPIC_SCHEMA)).collect()[0]
     assert v.op == "c" and v.before is None and v.after["status"] == "CREATED"
+    assert (v.consumer_mode, v.consumer_group) == ("resume", "orders-view")
 
 
 def test_cast_error_tracking(spark):

@@ -241,3 +241,34 @@ def test_tie_breaker_end_to_end(spark):
     store = KeyedStateStore(spark, f"{root}/state", ORDERS, tie_breaker=("source_lsn",))
     start_silver(spark, f"{root}/bronze", ORDERS, store, f"{root}/ck/s", available_now=True).awaitTermination()
     assert rows_of(store.silver(), "order_id", "status") == [(1, "SECOND")]
+
+
+def test_console_view_resumes(spark, tmp_path):
+    from tidemark.functions import envelope_view
+    from tidemark.streaming import start_console
+    topic = str(tmp_path / "topic")
+
+    def shown(mode):
+        td.topic_records(spark, SF, "orders").limit(20).write.mode("append").parquet(topic)
+        q = start_console(envelope_view(read_topic(spark, fmt="parquet", path=topic)), str(tmp_path / "ck"), mode,
+                          name="tail_test", available_now=True)
+        q.awaitTermination()
+        return sum(p.numInputRows for p in q.recentProgress)
+
+    assert [shown("resume"), shown("resume"), shown("replay")] == [20, 20, 60]
+
+
+def test_failure_of_one_query_stops_the_unit(spark, tmp_path):
+    from tidemark.streaming import await_all
+
+    def fail(df, batch):
+        raise ValueError("broken sink")
+
+    def start(name, sink):
+        rate = spark.readStream.format("rate").load()
+        return (rate.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / name))
+                .trigger(processingTime="1 second").start())
+    good, bad = start("good", lambda df, batch: None), start("bad", fail)
+    with pytest.raises(Exception, match="broken sink"):
+        await_all([good, bad])
+    assert not good.isActive and not bad.isActive

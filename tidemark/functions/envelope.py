@@ -40,19 +40,25 @@ def envelope_schema(spec: EntitySpec) -> T.StructType:
     )
 
 
-def _first(env: Column, *path: str) -> Column:
+def _first(env: Column, *path: str, scalar: bool = False) -> Column:
     """Wrapped path first, then the flat one (per field, so a null wrapped value falls through)."""
     wrapped = env.getField("payload")
     flat = env
     for p in path:
         wrapped = wrapped.getField(p)
         flat = flat.getField(p)
+    if scalar:
+        wrapped, flat = _scalar(wrapped, "payload", *path), _scalar(flat, *path)
     return F.coalesce(wrapped, flat)
 
 
-def _non_scalar_to_null(c: Column) -> Column:
-    # from_json hands back JSON text for an object/array where a string is declared
-    return F.when(F.ltrim(c).rlike(r"^[\[{]"), F.lit(None)).otherwise(c)
+def _scalar(text: Column, *path: str) -> Column:
+    """Null for an object or array, which from_json hands back as JSON text.  A string may begin with the
+    same brackets, so for such text (only) the JSON type of the value decides."""
+    value = F.try_variant_get(F.try_parse_json("raw_json"), "$." + ".".join(path), "variant")
+    is_string = F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+    bracket = F.substring(text, 1, 1).isin("{", "[")
+    return F.when(bracket & ~is_string, F.lit(None)).otherwise(text)
 
 
 def decode_envelope(
@@ -61,7 +67,7 @@ def decode_envelope(
     value_col: str = "value",
     ts_col: str = "timestamp",
     strict_casts: bool = False,
-    scalars_only: bool = False,
+    scalars_only: bool = True,
     track_cast_errors: bool = False,
     keep_lsn: bool = False,
 ) -> DataFrame:
@@ -71,6 +77,7 @@ def decode_envelope(
     * ``op`` = wrapped op, else flat op;
     * each payload column comes from ``before`` when op is ``'d'``, otherwise from
       ``after`` (a null op takes the ``after`` branch);
+    * an object or array where a scalar is expected is null (``scalars_only=False`` keeps its JSON text);
     * text is cast leniently (bad text -> null) unless ``strict_casts``;
     * malformed JSON still yields a row: nulls plus ``raw_json``;
     * ``track_cast_errors`` adds ``cast_errors``: fields whose text was present
@@ -88,7 +95,7 @@ def decode_envelope(
         .select("kafka_event_ts", "raw_json", env.alias("_e"))
     )
     e = F.col("_e")
-    op = _first(e, "op")
+    op = _first(e, "op", scalar=scalars_only)
     is_delete = op == F.lit("d")
     cols = [F.date_trunc("millisecond", F.col("kafka_event_ts")).alias("kafka_event_ts"), op.alias("op")]
     errors = []
@@ -96,9 +103,8 @@ def decode_envelope(
         if name == "source_ts_ms":
             text = _first(e, "source", "ts_ms")
         else:
-            text = F.when(is_delete, _first(e, "before", name)).otherwise(_first(e, "after", name))
-        if scalars_only:
-            text = _non_scalar_to_null(text)
+            scalar = scalars_only and isinstance(dtype, T.StringType)  # JSON text of an object casts to no other type
+            text = F.when(is_delete, _first(e, "before", name, scalar=scalar)).otherwise(_first(e, "after", name, scalar=scalar))
         typed = lenient_cast(text, dtype, strict=strict_casts)
         cols.append(typed.alias(name))
         errors.append(F.when(text.isNotNull() & typed.isNull(), F.lit(1)).otherwise(F.lit(0)))
@@ -188,10 +194,13 @@ _MIN_KEY = T.StructType([
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "false"}
 
 
-def envelope_view(topic: DataFrame, key_col: str = "key", value_col: str = "value") -> DataFrame:
-    """Live view of the wrapped envelope: key, op, before, after (as JSON maps)."""
+def envelope_view(topic: DataFrame, consumer_mode: str = "resume", consumer_group: str = "orders-view",
+                  key_col: str = "key", value_col: str = "value") -> DataFrame:
+    """Live view of the wrapped envelope: run mode and group, key, op, before, after (as JSON maps)."""
     v = F.from_json(F.col(value_col).cast("string"), _MIN_VALUE, _JSON_OPTS)
     return topic.select(
+        F.lit(consumer_mode).alias("consumer_mode"),
+        F.lit(consumer_group).alias("consumer_group"),
         F.col(key_col).cast("string").alias("key"),
         v.getField("payload").getField("op").alias("op"),
         v.getField("payload").getField("before").alias("before"),

@@ -1,9 +1,9 @@
 """Batch medallion plan: topics -> Bronze -> Silver -> Gold, as DataFrames.
 
-Each layer is a lazily built DataFrame; Catalyst prunes the JSON parse to the
-columns a downstream layer needs and plans each mart's joins.  ``materialize``
-writes a layer out and reads it back, cutting lineage between layers the way a
-table boundary does.
+Bronze is written once per entity, when first asked for, and read back: each message
+is parsed once, however many later plans use it.  Silver and Gold are lazily built
+DataFrames over it; ``materialize`` writes a layer out and reads it back, cutting
+lineage the way a table boundary does.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tidemark.entities import ENTITIES
 from tidemark.functions.envelope import decode_envelope
 from tidemark.operators import marts
 from tidemark.operators.state import silver
+from tidemark.session import scratch_path
 
 
 @dataclass
@@ -28,7 +29,10 @@ class Medallion:
     def bronze(self, entity: str) -> DataFrame:
         k = f"bronze.{entity}"
         if k not in self._cache:
-            self._cache[k] = decode_envelope(self.topics[entity], ENTITIES[entity])
+            rows = decode_envelope(self.topics[entity], ENTITIES[entity])
+            path = scratch_path(self.spark, "bronze", entity)
+            rows.write.parquet(path)
+            self._cache[k] = self.spark.read.schema(rows.schema).parquet(path)
         return self._cache[k]
 
     def silver(self, entity: str) -> DataFrame:

@@ -272,7 +272,8 @@ SELECT 'replay' AS consumer_mode, 'orders-jsonl-replay' AS consumer_group,
 FROM orders_log"""
 
 ENVELOPE_VIEW = """
-SELECT '{"payload":{"order_id":' || CAST(order_id AS VARCHAR) || '}}' AS key,
+SELECT 'resume' AS consumer_mode, 'orders-view' AS consumer_group,
+       '{"payload":{"order_id":' || CAST(order_id AS VARCHAR) || '}}' AS key,
        CASE WHEN order_id % 2 = 0 THEN op END AS op,
        CASE WHEN order_id % 2 = 0 AND op = 'd' THEN status END AS before_status,
        CASE WHEN order_id % 2 = 0 AND op <> 'd' THEN status END AS after_status
@@ -353,6 +354,11 @@ def oracle_sql() -> dict[str, str]:
     out["gold_order_payment_status"] = with_layers("SELECT * FROM order_payment_status_gold", gold=True)
     out["gold_order_payment_status_latest"] = with_layers("SELECT * FROM order_payment_status_latest_gold", gold=True)
     out["gold_daily_revenue"] = with_layers("SELECT * FROM daily_revenue_gold", gold=True)
+    out["gold_daily_revenue_table"] = out["gold_daily_revenue"]
+    out["bronze_orders_run_modes"] = with_layers(_union([
+        f"SELECT '{mode}' AS run_mode, op, count(*) AS cnt FROM orders_bronze GROUP BY op" for mode in ("resume", "replay")]))
+    out["bronze_non_scalar_text"] = with_layers("""
+SELECT * REPLACE (CASE order_id % 4 WHEN 2 THEN '[VIP] ' || status WHEN 3 THEN status END AS status) FROM orders_bronze""")
     out["dq_silver_pk"] = with_layers(_pk_checks("_silver"))
     out["dq_bronze_pk"] = with_layers(_pk_checks("_bronze"))
     out["dq_duplicate_counts"] = with_layers(_dup_counts())

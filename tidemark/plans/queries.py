@@ -7,6 +7,7 @@ clock) so results compare across engines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +17,14 @@ from pyspark.sql import types as T
 from tidemark.entities import AMOUNT_TYPE, CUSTOMERS, ORDERS, PAYMENTS
 from tidemark.functions.casts import to_ntz
 from tidemark.functions.envelope import decode_envelope, encode_envelope, envelope_view, minimal_order_event, split_keyed_line
-from tidemark.operators import marts, quality
+from tidemark.operators import quality
 from tidemark.operators.feed import change_feed, snapshot_feed
 from tidemark.operators.state import apply_changes, live_rows, merge_upsert, rank_latest, silver, to_silver_columns
-from tidemark.plans.catalog import register_views
+from tidemark.plans.catalog import create_entity_tables, create_layers, register_views, write_full_refresh
+from tidemark.plans.medallion import Medallion
 from tidemark.session import ensure_session_defaults, scratch_path
 from tidemark.sources import testdata as td
-from tidemark.streaming.jobs import read_topic, start_bronze, start_minimal_events_jsonl, start_silver
+from tidemark.streaming.jobs import read_topic, run_folder, start_bronze, start_minimal_events_jsonl, start_silver
 from tidemark.streaming.state_store import KeyedStateStore
 
 ENTITY_NAMES = ("customers", "orders", "payments", "transactions")
@@ -51,8 +53,9 @@ def _bronze(spark: SparkSession, sf: str, entity: str) -> DataFrame:
     return td.bronze(ensure_session_defaults(spark), sf, entity)
 
 
-def _silver(spark: SparkSession, sf: str, entity: str) -> DataFrame:
-    return silver(_bronze(spark, sf, entity), td.SPECS[entity])
+def _layers(spark: SparkSession, sf: str) -> Medallion:
+    ensure_session_defaults(spark)
+    return Medallion(spark, {e: td.topic_records(spark, sf, e) for e in ENTITY_NAMES})
 
 
 # --------------------------------------------------------------------- Bronze
@@ -87,7 +90,7 @@ def dq_cast_errors(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------- Silver
 def silver_query(entity: str):
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        return report(_silver(spark, sf, entity))
+        return report(_layers(spark, sf).silver(entity))
     return q
 
 
@@ -167,53 +170,85 @@ def bronze_orders_stream(spark: SparkSession, sf: str) -> DataFrame:
     return report(spark.read.schema(ORDERS.bronze_schema).parquet(f"{root}/bronze").drop("raw_json"))
 
 
-# ----------------------------------------------------------------------- Gold
-def _silvers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {e: _silver(spark, sf, e) for e in ENTITY_NAMES}
+def bronze_orders_run_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by operation of a resumed run (started twice: the second start finds nothing new) and of a replay beside it."""
+    ensure_session_defaults(spark)
+    root = scratch_path(spark, "bronze_run_modes")
+    td.topic_records(spark, sf, "orders").write.parquet(f"{root}/topic")
+    outs = {}
+    for mode in ("resume", "resume", "replay"):
+        outs[mode] = out = run_folder(root, "orders", mode)
+        start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic"), ORDERS, f"{out}/bronze", f"{out}/_ckpt",
+                     available_now=True, if_running="allow").awaitTermination()
+    runs = [spark.read.schema(ORDERS.bronze_schema).parquet(f"{out}/bronze").groupBy("op").agg(F.count("*").alias("cnt"))
+            .select(F.lit(mode).alias("run_mode"), "op", "cnt") for mode, out in outs.items()]
+    return reduce(DataFrame.unionByName, runs)
+
+
+def bronze_non_scalar_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Status sent as an object, as an array, as a string in brackets and as plain text; only the strings stay."""
+    ensure_session_defaults(spark)
+    kind = F.pmod(F.get_json_object("key", "$.payload.order_id").cast("long"), F.lit(4))
+    status = (F.when(kind == 0, F.lit('"status":{"v":"$1"}')).when(kind == 1, F.lit('"status":["$1"]'))
+              .when(kind == 2, F.lit('"status":"[VIP] $1"')).otherwise(F.lit('"status":"$1"')))
+    topic = td.topic_records(spark, sf, "orders")
+    topic = topic.withColumn("value", F.regexp_replace("value", F.lit('"status":"([A-Z]+)"'), status))
+    return report(decode_envelope(topic, ORDERS).drop("raw_json"))
 
 
+# ----------------------------------------------------------------------- Gold
 def gold_customer_order_summary(spark: SparkSession, sf: str) -> DataFrame:
-    s = _silvers(spark, sf)
-    return report(marts.customer_order_summary(s["customers"], s["orders"], s["payments"]))
+    return report(_layers(spark, sf).customer_order_summary())
 
 
 def gold_order_payment_status(spark: SparkSession, sf: str) -> DataFrame:
-    s = _silvers(spark, sf)
-    return report(marts.order_payment_status(s["orders"], s["payments"], s["transactions"]))
+    return report(_layers(spark, sf).order_payment_status())
 
 
 def gold_order_payment_status_latest(spark: SparkSession, sf: str) -> DataFrame:
-    s = _silvers(spark, sf)
-    return report(marts.order_payment_status(s["orders"], s["payments"], s["transactions"], latest_payment_only=True))
+    return report(_layers(spark, sf).order_payment_status(latest_payment_only=True))
 
 
 def gold_daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    s = _silvers(spark, sf)
-    return report(marts.daily_revenue(s["orders"], s["payments"], s["transactions"]))
+    return report(_layers(spark, sf).daily_revenue())
+
+
+def gold_daily_revenue_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily mart as a catalog table: layers and tables declared twice, the mart refreshed in full twice."""
+    m = _layers(spark, sf)
+    root = scratch_path(spark, "catalog")
+    prefix = f"tm_{root.rsplit('/', 1)[-1]}_"
+    for _ in range(2):
+        create_layers(spark, prefix)
+        create_entity_tables(spark, prefix=prefix)
+        write_full_refresh(m.daily_revenue(), f"{prefix}gold.daily_revenue_gold", path=f"{root}/daily_revenue_gold")
+    return report(spark.table(f"{prefix}gold.daily_revenue_gold"))
 
 
 # ------------------------------------------------------------------- Quality
-def _keys(frames: dict[str, DataFrame], suffix: str) -> dict[str, tuple[DataFrame, str]]:
-    return {f"{e}{suffix}": (frames[e], td.SPECS[e].key) for e in ENTITY_NAMES}
+def _keys(layer: Callable[[str], DataFrame], suffix: str) -> dict[str, tuple[DataFrame, str]]:
+    return {f"{e}{suffix}": (layer(e), td.SPECS[e].key) for e in ENTITY_NAMES}
 
 
 def dq_silver_pk(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.pk_violations(_keys(_silvers(spark, sf), "_silver"))
+    m = _layers(spark, sf)
+    return quality.pk_violations(_keys(m.silver, "_silver"))
 
 
 def dq_bronze_pk(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.pk_violations(_keys({e: _bronze(spark, sf, e) for e in ENTITY_NAMES}, "_bronze"))
+    m = _layers(spark, sf)
+    return quality.pk_violations(_keys(m.bronze, "_bronze"))
 
 
 def dq_duplicate_counts(spark: SparkSession, sf: str) -> DataFrame:
-    s = _keys(_silvers(spark, sf), "_silver")
-    b = _keys({e: _bronze(spark, sf, e) for e in ENTITY_NAMES}, "_bronze")
-    return quality.duplicate_key_counts({**s, **b})
+    m = _layers(spark, sf)
+    return quality.duplicate_key_counts({**_keys(m.silver, "_silver"), **_keys(m.bronze, "_bronze")})
 
 
 def dq_delete_ops(spark: SparkSession, sf: str) -> DataFrame:
-    s = {f"{e}_silver": df for e, df in _silvers(spark, sf).items()}
-    b = {f"{e}_bronze": _bronze(spark, sf, e).withColumnRenamed("op", "bronze_op") for e in ENTITY_NAMES}
+    m = _layers(spark, sf)
+    s = {f"{e}_silver": m.silver(e) for e in ENTITY_NAMES}
+    b = {f"{e}_bronze": m.bronze(e).withColumnRenamed("op", "bronze_op") for e in ENTITY_NAMES}
     return quality.delete_ops_present({**s, **b})
 
 
@@ -221,18 +256,13 @@ def dq_bronze_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.bronze_counts({f"{e}_bronze": _bronze(spark, sf, e) for e in ENTITY_NAMES})
 
 
-def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return marts.all_marts(_silvers(spark, sf))
-
-
 def dq_table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {f"{e}_silver": df for e, df in _silvers(spark, sf).items()}
-    tables.update(_gold(spark, sf))
-    return quality.table_counts(tables)
+    m = _layers(spark, sf)
+    return quality.table_counts({**{f"{e}_silver": m.silver(e) for e in ENTITY_NAMES}, **m.gold()})
 
 
 def dq_gold_keys(spark: SparkSession, sf: str) -> DataFrame:
-    g = _gold(spark, sf)
+    g = _layers(spark, sf).gold()
     return quality.key_tests({
         "customer_order_summary_gold": (g["customer_order_summary_gold"], "customer_id"),
         "order_payment_status_gold": (g["order_payment_status_gold"], "order_id"),
@@ -241,21 +271,16 @@ def dq_gold_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_table_health(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze written as files, then files and rows per table."""
-    ensure_session_defaults(spark)
-    root = scratch_path(spark, "table_health")
-    tables = {}
-    for e in ENTITY_NAMES:
-        path = f"{root}/{e}_bronze"
-        _bronze(spark, sf, e).write.parquet(path)
-        tables[f"{e}_bronze"] = spark.read.parquet(path)
-    return quality.table_health(tables).select("table_name", "row_count", "healthy")
+    """Files and rows of each written Bronze table."""
+    m = _layers(spark, sf)
+    return quality.table_health({f"{e}_bronze": m.bronze(e) for e in ENTITY_NAMES}).select("table_name", "row_count", "healthy")
 
 
 def dq_change_log(spark: SparkSession, sf: str) -> DataFrame:
     frames = []
+    m = _layers(spark, sf)
     for e in ENTITY_NAMES:
-        v = quality.validate_change_log(_bronze(spark, sf, e), td.SPECS[e].key)
+        v = quality.validate_change_log(m.bronze(e), td.SPECS[e].key)
         frames.append(v.select(F.lit(f"{e}_bronze").alias("table_name"), "check_name", "violations"))
     return reduce(DataFrame.unionByName, frames)
 
@@ -314,7 +339,7 @@ def orders_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 def envelope_view_orders(spark: SparkSession, sf: str) -> DataFrame:
     ensure_session_defaults(spark)
     v = envelope_view(td.topic_records(spark, sf, "orders"))
-    return v.select("key", "op", F.col("before").getItem("status").alias("before_status"),
+    return v.select("consumer_mode", "consumer_group", "key", "op", F.col("before").getItem("status").alias("before_status"),
                     F.col("after").getItem("status").alias("after_status"))
 
 
@@ -400,7 +425,7 @@ def upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- ad-hoc SQL
 def _register_gold(spark: SparkSession, sf: str) -> None:
-    register_views(_gold(spark, sf))
+    register_views(_layers(spark, sf).gold())
 
 
 def adhoc_report_by_customer(spark: SparkSession, sf: str) -> DataFrame:
@@ -419,6 +444,8 @@ QUERIES = {
     "bronze_malformed_and_null": bronze_malformed_and_null,
     "bronze_orders_stream": bronze_orders_stream,
     "bronze_orders_raw": bronze_orders_raw,
+    "bronze_orders_run_modes": bronze_orders_run_modes,
+    "bronze_non_scalar_text": bronze_non_scalar_text,
     "dq_cast_errors": dq_cast_errors,
     **{f"silver_{e}": silver_query(e) for e in ENTITY_NAMES},
     "silver_payments_window": silver_payments_window,
@@ -430,6 +457,7 @@ QUERIES = {
     "gold_order_payment_status": gold_order_payment_status,
     "gold_order_payment_status_latest": gold_order_payment_status_latest,
     "gold_daily_revenue": gold_daily_revenue,
+    "gold_daily_revenue_table": gold_daily_revenue_table,
     "dq_silver_pk": dq_silver_pk,
     "dq_bronze_pk": dq_bronze_pk,
     "dq_duplicate_counts": dq_duplicate_counts,

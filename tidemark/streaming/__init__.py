@@ -1,5 +1,6 @@
 from tidemark.streaming.jobs import (
     TOPIC_SCHEMA,
+    await_all,
     guard_running,
     read_topic,
     run_folder,
@@ -12,6 +13,6 @@ from tidemark.streaming.jobs import (
 from tidemark.streaming.state_store import KeyedStateStore
 
 __all__ = [
-    "KeyedStateStore", "TOPIC_SCHEMA", "guard_running", "read_topic", "run_folder", "start_all",
+    "KeyedStateStore", "TOPIC_SCHEMA", "await_all", "guard_running", "read_topic", "run_folder", "start_all",
     "start_bronze", "start_console", "start_minimal_events_jsonl", "start_silver",
 ]

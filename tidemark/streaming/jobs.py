@@ -180,10 +180,24 @@ def start_minimal_events_jsonl(
     return _trigger(w, trigger, available_now).start()
 
 
-def start_console(df: DataFrame, name: str = "tail", truncate: bool = False) -> StreamingQuery:
-    """Live view to the driver console (for humans; not a data sink)."""
-    return (df.writeStream.format("console").option("truncate", str(truncate).lower())
-            .outputMode("append").queryName(name).start())
+def start_console(
+    df: DataFrame,
+    checkpoint_root: str,
+    mode: str = "resume",
+    *,
+    name: str = "tail",
+    truncate: bool = False,
+    available_now: bool = False,
+    trigger: str | None = POLL_INTERVAL,
+    if_running: str = "error",
+) -> StreamingQuery:
+    """Live view to the driver console (for humans; not a data sink).
+
+    ``resume`` continues behind the last batch shown, ``replay`` shows the topic from its start."""
+    guard_running(df.sparkSession, name, if_running)
+    w = (df.writeStream.format("console").option("truncate", str(truncate).lower()).outputMode("append")
+         .option("checkpointLocation", run_folder(checkpoint_root, name, mode)).queryName(name))
+    return _trigger(w, trigger, available_now).start()
 
 
 def start_all(starters: list[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
@@ -197,3 +211,16 @@ def start_all(starters: list[Callable[[], StreamingQuery]]) -> list[StreamingQue
             q.stop()
         raise
     return started
+
+
+def await_all(queries: list[StreamingQuery], poll_seconds: float = 1) -> None:
+    """Wait for queries that run as one unit; when one fails, stop the others and raise its error."""
+    try:
+        while any(q.isActive for q in queries):
+            for q in queries:
+                q.awaitTermination(poll_seconds)  # raises the error of a failed query
+        for q in queries:
+            q.awaitTermination()
+    finally:
+        for q in queries:
+            q.stop()
