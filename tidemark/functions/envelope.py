@@ -56,9 +56,9 @@ def _scalar(text: Column, *path: str) -> Column:
     """Null for an object or array, which from_json hands back as JSON text.  A string may begin with the
     same brackets, so for such text (only) the JSON type of the value decides."""
     value = F.try_variant_get(F.try_parse_json("raw_json"), "$." + ".".join(path), "variant")
-    is_string = F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
     bracket = F.substring(text, 1, 1).isin("{", "[")
-    return F.when(bracket & ~is_string, F.lit(None)).otherwise(text)
+    # nested, not joined by AND: both sides of an AND count as always needed, so the second parse would run for every row
+    return F.when(bracket, F.when(F.schema_of_variant(value) == "STRING", text)).otherwise(text)
 
 
 def decode_envelope(
