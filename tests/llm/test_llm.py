@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, html_extract, near_dup, packing, pii, queries, records, token_counts, topk, toxicity, warc
+from tidemark.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id long, body string"
@@ -302,3 +303,24 @@ def test_pipeline_stages(spark):
         tokens += len(encode(r.text))
     assert seen["packing"].length.sum() == tokens and set(seen["packing"].doc_id) == ok
     assert corpus_pipeline.run(spark, SF).count() == len(seen["packing"])
+
+
+SPECIAL = ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|>", "<|endoftext|><|endoftext|> x", "q.\n<|endoftext|>\n\n<|startoftext|> ,",
+           "<|endoftext|>,", "x  <|startoftext|>\t<|endoftext|>y", "<|ENDOFTEXT|> <|endoftext|"]
+
+
+@pytest.mark.parametrize("name,split", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaces")])
+def test_special_tokens_as_the_library_call_reads_them(name, split):
+    lib = Tokenizer.from_file(public_tokenizers.path(name))
+    texts = SPECIAL + [a + mid + b for a in SPECIAL for b in SPECIAL for mid in ("", " ", "\n", " \n")]
+    got = Encoder(public_tokenizers.path(name), split).many([t.encode() for t in texts])
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_special_tokens_in_pieces_and_records(spark):
+    word, byte = (Tokenizer.from_file(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+    pieces = packing.pack(documents(spark, SPECIAL), public_tokenizers.path("word_bpe_49k.json"), capacity=64).collect()
+    assert {r.doc_id: r.ids_crc32 for r in pieces} == {i: crc(word.encode(t, add_special_tokens=False).ids + [0]) for i, t in enumerate(SPECIAL)}
+    read = records.read_all(records.write_records(documents(spark, SPECIAL), public_tokenizers.path("byte_bpe_50k.json"))).collect()
+    assert {r.doc_id: r.ids_crc32 for r in read} == {i: crc(byte.encode(t, add_special_tokens=False).ids + [0]) for i, t in enumerate(SPECIAL)}

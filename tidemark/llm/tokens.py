@@ -42,7 +42,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
         self.split = split
         self._clear()
         self.marks = {m: self.whole(m) for m in (b",", b".")}
