@@ -324,3 +324,18 @@ def test_special_tokens_in_pieces_and_records(spark):
     assert {r.doc_id: r.ids_crc32 for r in pieces} == {i: crc(word.encode(t, add_special_tokens=False).ids + [0]) for i, t in enumerate(SPECIAL)}
     read = records.read_all(records.write_records(documents(spark, SPECIAL), public_tokenizers.path("byte_bpe_50k.json"))).collect()
     assert {r.doc_id: r.ids_crc32 for r in read} == {i: crc(byte.encode(t, add_special_tokens=False).ids + [0]) for i, t in enumerate(SPECIAL)}
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def texts_of(spark, rows, parts=3):
+    return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()}
+
+
+def test_copies_over_tasks_do_not_look_like_a_template(spark):
+    a = "<h1>head</h1>" + "".join(f"<p>paragraph {k}</p>" for k in range(5))
+    rows = [(i, "http://h/", a) for i in range(50)] + [(50, "http://h/b", "<h1>other</h1><p>another</p>")]
+    for parts in (1, 50):
+        got = texts_of(spark, rows, parts)
+        assert {got[i] for i in range(50)} == {"\n\n".join(["head", *(f"paragraph {k}" for k in range(5))])} and got[50] == "other\n\nanother"

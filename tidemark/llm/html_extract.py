@@ -1,7 +1,7 @@
 """Main text of web pages by a site style tree.
 
 The DOMs of a host's pages are merged into one tree: a node is a path of elements
-(tag and class), and it keeps how often each *presentation* (its sequence of child
+(tag, class and role), and it keeps how often each *presentation* (its sequence of child
 elements) and each *content* (a hash of each text block right below it) occurs over the host's
 distinct pages.  With m pages:
 
@@ -11,11 +11,13 @@ distinct pages.  With m pages:
 
 A branch's composite importance on a page is ``(1 - DECAY^l)`` times its node's
 presentation importance plus ``DECAY^l`` times the mean importance of its children (l
-children), down to the texts.  Branches below ``LOW`` are removed.  Elements whose tag or
-class names a page part that is no article text (menu, footer, advert, form ...) carry a
-presentation importance of 0 with everything below them; elements inside ``article`` or
-``main`` are never judged by statistics, since copies of an article on one host would look
-like a template.  If statistics would leave nothing of a page, they are not applied to it.
+children that hold text), down to the texts.  Branches below ``LOW`` are removed, but none
+inside ``article`` and ``main``.  Elements whose tag or
+class names a page part that is no article text (menu, footer, advert, form ...) are removed
+beforehand with everything below them.  If statistics would leave nothing of a page, they are not applied to it.
+
+Pages of a host are distinct by their texts outside such parts, so copies that differ in an advert or
+a script count once.
 
 Statistics are combined per task before their shuffle and keyed by (host, node, content),
 so a host with a third of all pages is spread over tasks.  What pages need from a host
@@ -33,10 +35,9 @@ the empty host; repeated rows give a row each.
 from __future__ import annotations
 
 import html
-import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -68,7 +69,7 @@ CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-_CLASS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_CLASS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -77,12 +78,14 @@ def _hash(text: str) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "key", "parent", "children", "noise", "article", "texts")
+    __slots__ = ("tag", "names", "key", "parent", "children", "noise", "article", "texts", "live")
 
     def __init__(self, tag: str, attrs: str, parent: "Node | None"):
-        names = " ".join(sorted(a or b or c for a, b, c in _CLASS.findall(attrs))).lower() if attrs else ""
+        found = [(kind.lower(), (a or b or c).lower()) for kind, a, b, c in _CLASS.findall(attrs)] if attrs else []
+        names = " ".join(text for _, text in found)
         self.tag, self.parent, self.children, self.texts = tag, parent, [], []
-        self.key = _hash(f"{parent.key if parent else 0}/{tag}.{names}")
+        self.names = sorted({n for _, text in found for n in text.split()})
+        self.key, self.live = 0, False
         inside = parent is not None and parent.article
         self.article = inside or tag in ARTICLE
         found = set(_NAME.findall(names)) & NOISE_NAMES if names and tag not in ("html", "body", "article", "main") else set()
@@ -202,21 +205,32 @@ def nodes_of(root: Node) -> Iterator[Node]:
         todo.extend(x.children)
 
 
+def live_nodes(root: Node) -> list[Node]:
+    """Elements with text below them that are no noise, parents before children."""
+    order = list(nodes_of(root))
+    for x in reversed(order):
+        x.live = not x.noise and bool(x.texts or any(c.live for c in x.children))
+    return [x for x in order if x.live]
+
+
+def path_key(above: int, tag: str, names: Iterable[str]) -> int:
+    return _hash(f"{above}/{tag}.{' '.join(names)}")
+
+
 def keep_blocks(root: Node, blocks: list[tuple[Node, str]], importance: dict[int, float]) -> list[str]:
     """Texts of the page after noise parts and low-importance branches are gone."""
     live = [(n, t) for n, t in blocks if not n.noise]
     if not importance:
         return [t for _, t in live]
+    order = live_nodes(root)
+    for x in order:
+        x.key = path_key(x.parent.key if x.parent else 0, x.tag, x.names)
     composite: dict[int, float] = {}
-    order = list(nodes_of(root))  # parents before children
     for x in reversed(order):
         own = importance.get(x.key, 1.0)
-        if x.children:
-            fade = DECAY ** len(x.children)
-            below = sum(composite[id(c)] for c in x.children) / len(x.children)
-            composite[id(x)] = (1 - fade) * own + fade * below
-        else:
-            composite[id(x)] = own
+        below = [c for c in x.children if c.live]
+        fade = DECAY ** len(below) if below else 0.0
+        composite[id(x)] = (1 - fade) * own + (fade * sum(composite[id(c)] for c in below) / len(below) if below else 0.0)
 
     gone: set[int] = set()
     for x in order:
@@ -232,11 +246,38 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def _form_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page as the elements that hold text: parent (its place in the list), tag, names, child sequence and texts."""
+    node = pa.struct([("parent", pa.int32()), ("tag", pa.string()), ("names", pa.list_(pa.string())), ("style", pa.int64()), ("texts", pa.list_(pa.int64()))])
+    out = Out(pa.schema([("host", pa.int64()), ("page", pa.int64()), ("digest", pa.int64()), ("names", pa.list_(pa.string())), ("nodes", pa.list_(node))]))
+    for url, source in rows_of(batches, "url", "html"):
+        root, blocks = parse(source or "")
+        order = live_nodes(root)
+        place = {id(x): i for i, x in enumerate(order)}
+        nodes = [{"parent": place[id(x.parent)] if x.parent else -1, "tag": x.tag, "names": x.names,
+                  "style": _hash(" ".join(c.tag for c in x.children)), "texts": [_hash(t) for t in x.texts]} for x in order]
+        digest = _hash("\n\n".join(t for n, t in blocks if not n.noise))
+        names = sorted({n for x in nodes for n in x["names"]})
+        yield from out.add((_hash(host_of(url)), _hash(source or ""), digest, names, nodes), 100 * len(nodes))
+    yield from out.flush()
+
+
+def _key_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements of each page by key."""
+    node = pa.struct([("node", pa.int64()), ("style", pa.int64()), ("texts", pa.list_(pa.int64()))])
+    out = Out(pa.schema([("host", pa.int64()), ("page", pa.int64()), ("digest", pa.int64()), ("nodes", pa.list_(node))]))
+    for host, page, digest, nodes in rows_of(batches, "host", "page", "digest", "nodes"):
+        keys: list[int] = []
+        for x in nodes:
+            keys.append(path_key(keys[x["parent"]] if x["parent"] >= 0 else 0, x["tag"], x["names"]))
+        yield from out.add((host, page, digest, [{"node": k, "style": x["style"], "texts": x["texts"]} for k, x in zip(keys, nodes)]), 60 * len(nodes))
+    yield from out.flush()
+
+
 def _tree_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages per (host, node, kind, feature) in the task; kind 0: child sequence, 1: text, 2: the node itself."""
     schema = pa.schema([("host", pa.int64()), ("node", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("n", pa.int64())])
     counts: Counter = Counter()
-    seen: set = set()
 
     def send():
         if counts:
@@ -245,42 +286,33 @@ def _tree_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*cols, pa.array([counts[k] for k in keys], pa.int64())], schema=schema)
             counts.clear()
 
-    for url, source in rows_of(batches, "url", "html"):
-        host = _hash(host_of(url))
-        digest = _hash(source or "")
-        if (host, digest) in seen:  # copies within a task add nothing; across tasks they count as near copies do
-            continue
-        seen.add((host, digest))
-        root, _ = parse(source or "")
+    for host, nodes in rows_of(batches, "host", "nodes"):
         facts = set()
-        for x in nodes_of(root):
-            if x.noise or x.article:
-                continue
-            facts.add((host, x.key, 2, 0))
-            facts.add((host, x.key, 0, _hash(" ".join(c.tag for c in x.children))))
-            facts.update((host, x.key, 1, _hash(t)) for t in x.texts)
+        for x in nodes:
+            facts.add((host, x["node"], 2, 0))
+            facts.add((host, x["node"], 0, x["style"]))
+            facts.update((host, x["node"], 1, t) for t in x["texts"])
         counts.update(facts)
         if len(counts) > 200_000:
             yield from send()
-            seen.clear()
     yield from send()
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
+def style_tree(keyed: DataFrame) -> DataFrame:
     """(host, node, importance) of the merged trees' judged nodes, hosts and nodes as hashes."""
-    ship(pages.sparkSession)
-    facts = pages.select("url", "html").mapInArrow(_tree_task, "host long, node long, kind int, feature long, n long")
+    distinct = keyed.groupBy("host", "digest").agg(F.min_by("nodes", "page").alias("nodes"))
+    facts = distinct.select("host", "nodes").mapInArrow(_tree_task, "host long, node long, kind int, feature long, n long")
     facts = facts.groupBy("host", "node", "kind", "feature").agg(F.sum("n").alias("c"))
-    per = staged(facts.groupBy("host", "node").agg(
+    per = facts.groupBy("host", "node").agg(
         F.sum(F.when(F.col("kind") == 2, F.col("c"))).alias("m"),
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("all"),
         F.sum(F.when(F.col("kind") == 0, F.col("c") * F.log("c"))).alias("style"),
         F.sum(F.when(F.col("kind") == 1, F.log("c"))).alias("spread"),
-        F.count(F.when(F.col("kind") == 1, 1)).alias("texts")), "style_tree")
-    pages_of = per.groupBy("host").agg(F.max("m").alias("pages"))
+        F.count(F.when(F.col("kind") == 1, 1)).alias("texts"))
     log_m = F.log("m")
     style = F.least((F.log("all") - F.col("style") / F.col("all")) / log_m, F.lit(1.0))
     content = 1 - F.col("spread") / (F.col("texts") * log_m)
+    pages_of = per.groupBy("host").agg(F.max("m").alias("pages"))
     return (per.where(F.col("m") >= MIN_PAGES).join(pages_of, "host").where("100 * m >= pages")
             .select("host", "node", F.when(F.col("texts") > 0, F.greatest(content, F.lit(0.0))).otherwise(style).alias("importance")))
 
@@ -301,16 +333,25 @@ EXTRACTED = T.StructType([T.StructField("page_id", T.LongType()), T.StructField(
 
 def _host_key_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        urls = b.column(b.schema.get_field_index("url")).to_pylist()
-        yield pa.record_batch([pa.array([_hash(host_of(u)) for u in urls], pa.int64()), *b.columns], names=["host", *b.schema.names])
+        urls, pages = (b.column(b.schema.get_field_index(n)).to_pylist() for n in ("url", "html"))
+        keys = [pa.array([_hash(host_of(u)) for u in urls], pa.int64()), pa.array([_hash(p or "") for p in pages], pa.int64())]
+        yield pa.record_batch([*keys, *b.columns], names=["host", "page", *b.schema.names])
+
+
+FORM = ("host long, page long, digest long, names array<string>, "
+        "nodes array<struct<parent: int, tag: string, names: array<string>, style: bigint, texts: array<bigint>>>")
+KEYED = "host long, page long, digest long, nodes array<struct<node: bigint, style: bigint, texts: array<bigint>>>"
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
+    ship(pages.sparkSession)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    low = staged(style_tree(own).where(F.col("importance") < 0.9), "style_low")
+    forms = staged(own.select("url", "html").mapInArrow(_form_task, FORM).dropDuplicates(["host", "page"]), "style_forms")
+    keyed = staged(forms.drop("names").mapInArrow(_key_task, KEYED), "style_pages")
+    low = staged(style_tree(keyed).where(F.col("importance") < 0.9), "style_low")
     by_host = low.groupBy("host").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"))
     if low.count() <= BROADCAST_ROWS:
         by_host = F.broadcast(by_host)
-    keyed = own.mapInArrow(_host_key_task, "host long, page_id long, url string, html string")
-    return keyed.join(by_host, "host", "left").select("page_id", "url", "html", "nodes").mapInArrow(_extract_task, EXTRACTED)
+    sourced = own.mapInArrow(_host_key_task, "host long, page long, page_id long, url string, html string")
+    return sourced.join(by_host, "host", "left").select("page_id", "url", "html", "nodes").mapInArrow(_extract_task, EXTRACTED)
