@@ -333,6 +333,12 @@ def texts_of(spark, rows, parts=3):
     return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()}
 
 
+def test_names_of_single_pages_do_not_hide_the_template(spark):
+    page = "<body class='single postid-{0}'><div id='page-{0}' class='wrap w{1}'><div class='x1'>Our site since 1999</div><div class='x2'>story {0}</div></div></body>"
+    rows = [(i, f"http://site/{i}", page.format(i, i // 3)) for i in range(12)]  # w0 to w3 are on three pages each
+    assert texts_of(spark, rows) == {i: f"story {i}" for i in range(12)}
+
+
 def test_copies_over_tasks_do_not_look_like_a_template(spark):
     a = "<h1>head</h1>" + "".join(f"<p>paragraph {k}</p>" for k in range(5))
     rows = [(i, "http://h/", a) for i in range(50)] + [(50, "http://h/b", "<h1>other</h1><p>another</p>")]

@@ -17,7 +17,8 @@ class names a page part that is no article text (menu, footer, advert, form ...)
 beforehand with everything below them.  If statistics would leave nothing of a page, they are not applied to it.
 
 Pages of a host are distinct by their texts outside such parts, so copies that differ in an advert or
-a script count once.
+a script count once.  Keys hold no ids and no class or role name that is on fewer than ``MIN_PAGES``
+pages of the host, so a name made for one page does not split the tree.
 
 Statistics are combined per task before their shuffle and keyed by (host, node, content),
 so a host with a third of all pages is spread over tasks.  What pages need from a host
@@ -37,7 +38,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -84,7 +85,7 @@ class Node:
         found = [(kind.lower(), (a or b or c).lower()) for kind, a, b, c in _CLASS.findall(attrs)] if attrs else []
         names = " ".join(text for _, text in found)
         self.tag, self.parent, self.children, self.texts = tag, parent, [], []
-        self.names = sorted({n for _, text in found for n in text.split()})
+        self.names = sorted({n for kind, text in found if kind != "id" for n in text.split()})
         self.key, self.live = 0, False
         inside = parent is not None and parent.article
         self.article = inside or tag in ARTICLE
@@ -213,18 +214,18 @@ def live_nodes(root: Node) -> list[Node]:
     return [x for x in order if x.live]
 
 
-def path_key(above: int, tag: str, names: Iterable[str]) -> int:
-    return _hash(f"{above}/{tag}.{' '.join(names)}")
+def path_key(above: int, tag: str, names: Iterable[str], rare: Collection[str]) -> int:
+    return _hash(f"{above}/{tag}.{' '.join(n for n in names if n not in rare)}")
 
 
-def keep_blocks(root: Node, blocks: list[tuple[Node, str]], importance: dict[int, float]) -> list[str]:
-    """Texts of the page after noise parts and low-importance branches are gone."""
+def keep_blocks(root: Node, blocks: list[tuple[Node, str]], importance: dict[int, float], rare: Collection[str] = ()) -> list[str]:
+    """Texts of the page after noise parts and low-importance branches are gone; ``rare``: names that are not in keys."""
     live = [(n, t) for n, t in blocks if not n.noise]
     if not importance:
         return [t for _, t in live]
     order = live_nodes(root)
     for x in order:
-        x.key = path_key(x.parent.key if x.parent else 0, x.tag, x.names)
+        x.key = path_key(x.parent.key if x.parent else 0, x.tag, x.names, rare)
     composite: dict[int, float] = {}
     for x in reversed(order):
         own = importance.get(x.key, 1.0)
@@ -263,13 +264,13 @@ def _form_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _key_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The elements of each page by key."""
+    """The elements of each page by key; ``rare``: the page's names that do not count."""
     node = pa.struct([("node", pa.int64()), ("style", pa.int64()), ("texts", pa.list_(pa.int64()))])
     out = Out(pa.schema([("host", pa.int64()), ("page", pa.int64()), ("digest", pa.int64()), ("nodes", pa.list_(node))]))
-    for host, page, digest, nodes in rows_of(batches, "host", "page", "digest", "nodes"):
+    for host, page, digest, nodes, rare in rows_of(batches, "host", "page", "digest", "nodes", "rare"):
         keys: list[int] = []
         for x in nodes:
-            keys.append(path_key(keys[x["parent"]] if x["parent"] >= 0 else 0, x["tag"], x["names"]))
+            keys.append(path_key(keys[x["parent"]] if x["parent"] >= 0 else 0, x["tag"], x["names"], rare or ()))
         yield from out.add((host, page, digest, [{"node": k, "style": x["style"], "texts": x["texts"]} for k, x in zip(keys, nodes)]), 60 * len(nodes))
     yield from out.flush()
 
@@ -298,6 +299,20 @@ def _tree_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from send()
 
 
+def rare_names(forms: DataFrame) -> DataFrame:
+    """(host, page, rare): each page's names that are on fewer than MIN_PAGES pages of the host.
+
+    Such a name has at most three pages, which its smallest, largest and xor of page hashes tell,
+    so nothing is gathered by name and no frequent name is joined.
+    """
+    assert MIN_PAGES == 4
+    few = (forms.select("host", "page", F.explode("names").alias("name")).groupBy("host", "name")
+           .agg(F.count("*").alias("c"), F.min("page").alias("a"), F.max("page").alias("b"), F.bit_xor("page").alias("x")).where(F.col("c") < MIN_PAGES))
+    third = F.when(F.col("c") == 3, F.col("x").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))).otherwise(F.col("a"))
+    owners = few.select("host", "name", F.explode(F.array_distinct(F.array("a", "b", third))).alias("page"))
+    return owners.groupBy("host", "page").agg(F.collect_list("name").alias("rare"))
+
+
 def style_tree(keyed: DataFrame) -> DataFrame:
     """(host, node, importance) of the merged trees' judged nodes, hosts and nodes as hashes."""
     distinct = keyed.groupBy("host", "digest").agg(F.min_by("nodes", "page").alias("nodes"))
@@ -319,9 +334,9 @@ def style_tree(keyed: DataFrame) -> DataFrame:
 
 def _extract_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = Out(pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())]))
-    for page, url, source, nodes in rows_of(batches, "page_id", "url", "html", "nodes"):
+    for page, url, source, nodes, rare in rows_of(batches, "page_id", "url", "html", "nodes", "rare"):
         root, blocks = parse(source or "")
-        text = "\n\n".join(keep_blocks(root, blocks, {x["node"]: x["importance"] for x in nodes or ()}))
+        text = "\n\n".join(keep_blocks(root, blocks, {x["node"]: x["importance"] for x in nodes or ()}, rare or ()))
         text = text.encode("utf-8", "replace").decode()
         yield from out.add((page, url, text, len(text)), len(text))
     yield from out.flush()
@@ -348,10 +363,11 @@ def extract(pages: DataFrame) -> DataFrame:
     ship(pages.sparkSession)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     forms = staged(own.select("url", "html").mapInArrow(_form_task, FORM).dropDuplicates(["host", "page"]), "style_forms")
-    keyed = staged(forms.drop("names").mapInArrow(_key_task, KEYED), "style_pages")
+    rare = staged(rare_names(forms), "style_rare")
+    keyed = staged(forms.drop("names").join(rare, ["host", "page"], "left").mapInArrow(_key_task, KEYED), "style_pages")
     low = staged(style_tree(keyed).where(F.col("importance") < 0.9), "style_low")
     by_host = low.groupBy("host").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"))
     if low.count() <= BROADCAST_ROWS:
         by_host = F.broadcast(by_host)
     sourced = own.mapInArrow(_host_key_task, "host long, page long, page_id long, url string, html string")
-    return sourced.join(by_host, "host", "left").select("page_id", "url", "html", "nodes").mapInArrow(_extract_task, EXTRACTED)
+    return sourced.join(rare, ["host", "page"], "left").join(by_host, "host", "left").select("page_id", "url", "html", "nodes", "rare").mapInArrow(_extract_task, EXTRACTED)
