@@ -345,3 +345,11 @@ def test_copies_over_tasks_do_not_look_like_a_template(spark):
     for parts in (1, 50):
         got = texts_of(spark, rows, parts)
         assert {got[i] for i in range(50)} == {"\n\n".join(["head", *(f"paragraph {k}" for k in range(5))])} and got[50] == "other\n\nanother"
+
+
+@pytest.mark.parametrize("small", [500_000, 0])
+def test_section_template_of_a_large_host(spark, monkeypatch, small):
+    monkeypatch.setattr(html_extract, "BROADCAST_ROWS", small)  # 0: the salted join
+    rows = [(i, f"http://h/{i}", f"<div class='x2'>story {i}</div>") for i in range(1000)]
+    rows += [(i, f"http://h/{i}", f"<section><div class='x1'>Our section</div><div class='x2'>story {i}</div></section>") for i in range(1000, 1008)]
+    assert texts_of(spark, rows) == {i: f"story {i}" for i in range(1008)}

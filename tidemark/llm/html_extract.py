@@ -21,10 +21,9 @@ a script count once.  Keys hold no ids and no class or role name that is on fewe
 pages of the host, so a name made for one page does not split the tree.
 
 Statistics are combined per task before their shuffle and keyed by (host, node, content),
-so a host with a third of all pages is spread over tasks.  What pages need from a host
-is its list of low-importance nodes that occur on at least 1 % of its pages, so the list is bounded by a
-hundred times a page's nodes.  The lists are broadcast if together they are below
-``BROADCAST_ROWS`` nodes, else joined by host.
+so a host with a third of all pages is spread over tasks.  Pages get the importances of all nodes on at
+least ``MIN_PAGES`` pages by an equi-join on (host, node): broadcast below ``BROADCAST_ROWS`` nodes, else
+with ``SALT`` copies of each node.
 
 Text rules: character references decoded; white space inside a block becomes one
 space, trimmed; blocks joined in page order by an empty line; nothing else dropped.
@@ -52,6 +51,7 @@ DECAY = 0.9
 LOW = 0.25
 MIN_PAGES = 4
 BROADCAST_ROWS = 500_000
+SALT = 32
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -327,11 +327,21 @@ def style_tree(keyed: DataFrame) -> DataFrame:
     log_m = F.log("m")
     style = F.least((F.log("all") - F.col("style") / F.col("all")) / log_m, F.lit(1.0))
     content = 1 - F.col("spread") / (F.col("texts") * log_m)
-    pages_of = per.groupBy("host").agg(F.max("m").alias("pages"))
-    return (per.where(F.col("m") >= MIN_PAGES).join(pages_of, "host").where("100 * m >= pages")
+    return (per.where(F.col("m") >= MIN_PAGES)
             .select("host", "node", F.when(F.col("texts") > 0, F.greatest(content, F.lit(0.0))).otherwise(style).alias("importance")))
 
 
+def page_nodes(keyed: DataFrame, tree: DataFrame) -> DataFrame:
+    """(host, page, nodes): importances of each page's judged nodes; one row for each node and page, hot nodes salted."""
+    rows = keyed.select("host", "page", F.explode(F.array_distinct("nodes.node")).alias("node"))
+    if tree.count() <= BROADCAST_ROWS:
+        found = rows.join(F.broadcast(tree), ["host", "node"])
+    else:
+        copies = tree.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        found = rows.withColumn("salt", F.pmod("page", F.lit(SALT)).cast("int")).join(copies, ["host", "node", "salt"])
+    return found.groupBy("host", "page").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"))
+
+
 def _extract_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = Out(pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())]))
     for page, url, source, nodes, rare in rows_of(batches, "page_id", "url", "html", "nodes", "rare"):
@@ -365,9 +375,7 @@ def extract(pages: DataFrame) -> DataFrame:
     forms = staged(own.select("url", "html").mapInArrow(_form_task, FORM).dropDuplicates(["host", "page"]), "style_forms")
     rare = staged(rare_names(forms), "style_rare")
     keyed = staged(forms.drop("names").join(rare, ["host", "page"], "left").mapInArrow(_key_task, KEYED), "style_pages")
-    low = staged(style_tree(keyed).where(F.col("importance") < 0.9), "style_low")
-    by_host = low.groupBy("host").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"))
-    if low.count() <= BROADCAST_ROWS:
-        by_host = F.broadcast(by_host)
+    tree = staged(style_tree(keyed).where(F.col("importance") < 1), "style_tree")
+    known = staged(page_nodes(keyed, tree).join(rare, ["host", "page"], "left"), "style_known")
     sourced = own.mapInArrow(_host_key_task, "host long, page long, page_id long, url string, html string")
-    return sourced.join(rare, ["host", "page"], "left").join(by_host, "host", "left").select("page_id", "url", "html", "nodes", "rare").mapInArrow(_extract_task, EXTRACTED)
+    return sourced.join(known, ["host", "page"], "left").select("page_id", "url", "html", "nodes", "rare").mapInArrow(_extract_task, EXTRACTED)
