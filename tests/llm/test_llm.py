@@ -333,6 +333,18 @@ def texts_of(spark, rows, parts=3):
     return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()}
 
 
+def test_repeated_block_inside_main_goes(spark):
+    page = ("<{0}><h1>Title {1}</h1>" + "".join(f"<p>paragraph {k} of {{1}}</p>" for k in range(20))
+            + "<div class='zz'><h3>Our friends</h3><p>Buy from our friends</p></div></{0}>")
+    rows = [(i, f"http://{tag}/{i}", page.format(tag, i)) for tag, at in (("main", 0), ("article", 10)) for i in range(at, at + 8)]
+    story = "<div class='ad'>{0}</div><article><h1>one story</h1><p>told on many pages</p></article>"
+    rows += [(i, "http://copies/", story.format(i)) for i in range(20, 30)]  # the advert alone differs
+    got = texts_of(spark, rows)
+    for i in (*range(8), *range(10, 18)):
+        assert got[i] == "\n\n".join([f"Title {i}", *(f"paragraph {k} of {i}" for k in range(20))])
+    assert {got[i] for i in range(20, 30)} == {"one story\n\ntold on many pages"}
+
+
 def test_names_of_single_pages_do_not_hide_the_template(spark):
     page = "<body class='single postid-{0}'><div id='page-{0}' class='wrap w{1}'><div class='x1'>Our site since 1999</div><div class='x2'>story {0}</div></div></body>"
     rows = [(i, f"http://site/{i}", page.format(i, i // 3)) for i in range(12)]  # w0 to w3 are on three pages each

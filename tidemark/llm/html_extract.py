@@ -11,8 +11,8 @@ distinct pages.  With m pages:
 
 A branch's composite importance on a page is ``(1 - DECAY^l)`` times its node's
 presentation importance plus ``DECAY^l`` times the mean importance of its children (l
-children that hold text), down to the texts.  Branches below ``LOW`` are removed, but none
-inside ``article`` and ``main``.  Elements whose tag or
+children that hold text), down to the texts.  Branches below ``LOW`` are removed, inside ``article`` and
+``main`` too, unless one of their texts is above ``LOW`` by itself.  Elements whose tag or
 class names a page part that is no article text (menu, footer, advert, form ...) are removed
 beforehand with everything below them.  If statistics would leave nothing of a page, they are not applied to it.
 
@@ -23,7 +23,8 @@ pages of the host, so a name made for one page does not split the tree.
 Statistics are combined per task before their shuffle and keyed by (host, node, content),
 so a host with a third of all pages is spread over tasks.  Pages get the importances of all nodes on at
 least ``MIN_PAGES`` pages by an equi-join on (host, node): broadcast below ``BROADCAST_ROWS`` nodes, else
-with ``SALT`` copies of each node.
+with ``SALT`` copies of each node.  Pages without a text below ``LOW`` lose nothing and take no part in the
+join that brings the importances to the html.
 
 Text rules: character references decoded; white space inside a block becomes one
 space, trimmed; blocks joined in page order by an empty line; nothing else dropped.
@@ -227,15 +228,17 @@ def keep_blocks(root: Node, blocks: list[tuple[Node, str]], importance: dict[int
     for x in order:
         x.key = path_key(x.parent.key if x.parent else 0, x.tag, x.names, rare)
     composite: dict[int, float] = {}
+    worth: dict[int, bool] = {}  # whether a text in the branch is above LOW by itself
     for x in reversed(order):
         own = importance.get(x.key, 1.0)
         below = [c for c in x.children if c.live]
         fade = DECAY ** len(below) if below else 0.0
         composite[id(x)] = (1 - fade) * own + (fade * sum(composite[id(c)] for c in below) / len(below) if below else 0.0)
+        worth[id(x)] = bool(x.texts) and own >= LOW or any(worth[id(c)] for c in below)
 
     gone: set[int] = set()
     for x in order:
-        low = not x.article and x.tag not in ("#page", "html", "body") and composite[id(x)] < LOW
+        low = x.tag not in ("#page", "html", "body") and composite[id(x)] < LOW and not worth[id(x)]
         if low or x.parent is not None and id(x.parent) in gone:
             gone.add(id(x))
     kept = [t for n, t in live if id(n) not in gone]
@@ -332,14 +335,19 @@ def style_tree(keyed: DataFrame) -> DataFrame:
 
 
 def page_nodes(keyed: DataFrame, tree: DataFrame) -> DataFrame:
-    """(host, page, nodes): importances of each page's judged nodes; one row for each node and page, hot nodes salted."""
-    rows = keyed.select("host", "page", F.explode(F.array_distinct("nodes.node")).alias("node"))
+    """(host, page, nodes): importances of each page's judged nodes; one row for each node and page, hot nodes salted.
+
+    A branch goes only if each text in it is below LOW, so pages without such a text need no row.
+    """
+    held = F.transform("nodes", lambda x: F.struct(x["node"].alias("node"), (F.size(x["texts"]) > 0).alias("held")))
+    rows = keyed.select("host", "page", F.inline(F.array_distinct(held)))
     if tree.count() <= BROADCAST_ROWS:
         found = rows.join(F.broadcast(tree), ["host", "node"])
     else:
         copies = tree.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
         found = rows.withColumn("salt", F.pmod("page", F.lit(SALT)).cast("int")).join(copies, ["host", "node", "salt"])
-    return found.groupBy("host", "page").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"))
+    low = F.max(F.col("held") & (F.col("importance") < LOW))
+    return found.groupBy("host", "page").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"), low.alias("low")).where("low").drop("low")
 
 
 def _extract_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
