@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, near_dup, packing, pii, records, token_counts, topk, toxicity, warc
+from tidemark.llm import (
+    clustering,
+    conversations,
+    decontaminate,
+    html_extract,
+    imatch,
+    near_dup,
+    oracle,
+    packing,
+    pii,
+    records,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from tidemark.llm.common import read_table
 
 WORD_FILE = "word_bpe_49k.json"
@@ -54,9 +69,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(read_table(spark, sf_dir, "conversations")))
+
+
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_toxicity, op3_html_extract, op4_token_counts, op5_best_two_fit, op6_minhash_near_dup,
-    op7_warc_archive, op8_binary_records, op9_pii, op10_decontaminate)}
+    op7_warc_archive, op8_binary_records, op9_pii, op10_decontaminate, op11_conversation_repair, op12_imatch, op13_centroid_clusters)}
 
 ORACLE_SQL = {
     "op1_exact_topk": """
@@ -79,4 +106,6 @@ ORACLE_SQL = {
                CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
         FROM f""",
+    "op12_imatch": oracle.FINGERPRINTS,
+    "op13_centroid_clusters": oracle.clusters(),
 }
