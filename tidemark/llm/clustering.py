@@ -20,7 +20,7 @@ components take no part; rows that share an id are vectors of their own; an id m
 null (it starts no centroid while others are left).  First centroids with equal ids
 are taken in order of their components.  Fewer kept vectors than centroids: every
 vector starts one.  An empty table gives an empty result.  A component whose integer
-does not fit in 62 bits, or a distance that does not fit in a long, is an error.
+does not fit in 62 bits, or a distance or inertia that does not fit in a long, is an error.
 """
 
 from __future__ import annotations
@@ -149,6 +149,8 @@ def cluster(vectors: DataFrame, k: int = 40, rounds: int = 5, dims: int = 64, sc
         found = whole.select("vec_id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"))
     spread = {r["cluster"]: int(r["s"]) for r in  # one row per cluster
               found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
+    if sum(spread.values()) >= 2**63:
+        raise OverflowError("the inertia does not fit in a long")
     rows = [(c, spread.get(c, 0), sum(spread.values()), hashlib.sha256(",".join(map(str, centroid)).encode()).hexdigest())
             for c, centroid in enumerate(centroids)]
     per = spark.createDataFrame(rows, T.StructType([
