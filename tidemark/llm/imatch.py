@@ -103,11 +103,12 @@ def _ordered(keys: DataFrame) -> DataFrame:
 
 
 def lexicon(texts: DataFrame, documents: int, rare: float = RARE, common: float = COMMON) -> DataFrame:
-    """(term) within the band; ``texts`` holds one row per document."""
+    """(term) within the band, and the empty term; ``texts`` holds one row per document."""
     low = max(2, -int(-rare * documents // 1))
     high = max(low, int(common * documents))
     counts = texts.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    return staged(counts.where(F.col("n").between(low, high)).select("term"), "imatch_lexicon")
+    empty = texts.sparkSession.createDataFrame([("",)], "term string")
+    return staged(counts.where(F.col("n").between(low, high)).select("term").unionByName(empty), "imatch_lexicon")
 
 
 def fingerprints(docs: DataFrame, rare: float = RARE, common: float = COMMON, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,7 +144,7 @@ def fingerprints(docs: DataFrame, rare: float = RARE, common: float = COMMON, id
     rows = (both.withColumn("facts", facts).select("k", "next_k", "facts", F.inline(F.array(side("text", 0), side("edited", 1))))
             .select("k", "next_k", "side", "facts", F.explode("terms").alias("term"))
             .withColumn("facts", F.when((F.col("term") == "") & (F.col("side") == 0), F.col("facts"))))
-    known = rows.join(words.unionByName(words.sparkSession.createDataFrame([("",)], "term string")), "term")
+    known = rows.join(words, "term")
     mine = lambda n: F.array_sort(F.collect_list(F.when((F.col("side") == n) & (F.col("term") != ""), F.col("term"))))
     grouped = known.groupBy("k", "next_k").agg(mine(0).alias("terms"), mine(1).alias("edited_terms"), F.max("facts").alias("facts"))
     made = staged(grouped.select(
