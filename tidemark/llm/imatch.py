@@ -51,43 +51,61 @@ def first_level(n: Column) -> Column:
     return sum([F.when(n >= 16 * 4 ** i, F.lit(1)).otherwise(F.lit(0)) for i in range(1, LEVELS)], F.lit(0))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _sections(terms: Column, level: Column) -> Column:
     """``|level:subset+hash ...`` of each level from ``level`` on that keeps any term."""
-    # subset: six bits of the digest; thinning: the next sixteen
-    coded = F.transform(terms, lambda t: F.struct(
-        t.alias("t"), F.concat(F.substring(F.md5(t), 1, 1), F.translate(F.substring(F.md5(t), 2, 1), HEX, QUARTERS)).alias("s"),
-        F.conv(F.substring(F.md5(t), 3, 4), 16, 10).cast("int").alias("w")))
-
-    def section(j: Column, kept: Column) -> Column:
-        def entry(s: Column) -> Column:
+    def last_level(digest: Column) -> Column:
+        """Sixteen bits of the digest below 4 ** (8 - j) keep a term on level j."""
+        bits = F.substring(digest, 3, 4)
+        out = F.when(bits >= "4000", F.lit(0))
+        for j in range(2, LEVELS):
+            out = out.when(bits >= format(4 ** (8 - j), "04x"), F.lit(j - 1))
+        return out.otherwise(F.lit(LEVELS - 1))
+
+    def entry(kept: Column):
+        def of(s: Column) -> Column:
             mine = F.transform(F.filter(kept, lambda c: c["s"] == s), lambda c: c["t"])
             return F.concat(s, F.substring(F.md5(F.array_join(mine, " ")), 1, 6))
-        subsets = F.array_sort(F.array_distinct(F.transform(kept, lambda c: c["s"])))
-        return F.when(F.size(kept) > 0, F.concat(F.lit("|"), j.cast("string"), F.lit(":"), F.array_join(F.transform(subsets, entry), " ")))
+        return of
 
-    thin = lambda xs, j: F.filter(xs, lambda c: c["w"] < F.pow(F.lit(2.0), 16 - 2 * j))
-    return F.array_join(F.transform(F.array(thin(coded, level)), lambda kept: F.array_join(F.transform(
-        F.sequence(level, F.lit(LEVELS - 1)), lambda j: section(j, thin(kept, j))), "")), "")
+    def section(j: Column, xs: Column) -> Column:
+        return _let(F.filter(xs, lambda c: c["z"] >= j), lambda kept: F.when(F.size(kept) > 0, F.concat(
+            F.lit("|"), j.cast("string"), F.lit(":"),
+            F.array_join(F.transform(F.array_sort(F.array_distinct(F.transform(kept, lambda c: c["s"]))), entry(kept)), " "))))
+
+    digested = F.transform(terms, lambda t: F.struct(t.alias("t"), F.md5(t).alias("h")))
+    leveled = F.filter(F.transform(digested, lambda c: F.struct(c["t"].alias("t"), c["h"].alias("h"), last_level(c["h"]).alias("z"))),
+                       lambda c: c["z"] >= level)
+    # subset: six bits of the digest
+    coded = F.transform(leveled, lambda c: F.struct(c["t"].alias("t"), c["z"].alias("z"), F.concat(
+        F.substring(c["h"], 1, 1), F.translate(F.substring(c["h"], 2, 1), HEX, QUARTERS)).alias("s")))
+    return _let(coded, lambda xs: F.array_join(F.transform(F.sequence(level, F.array_max(F.transform(xs, lambda c: c["z"]))), lambda j: section(j, xs)), ""))
 
 
 def fingerprint(terms: Column, text_digest: Column) -> Column:
     """Fingerprint of sorted distinct lexicon terms; ``text_digest`` speaks for a text without any."""
     n = F.size(terms)
     whole = F.substring(F.when(n > 0, F.md5(F.array_join(terms, " "))).otherwise(text_digest), 1, 16)
-    return F.concat(n.cast("string"), F.lit("."), whole, F.when(n > 0, _sections(terms, first_level(n))).otherwise(F.lit("")))
+    return F.concat(n.cast("string"), F.lit("."), whole, F.when(n > 0, F.coalesce(_let(first_level(n), lambda level: _sections(terms, level)), F.lit(""))).otherwise(F.lit("")))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the subsets that either fingerprint touches, on their common level (0 to 1)."""
     count = lambda f: F.substring_index(f, ".", 1).cast("int")
-    level = F.greatest(first_level(count(a)), first_level(count(b))).cast("string")
-
-    def entries(f: Column) -> Column:
-        mine = F.filter(F.split(f, r"\|"), lambda x: x.startswith(F.concat(level, F.lit(":"))))
-        return F.when(F.size(mine) > 0, F.split(F.substring_index(mine[0], ":", -1), " ")).otherwise(F.array().cast("array<string>"))
-    touched = F.size(F.array_distinct(F.transform(F.concat(entries(a), entries(b)), lambda x: F.substring(x, 1, 2))))
-    shared = F.size(F.array_intersect(entries(a), entries(b)))
-    return F.when(a == b, F.lit(1.0)).when(touched == 0, F.lit(0.0)).otherwise(shared / touched)
+    mark = _let(F.greatest(count(a), count(b)), lambda n: F.concat(first_level(n).cast("string"), F.lit(":")))
+
+    def entries(f: Column, mark: Column) -> Column:
+        mine = F.filter(F.split(f, r"\|"), lambda x: x.startswith(mark))
+        return _let(mine, lambda m: F.when(F.size(m) > 0, F.split(F.substring_index(m[0], ":", -1), " ")).otherwise(F.array().cast("array<string>")))
+
+    def share(both: Column) -> Column:
+        touched = F.size(F.array_distinct(F.transform(F.concat(both[0], both[1]), lambda x: F.substring(x, 1, 2))))
+        return _let(touched, lambda t: F.when(t == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(both[0], both[1])) / t))
+    return F.when(a == b, F.lit(1.0)).otherwise(_let(mark, lambda m: _let(F.array(entries(a, m), entries(b, m)), share)))
 
 
 def _ordered(keys: DataFrame) -> DataFrame:
