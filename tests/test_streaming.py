@@ -10,7 +10,7 @@ from tidemark.entities import ORDERS, PAYMENTS
 from tidemark.operators.state import silver
 from tidemark.sources import testdata as td
 from tidemark.streaming import (
-    KeyedStateStore, guard_running, read_topic, run_folder, start_all, start_bronze,
+    BatchTotals, drain, guard_running, read_silver, read_state, read_topic, run_folder, start_all, start_bronze,
     start_minimal_events_jsonl, start_silver,
 )
 
@@ -35,28 +35,95 @@ def test_stream_equals_batch(spark):
     bronze = spark.read.schema(PAYMENTS.bronze_schema).parquet(f"{root}/bronze")
     batch_bronze = td.bronze(spark, SF, "payments")
     assert bronze.count() == batch_bronze.count()
-    store = KeyedStateStore(spark, f"{root}/state", PAYMENTS)
-    qs = start_silver(spark, f"{root}/bronze", PAYMENTS, store, f"{root}/ck/s", available_now=True,
-                      max_files_per_trigger=1)
+    qs = start_silver(spark, f"{root}/bronze", PAYMENTS, f"{root}/ck/s", available_now=True, max_files_per_trigger=1)
     qs.awaitTermination()
+    assert len(qs.recentProgress) >= 4
     cols = PAYMENTS.silver_columns
-    assert sorted(map(tuple, store.silver().select(*cols).collect())) == \
+    assert sorted(map(tuple, read_silver(spark, f"{root}/ck/s", PAYMENTS).select(*cols).collect())) == \
         sorted(map(tuple, silver(batch_bronze, PAYMENTS).select(*cols).collect()))
-    assert store.latest_version() is not None
 
 
-def test_retry_same_batch_id_is_idempotent(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS)
-    b0 = order_bronze(spark, [("c", 1, "A", 1, 1, 1), ("c", 2, "A", 1, 1, 1)])
-    b1 = order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("d", 2, "A", 1, 2, 2)])
-    store.merge_batch(b0, 0)
-    store.merge_batch(b1, 1)
-    first = rows_of(store.silver(), "order_id", "status")
-    store.merge_batch(b1, 1)  # retried after a crash
-    assert rows_of(store.silver(), "order_id", "status") == first == [(1, "B")]
-    # a late event for the deleted key arriving in a later batch does not resurrect it
-    store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9)]), 2)
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "B")]
+def run_silver(spark, root, *batches, **options):
+    """Each batch of Bronze rows is appended and taken by a run of its own on the same checkpoint."""
+    for rows in batches:
+        order_bronze(spark, rows).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+        q = start_silver(spark, f"{root}/bronze", ORDERS, f"{root}/ck", available_now=True, **options)
+        q.awaitTermination()
+    return q
+
+
+def status(spark, root, **options):
+    return rows_of(read_silver(spark, f"{root}/ck", ORDERS, **options), "order_id", "status")
+
+
+def test_state_through_restarts_repeats_deletes_and_late_events(spark):
+    root = fresh()
+    change = [("u", 1, "B", 1, 2, 2), ("d", 2, "A", 1, 2, 2)]
+    run_silver(spark, root, [("c", 1, "A", 1, 1, 1), ("c", 2, "A", 1, 1, 1)], change, change)
+    assert status(spark, root) == [(1, "B")]
+    # a late event for the deleted key arriving in a later run does not bring it back, a newer one does
+    run_silver(spark, root, [("u", 2, "LATE", 1, 1, 9)])
+    assert status(spark, root) == [(1, "B")]
+    run_silver(spark, root, [("c", 2, "AGAIN", 1, 3, 3), ("u", None, "no key", 1, 9, 9)])
+    assert status(spark, root) == [(1, "B"), (2, "AGAIN")]
+    assert status(spark, root, batch_id=0) == [(1, "A"), (2, "A")]  # as of an earlier batch
+    assert read_state(spark, f"{root}/ck", ORDERS, batch_id=1).where("op = 'd'").count() == 1
+
+
+def test_state_rows_follow_the_batch(spark):
+    root = fresh()
+    run_silver(spark, root, [("c", k, "A", 1, 1, 1) for k in range(500)])
+    q = run_silver(spark, root, [("u", 3, "B", 1, 2, 2), ("u", 3, "C", 1, 3, 3), ("d", 4, "A", 1, 2, 2)], changes_path=f"{root}/changes")
+    op = q.lastProgress.stateOperators[0]
+    assert (q.lastProgress.numInputRows, op.numRowsUpdated, op.numRowsTotal) == (3, 2, 500)
+    changed = spark.read.parquet(f"{root}/changes/batch_id={q.lastProgress.batchId}")
+    assert rows_of(changed, "order_id", "op", "status") == [(3, "u", "C"), (4, "d", "A")]
+    assert len(status(spark, root)) == 499
+
+
+def test_state_of_nothing_and_of_another_key(spark):
+    root = fresh()
+    spark.createDataFrame([], ORDERS.bronze_schema).write.parquet(f"{root}/bronze")
+    start_silver(spark, f"{root}/bronze", ORDERS, f"{root}/ck", available_now=True).awaitTermination()
+    assert status(spark, root) == []
+    run_silver(spark, root, [("c", 1, "A", 1, 1, 1)])
+    with pytest.raises(ValueError, match="holds state by"):
+        read_silver(spark, f"{root}/ck", PAYMENTS)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")  # put back
+
+
+def test_batches_are_limited_by_bytes(spark):
+    root = fresh()
+    write_topic(spark, root, "orders", files=6)
+    size = max(os.path.getsize(f"{root}/topic/d0/{f}") for f in os.listdir(f"{root}/topic/d0") if f.endswith(".parquet"))
+    q = start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic/*", max_bytes_per_trigger=int(2.5 * size)), ORDERS, f"{root}/bronze",
+                     f"{root}/ck", available_now=True)
+    q.awaitTermination()
+    batches = [p.numInputRows for p in q.recentProgress if p.numInputRows]
+    total = td.topic_records(spark, SF, "orders").count()
+    assert sum(batches) == total and 3 <= len(batches) < 6 and max(batches) < total / 1.5
+    with pytest.raises(ValueError, match="not both"):
+        read_topic(spark, fmt="parquet", path=root, max_files_per_trigger=1, max_bytes_per_trigger=1)
+
+
+def test_totals_of_observed_batches(spark):
+    root = fresh()
+    td.malformed_order_records(spark, SF).repartition(3).write.parquet(f"{root}/topic")
+    totals = BatchTotals()
+    spark.streams.addListener(totals)
+    try:
+        q = start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic", max_files_per_trigger=1), ORDERS, f"{root}/bronze", f"{root}/ck",
+                         available_now=True, metrics="orders_counts")
+        q.awaitTermination()
+        totals.wait(q)
+    finally:
+        spark.streams.removeListener(totals)
+    bronze = spark.read.schema(ORDERS.bronze_schema).parquet(f"{root}/bronze")
+    got = totals.totals["orders_counts"]
+    assert len(q.recentProgress) >= 3 and got["cnt"] == bronze.count() > 0
+    assert got["null_ops"] == bronze.where("op IS NULL").count() > 0
+    assert got["rows_with_errors"] > 0 and totals.totals["orders_counts_topic"]["null_messages"] > 0
+    assert "cast_errors" not in spark.read.parquet(f"{root}/bronze").columns
 
 
 def test_replay_vs_resume(spark):
@@ -119,26 +186,27 @@ def test_minimal_events_jsonl(spark):
     assert spark.read.json(f"{root}/out").count() == td.topic_records(spark, SF, "orders").count()
 
 
-def test_bronze_and_silver_run_concurrently(spark):
-    import time
+def test_drain_barrier_over_live_bronze_and_silver(spark):
     root = fresh()
     write_topic(spark, root, "orders", files=3)
-    store = KeyedStateStore(spark, f"{root}/state", ORDERS)
     # Silver polls the Bronze folder while Bronze is still being written
     spark.createDataFrame([], ORDERS.bronze_schema).write.parquet(f"{root}/bronze")
-    qs = start_all([
-        lambda: start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic/*", max_files_per_trigger=1),
-                             ORDERS, f"{root}/bronze", f"{root}/ck/b", trigger="1 second"),
-        lambda: start_silver(spark, f"{root}/bronze", ORDERS, store, f"{root}/ck/s", trigger="1 second"),
-    ])
+
+    def bronze():
+        return start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic/*", max_files_per_trigger=1),
+                            ORDERS, f"{root}/bronze", f"{root}/ck/b", trigger="1 second", if_running="replace")
+    qs = start_all([bronze, lambda: start_silver(spark, f"{root}/bronze", ORDERS, f"{root}/ck/s", trigger="1 second")])
     try:
+        drain(qs)
         want = silver(td.bronze(spark, SF, "orders"), ORDERS).count()
-        deadline = time.time() + 120
-        while time.time() < deadline:
-            if store.latest_version() is not None and store.silver().count() == want:
-                break
-            time.sleep(2)
-        assert store.silver().count() == want
+        assert read_silver(spark, f"{root}/ck/s", ORDERS).count() == want
+        first = qs[0]
+        qs[0] = bronze()  # the running one is replaced and the checkpoint goes on
+        assert not first.isActive and qs[0].isActive
+        write_topic(spark, root, "orders", files=1, name="d1")
+        drain(qs)
+        assert read_silver(spark, f"{root}/ck/s", ORDERS).count() == want
+        assert spark.read.parquet(f"{root}/bronze").count() == 2 * td.topic_records(spark, SF, "orders").count()
     finally:
         for q in qs:
             q.stop()
@@ -167,67 +235,9 @@ def test_bronze_partitioned_by_ingest_date(spark):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
     assert day.count() == b.where(F.to_date("kafka_event_ts") == "2024-01-02").count() > 0
-    store = KeyedStateStore(spark, f"{root}/state", td.SPECS["customers"])
-    start_silver(spark, f"{root}/bronze", td.SPECS["customers"], store, f"{root}/ck/s", available_now=True,
+    start_silver(spark, f"{root}/bronze", td.SPECS["customers"], f"{root}/ck/s", available_now=True,
                  bronze_partitioned_by_date=True).awaitTermination()
-    assert store.silver().count() == silver(td.bronze(spark, SF, "customers"), td.SPECS["customers"]).count()
-
-
-def eight(status, at):
-    return [("u", k, status, 1, at, at) for k in range(1, 9)]
-
-
-def test_deltas_and_compaction(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, compact_every=3)
-    store.merge_batch(order_bronze(spark, [("c", 1, "A", 1, 1, 1), ("c", 2, "A", 1, 1, 1)]), 0)
-    store.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("d", 2, "A", 1, 2, 2)]), 1)
-    assert store._commit()["base"] is None and len(store._commit()["deltas"]) == 2
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "B")]
-    store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9), ("c", 3, "N", 1, 3, 3)]), 2)
-    assert store._commit()["base"] and store._commit()["deltas"] == []
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "N")]
-    store.merge_batch(order_bronze(spark, [("u", 2, "LATE", 1, 1, 9), ("c", 3, "N", 1, 3, 3)]), 2)  # retry
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "B"), (3, "N")]
-
-
-def test_last_batch_again_keeps_the_state(spark):
-    store = KeyedStateStore(spark, fresh(), ORDERS, compact_every=2)
-    for i in range(3):
-        store.merge_batch(order_bronze(spark, eight(f"S{i}", i)), i)
-    store.merge_batch(order_bronze(spark, [("u", 1, "S2", 1, 2, 2)]), 2)
-    assert rows_of(store.silver(), "order_id", "status") == [(k, "S2") for k in range(1, 9)]
-
-
-def test_batch_ids_do_not_matter(spark):
-    """Any id, lower, equal or far above, is folded into the newest state."""
-    store = KeyedStateStore(spark, fresh(), ORDERS, compact_every=2)
-    store.merge_batch(order_bronze(spark, eight("A", 1)), 1000)
-    store.merge_batch(order_bronze(spark, [("u", 3, "B", 1, 2, 2)]), 1)
-    assert store.silver().count() == 8
-    assert (3, "B") in rows_of(store.silver(), "order_id", "status")
-
-
-def test_fresh_checkpoint_on_the_same_store(spark):
-    root = fresh()
-    store = KeyedStateStore(spark, f"{root}/state", ORDERS)
-    order_bronze(spark, eight("A", 1)).write.parquet(f"{root}/b1")
-    order_bronze(spark, [("u", 1, "B", 1, 2, 2), ("u", 2, "B", 1, 2, 2)]).write.parquet(f"{root}/b2")
-    for name in ("b1", "b2"):
-        start_silver(spark, f"{root}/{name}", ORDERS, store, f"{root}/ck-{name}", available_now=True).awaitTermination()
-    got = rows_of(store.silver(), "order_id", "status")
-    assert got == [(1, "B"), (2, "B"), *((k, "A") for k in range(3, 9))]
-
-
-def test_reopened_with_other_settings(spark):
-    root = fresh()
-    KeyedStateStore(spark, root, ORDERS, compact_every=4).merge_batch(order_bronze(spark, eight("A", 1)), 0)
-    again = KeyedStateStore(spark, root, ORDERS, compact_every=1)  # pending deltas are folded in
-    again.merge_batch(order_bronze(spark, [("u", 1, "B", 1, 2, 2)]), 1)
-    assert again.silver().count() == 8
-    with pytest.raises(ValueError):
-        KeyedStateStore(spark, root, ORDERS, tie_breaker=("source_lsn",)).silver()
-    with pytest.raises(ValueError):
-        KeyedStateStore(spark, root, PAYMENTS).silver()
+    assert read_silver(spark, f"{root}/ck/s", td.SPECS["customers"]).count() == silver(td.bronze(spark, SF, "customers"), td.SPECS["customers"]).count()
 
 
 def test_tie_breaker_end_to_end(spark):
@@ -238,9 +248,8 @@ def test_tie_breaker_end_to_end(spark):
     spark.createDataFrame(rows, "key string, value string, timestamp timestamp").write.parquet(f"{root}/topic")
     start_bronze(read_topic(spark, fmt="parquet", path=f"{root}/topic"), ORDERS, f"{root}/bronze", f"{root}/ck/b",
                  available_now=True, keep_lsn=True).awaitTermination()
-    store = KeyedStateStore(spark, f"{root}/state", ORDERS, tie_breaker=("source_lsn",))
-    start_silver(spark, f"{root}/bronze", ORDERS, store, f"{root}/ck/s", available_now=True).awaitTermination()
-    assert rows_of(store.silver(), "order_id", "status") == [(1, "SECOND")]
+    start_silver(spark, f"{root}/bronze", ORDERS, f"{root}/ck/s", tie_breaker=("source_lsn",), available_now=True).awaitTermination()
+    assert rows_of(read_silver(spark, f"{root}/ck/s", ORDERS, tie_breaker=("source_lsn",)), "order_id", "status") == [(1, "SECOND")]
 
 
 def test_console_view_resumes(spark, tmp_path):

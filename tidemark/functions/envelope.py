@@ -61,6 +61,18 @@ def _scalar(text: Column, *path: str) -> Column:
     return F.when(bracket, F.when(F.schema_of_variant(value) == "STRING", text)).otherwise(text)
 
 
+def _first_of_variant(v: Column, *path: str, scalar: bool = False) -> Column:
+    """As ``_first``, over a parsed message: values are read by path and judged by their own type."""
+    def text(at: str) -> Column:
+        got = F.try_variant_get(v, at, "string")
+        if not scalar:
+            return got
+        kind = F.schema_of_variant(F.try_variant_get(v, at, "variant"))
+        return F.when(F.substring(got, 1, 1).isin("{", "["), F.when(kind == "STRING", got)).otherwise(got)
+    tail = ".".join(path)
+    return F.coalesce(text(f"$.payload.{tail}"), text(f"$.{tail}"))
+
+
 def decode_envelope(
     topic: DataFrame,
     spec: EntitySpec,
@@ -70,6 +82,7 @@ def decode_envelope(
     scalars_only: bool = True,
     track_cast_errors: bool = False,
     keep_lsn: bool = False,
+    parser: str = "struct",
 ) -> DataFrame:
     """Topic records ``(value, timestamp)`` -> Bronze rows.
 
@@ -83,9 +96,17 @@ def decode_envelope(
     * ``track_cast_errors`` adds ``cast_errors``: fields whose text was present
       but did not cast (what lenient casting turned into null);
     * ``keep_lsn`` adds ``source_lsn`` (the log position), the tie-breaker for
-      changes committed in the same millisecond (pass ``tie_breaker=("source_lsn",)``).
+      changes committed in the same millisecond (pass ``tie_breaker=("source_lsn",)``);
+    * ``parser="variant"`` parses each message once into a VARIANT and reads values from it by
+      path: whole numbers and decimals keep every digit (up to 38; zeros at a decimal's end go, as ``12.50``
+      and ``12.5`` are one VARIANT value), text in brackets is judged without a second
+      parse, and a message with a repeated key in one object counts as malformed.
+      ``"struct"`` reads the declared fields with ``from_json``; a number read as text goes through a double.
     """
-    env = F.from_json(F.col("raw_json"), envelope_schema(spec))
+    if parser not in ("struct", "variant"):
+        raise ValueError("parser must be 'struct' or 'variant'")
+    env = F.try_parse_json("raw_json") if parser == "variant" else F.from_json(F.col("raw_json"), envelope_schema(spec))
+    first = _first_of_variant if parser == "variant" else _first
     src = (
         topic.select(
             F.col(ts_col).cast(T.TimestampType()).alias("kafka_event_ts"),
@@ -95,22 +116,22 @@ def decode_envelope(
         .select("kafka_event_ts", "raw_json", env.alias("_e"))
     )
     e = F.col("_e")
-    op = _first(e, "op", scalar=scalars_only)
+    op = first(e, "op", scalar=scalars_only)
     is_delete = op == F.lit("d")
     cols = [F.date_trunc("millisecond", F.col("kafka_event_ts")).alias("kafka_event_ts"), op.alias("op")]
     errors = []
     for name, dtype in [*spec.columns, ("source_ts_ms", T.LongType())]:
         if name == "source_ts_ms":
-            text = _first(e, "source", "ts_ms")
+            text = first(e, "source", "ts_ms")
         else:
             scalar = scalars_only and isinstance(dtype, T.StringType)  # JSON text of an object casts to no other type
-            text = F.when(is_delete, _first(e, "before", name, scalar=scalar)).otherwise(_first(e, "after", name, scalar=scalar))
+            text = F.when(is_delete, first(e, "before", name, scalar=scalar)).otherwise(first(e, "after", name, scalar=scalar))
         typed = lenient_cast(text, dtype, strict=strict_casts)
         cols.append(typed.alias(name))
         errors.append(F.when(text.isNotNull() & typed.isNull(), F.lit(1)).otherwise(F.lit(0)))
     cols.append(F.col("raw_json"))
     if keep_lsn:
-        cols.append(lenient_cast(_first(e, "source", "lsn"), T.LongType(), strict=strict_casts).alias("source_lsn"))
+        cols.append(lenient_cast(first(e, "source", "lsn"), T.LongType(), strict=strict_casts).alias("source_lsn"))
     if track_cast_errors:
         cols.append(sum(errors[1:], errors[0]).alias("cast_errors"))
     return src.select(*cols)

@@ -85,6 +85,7 @@ def order_payment_status(
     payments: DataFrame,
     transactions: DataFrame,
     latest_payment_only: bool = False,
+    co_located: bool = False,
 ) -> DataFrame:
     """One row per (order, payment): order fields, that payment's status and the
     order's newest transaction status.
@@ -92,6 +93,12 @@ def order_payment_status(
     Parity mode keeps every payment of an order (fan-out; the reference ranks
     transactions but not payments).  ``latest_payment_only=True`` ranks payments
     too, giving one row per order.
+
+    The newest transaction is joined first, 1:1, and the payments last: behind the
+    fan-out nothing is exchanged by order again.  That first join is keyed by the order's
+    hash beside its id, so Spark exchanges its result before the fan-out: AQE splits a
+    skewed join only between two exchanges.  ``co_located=True`` is for tables bucketed
+    by order_id: every join then runs bucket by bucket without an exchange.
     """
     o = orders.select(
         "order_id", "customer_id",
@@ -99,12 +106,15 @@ def order_payment_status(
         F.col("amount").alias("order_amount"),
         F.col("created_at").alias("order_created_at"),
     )
+    txn = latest_transaction_per_order(transactions)
+    if co_located:
+        o = o.join(txn, "order_id", "left")
+    else:
+        keyed = lambda df: df.withColumn("_h", F.xxhash64("order_id"))
+        o = keyed(o).join(keyed(txn), ["_h", "order_id"], "left").drop("_h")
     pay = (latest_payment_per_order(payments) if latest_payment_only else payments.select("order_id", "payment_status"))
     pay = pay.where(F.col("order_id").isNotNull()).select("order_id", F.col("payment_status").alias("latest_payment_status"))
     joined = o.join(pay, "order_id", "left") if latest_payment_only else fanout_left_join(o, pay, "order_id")
-    # at most one newest transaction per order: joined after the fan-out so the
-    # ranking runs once; a hot order only makes the (splittable) left side large
-    joined = joined.join(latest_transaction_per_order(transactions), "order_id", "left")
     return joined.select(
         "order_id", "customer_id", "order_status", "order_amount",
         "latest_payment_status", "latest_transaction_status", "order_created_at",

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -77,6 +77,51 @@ def pk_violations(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return _union(checks)
 
 
+def pk_violations_by_exists(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """``pk_violations`` as EXISTS subqueries over named tables (name -> key).
+
+    Spark runs an EXISTS that stands alone as a subquery limited to one row.  The null check reads
+    partitions only until it meets a null key; the duplicate check counts keys on the map side and
+    exchanges the counts, but merges partitions only until one holds a repeated key."""
+    checks = []
+    for name, key in tables.items():
+        label = name.rsplit(".", 1)[-1]
+        checks.append(f"SELECT '{label}_null_pk' AS test_name WHERE EXISTS (SELECT 1 FROM {name} WHERE {key} IS NULL)")
+        checks.append(f"SELECT '{label}_duplicate_pk' AS test_name WHERE EXISTS (SELECT {key} FROM {name} GROUP BY {key} HAVING count(*) > 1)")
+    return spark.sql("\nUNION ALL\n".join(checks))
+
+
+def order_descents(events: DataFrame, key: str, order_col: str = "source_ts_ms", arrival_col: str = "kafka_event_ts") -> DataFrame:
+    """Keys whose events did not arrive in commit order -> (key, events, descents).
+
+    A descent is an event that arrives right behind one committed later; a key is in order
+    exactly if it has none.  Events are sorted by range of (key, arrival) over all tasks, so
+    a key that holds a third of the rows spans many tasks.  Each piece of a key counts its own
+    descents and keeps its first and last commit; pieces are merged in order, a few numbers
+    each.  Events with a null key, commit or arrival have no place and are left out; of
+    events that arrive at the same time the earlier committed comes first."""
+    order = (key, arrival_col, order_col)
+    rows = events.select(*order).where(F.col(key).isNotNull() & F.col(order_col).isNotNull() & F.col(arrival_col).isNotNull())
+    pieces = rows.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id())
+    before = F.lag(order_col).over(Window.partitionBy(key, "_piece").orderBy(arrival_col, order_col))
+    merged = (
+        pieces.withColumn("_down", before > F.col(order_col))
+        .groupBy(key, "_piece").agg(
+            F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_down"), F.lit(1))).alias("_down"),
+            F.min_by(order_col, F.struct(arrival_col, order_col)).alias("_first"), F.max_by(order_col, F.struct(arrival_col, order_col)).alias("_last"))
+        .withColumn("_seam", F.lag("_last").over(Window.partitionBy(key).orderBy("_piece")) > F.col("_first"))
+    )
+    return (merged.groupBy(key).agg(F.sum("_n").alias("events"), (F.sum("_down") + F.count(F.when(F.col("_seam"), F.lit(1)))).alias("descents"))
+            .where(F.col("descents") > 0))
+
+
+def order_kept(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Change-log check "order kept per key" -> (table_name, keys_out_of_order, descents), a row per table."""
+    return _union([
+        order_descents(df, key).agg(F.count(F.lit(1)).alias("keys_out_of_order"), F.coalesce(F.sum("descents"), F.lit(0)).cast("long").alias("descents"))
+        .select(F.lit(name).alias("table_name"), "keys_out_of_order", "descents") for name, (df, key) in tables.items()])
+
+
 def duplicate_key_counts(tables: Mapping[str, tuple[DataFrame, str]], suffix: str = "_pk_duplicates") -> DataFrame:
     """Number of keys seen more than once, per table -> (check_name, cnt)."""
     rows = []

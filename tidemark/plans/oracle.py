@@ -232,6 +232,13 @@ orders_bronze AS (
   UNION ALL SELECT NULL, 'd', epoch_ms(ts), ts FROM o WHERE pr = '4-NOT SPECIFIED'
   UNION ALL SELECT order_id, NULL, epoch_ms(ts), ts FROM o WHERE pr = '5-LOW')"""
 
+INVERTED_LOG = f"""
+SELECT CASE o_orderpriority WHEN '2-HIGH' THEN -1 ELSE o_orderkey END AS key,
+       epoch_ms({_ms('o_orderdate')}) + 86400000 * CASE o_orderpriority WHEN '1-URGENT' THEN [1, 3, 2, 4][step] WHEN '3-MEDIUM' THEN [4, 1, 2, 3][step] ELSE step END
+         + o_orderkey AS source_ts_ms,
+       epoch_ms(CAST(epoch_ms({_ms('o_orderdate')}) + 86400000 * step + o_orderkey AS BIGINT)) AS kafka_event_ts
+FROM orders, range(1, 5) t(step)"""
+
 SAME_COMMIT = f"""
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, 'DELIVERED' AS status, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
        {_ms('o_orderdate')} AS created_at, {_ms('o_orderdate')} AS updated_at, 'u' AS bronze_op,
@@ -377,6 +384,49 @@ SELECT 'orders_bronze' AS table_name, count(*) AS cnt, count(*) FILTER (WHERE op
     out["bronze_orders_raw"] = with_layers(
         "SELECT kafka_event_ts, op AS raw_op, order_id AS raw_order_id, status AS raw_status, source_ts_ms AS raw_ts_ms FROM orders_bronze")
     out["silver_orders_same_commit"] = SAME_COMMIT
+    out["silver_orders_late"] = out["silver_orders_live"] = out["silver_orders"]
+    out["silver_orders_state_rows"] = with_layers("""
+SELECT CAST(0 AS BIGINT) AS batch, count(*) AS rows_in, count(DISTINCT order_id) AS rows_sent, count(DISTINCT order_id) AS state_rows_written,
+       count(DISTINCT order_id) AS state_rows, count(DISTINCT order_id) AS live_keys FROM orders_log WHERE op <> 'd'
+UNION ALL
+SELECT 1, (SELECT count(*) FROM orders_log WHERE op = 'd'), (SELECT count(DISTINCT order_id) FROM orders_log WHERE op = 'd'),
+       (SELECT count(DISTINCT order_id) FROM orders_log WHERE op = 'd'), (SELECT count(DISTINCT order_id) FROM orders_log),
+       (SELECT count(*) FROM orders_silver)""")
+    out["gold_order_payment_status_bucketed"] = out["gold_order_payment_status"]
+    out["gold_customer_order_summary_bucketed"] = out["gold_customer_order_summary"]
+    out["catalog_layer_counts"] = with_layers(_union(
+        [f"SELECT '{layer}.{e}_{layer}' AS table_name, count(*) AS cnt FROM {e}_{layer}" for layer in ("bronze", "silver") for e in ENTITY_NAMES]
+        + [f"SELECT 'gold.{g}' AS table_name, count(*) AS cnt FROM {g}"
+           for g in ("customer_order_summary_gold", "order_payment_status_gold", "daily_revenue_gold")]), gold=True)
+    out["bronze_customers_by_date"] = with_layers("""
+SELECT CAST(kafka_event_ts AS DATE) AS ingest_date, count(*) AS cnt, count(DISTINCT customer_id) AS customers FROM customers_bronze GROUP BY 1""")
+    out["bronze_orders_variant"] = with_layers("""
+SELECT * REPLACE (CASE order_id % 4 WHEN 0 THEN '9' || lpad(CAST(order_id AS VARCHAR), 19, '0') WHEN 1 THEN CAST(order_id AS VARCHAR) || '.5'
+                                    WHEN 3 THEN status END AS status) FROM orders_bronze""")
+    out["dq_stream_metrics"] = DIRTY_LOG + """
+SELECT 'edge_messages' AS table_name, count(*) AS messages, count(*) FILTER (WHERE pr = '1-URGENT') AS null_messages,
+       count(*) FILTER (WHERE pr <> '1-URGENT') AS cnt, CAST(0 AS BIGINT) AS raw_json_nulls,
+       count(*) FILTER (WHERE pr IN ('2-HIGH', '4-NOT SPECIFIED')) AS null_ops,
+       count(*) FILTER (WHERE pr IN ('3-MEDIUM', '5-LOW')) AS rows_with_errors, count(*) FILTER (WHERE pr IN ('3-MEDIUM', '5-LOW')) AS cast_errors FROM o
+UNION ALL
+SELECT 'dirty_log', count(*), 0, count(*), 0, count(*) FILTER (WHERE op IS NULL), 0, 0 FROM orders_bronze"""
+    out["dq_order_kept"] = with_layers(f"""
+SELECT table_name, count(*) FILTER (WHERE descents > 0) AS keys_out_of_order, CAST(coalesce(sum(descents), 0) AS BIGINT) AS descents FROM (
+    SELECT table_name, key, count(*) FILTER (WHERE source_ts_ms < before) AS descents FROM (
+        SELECT table_name, key, source_ts_ms,
+               lag(source_ts_ms) OVER (PARTITION BY table_name, key ORDER BY kafka_event_ts, source_ts_ms) AS before
+        FROM ({_union([f"SELECT '{e}_bronze' AS table_name, {ENTITIES[e].key} AS key, source_ts_ms, kafka_event_ts FROM {e}_bronze" for e in ENTITY_NAMES]
+                      + [f"SELECT 'inverted_orders', key, source_ts_ms, kafka_event_ts FROM ({INVERTED_LOG}) i"])}) logs
+        WHERE key IS NOT NULL AND source_ts_ms IS NOT NULL AND kafka_event_ts IS NOT NULL) l
+    GROUP BY table_name, key) k
+GROUP BY table_name""")
+    out["dq_pk_exists"] = with_layers(_pk_checks("_bronze") + "\nUNION ALL\n" + _pk_checks("_silver") + """
+UNION ALL SELECT 'dirty_orders_null_pk' WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED')
+UNION ALL SELECT 'dirty_orders_duplicate_pk' WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM'))""")
+    out["dq_table_files"] = with_layers(_union([
+        f"SELECT '{e}_bronze' AS table_name, CAST(4 AS BIGINT) AS data_files, count(*) AS row_count, count(*) > 0 AS healthy FROM {e}_bronze"
+        for e in ENTITY_NAMES]))
+    out["change_feed_orders_digest"] = CHANGE_FEED
     out["minimal_order_events"] = with_layers(MINIMAL_EVENTS)
     out["minimal_order_events_dirty"] = with_layers(MINIMAL_EVENTS + " WHERE order_id % 5 >= 3")
     out["orders_jsonl"] = with_layers(f"SELECT *, 10 AS n_fields FROM ({MINIMAL_EVENTS}) m")

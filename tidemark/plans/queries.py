@@ -25,7 +25,7 @@ from tidemark.plans.medallion import Medallion
 from tidemark.session import ensure_session_defaults, scratch_path
 from tidemark.sources import testdata as td
 from tidemark.streaming.jobs import read_topic, run_folder, start_bronze, start_minimal_events_jsonl, start_silver
-from tidemark.streaming.state_store import KeyedStateStore
+from tidemark.streaming.keyed_state import read_silver
 
 ENTITY_NAMES = ("customers", "orders", "payments", "transactions")
 
@@ -101,7 +101,7 @@ def silver_payments_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_silver(spark: SparkSession, sf: str, entity: str, deliveries: int) -> DataFrame:
-    """Topic files -> Bronze stream (append) -> Silver stream (keyed merge), each
+    """Topic files -> Bronze stream (append) -> Silver stream (keyed state), each
     drained with availableNow; ``deliveries`` > 1 delivers the whole log again
     (duplicate delivery / replay)."""
     ensure_session_defaults(spark)
@@ -114,11 +114,10 @@ def _stream_silver(spark: SparkSession, sf: str, entity: str, deliveries: int) -
     src = read_topic(spark, fmt="parquet", path=f"{root}/topic/*", max_files_per_trigger=_third(spark, f"{root}/topic/*"))
     qb = start_bronze(src, spec, f"{root}/bronze", f"{root}/_ckpt/bronze", available_now=True, if_running="allow")
     qb.awaitTermination()
-    store = KeyedStateStore(spark, f"{root}/state", spec, compact_every=2)
-    qs = start_silver(spark, f"{root}/bronze", spec, store, f"{root}/_ckpt/silver", available_now=True,
+    qs = start_silver(spark, f"{root}/bronze", spec, f"{root}/_ckpt/silver", available_now=True,
                       max_files_per_trigger=_third(spark, f"{root}/bronze"), if_running="allow")
     qs.awaitTermination()
-    return store.silver()
+    return read_silver(spark, f"{root}/_ckpt/silver", spec)
 
 
 def _third(spark: SparkSession, path: str) -> int:
@@ -132,24 +131,23 @@ def silver_orders_resume(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "orders_resume")
     bronze = _bronze(spark, sf, "orders").repartition(F.xxhash64("order_id"))
     first = F.pmod(F.xxhash64("order_id", "kafka_event_ts"), F.lit(2)) == 0
-    for part in (bronze.where(first), bronze.where(~first)):
+    for part in (bronze.where(first), bronze.where(~first), bronze.where(~first)):
         part.write.mode("append").parquet(f"{root}/bronze")
-        store = KeyedStateStore(spark, f"{root}/state", ORDERS, compact_every=2)
-        start_silver(spark, f"{root}/bronze", ORDERS, store, f"{root}/_ckpt", available_now=True,
-                     if_running="allow").awaitTermination()
-    KeyedStateStore(spark, f"{root}/state", ORDERS, compact_every=2).merge_batch(bronze.where(~first), 1)
-    return report(store.silver())
+        start_silver(spark, f"{root}/bronze", ORDERS, f"{root}/_ckpt", available_now=True, if_running="allow").awaitTermination()
+    return report(read_silver(spark, f"{root}/_ckpt", ORDERS))
 
 
 def silver_orders_same_commit(spark: SparkSession, sf: str) -> DataFrame:
-    """Two changes in one commit: the log position decides, in whichever order the store gets them."""
+    """Two changes in one commit: the log position decides, in whichever order the state gets them."""
     ensure_session_defaults(spark)
+    root = scratch_path(spark, "orders_same_commit")
     topic = encode_envelope(td.same_commit_orders_changes(spark, sf), ORDERS, lsn_col="lsn")
     bronze = decode_envelope(topic, ORDERS, keep_lsn=True)
-    store = KeyedStateStore(spark, scratch_path(spark, "orders_same_commit"), ORDERS, tie_breaker=("source_lsn",))
-    store.merge_batch(bronze.where("op = 'u'"), 0)
-    store.merge_batch(bronze.where("op = 'c'"), 1)
-    return report(store.silver())
+    for op in ("u", "c"):
+        bronze.where(F.col("op") == op).write.mode("append").parquet(f"{root}/bronze")
+        start_silver(spark, f"{root}/bronze", ORDERS, f"{root}/_ckpt", tie_breaker=("source_lsn",), available_now=True,
+                     if_running="allow").awaitTermination()
+    return report(read_silver(spark, f"{root}/_ckpt", ORDERS, tie_breaker=("source_lsn",)))
 
 
 def silver_payments_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -362,7 +360,7 @@ def bulk_set(df: DataFrame, predicate: Column, assignments: dict[str, Column]) -
     })
 
 
-def change_feed_orders(spark: SparkSession, sf: str) -> DataFrame:
+def change_feed_orders(spark: SparkSession, sf: str, feed: Callable[..., DataFrame] = change_feed) -> DataFrame:
     ensure_session_defaults(spark)
     rows = _orders_rows(spark, sf)
     before = rows.where(F.col("_priority") != FEED_INSERT_PRIORITY)
@@ -370,8 +368,8 @@ def change_feed_orders(spark: SparkSession, sf: str) -> DataFrame:
     after = bulk_set(after, F.col("_priority") == FEED_PAID_PRIORITY, {"status": F.lit("PAID")})
     after = bulk_set(after, F.col("_priority") == FEED_RAISE_PRIORITY,
                      {"amount": F.col("amount") * F.lit(PRICE_FACTOR).cast("decimal(2,1)")})
-    feed = change_feed(before.drop("_priority"), after.drop("_priority"), ORDERS, source_ts_ms=F.lit(0))
-    return report(feed.select(
+    changes = feed(before.drop("_priority"), after.drop("_priority"), ORDERS, source_ts_ms=F.lit(0))
+    return report(changes.select(
         "op",
         F.coalesce(F.col("after.order_id"), F.col("before.order_id")).alias("order_id"),
         F.col("before.status").alias("before_status"), F.col("after.status").alias("after_status"),

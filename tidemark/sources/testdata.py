@@ -37,6 +37,7 @@ TXN_DELETE_QUANTITY = 45.0
 DAY_MS = 86_400_000
 UNKNOWN_OP = "x"
 SECOND_STATUS = "DELIVERED"
+HOT_ORDER = -1
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +137,21 @@ def dirty_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.explode(events).alias("_ev")).select("_ev.*")
 
 
+def inverted_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four changes per order, a day apart in arrival.  Priority 1: committed as 1, 3, 2, 4; priority 3: 4, 1, 2, 3;
+    else in order.  All orders of priority 2 share the key ``HOT_ORDER``."""
+    o, ts, row = _orders_rows(spark, sf_dir)
+    ms, pr = F.unix_millis(ts), F.col("o_orderpriority")
+    row = row.withField("order_id", F.when(pr == "2-HIGH", F.lit(HOT_ORDER)).otherwise(F.col("o_orderkey")))
+    commits = (F.when(pr == "1-URGENT", F.array(*map(F.lit, (1, 3, 2, 4)))).when(pr == "3-MEDIUM", F.array(*map(F.lit, (4, 1, 2, 3))))
+               .otherwise(F.array(*map(F.lit, (1, 2, 3, 4)))))
+    return (o.select(row.alias("row"), ms.alias("ms"), "o_orderkey", commits.alias("commits"))
+            .select("row", "ms", "o_orderkey", F.posexplode("commits").alias("at", "commit"))
+            # the order's key in milliseconds keeps arrivals of the shared key apart
+            .select(_event(F.lit("u"), F.col("row"), F.col("ms") + F.col("commit") * DAY_MS + F.col("o_orderkey"),
+                           F.timestamp_millis(F.col("ms") + (F.col("at") + 1) * DAY_MS + F.col("o_orderkey"))).alias("_ev")).select("_ev.*"))
+
+
 def same_commit_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two changes of every order in one commit: equal times, told apart by the log position only."""
     o, ts, row = _orders_rows(spark, sf_dir)

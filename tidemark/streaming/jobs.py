@@ -1,4 +1,4 @@
-"""Structured Streaming wiring: topic -> Bronze (append) -> Silver (keyed merge).
+"""Structured Streaming wiring: topic -> Bronze (append) -> Silver (keyed state).
 
 Run modes (the replay / resume contract):
   * ``resume`` - stable checkpoint folder: committed offsets and sink state are
@@ -12,17 +12,18 @@ Run modes (the replay / resume contract):
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.entities import EntitySpec
 from tidemark.functions.envelope import decode_envelope, minimal_order_event
-from tidemark.streaming.state_store import KeyedStateStore
+from tidemark.streaming.keyed_state import keyed_updates, state_schema, state_settings
 
 TOPIC_SCHEMA = T.StructType([
     T.StructField("key", T.StringType(), True),
@@ -45,6 +46,15 @@ def run_folder(root: str, name: str, mode: str) -> str:
     return f"{root.rstrip('/')}/{name}-replay-{uuid.uuid4().hex[:12]}"
 
 
+def _admission(reader, max_files: int | None, max_bytes: int | None):
+    """Limit what a micro-batch takes on: a number of files, or bytes (a batch takes one file at least)."""
+    if max_files and max_bytes:
+        raise ValueError("limit files or bytes per trigger, not both")
+    if max_files:
+        return reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.option("maxBytesPerTrigger", str(max_bytes)) if max_bytes else reader
+
+
 def read_topic(
     spark: SparkSession,
     topic: str | None = None,
@@ -54,6 +64,7 @@ def read_topic(
     bootstrap_servers: str | None = None,
     starting_offsets: str = "earliest",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming change topic as ``(key, value, timestamp)`` strings + broker time.
@@ -70,9 +81,7 @@ def read_topic(
         for k, v in (options or {}).items():
             r = r.option(k, v)
         return r.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "timestamp")
-    r = spark.readStream.schema(TOPIC_SCHEMA).format(fmt)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    r = _admission(spark.readStream.schema(TOPIC_SCHEMA).format(fmt), max_files_per_trigger, max_bytes_per_trigger)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load(path)
@@ -96,12 +105,57 @@ def guard_running(spark: SparkSession, name: str, if_running: str = "error") ->
                 raise ValueError("if_running must be 'error', 'replace' or 'allow'")
 
 
+def observed(topic: DataFrame, spec: EntitySpec, name: str, **decode) -> DataFrame:
+    """Bronze rows that report counts with each batch, in the same pass: messages and null messages of the
+    topic (``<name>_topic``); rows, null texts, null ops and cast errors of Bronze (``<name>``)."""
+    one = lambda c: F.count(F.when(c, F.lit(1)))
+    rows = decode_envelope(topic.observe(f"{name}_topic", F.count(F.lit(1)).alias("messages"), one(F.col("value").isNull()).alias("null_messages")),
+                           spec, track_cast_errors=True, **decode)
+    return rows.observe(
+        name, F.count(F.lit(1)).alias("cnt"), one(F.col("raw_json").isNull()).alias("raw_json_nulls"), one(F.col("op").isNull()).alias("null_ops"),
+        one(F.col("cast_errors") > 0).alias("rows_with_errors"), F.coalesce(F.sum("cast_errors"), F.lit(0)).cast("long").alias("cast_errors"),
+    ).drop("cast_errors")
+
+
+class BatchTotals(StreamingQueryListener):
+    """Sums of the observed counts of every batch, by observation name; one small row per name is kept."""
+
+    def __init__(self) -> None:
+        self.totals: dict[str, dict[str, int]] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run_id) -> threading.Event:
+        return self._ended.setdefault(str(run_id), threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(event.runId)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            mine = self.totals.setdefault(name, {})
+            for k, v in row.asDict().items():
+                mine[k] = mine.get(k, 0) + (v or 0)
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(event.runId).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until all events of a finished query have come in (they arrive on another thread)."""
+        if not self._end(query.runId).wait(seconds):
+            raise TimeoutError(f"no end of query {query.name!r} was reported")
+
+
 def start_bronze(
     topic: DataFrame,
     spec: EntitySpec,
-    bronze_path: str,
+    bronze_path: str | None,
     checkpoint: str,
     *,
+    table: str | None = None,
+    metrics: str | None = None,
     trigger: str | None = COMMIT_INTERVAL,
     available_now: bool = False,
     if_running: str = "error",
@@ -113,18 +167,22 @@ def start_bronze(
 
     ``partition_by_date`` adds ``ingest_date`` (UTC day of the broker time) and
     partitions the folder by it, so reads of a time range prune whole folders.
-    ``keep_lsn`` adds ``source_lsn``, the tie-breaker of changes in one commit."""
+    ``keep_lsn`` adds ``source_lsn``, the tie-breaker of changes in one commit.
+    ``table`` appends to a declared catalog table instead of a folder.
+    ``metrics`` names counts that each batch reports (see ``observed``, ``BatchTotals``)."""
+    if (bronze_path is None) == (table is None):
+        raise ValueError("give a folder or a table")
     name = f"{spec.bronze_table}"
     guard_running(topic.sparkSession, name, if_running)
-    rows = decode_envelope(topic, spec, strict_casts=strict_casts, keep_lsn=keep_lsn)
+    decode = {"strict_casts": strict_casts, "keep_lsn": keep_lsn}
+    rows = observed(topic, spec, metrics, **decode) if metrics else decode_envelope(topic, spec, **decode)
     if partition_by_date:
         rows = rows.withColumn(INGEST_DATE, F.to_date("kafka_event_ts"))
-    w = (rows.writeStream.format("parquet").outputMode("append")
-         .option("path", bronze_path).option("checkpointLocation", checkpoint)
-         .queryName(name))
+    w = _trigger(rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).queryName(name),
+                 trigger, available_now)
     if partition_by_date:
         w = w.partitionBy(INGEST_DATE)
-    return _trigger(w, trigger, available_now).start()
+    return w.toTable(table) if table else w.option("path", bronze_path).start()
 
 
 def bronze_read_schema(spec: EntitySpec, partitioned_by_date: bool = False) -> T.StructType:
@@ -136,30 +194,43 @@ def bronze_read_schema(spec: EntitySpec, partitioned_by_date: bool = False) -> T
 
 def start_silver(
     spark: SparkSession,
-    bronze_path: str,
+    bronze: str,
     spec: EntitySpec,
-    store: KeyedStateStore,
     checkpoint: str,
     *,
+    tie_breaker: Sequence[str] = (),
+    changes_path: str | None = None,
+    state_partitions: int | None = None,
     trigger: str | None = POLL_INTERVAL,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
     if_running: str = "error",
     bronze_partitioned_by_date: bool = False,
 ) -> StreamingQuery:
-    """Incremental scan of a Bronze folder folded into the keyed state store."""
+    """Incremental scan of a Bronze folder folded into Spark's keyed state under ``checkpoint``.
+
+    ``read_silver`` reads the current rows.  ``changes_path`` receives the newest row of each key
+    that a batch touched, in one folder per batch that a repeated batch writes anew."""
     name = f"{spec.silver_table}"
     guard_running(spark, name, if_running)
     schema = bronze_read_schema(spec, bronze_partitioned_by_date)
-    extra = [f for f in store.schema.fields if f.name not in schema.names]  # tie-breaker columns
-    r = spark.readStream.schema(T.StructType([*schema.fields, *extra]))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    w = (r.parquet(bronze_path).writeStream
-         .foreachBatch(store.merge_batch)
-         .option("checkpointLocation", checkpoint)
-         .queryName(name))
-    return _trigger(w, trigger, available_now).start()
+    extra = [f for f in state_schema(spec, tie_breaker).fields if f.name not in schema.names]
+    reader = _admission(spark.readStream.schema(T.StructType([*schema.fields, *extra])), max_files_per_trigger, max_bytes_per_trigger)
+    updates = keyed_updates(reader.parquet(bronze), spec, tie_breaker)
+    w = updates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).queryName(name)
+    if changes_path:
+        w = w.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{changes_path}/batch_id={n}"))
+    else:
+        w = w.format("noop")  # the state is the result
+    with state_settings(spark, state_partitions):
+        return _trigger(w, trigger, available_now).start()
+
+
+def drain(queries: Sequence[StreamingQuery]) -> None:
+    """Barrier over live queries linked by tables, upstream first: what has arrived by now is through all of them."""
+    for q in queries:
+        q.processAllAvailable()
 
 
 def start_minimal_events_jsonl(
