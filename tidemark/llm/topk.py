@@ -19,7 +19,9 @@ group's matrix at a time and streams the queries past it.
 Defined cases: vectors that are null, or hold null or non-finite components, take
 no part.  Rows that share an id are one vector (the smallest in array order).
 Vectors of unequal length are compared over the shorter one.  Null ids are left out.
-An empty table gives an empty result.  Impacts outside +-2^31 are clamped to it.
+An empty table gives an empty result.  Impacts are exact: scores are taken in doubles while
+every partial sum is below 2^53, in int64 below 2^63, else in Python integers.  An impact
+beyond 62 bits, or a score that does not fit in a long, is an error.
 """
 
 from __future__ import annotations
@@ -37,14 +39,18 @@ from tidemark.llm.common import ship, staged
 BLOCK = 64
 GROUP = 8192
 HITS = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])
-LIMIT = 2**31 - 1
+LARGEST = float(2**62)
+LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
 
 def quantise(vec: Column, scale: int = 256) -> Column:
     """Impacts ``floor(scale * x)`` (x as double) as array<bigint>; null where the vector takes no part."""
     bad = vec.isNull() | F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    clamp = lambda x: F.greatest(F.least(x, F.lit(float(LIMIT))), F.lit(float(-LIMIT)))
-    return F.when(~bad, F.transform(vec, lambda x: F.floor(clamp(F.lit(float(scale)) * x.cast("double"))).cast("long")))
+
+    def impact(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) <= LARGEST, F.floor(y).cast("long")).otherwise(F.raise_error(F.lit("impact beyond 62 bits")).cast("long"))
+    return F.when(~bad, F.transform(vec, impact))
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -72,15 +78,28 @@ class BlockIndex:
         self.impacts, self.starts = m, starts
         self.as_float = m.astype(np.float64)
 
-    def scores(self, queries: np.ndarray, rows: slice) -> np.ndarray:
-        m = self.as_float[rows]
-        if self._exact(queries):
-            return (queries.astype(np.float64) @ m.T).astype(np.int64)
-        return queries @ self.impacts[rows].T
+    def _reach(self, queries: np.ndarray) -> int:
+        """A bound of every partial sum."""
+        return int(np.abs(queries).max(initial=0)) * self.biggest * max(1, queries.shape[1])
 
-    def _exact(self, queries: np.ndarray) -> bool:
-        """Whether every partial sum is below 2^53, where doubles are exact integers."""
-        return int(np.abs(queries).max(initial=0)) * self.biggest * max(1, queries.shape[1]) < 2**53
+    def scores(self, queries: np.ndarray, rows: slice) -> np.ndarray:
+        reach = self._reach(queries)
+        if reach < 2**53:
+            return (queries.astype(np.float64) @ self.as_float[rows].T).astype(np.int64)
+        if reach < 2**63:
+            return queries @ self.impacts[rows].T
+        wide = queries.astype(object) @ self.impacts[rows].T.astype(object)
+        if wide.size and (wide.max() > HIGHEST or wide.min() <= LOWEST):
+            raise OverflowError("a score does not fit in a long")
+        return wide.astype(np.int64)
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """The largest score that a query can have in each block."""
+        reach = self._reach(queries)
+        kind = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
+        pos, neg = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
+        out = pos @ self.high.T.astype(kind) + neg @ self.low.T.astype(kind)
+        return (np.minimum(np.maximum(out, LOWEST + 1), HIGHEST) if kind is object else out).astype(np.int64)  # scores are longs
 
     def search(self, qids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int):
         """Best k (ids, scores) per query with score >= floor; unused places hold the id maximum and None-score minimum."""
@@ -91,11 +110,7 @@ class BlockIndex:
         none = np.iinfo(np.int64)
         best = np.full((len(qids), k), none.min, np.int64)
         best_id = np.full((len(qids), k), none.max, np.int64)
-        pos, neg = np.maximum(q, 0), np.minimum(q, 0)
-        if self._exact(q):
-            bound = (pos.astype(float) @ self.high.T.astype(float) + neg.astype(float) @ self.low.T.astype(float)).astype(np.int64)
-        else:
-            bound = pos @ self.high.T + neg @ self.low.T
+        bound = self.bounds(q)
         order = np.argsort(-bound, axis=1, kind="stable")
         live = np.arange(len(qids))
         for step in range(len(self.starts)):
@@ -114,7 +129,7 @@ class BlockIndex:
                 got[ids[None, :] == qids[who, None]] = none.min  # the query's own row
                 all_s = np.concatenate([best[who], got], axis=1)
                 all_i = np.concatenate([best_id[who], np.broadcast_to(ids, got.shape)], axis=1)
-                top = np.lexsort((all_i, -all_s.astype(np.float64) if self._exact(q) else ~all_s), axis=1)[:, :k]
+                top = np.lexsort((all_i, ~all_s), axis=1)[:, :k]
                 best[who] = np.take_along_axis(all_s, top, 1)
                 best_id[who] = np.take_along_axis(all_i, top, 1)
         return best_id, best
