@@ -80,7 +80,7 @@ def _hash(text: str) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "names", "key", "parent", "children", "noise", "article", "texts", "live")
+    __slots__ = ("tag", "names", "key", "parent", "children", "noise", "article", "texts", "live", "depth")
 
     def __init__(self, tag: str, attrs: str, parent: "Node | None"):
         found = [(kind.lower(), (a or b or c).lower()) for kind, a, b, c in _CLASS.findall(attrs)] if attrs else []
@@ -88,6 +88,7 @@ class Node:
         self.tag, self.parent, self.children, self.texts = tag, parent, [], []
         self.names = sorted({n for kind, text in found if kind != "id" for n in text.split()})
         self.key, self.live = 0, False
+        self.depth = 0 if parent is None else parent.depth + 1
         inside = parent is not None and parent.article
         self.article = inside or tag in ARTICLE
         found = set(_NAME.findall(names)) & NOISE_NAMES if names and tag not in ("html", "body", "article", "main") else set()
@@ -113,27 +114,47 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str]]]:
                 holder.texts.append(text)
             words = []
 
+    # the open elements: by tag, those that end a line, and those that own the text in them; the deepest comes last
+    opened: dict[str, list[Node]] = {}
+    lines: list[Node] = []
+    holders: list[Node] = []
+
+    def enter(x: Node) -> None:
+        nonlocal node
+        node = x
+        opened.setdefault(x.tag, []).append(x)
+        if x.tag in BLOCK:
+            lines.append(x)
+        if x.tag in BLOCK or x.tag in NOISE_TAGS:
+            holders.append(x)
+
     def say(text: str) -> None:
         nonlocal holder
         if not words:
             if not text.strip():
                 return
-            holder = node
-            while holder.parent is not None and holder.tag not in BLOCK and holder.tag not in NOISE_TAGS:
-                holder = holder.parent
+            holder = holders[-1] if holders else root
         words.append(text)
 
     def close(stop: Node) -> None:
         nonlocal node
-        node = stop.parent or stop
+        while True:  # every element is left once
+            x, node = node, node.parent or node
+            opened[x.tag].pop()
+            if x.tag in BLOCK:
+                lines.pop()
+            if x.tag in BLOCK or x.tag in NOISE_TAGS:
+                holders.pop()
+            if x is stop:
+                return
+
+    def deepest(tags) -> Node | None:
+        return max((opened[t][-1] for t in tags if opened.get(t)), key=lambda x: x.depth, default=None)
 
     def up(tags, stops) -> Node | None:
-        x = node
-        while x.parent is not None and x.tag not in stops:
-            if x.tag in tags:
-                return x
-            x = x.parent
-        return None
+        """The deepest open element of ``tags`` that lies below every open element of ``stops``."""
+        x, stop = deepest(tags), deepest(stops)
+        return x if x is not None and (stop is None or x.depth > stop.depth) else None
 
     while at < n:
         lt = source.find("<", at)
@@ -160,8 +181,8 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str]]]:
         if source[lt + 1] == "/":
             if tag in BLOCK or tag in NOISE_TAGS:
                 cut()
-            open_one = up((tag,), ())
-            if open_one is not None and (tag in BLOCK or tag in NOISE_TAGS or up(BLOCK, ()) is None or _below(open_one, up(BLOCK, ()))):
+            open_one = deepest((tag,))
+            if open_one is not None and (tag in BLOCK or tag in NOISE_TAGS or not lines or open_one.depth >= lines[-1].depth):
                 close(open_one)
             continue
         if tag in BLOCK or tag in NOISE_TAGS:
@@ -187,18 +208,11 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str]]]:
                 at = n if gt < 0 else gt + 1
             continue
         if not m[2].endswith("/") or tag in BLOCK:
-            node = new
+            enter(new)
     cut()
     return root, blocks
 
 
-def _below(x: Node, top: Node) -> bool:
-    """Whether ``x`` is inside ``top``."""
-    while x is not None and x is not top:
-        x = x.parent
-    return x is top
-
-
 def nodes_of(root: Node) -> Iterator[Node]:
     todo = [root]
     while todo:
