@@ -28,7 +28,6 @@ def documents(spark, texts=EDGE):
 
 def library(name):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return lambda s: t.encode(s or "", add_special_tokens=False).ids + [0]
 
 
@@ -52,6 +51,48 @@ def test_top_k_brute_force(spark):
     assert topk.top_k(df.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e4, 1e6])
+def test_top_k_of_large_components(spark, size):
+    """Integers beyond 2^31 in single components, and scores near the end of a long."""
+    rng = np.random.default_rng(4)
+    vecs = rng.normal(0, size, (150, 4))
+    vecs[::3, 1:] = 0
+    vecs[5] = [1e12, 0, 0, 0]
+    vecs[[i for i in range(150) if i != 5], 0] = rng.normal(0, 10, 149)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>")
+    m = [[int(np.floor(256 * x)) for x in v] for v in vecs]
+    want = set()
+    for q in range(0, 150, 50):
+        order = sorted((-sum(a * b for a, b in zip(m[i], m[q])), i) for i in range(150) if i != q)[:5]
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(order)}
+    assert {tuple(r) for r in top_k_rows(df)} == want
+    assert max(abs(x) for _, _, _, x in want) > 2**31
+    rows = spark.createDataFrame([(0, [1.0]), (1, [1e7]), (2, [3e7])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in top_k_rows(rows)][0] == (0, 1, 2, 1966080000000)
+    with pytest.raises(Exception, match="does not fit in a long"):
+        top_k_rows(spark.createDataFrame([(0, [1e12] * 4), (1, [1e12] * 4)], "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="62 bits"):
+        top_k_rows(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>"))
+
+
+def top_k_rows(df):
+    return topk.top_k(df, F.col("vec_id") % 50 == 0, group=40).orderBy("query_id", "rank").collect()
+
+
+def test_long_runs_of_digits_are_no_error():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"{zeros}.1.1.1 and 1.2.3.{zeros}7") == [("ip", 0, 5006), ("ip", 5011, 5011 + 6 + 5001)]
+    assert pii.base_spans("9" * 5000 + ".1.1.1") == []
+
+
+def test_html_with_a_megabyte_of_stray_tags_is_linear():
+    import time
+    for source in ("<span>x</div>" * 80_000, "<p><button>" + "<span>" * 50_000 + "<p></p>" * 50_000, "<b>" * 30_000 + "x<p>" * 30_000):
+        start = time.time()
+        html_extract.parse(source)
+        assert time.time() - start < 20
+
+
 def test_near_duplicates_brute_force(spark):
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(300)]

@@ -133,7 +133,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by kind as listed, then by start."""
     out = [("email", a, b) for a, b in emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]  # before int(), which refuses very long runs of digits
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m[0])
