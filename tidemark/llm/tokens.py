@@ -15,23 +15,17 @@ per worker and kept in a cache of bounded size.  Two splits are used:
 from __future__ import annotations
 
 import os
-import struct
+import re
 
 import numpy as np
 
 from tidemark.llm.common import only_cache
 
 CACHE_BYTES = 48 << 20  # of each of two generations
-_FORMATS: dict[int, struct.Struct] = {}
-
-
-def pack_ids(n: int, *ids: int) -> bytes:
-    if n not in _FORMATS:
-        if len(_FORMATS) > 1000:
-            _FORMATS.clear()
-        _FORMATS[n] = struct.Struct(f"<{n}I")
-    return _FORMATS[n].pack(*ids)
-
+LINE = 200  # unknown chunks that the library gets in one text
+MARKS = (b",", b".")
+# an empty chunk, one with white space or a byte beyond ASCII at its edge, or a special token's brackets
+_EDGE = re.compile(rb"\Z|[\x00-\x20\x7f-\xff]|(?s:.*)(?:<\||[\x00-\x20\x7f-\xff]\Z)").match
 
 _LOADED: dict[tuple[str, str], "Encoder"] = {}
 
@@ -44,7 +38,7 @@ class Encoder:
         self.lib = Tokenizer.from_file(path)
         self.split = split
         self._clear()
-        self.marks = {m: self.whole(m) for m in (b",", b".")}
+        self.marks = {m: self.whole(m) for m in MARKS}
 
     def _clear(self) -> None:
         self.first: dict[bytes, bytes | None] = {}
@@ -62,30 +56,50 @@ class Encoder:
         return np.array(self.lib.encode(body.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, cache: dict, old: dict, chunks: set[bytes], lead: str) -> None:
-        new, marked = [], []
-        for c in chunks.difference(cache):
-            if c in old:
-                self._hold(cache, c, old[c])
-            elif c[-1:] in self.marks and c[-2:-1].isalpha():  # a mark behind a letter is a word of its own
-                marked.append(c)
-            else:
-                new.append(c)
-        new += {c[:-1] for c in marked}.difference(cache, new)
-        texts = []
-        for c in new:
-            t = c.decode()
-            bad = not t or (self.split == "spaces" and (t[0].isspace() or t[-1].isspace()))
-            texts.append(None if bad else lead + t)
-        got = iter(self.lib.encode_batch_fast([t for t in texts if t is not None], add_special_tokens=False))
-        for c, t in zip(new, texts):
-            self._hold(cache, c, None if t is None else pack_ids(len(ids := next(got).ids), *ids))
-        for c in marked:
-            stem = cache[c[:-1]]
-            self._hold(cache, c, None if stem is None else stem + self.marks[c[-1:]])
-
-    def _hold(self, cache: dict, chunk: bytes, ids: bytes | None) -> None:
-        cache[chunk] = ids
-        self.held += 140 + len(chunk) + len(ids or b"")
+        todo = chunks.difference(cache)
+        if old:
+            known = {c: old[c] for c in todo.intersection(old)}
+            todo.difference_update(known)
+            self._hold(cache, known)
+        marked = [c for c in todo if c.endswith(MARKS) and c[-2:-1].isalpha()]  # a mark behind a letter is a word of its own
+        todo.difference_update(marked)
+        todo.update({c[:-1] for c in marked}.difference(cache))
+        odd = {c: self._odd_one(c) for c in todo if _EDGE(c)}
+        odd = {c: ids for c, ids in odd.items() if ids != b"?"}
+        self._hold(cache, odd)
+        todo.difference_update(odd)
+        plain = list(todo)
+        for at in range(0, len(plain), LINE):
+            part = plain[at:at + LINE]
+            self._hold(cache, dict(zip(part, self._line(part, lead))))
+        stems = {c: cache[c[:-1]] for c in marked}
+        self._hold(cache, {c: None if ids is None else ids + self.marks[c[-1:]] for c, ids in stems.items()})
+
+    def _odd_one(self, chunk: bytes) -> bytes | None:
+        """Ids of a chunk that may not stand in a line with others (None: only the whole text can place it), b"?" if it may."""
+        t = chunk.decode()
+        if self.split == "spaces":
+            return None if not t or t[0].isspace() or t[-1].isspace() or "<|" in t else b"?"
+        return self.whole(chunk) if "<|" in t else b"?"
+
+    def _line(self, chunks: list[bytes], lead: str) -> list[bytes]:
+        """Ids of each chunk, from one text of them all: a token belongs to the chunk that its place is in.
+
+        A border is the space that a word is written with, or drops; where the word has none, a line feed, a token of its own."""
+        feed = self.split == "spaces" and not lead
+        text = lead + (b"\n" if feed else b" ").join(chunks).decode()
+        got = self.lib.encode(text, add_special_tokens=False)
+        places = np.fromiter((a for a, _ in got.offsets), np.int64, len(got))
+        letters = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        borders = np.flatnonzero(letters[len(lead):] == (10 if feed else 32)) + len(lead)
+        cuts = 4 * np.searchsorted(places, borders)
+        ids = np.array(got.ids, "<u4").tobytes()
+        starts = [0, *(cuts + (4 if feed else 0)).tolist()]
+        return [ids[a:b] for a, b in zip(starts, [*cuts.tolist(), len(ids)])]
+
+    def _hold(self, cache: dict, found: dict[bytes, bytes | None]) -> None:
+        cache.update(found)
+        self.held += 140 * len(found) + sum(map(len, found)) + sum(map(len, filter(None, found.values())))
 
     def many(self, bodies: list[bytes | None]) -> list[bytes]:
         """Little-endian uint32 ids of each text (null: empty)."""
