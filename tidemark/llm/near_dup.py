@@ -142,6 +142,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 def _confirm_task(percent: int):
     """Rows sorted by hub and kind: the hub's text, then the texts to check against it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(_WORDS)
         out = Out(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
         hub = salt_of = own = None
         for a, salt, kind, b, body in rows_of(batches, "a", "salt", "kind", "id", "body"):
@@ -300,6 +301,7 @@ def open_lists(members: DataFrame, labels: DataFrame, sigs: DataFrame, best_only
 def _confirm_lists_task(percent: int):
     """Rows sorted by tile and kind: the outsiders' texts, then members with the outsiders to check them with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(_WORDS)
         out = Out(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
         at, own = None, {}
         for band, key, tile, kind, doc, body, wanted in rows_of(batches, *KEY, "kind", "id", "body", "outsiders"):
