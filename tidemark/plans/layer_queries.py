@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.entities import ENTITIES, ORDERS
-from tidemark.functions.envelope import decode_envelope, encode_envelope
+from tidemark.functions.envelope import decode_envelope, encode_envelope, envelope_view
 from tidemark.operators import marts, quality
 from tidemark.operators.feed import change_feed_by_digest
 from tidemark.plans import queries as base
@@ -27,6 +27,7 @@ from tidemark.streaming.jobs import (
     read_topic,
     start_all,
     start_bronze,
+    start_console,
     start_silver,
 )
 from tidemark.streaming.keyed_state import read_silver
@@ -100,6 +101,22 @@ def silver_orders_live(spark: SparkSession, sf: str) -> DataFrame:
     return base.report(read_silver(spark, f"{root}/_ckpt/silver", ORDERS))
 
 
+def console_view_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages the live view showed: in a first run, in one resumed after the topic came once more, and in a replay."""
+    ensure_session_defaults(spark)
+    root = scratch_path(spark, "console_view")
+    topic = td.topic_records(spark, sf, "orders")
+    rows = []
+    for run, (mode, more) in enumerate((("resume", True), ("resume", True), ("replay", False))):
+        if more:
+            topic.write.mode("append").parquet(f"{root}/topic")
+        q = start_console(envelope_view(read_topic(spark, fmt="parquet", path=f"{root}/topic"), mode), f"{root}/_ckpt", mode, name=f"orders_view_{mode}",
+                          available_now=True, if_running="replace")
+        q.awaitTermination()
+        rows.append((run, mode, sum(p.numInputRows for p in q.recentProgress)))
+    return spark.createDataFrame(rows, "run long, consumer_mode string, messages long")
+
+
 # ---------------------------------------------------------- catalog tables
 def catalog_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Streams fill the declared Bronze tables, Silver is a catalog view on them, the marts are written from Silver; all read by name."""
@@ -239,6 +256,6 @@ def change_feed_orders_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    silver_orders_late, silver_orders_state_rows, silver_orders_live, catalog_layer_counts, gold_order_payment_status_bucketed,
+    silver_orders_late, silver_orders_state_rows, silver_orders_live, console_view_runs, catalog_layer_counts, gold_order_payment_status_bucketed,
     gold_customer_order_summary_bucketed, bronze_customers_by_date, bronze_orders_variant, dq_stream_metrics, dq_order_kept,
     dq_pk_exists, dq_table_files, change_feed_orders_digest)}

@@ -392,6 +392,9 @@ UNION ALL
 SELECT 1, (SELECT count(*) FROM orders_log WHERE op = 'd'), (SELECT count(DISTINCT order_id) FROM orders_log WHERE op = 'd'),
        (SELECT count(DISTINCT order_id) FROM orders_log WHERE op = 'd'), (SELECT count(DISTINCT order_id) FROM orders_log),
        (SELECT count(*) FROM orders_silver)""")
+    out["console_view_runs"] = with_layers(_union([
+        f"SELECT CAST({run} AS BIGINT) AS run, '{mode}' AS consumer_mode, {times} * count(*) AS messages FROM orders_log"
+        for run, (mode, times) in enumerate((("resume", 1), ("resume", 1), ("replay", 2)))]))
     out["gold_order_payment_status_bucketed"] = out["gold_order_payment_status"]
     out["gold_customer_order_summary_bucketed"] = out["gold_customer_order_summary"]
     out["catalog_layer_counts"] = with_layers(_union(
