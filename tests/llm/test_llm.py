@@ -306,7 +306,7 @@ def test_toxicity_learns_and_swaps_are_neutral(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     res = con.execute(queries.ORACLE_SQL[name])
