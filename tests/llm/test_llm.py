@@ -125,21 +125,71 @@ def test_near_duplicates_brute_force(spark):
     assert near_dup.near_duplicates(documents(spark, [])).count() == 0
 
 
+def contract_words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def contamination_by_plain_search(texts, items, size=10):
+    """(n_words, n_hit, n_items, items_sha256, contaminated) a text, by comparing every place with every window."""
+    windows = {}
+    for item, text in items.items():
+        words = contract_words(text)
+        for i in range(max(1, len(words) - size + 1) if words else 0):
+            windows.setdefault(" ".join(words[i:i + size]), set()).add(item)
+    out = []
+    for text in texts:
+        words, hit, held = contract_words(text), set(), set()
+        for n in {len(w.split(" ")) for w in windows}:
+            for i in range(len(words) - n + 1):
+                of = windows.get(" ".join(words[i:i + n]))
+                if of:
+                    hit |= set(range(i, i + n))
+                    held |= of
+        out.append((len(words), len(hit), len(held), hashlib.sha256(",".join(sorted(held)).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+ITEM = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+
+
 def test_decontamination_brute_force(spark):
-    item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
-    texts = [*EDGE, f"so, {item.upper()}! and", "alpha beta gamma delta", "one two three", f"{item} {item}", "alpha " * 30]
-    items = {"10": item, "9": "one two", "2": None, "3": "alpha " * 10, "4": "..."}
-    bench = spark.createDataFrame([(int(k), v) for k, v in items.items()], "item_id long, text string")
-    want = decontaminate.brute_force(texts, items)
-    got = decontaminate.contamination(documents(spark, texts), bench).orderBy("doc_id").collect()
+    texts = [*EDGE, f"so, {ITEM.upper()}! and", "alpha beta gamma delta", "one two three", f"{ITEM} {ITEM}", "alpha " * 30,
+             "Ça É été\u00a0x ÀB", "alpha beta gamma delta epsilon", "zeta eta theta iota kappa"]
+    items = {"10": ITEM, "9": "one two", "2": None, "3": "alpha " * 10, "4": "...", "11": ITEM + " nu", "12": "É été\u00a0x Àb"}
+    bench = spark.createDataFrame([(int(k), v) for k, v in [*items.items(), ("9", "one two")]], "item_id long, text string")
+    want = contamination_by_plain_search(texts, items)
+    docs = documents(spark, texts).repartition(3)
+    got = decontaminate.contamination(docs, bench).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in got] == want
-    small = decontaminate.find(documents(spark, texts), bench, limit=1).collect()  # one item a piece
-    assert {r.doc_id: len(r.words) for r in small} == {i: w[1] for i, w in enumerate(want) if w[1]}
-    near = decontaminate.find(documents(spark, ["beta x alpha", "alpha " + "y " * 20 + "beta"]),
-                              spark.createDataFrame([(1, "alpha beta")], "item_id long, text string"), span=3).collect()
-    assert [r.doc_id for r in near] == [0]
+    empty = decontaminate.contamination(documents(spark), bench.where("false"))
+    assert empty.where("contaminated").count() == 0 and empty.count() == len(EDGE)
     assert decontaminate.contamination(documents(spark, []), bench).count() == 0
-    assert decontaminate.contamination(documents(spark), bench.where("false")).where("contaminated").count() == 0
+
+
+def test_two_test_sets_search_one_index(spark):
+    texts = [*EDGE, f"so {ITEM} and", "beta x alpha", "alpha " + "y " * 20 + "beta", "beta", "alpha", "one two " * 50]
+    index = decontaminate.build_index(documents(spark, texts), block_words=6)
+    assert index.select("block").distinct().count() > 5
+    for items in ({"1": ITEM, "2": "one two one"}, {"7": "x alpha", "8": "a b c d"}):
+        bench = spark.createDataFrame([*items.items()], "item_id string, text string")
+        want = {i: w[1:3] for i, w in enumerate(contamination_by_plain_search(texts, items)) if w[4]}
+        for slices in (1, 1000):  # a window or two a slice, all in one
+            got = decontaminate.search(index, bench, slice_windows=slices).collect()
+            assert {r.doc_id: (len(r.words), len(r["items"])) for r in got} == want
+    pair = spark.createDataFrame([("1", "alpha beta")], "item_id string, text string")
+    near = {n: {r.doc_id for r in decontaminate.search(index, pair, span=n).collect()} for n in (1, 3, 30)}
+    both = {i for i, t in enumerate(texts) if {"alpha", "beta"} <= set(contract_words(t))}
+    first = {i for i, t in enumerate(texts) if t and ITEM in t}
+    assert near == {1: first, 3: both - {len(EDGE) + 2}, 30: both}
+
+
+def test_contamination_of_repeated_and_missing_ids(spark):
+    rows = [(1, ITEM), (1, "x " + ITEM), (None, ITEM), (None, None), (2, None), (2, "alpha")]
+    docs = spark.createDataFrame([(i, t, "z", 5, 6) for i, t in rows], "doc_id long, text string, term string, block int, n int")
+    bench = spark.createDataFrame([("a", ITEM, "q")], "item_id string, text string, words string")
+    got = sorted(((r.doc_id or 0, r.n_words, r.n_hit, r.contaminated) for r in decontaminate.contamination(docs, bench).collect()))
+    assert got == [(0, 0, 0, False), (0, 12, 0, False), (1, 12, 13, True), (1, 13, 13, True), (2, 0, 0, False), (2, 1, 0, False)]
 
 
 def test_packing(spark):
@@ -333,7 +383,7 @@ def test_pipeline_stages(spark):
     kept = {r.doc_id for r in near_dup.near_duplicates(docs.where(F.col("doc_id").isin(sorted(clean)))).where("kept").collect()}
     assert set(seen["near_dedup"].doc_id) == kept
     ids = sorted(kept)
-    hit = decontaminate.brute_force([start[i] for i in ids], bench)
+    hit = contamination_by_plain_search([start[i] for i in ids], bench)
     ok = {i for i, h in zip(ids, hit) if not h[4]}
     assert set(seen["decontaminate"].doc_id) == set(seen["pii"].doc_id) == ok
     crf = pii.train()
