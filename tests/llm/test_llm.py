@@ -1,5 +1,6 @@
 """The training-data operators against brute force, exact round trips and small edge cases."""
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -264,7 +265,10 @@ def test_warc_round_trip(spark):
     rows = [(3, "http://a/x", big), (1, None, big), (2, "u\r\nX: y", "small"), (4, "u", "small"), (5, "u", None), (6, "u", ""), (None, "u", big)]
     headers, payloads = warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert payloads.count() == 3
-    got = {r.page_id: r for r in warc.read_back(headers, payloads).collect()}
+    path = warc.write_files(headers, payloads, file_records=2)
+    found = warc.read_files(spark, path)
+    got = {r.page_id: r for r in warc.read_back(found).collect()}
+    assert len(got) == len(rows)
     assert (got[3].record_type, got[3].refers_to, got[1].record_type, got[None].record_type) == ("revisit", 1, "response", "response")
     assert got[3].payload_digest == hashlib.sha256(big.encode()).hexdigest() and got[3].payload_bytes == len(big.encode())
     assert {got[k].record_type for k in (2, 4, 5, 6)} == {"response"}
@@ -272,9 +276,35 @@ def test_warc_round_trip(spark):
     for page, _, html in rows:
         assert bytes(back[page].payload).decode() == (html or "")
     assert bytes(back[2].record).count(b"\r\nX: y") == 0
-    broken = payloads.withColumn("payload", F.lit(b"x"))
+    # the files' bytes are the rebuilt records', and cut back into the same header and block
+    want = sorted(bytes(r.record) for r in back.values())
+    assert sorted(bytes(r.header) + bytes(r.block) + b"\r\n\r\n" for r in found.collect()) == want
+    files = [gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").load(path).collect()]
+    assert sum(map(len, files)) == sum(map(len, want)) and all(f.count(b"WARC/1.1\r\n") <= 2 for f in files)
     with pytest.raises(Exception, match="does not match"):
-        warc.read_back(headers, broken).collect()
+        warc.write_files(headers, payloads.withColumn("payload", F.lit(b"x")))
+    with pytest.raises(Exception, match="does not match"):
+        warc.read_back(found.withColumn("block", F.lit(b"x"))).collect()
+
+
+def test_warc_of_hard_payloads(spark):
+    """Payloads that hold record ends and headers, repeated rows, all ids null, clashing names, no rows."""
+    nasty = "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" + "z" * 90 + "\r\n\r\n"
+    rows = [(5, "u", nasty), (5, "u", nasty), (9, "\r\nContent-Length: 1", nasty), (None, "u", "n" * 200), (None, None, "n" * 200),
+            (1, "u", "\r\n"), (2, "u", "\x00")]
+    pages = spark.createDataFrame([(*r, "x", 1, "y") for r in rows],
+                                  "page_id long, url string, html string, digest string, k int, header string")
+    got = warc.read_back(warc.read_files(spark, warc.write_files(*warc.archive(pages)))).collect()
+    size = len(nasty.encode())
+    full = hashlib.sha256(nasty.encode()).hexdigest()
+    rest = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got if r.payload_digest != full]
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to or 0) for r in got if r.payload_digest == full) == [
+        (5, size, "response", 0), (5, size, "response", 0), (9, size, "revisit", 5)]
+    assert sorted(rest, key=str) == [(1, 2, "response", None), (2, 1, "response", None),
+                                     (None, 200, "response", None), (None, 200, "response", None)]
+    assert warc.read_back(warc.read_files(spark, warc.write_files(*warc.archive(pages.where("false"))))).count() == 0
+    with pytest.raises(ValueError, match="does not end"):
+        list(warc.cut(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"))
 
 
 def test_html_extraction(spark):

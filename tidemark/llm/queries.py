@@ -54,7 +54,8 @@ def op6_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_back(*warc.archive(read_table(spark, sf_dir, "pages")))
+    files = warc.write_files(*warc.archive(read_table(spark, sf_dir, "pages")))
+    return warc.read_back(warc.read_files(spark, files))
 
 
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,17 +2,24 @@
 
 An archive is two tables: ``payloads`` holds the bytes of every distinct payload once
 under its SHA-256, ``headers`` holds each record's exact header bytes and the digest
-of its payload.  Original records come back by joining the two.  The digest is
+of its payload.  Original records come back by joining the two (``records``).  The digest is
 computed when a payload is stored and again when it is read; a payload that fails is
 an error, not a row.
 
+``write_files`` writes the rebuilt records as gzipped WARC 1.1 files with Spark's own
+writer, at most ``FILE_RECORDS`` a file, and ``read_files`` cuts such files back into
+header and block by ``Content-Length``; a block that does not match the digest its header
+states, or a file that ends inside a record, is an error.  ``read_back`` gives what the
+files say.
+
 A page whose payload has at least ``MIN_REVISIT`` bytes and equals that of a page
 with a smaller id is written as a ``revisit`` that refers to the smallest id;
 all others are ``response`` records.
 
-Everything is built-in DataFrame functions.  A payload that a third of all pages
-share is one row per task after the map-side minimum; the joins back are on narrow
-rows, or on (page, digest), which no group makes hot.
+All but the cut of a file into records is built-in DataFrame functions.  A payload that a third of
+all pages share is one row per task after the map-side minimum, and one response; its
+revisits have empty blocks, so only narrow rows meet on its digest.  Only a payload too short to be
+revisited is repeated, a few bytes each time.
 
 Defined cases: null html is an empty payload; a null url leaves out its header line; a null
 page_id never makes another page a revisit unless all pages of the payload lack an id
@@ -21,12 +28,20 @@ page_id never makes another page a revisit unless all pages of the payload lack
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gzip
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import Out, rows_of, ship, staged
+from tidemark.session import scratch_path
 
 MIN_REVISIT = 100
+FILE_RECORDS = 2000
+END = b"\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -105,14 +120,73 @@ def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
                     F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record")))
 
 
-def read_back(headers: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Per record what the archive says: sizes and digests from the payload bytes, the rest from the header bytes.
+def write_files(headers: DataFrame, payloads: DataFrame, path: str | None = None, file_records: int = FILE_RECORDS) -> str:
+    """The records as WARC files under ``path``: header, block, two line ends.  Returns the path.
 
-    The payload is measured once where it is stored; only the figures travel to the records.
+    A response's block is its payload, joined by digest; a revisit's is empty and needs no join.
     """
-    measured = verified(payloads).select("digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
-    ref = F.regexp_extract(field(F.col("header"), "WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1)
-    return (headers.join(measured, F.col("payload_digest") == F.col("digest"))
-            .select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"),
-                    field(F.col("header"), "WARC-Type").alias("record_type"),
-                    F.when(ref != "", ref).cast("long").alias("refers_to")))
+    spark = headers.sparkSession
+    path = path or scratch_path(spark, "warc_files")
+    revisit = field(F.col("header"), "WARC-Type") == "revisit"
+    answers = headers.where(~revisit).join(verified(payloads), F.col("payload_digest") == F.col("digest"))
+    rows = (answers.select(F.concat("header", "payload").alias("record"))
+            .unionByName(headers.where(revisit).select(F.col("header").alias("record"))))
+    # the text writer puts the bytes of a string and the line separator as they are
+    (rows.select(F.col("record").cast("string")).write.option("lineSep", END.decode()).option("compression", "gzip")
+     .option("maxRecordsPerFile", file_records).text(path))
+    return path
+
+
+_LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n")
+
+
+def cut(body: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """(header with its empty line, block) of each record of a WARC file's bytes."""
+    at = 0
+    while at < len(body):
+        end = body.find(END, at)
+        length = _LENGTH.search(body, at, end + 2) if end >= 0 else None
+        if length is None:
+            raise ValueError(f"no record header at byte {at}")
+        start = end + len(END)
+        stop = start + int(length[1])
+        if body[stop:stop + len(END)] != END:
+            raise ValueError(f"record at byte {at} does not end where its length says")
+        yield body[at:start], body[start:stop]
+        at = stop + len(END)
+
+
+def _cut_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = Out(pa.schema([("header", pa.binary()), ("block", pa.binary())]))
+    for (content,) in rows_of(batches, "content", rows=1):
+        for header, block in cut(gzip.decompress(content)):
+            yield from out.add((header, block), len(header) + len(block))
+    yield from out.flush()
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(header, block) of every record of the WARC files under ``path``."""
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    return files.mapInArrow(_cut_task, "header binary, block binary")
+
+
+def read_back(found: DataFrame) -> DataFrame:
+    """Per record (header, block) of an archive's files: sizes and digests of the full payload from the block of the
+    record that holds it, the rest from the header bytes."""
+    header = F.col("header")
+    number = lambda name: F.regexp_extract(field(header, name), r"<urn:page:(-?\d+)>", 1)
+    page, ref = number("WARC-Record-ID"), number("WARC-Refers-To")
+    said = F.regexp_extract(field(header, "WARC-Payload-Digest"), r"^sha256:([0-9a-f]{64})$", 1)
+    rows = staged(found.select(
+        F.when(page != "", page).cast("long").alias("page_id"), field(header, "WARC-Type").alias("record_type"),
+        F.when(ref != "", ref).cast("long").alias("refers_to"), said.alias("said"),
+        F.sha2("block", 256).alias("digest"), F.octet_length("block").cast("long").alias("bytes")), "warc_read")
+    broken = F.raise_error(F.concat(F.lit("block does not match digest "), F.col("said")))
+    own = (rows.where("record_type = 'response'")
+           .select("page_id", F.col("bytes").alias("payload_bytes"),
+                   F.when(F.col("digest") == F.col("said"), F.col("digest")).otherwise(broken.cast("string")).alias("payload_digest"),
+                   "record_type", "refers_to"))
+    full = own.groupBy("payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    again = rows.where("record_type = 'revisit'").select("page_id", "said", "record_type", "refers_to")
+    return own.unionByName(again.join(full, F.col("said") == F.col("payload_digest")).drop("said"))
