@@ -49,9 +49,21 @@ def test_top_k_brute_force(spark):
         want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(order)}
     got = topk.top_k(df, F.col("vec_id") % 50 == 0, group=100)
     assert {tuple(r) for r in got.collect()} == want
+    shelved = topk.top_k(df, F.col("vec_id") % 50 == 0, group=30, shelf=4)
+    assert {tuple(r) for r in shelved.collect()} == want
     assert topk.top_k(df.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_sends_queries_only_where_the_bound_reaches(spark):
+    """Groups of short vectors are not visited by queries that found better in their own; unequal lengths are allowed."""
+    rows = [(i, i // 50, [2.0 if i < 50 else 0.25] * (4 if i % 2 else 3)) for i in range(200)]
+    v = spark.createDataFrame([(i, g, [int(256 * x) for x in vec]) for i, g, vec in rows], "vec_id long, grp int, impacts array<bigint>")
+    least = 512 * 512 * 3
+    asked = v.where("vec_id % 25 = 0").withColumn("floor", F.when(F.col("grp") == 0, least).otherwise(512 * 64 * 3).cast("long"))
+    got = {tuple(r) for r in topk.groups_to_visit(v, asked, 4, shelf=3).collect()}
+    assert got == {(q, 0) for q in (50, 75, 100, 125, 150, 175)}
+
+
 @pytest.mark.parametrize("size", [1e4, 1e6])
 def test_top_k_of_large_components(spark, size):
     """Integers beyond 2^31 in single components, and scores near the end of a long."""

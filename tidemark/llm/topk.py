@@ -11,9 +11,11 @@ may hold a tie with a smaller id.
 
 Plan: ids are range-partitioned into groups of about ``GROUP`` vectors.  Pass 1
 searches each query in its own group only; that gives a valid lower bound of its
-final k-th score.  Pass 2 sends each query with that bound to every other group
-(stated queries against all rows, in blocks; no cross join) and keeps at most k
-rows per query and group; a per-query window merges them.  A task holds one
+final k-th score.  The same bounds then choose groups before anything is sent: ranges of a group
+keep their extremes, ``SHELF`` groups make a shelf, and a task holds one shelf's extremes
+while the queries stream past (stated queries against all rows, in blocks; no cross
+join).  Pass 2 sends a query only to the groups whose bound reaches its k-th score and keeps
+at most k rows per query and group; a per-query window merges them.  A task holds one
 group's matrix at a time and streams the queries past it.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take
@@ -38,6 +40,7 @@ from tidemark.llm.common import ship, staged
 
 BLOCK = 64
 GROUP = 8192
+SHELF = 4096
 HITS = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])
 LARGEST = float(2**62)
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
@@ -65,6 +68,14 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return out
 
 
+def upper_bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray, reach: int) -> np.ndarray:
+    """Per query and block the sum over terms of ``max(q*high, q*low)``; ``reach`` bounds every partial sum."""
+    kind = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
+    pos, neg = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
+    out = pos @ high.T.astype(kind) + neg @ low.T.astype(kind)
+    return (np.minimum(np.maximum(out, LOWEST + 1), HIGHEST) if kind is object else out).astype(np.int64)  # scores are longs
+
+
 class BlockIndex:
     """Forward indexes and per-term extremes of the blocks of one group."""
 
@@ -95,11 +106,7 @@ class BlockIndex:
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """The largest score that a query can have in each block."""
-        reach = self._reach(queries)
-        kind = np.float64 if reach < 2**53 else np.int64 if reach < 2**63 else object
-        pos, neg = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
-        out = pos @ self.high.T.astype(kind) + neg @ self.low.T.astype(kind)
-        return (np.minimum(np.maximum(out, LOWEST + 1), HIGHEST) if kind is object else out).astype(np.int64)  # scores are longs
+        return upper_bounds(queries, self.high, self.low, self._reach(queries))
 
     def search(self, qids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int):
         """Best k (ids, scores) per query with score >= floor; unused places hold the id maximum and None-score minimum."""
@@ -141,12 +148,12 @@ def _hits(qids, ids, scores, floor) -> pa.RecordBatch:
     return pa.record_batch([pa.array(x[keep]) for x in (q, ids, scores)], names=["query_id", "vec_id", "score"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
-    """(group, kind, rows) runs of batches sorted by group and kind."""
+def _groups(batches: Iterator[pa.RecordBatch], by: str = "grp") -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """(group, kind, rows) runs of batches sorted by group (or another number) and kind."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        g = batch.column(batch.schema.get_field_index("grp")).to_numpy(zero_copy_only=False)
+        g = batch.column(batch.schema.get_field_index(by)).to_numpy(zero_copy_only=False)
         kind = batch.column(batch.schema.get_field_index("kind")).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero((np.diff(g) != 0) | (np.diff(kind) != 0)) + 1), len(g)]
         for a, b in zip(cuts, cuts[1:]):
@@ -167,9 +174,7 @@ def _search_task(k: int):
             if index is None:
                 if not parts:
                     continue
-                width = max(p[1].shape[1] for p in parts)
-                index = BlockIndex(np.concatenate([p[0] for p in parts]),
-                                   np.concatenate([np.pad(p[1], ((0, 0), (0, width - p[1].shape[1]))) for p in parts]))
+                index = BlockIndex(np.concatenate([p[0] for p in parts]), _pad([p[1] for p in parts]))
                 parts = []
             floor = rows.column(rows.schema.get_field_index("floor")).to_numpy(zero_copy_only=False).astype(np.int64)
             for at in range(0, len(ids), 2048):
@@ -179,8 +184,64 @@ def _search_task(k: int):
     return run
 
 
+def _extremes_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per run of a group's rows the largest and smallest impact of every term."""
+    for batch in batches:
+        for g, _, rows in _groups([batch]):
+            m = _matrix(rows.column(rows.schema.get_field_index("impacts")))
+            yield pa.record_batch([pa.array([g], pa.int32()), pa.array([m.max(axis=0)]), pa.array([m.min(axis=0)])],
+                                  names=["grp", "high", "low"])
+
+
+def _pad(parts: list[np.ndarray]) -> np.ndarray:
+    width = max(p.shape[1] for p in parts)
+    return np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in parts])
+
+
+def _choose_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shelf and kind: the shelf's extremes, then queries; gives the groups that each query has to visit."""
+    shelf, parts, held = None, [], None
+    for s, kind, rows in _groups(batches, "shelf"):
+        if s != shelf:
+            shelf, parts, held = s, [], None
+        col = lambda name: rows.column(rows.schema.get_field_index(name))
+        if kind == 0:
+            parts.append((col("grp").to_numpy(), _matrix(col("impacts")), _matrix(col("low"))))
+            continue
+        if held is None:
+            groups, high, low = (f([p[i] for p in parts]) for i, f in enumerate((np.concatenate, _pad, _pad)))
+            by = np.argsort(groups, kind="stable")
+            held = groups[by], high[by], low[by]
+            most = max(int(np.abs(high).max(initial=0)), int(np.abs(low).max(initial=0)))
+            parts = []
+        groups, high, low = held
+        first = np.flatnonzero(np.diff(groups, prepend=-1))
+        q, ids, home = _matrix(col("impacts")), col("vec_id").to_numpy(), col("grp").to_numpy()
+        floor = col("floor").to_numpy()
+        width = min(q.shape[1], high.shape[1])
+        for at in range(0, len(ids), 1024):
+            p = slice(at, at + 1024)
+            reach = int(np.abs(q[p]).max(initial=0)) * most * max(1, width)
+            bound = np.maximum.reduceat(upper_bounds(q[p, :width], high[:, :width], low[:, :width], reach), first, axis=1)
+            i, j = np.nonzero((bound >= floor[p, None]) & (groups[first][None, :] != home[p, None]))
+            yield pa.record_batch([pa.array(ids[p][i]), pa.array(groups[first][j].astype(np.int32))], names=["query_id", "grp"])
+
+
+def groups_to_visit(v: DataFrame, queries: DataFrame, groups: int, shelf: int = SHELF) -> DataFrame:
+    """(query_id, grp): the groups but its own in which a query (grp, vec_id, impacts, floor) can have a score of its floor or more."""
+    shelves = -(-groups // shelf)
+    extremes = staged(v.select("grp", F.lit(0).alias("kind"), "impacts")
+                      .mapInArrow(_extremes_task, "grp int, high array<bigint>, low array<bigint>"), "topk_extremes")
+    held = extremes.select(F.floor(F.col("grp") / shelf).cast("int").alias("shelf"), F.lit(0).alias("kind"), "grp", F.lit(0).cast("long").alias("vec_id"),
+                           F.col("high").alias("impacts"), "low", F.lit(0).cast("long").alias("floor"))
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.lit(1).alias("kind"), "grp", "vec_id",
+                           "impacts", F.lit(None).cast("array<bigint>").alias("low"), "floor")
+    rows = held.unionByName(asked).repartition(shelves, "shelf").sortWithinPartitions("shelf", "kind")
+    return rows.mapInArrow(_choose_task, "query_id long, grp int")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-          scale: int = 256, group: int = GROUP) -> DataFrame:
+          scale: int = 256, group: int = GROUP, shelf: int = SHELF) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best rows of ``vectors``, ties to the smaller id.
 
     ``is_query`` is a condition over a column named ``vec_id``.
@@ -203,12 +264,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     own = staged(search(queries.withColumn("floor", lowest)), "topk_own")
     kth = own.groupBy("query_id").agg(F.min("score").alias("low"), F.count("*").alias("n"))
     groups = v.agg((F.max("grp") + 1).alias("n")).first()["n"] or 0
-    rest = F.filter(F.sequence(F.lit(0), F.lit(max(groups - 1, 0))), lambda g: g != F.col("home"))
-    elsewhere = (queries.withColumnRenamed("grp", "home")
-                 .join(kth, F.col("query_id") == F.col("vec_id"), "left")
-                 .withColumn("floor", F.when(F.col("n") >= k, F.col("low")).otherwise(lowest))
-                 .withColumn("grp", F.explode(rest)))
-    hits = own.unionByName(search(elsewhere)) if groups > 1 else own
+    if groups > 1:
+        asked = staged(queries.join(kth, F.col("query_id") == F.col("vec_id"), "left")
+                       .select("grp", "vec_id", "impacts", F.when(F.col("n") >= k, F.col("low")).otherwise(lowest).alias("floor")), "topk_asked")
+        visits = groups_to_visit(v, asked, groups, shelf)
+        hits = own.unionByName(search(visits.join(asked.drop("grp"), F.col("query_id") == F.col("vec_id"))))
+    else:
+        hits = own
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
