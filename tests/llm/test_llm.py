@@ -106,7 +106,30 @@ def test_html_with_a_megabyte_of_stray_tags_is_linear():
         assert time.time() - start < 20
 
 
-def test_near_duplicates_brute_force(spark):
+def test_estimates_count_bits():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 2**32, (50, near_dup.ROWS * near_dup.BANDS)).astype(np.uint32)
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 2**32, a.shape)).astype(np.uint32)
+    pack = lambda m: near_dup.planes(np.stack([np.frombuffer(near_dup.signature(x), np.uint8) for x in m]))
+    low = 2**near_dup.BITS
+    same = (a % low == b % low).mean(axis=1)
+    assert np.allclose(near_dup.estimates(pack(a), pack(b)), (same - 1 / low) / (1 - 1 / low))
+    assert np.abs(near_dup.estimates(pack(a), pack(b)) - (a == b).mean(axis=1)).max() < 0.15
+
+
+def test_near_duplicates_rows_that_share_an_id(spark):
+    """Rows of one id are one document with all their texts: 3 and 9 meet through the id 4, whatever text comes first."""
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(4, a), (4, b), (4, a), (9, a + " x"), (3, "y " + b), (4, None), (7, "some other words that stand alone"), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in near_dup.near_duplicates(df).collect()}
+    assert got == {(4, 26, 3), (4, 0, 4), (9, 27, 3), (3, 27, 3), (7, 2, 7), (7, 0, 7)}
+
+
+@pytest.mark.parametrize("tile,part", [(near_dup.TILE, near_dup.PART), (4, 8)])
+def test_near_duplicates_brute_force(spark, monkeypatch, tile, part):
+    monkeypatch.setattr(near_dup, "TILE", tile)
+    monkeypatch.setattr(near_dup, "PART", part)
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(300)]
     base = [words[i] for i in rng.integers(0, 300, 60)]

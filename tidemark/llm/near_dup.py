@@ -12,11 +12,13 @@ linked; a group is a connected component of links.
    components, so a large bucket of copies of one text is mostly settled by as many
    checks as it has members.
 4. *Nearest round*, then *closing round*: only members outside a bucket's largest
-   component are compared with the bucket, by signature: matching bytes, corrected for
-   chance collisions, estimate the similarity.  The nearest round checks the best partner of each;
+   component are compared with the bucket, by signature: the low ``BITS`` bits of each minimum lie
+   in bit planes, the planes of two texts are XORed and ORed, and the count of bits left, corrected for
+   chance collisions, estimates the similarity.  The nearest round checks the best partner of each;
    the closing round checks **every** pair of different components whose estimate is within
    ``MARGIN`` (five standard deviations) of the threshold.  Pairs inside a component need no check.
-   The outsiders of a bucket are cut into tiles of bounded size and the bucket streams past each tile.
+   The outsiders of a bucket are cut into tiles and its members into parts, both of bounded size;
+   a task takes one part past one tile.
 5. A link counts only if the full shingle sets confirm it: 100 * |A and B| >= 75 * |A or B|.
 6. Components: smallest reachable id by label propagation with pointer jumping; each
    step is a reliable checkpoint.
@@ -27,7 +29,8 @@ equi-joins that adaptive execution can split, and checks of one hub are salted.
 
 Defined cases: null, empty and white-space texts have no shingles and no links
 (component_id = doc_id, kept); fewer than five words make one shingle; equal texts
-share a component; repeated rows of an id give a row each; a null doc_id gives
+share a component; repeated rows of an id give a row each, are one document with all
+their texts (what any of them links is in one component) and may all be kept; a null doc_id gives
 component_id null and kept true and links nothing.  Empty tables give empty results.
 """
 
@@ -48,9 +51,12 @@ from tidemark.llm.common import Out, checkpointed, id_and_text, only_cache, rows
 SHINGLE = 5
 ROWS, BANDS = 4, 40
 PERCENT = 75
-MARGIN = 0.17
-CHANCE = 1 / 65536  # two different minima share their low 16 bits
+BITS = 4  # low bits of a minimum that the estimate compares
+CHANCE = 2.0**-BITS  # two different minima share them
+MARGIN = 0.18
 TILE = 256
+PART = 1024
+SALTS = 16
 SEED = 20240229
 
 _U = np.uint64
@@ -113,6 +119,20 @@ def signature(m: np.ndarray) -> bytes:
     return m.astype("<u2").tobytes()
 
 
+def planes(sigs: np.ndarray) -> np.ndarray:
+    """Bit planes of packed signatures: row, plane, 64-bit word; the last word is filled up with zeros."""
+    lanes = sigs.view("<u2")
+    bits = (lanes[:, None, :] >> np.arange(BITS, dtype=np.uint16)[None, :, None]) & np.uint16(1)
+    packed = np.packbits(bits.astype(np.uint8), axis=2)
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, 0), (0, -packed.shape[2] % 8)))).view(_U)
+
+
+def estimates(a: np.ndarray, b: np.ndarray, minima: int = ROWS * BANDS) -> np.ndarray:
+    """Similarity of pairs of rows of planes: minima that differ are counted as bits, chance collisions taken off."""
+    differ = np.bitwise_count(np.bitwise_or.reduce(a ^ b, axis=1)).sum(axis=1, dtype=np.int64)
+    return (1 - differ / minima - CHANCE) / (1 - CHANCE)
+
+
 def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     only_cache(_WORDS)
     by = multipliers()
@@ -140,18 +160,19 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _confirm_task(percent: int):
-    """Rows sorted by hub and kind: the hub's text, then the texts to check against it."""
+    """Rows sorted by hub and kind: the hub's texts (mostly one), then the texts to check against it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_cache(_WORDS)
         out = Out(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
         hub = salt_of = own = None
         for a, salt, kind, b, body in rows_of(batches, "a", "salt", "kind", "id", "body"):
             s = shingles(body)
+            if (a, salt) != (hub, salt_of):
+                hub, salt_of, own = a, salt, []
             if kind == 0:
-                hub, salt_of, own = a, salt, s
-            elif (a, salt) == (hub, salt_of):
-                if linked(own, s, percent):
-                    yield from out.add((a, b))
+                own.append(s)
+            elif any(linked(o, s, percent) for o in own):
+                yield from out.add((a, b))
         yield from out.flush()
     return run
 
@@ -175,8 +196,14 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = edges.join(labels.select(F.col("id").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
         step = labels.join(near, F.col("id") == F.col("u")).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = step.select(F.col("id").alias("to"), F.col("label").alias("further"))
-        new = checkpointed(step.join(jump, F.col("label") == F.col("to"), "left")
+        step = checkpointed(step)
+        # few labels lead further; a label may be shared by a third of all ids, so the join back is salted
+        heads = step.select(F.col("label").alias("head")).distinct()
+        jump = (step.where("label < id").select(F.col("id").alias("to"), F.col("label").alias("further"))
+                .join(heads, F.col("to") == F.col("head"), "left_semi")
+                .withColumn("to_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+        salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+        new = checkpointed(step.join(jump, (F.col("label") == F.col("to")) & (salt == F.col("to_salt")), "left")
                            .select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
         labels = new.select("id", "label")
         if new.where("old <> label").isEmpty():
@@ -193,7 +220,7 @@ class _Tile:
 
     def pack(self) -> None:
         self.ids, self.comps, sigs, _ = _columns(self.rows)
-        self.lanes, self.words = sigs.view("<u2"), sigs.view("<i8")
+        self.planes, self.words = planes(sigs), sigs.view("<i8")
         self.score = np.zeros(len(self.ids))
         self.partner = np.zeros(len(self.ids), np.int64)
 
@@ -202,7 +229,7 @@ class _Tile:
         if self.ids is None:
             self.pack()
         ids, comps, sigs, outside = _columns(rows)
-        lanes, words = sigs.view("<u2"), sigs.view("<i8")
+        bits, words = planes(sigs), sigs.view("<i8")
         wanted = self.comps[:, None] != comps[None, :]
         if not self.best_only:
             wanted &= ~outside[None, :] | (self.ids[:, None] < ids[None, :])  # two outsiders meet twice
@@ -210,11 +237,10 @@ class _Tile:
                 earlier = (self.words[:, None, :self.band] == words[None, :, :self.band]).any(axis=2)
                 wanted &= ~earlier
         i, j = np.nonzero(wanted)
-        same = np.empty(len(i))
+        est = np.empty(len(i))
         for at in range(0, len(i), 8192):
             p = slice(at, at + 8192)
-            same[p] = (self.lanes[i[p]] == lanes[j[p]]).mean(axis=1)
-        est = (same - CHANCE) / (1 - CHANCE)
+            est[p] = estimates(self.planes[i[p]], bits[j[p]])
         ok = est >= self.least
         i, j, est = i[ok], j[ok], est[ok]
         if not self.best_only:
@@ -236,32 +262,35 @@ def _columns(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 def _nearest_task(best_only: bool, least: float):
-    """Rows sorted by bucket, tile and kind: a tile of a bucket's outsiders, then all members of the bucket."""
+    """Rows sorted by bucket, tile, part and kind: a tile of a bucket's outsiders, then a part of the bucket's members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("tile", pa.int32()), ("b", pa.int64()), ("outsiders", pa.list_(pa.int64()))])
+        schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("tile", pa.int32()), ("part", pa.int32()), ("b", pa.int64()),
+                            ("outsiders", pa.list_(pa.int64())), ("score", pa.float64())])
         at, tile, members = None, None, []
         out = Out(schema)
 
         def send():
             if members and tile.rows:
                 for b, wanted in tile.past(members):
-                    yield from out.add((*at, b, wanted), 8 * len(wanted))
+                    yield from out.add((*at, b, wanted, None), 8 * len(wanted))
             members.clear()
 
         def end():
             yield from send()
             if best_only and tile is not None and tile.ids is not None:
-                for own, mate in zip(tile.ids[tile.score > 0].tolist(), tile.partner[tile.score > 0].tolist()):
-                    yield from out.add((*at, mate, [own]))
+                some = tile.score > 0
+                for own, mate, score in zip(tile.ids[some].tolist(), tile.partner[some].tolist(), tile.score[some].tolist()):
+                    yield from out.add((*at, mate, [own], score))
 
-        for band, key, part, kind, *row in rows_of(batches, "band", "key", "tile", "kind", "id", "comp", "sig", "outside"):
-            if (band, key, part) != at:
+        for *place, kind, doc, comp, sig, outside in rows_of(batches, *KEY, "kind", "id", "comp", "sig", "outside"):
+            if tuple(place) != at:
                 yield from end()
-                at, tile = (band, key, part), _Tile(band, best_only, least)
+                at, tile = tuple(place), _Tile(place[0], best_only, least)
+            row = doc, comp, sig, outside
             if kind == 0:
-                tile.rows.append(tuple(row))
+                tile.rows.append(row)
             else:
-                members.append(tuple(row))
+                members.append(row)
                 if len(members) >= TILE:
                     yield from send()
         yield from end()
@@ -269,33 +298,35 @@ def _nearest_task(best_only: bool, least: float):
     return run
 
 
-KEY = ["band", "key", "tile"]
+KEY = ["band", "key", "tile", "part"]
+LISTS = "band int, key long, tile int, part int, b long, outsiders array<bigint>, score double"
 
 
-def open_lists(members: DataFrame, labels: DataFrame, sigs: DataFrame, best_only: bool, least: float) -> tuple[DataFrame, DataFrame]:
+def open_lists(members: DataFrame, labels: DataFrame, sigs: DataFrame, best_only: bool, least: float) -> DataFrame:
     """Candidates between different components of a bucket whose estimate is at least ``least``.
 
     Only members outside their bucket's largest component are compared with the
-    bucket.  Gives (tile, b, outsiders): a member and those of a tile's outsiders to check it with; and
-    (tile, id): the outsiders themselves.  ``best_only`` keeps each outsider's best partner per
-    bucket; otherwise every pair comes once, from the first band that it shares.
+    bucket.  Gives (tile, part, b, outsiders, score): a member and those of a tile's outsiders to check it
+    with.  ``best_only`` keeps each outsider's best partner per
+    part of a bucket, with its estimate; otherwise every pair comes once, from the first band that it shares.
     """
     m = members.join(labels, "id", "left").withColumn("comp", F.coalesce("label", "id")).select("band", "key", "id", "comp")
     m = checkpointed(m)
     sizes = m.groupBy("band", "key", "comp").agg(F.count("*").alias("n"))
     top = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
     unsettled = top.where("all > top.n").select("band", "key", F.col("top.comp").alias("main"),
-                                                F.ceil((F.col("all") - F.col("top.n")) / TILE).cast("int").alias("tiles"))
+                                                F.ceil((F.col("all") - F.col("top.n")) / TILE).cast("int").alias("tiles"),
+                                                F.ceil(F.col("all") / PART).cast("int").alias("parts"))
     held = checkpointed(m.join(unsettled, ["band", "key"]).withColumn("outside", F.col("comp") != F.col("main")))
     place = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    outsiders = held.where("outside").withColumn("tile", place)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     signed = held.join(sigs, "id")
     columns = (*KEY, "kind", "id", "comp", "sig", "outside")
-    tiled = signed.where("outside").withColumn("tile", place).withColumn("kind", F.lit(0)).select(*columns)
-    past = signed.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("kind", F.lit(1)).select(*columns)
+    tiled = signed.where("outside").withColumn("tile", place).withColumn("part", each("parts")).withColumn("kind", F.lit(0)).select(*columns)
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
+    past = signed.withColumn("part", part).withColumn("tile", each("tiles")).withColumn("kind", F.lit(1)).select(*columns)
     rows = tiled.unionByName(past).repartition(*KEY).sortWithinPartitions(*KEY, "kind", "id")
-    lists = rows.mapInArrow(_nearest_task(best_only, least), "band int, key long, tile int, b long, outsiders array<bigint>")
-    return staged(lists, "near_lists"), outsiders.select(*KEY, "id")
+    return staged(rows.mapInArrow(_nearest_task(best_only, least), LISTS), "near_lists")
 
 
 def _confirm_lists_task(percent: int):
@@ -304,23 +335,24 @@ def _confirm_lists_task(percent: int):
         only_cache(_WORDS)
         out = Out(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
         at, own = None, {}
-        for band, key, tile, kind, doc, body, wanted in rows_of(batches, *KEY, "kind", "id", "body", "outsiders"):
-            if (band, key, tile) != at:
-                at, own = (band, key, tile), {}
+        for *place, kind, doc, body, wanted in rows_of(batches, *KEY, "kind", "id", "body", "outsiders"):
+            if place != at:
+                at, own = place, {}
             s = shingles(body)
             if kind == 0:
-                own[doc] = s
+                own.setdefault(doc, []).append(s)
                 continue
             for other in wanted:
-                if linked(own[other], s, percent):
+                if any(linked(o, s, percent) for o in own[other]):
                     yield from out.add((min(doc, other), max(doc, other)))
         yield from out.flush()
     return run
 
 
-def confirmed_lists(lists: DataFrame, outsiders: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def confirmed_lists(lists: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) among the pairs of ``lists``; a tile's texts are held once, however many pairs they are in."""
-    own = (outsiders.join(lists.select(*KEY).distinct(), KEY, "left_semi").join(texts, "id")
+    wanted = lists.select(*KEY, F.explode("outsiders").alias("id")).distinct()
+    own = (wanted.join(texts, "id")
            .select(*KEY, F.lit(0).alias("kind"), "id", "body", F.lit(None).cast("array<bigint>").alias("outsiders")))
     rest = lists.join(texts, F.col("b") == F.col("id")).select(*KEY, F.lit(1).alias("kind"), "id", "body", "outsiders")
     rows = own.unionByName(rest).repartition(*KEY).sortWithinPartitions(*KEY, "kind")
@@ -332,29 +364,33 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, margin: float = MAR
     body = id_and_text(docs)
     feats = staged(body.mapInArrow(_feature_task, FEATURES), "near_features")
     classes = checkpointed(feats.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
+    # an id is a rep once for each of its texts (more than one only where rows share an id)
     reps = (feats.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
-            .dropDuplicates(["doc_id"]))
+            .dropDuplicates(["doc_id", "digest"]))
     banded = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
     buckets = (banded.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
                .where("n > 1").select("band", "key", "hub"))
     members = staged(banded.join(buckets, ["band", "key"]), "near_members")
     involved = checkpointed(members.select("id").distinct())
-    texts = (body.join(involved, "id", "left_semi")
-             .select("id", "body").dropDuplicates(["id"]))
-    texts = staged(texts, "near_texts")
-    sigs = checkpointed(feats.select(F.col("doc_id").alias("id"), "sig").join(involved, "id", "left_semi").dropDuplicates(["id"]))
+    texts = staged(body.join(involved, "id", "left_semi").select("id", "body").distinct(), "near_texts")
+    sigs = checkpointed(feats.select(F.col("doc_id").alias("id"), "sig").join(involved, "id", "left_semi").distinct())
+    placed = staged(feats.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+                    .select("doc_id", "n_shingles", "rep"), "near_classes")
+    shared = placed.where("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a < top")
+    same_id = checkpointed(placed.join(shared, "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct())
 
     votes = members.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
     star = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("hub")).alias("hub"))).alias("best"))
-    links = confirmed(star.select((-F.col("best.hub")).alias("a"), F.col("id").alias("b")), texts, percent)
+    links = same_id.union(confirmed(star.select((-F.col("best.hub")).alias("a"), F.col("id").alias("b")), texts, percent))
     least = percent / 100 - margin
-    lists, _ = open_lists(members, components(links), sigs, True, least)
-    nearest = lists.select(F.least("b", F.col("outsiders")[0]).alias("a"), F.greatest("b", F.col("outsiders")[0]).alias("b")).distinct()
+    lists = open_lists(members, components(links), sigs, True, least)
+    best = (lists.groupBy("band", "key", F.col("outsiders")[0].alias("own"))
+            .agg(F.max(F.struct("score", (-F.col("b")).alias("b"))).alias("best")).select("own", (-F.col("best.b")).alias("b")))
+    nearest = best.select(F.least("b", "own").alias("a"), F.greatest("b", "own").alias("b")).distinct()
     links = links.union(confirmed(checkpointed(nearest), texts, percent))
-    lists, outsiders = open_lists(members, components(links), sigs, False, least)
-    links = links.union(confirmed_lists(lists, outsiders, texts, percent))
+    lists = open_lists(members, components(links), sigs, False, least)
+    links = links.union(confirmed_lists(lists, texts, percent))
     label = components(links)
-    rep = feats.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    own = rep.join(label.withColumnRenamed("id", "rep"), "rep", "left")
+    own = placed.join(label.withColumnRenamed("id", "rep"), "rep", "left")
     out = own.select("doc_id", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
