@@ -394,6 +394,36 @@ def test_pii_field_on_its_table():
     assert right >= 0.9 * len(pii.LABELLED)
 
 
+def test_toxicity_learns_swap_groups(spark):
+    """A word that goes with the label by chance, mostly in clean texts, is swapped; its weight falls, the toxic word stays."""
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    plain = [f"n{chr(97 + a)}{chr(97 + b)}" for a in range(26) for b in range(26)]
+    for i in range(1500):
+        bad = i % 10 == 0
+        words = [plain[j] for j in rng.integers(0, len(plain), 30)]
+        if rng.random() < (0.5 if bad else 0.08):
+            words[rng.integers(1, 29)] = "zebra"
+        words += ["idiotic"] * bad
+        rows.append((i, " ".join(words) + ". " + plain[i % 9], None, "s", None, 0, ""))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model, plain_model = (toxicity.fit(docs, lab, learn_groups=g) for g in (True, False))
+    assert b"zebra" in model.learned and b"idiotic" not in model.learned and model.swapped["learned"] > 100 and not plain_model.swapped
+    pull = {w: [sum(m.weights.get(f, 0) for f in toxicity.features_of({w})) for m in (model, plain_model)] for w in (b"zebra", b"idiotic")}
+    assert abs(pull[b"zebra"][0]) < 0.5 * abs(pull[b"zebra"][1]) and pull[b"idiotic"][0] > 2
+    got = toxicity.score(docs, model).where("held_out").collect()
+    assert all(r.predicted == (r.doc_id % 10 == 0) for r in got)
+    empty = toxicity.score(docs.where("false"), toxicity.fit(docs.where("false"), lab))
+    assert empty.count() == 0
+
+
+def test_sentences_of_a_text():
+    assert toxicity.sentences("A b, C! d\ne-f...".encode()) == [[b"a", b"b", b"c"], [b"d"], [b"e", b"f"]]
+    assert toxicity.sentences(None) == toxicity.sentences(b"") == toxicity.sentences(b" .! ") == []
+
+
 def test_toxicity_learns_and_swaps_are_neutral(spark):
     rng = np.random.default_rng(5)
     rows, labels = [], []

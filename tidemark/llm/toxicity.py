@@ -3,16 +3,22 @@
 Features of a text are the words in it and the first four, five and six letters of
 its words, each present or not.  The classifier is a logistic regression over a
 dictionary of at most ``DICTIONARY`` features, chosen by their association with the
-label.  Besides the label loss the fit pays for *counterfactual changes*: where a
-labelled text holds an identity term, the term is swapped for others of its kind, and
-the squared change of the score (as log-odds) is added to the loss with weight
-``SWAP_WEIGHT``.  So an identity term by itself cannot move a score, whatever company it keeps in
-the labelled texts.
+label.  Besides the label loss the fit pays for *counterfactual changes*: in every sentence
+of a labelled text that holds a swap term, the term is swapped for others of its group, and
+the mean squared change of the sentence's score (as log-odds) is added to the loss with weight
+``SWAP_WEIGHT``.  So a swap term by itself cannot move a score, whatever company it keeps in
+the labelled texts.  Two kinds of groups take part, each with its own mean:
+
+* ``IDENTITY_TERMS``, a stated list;
+* groups learned from the labelled rows: a word that pulls the label although most texts with it are clean
+  (a feature of it is in the dictionary, at most half of its weighted rows are toxic) is grouped with the ``PARTNERS``
+  neutral words (no feature in the dictionary) whose neighbouring words are most alike.
 
 The fit uses a sample of labelled rows, ``SAMPLE`` per class at most (expected size; rows
 are chosen by a hash of their id, and the loss weighs them back to the full counts).
-Feature counts are Spark aggregates over that sample; only the chosen features'
-0/1 rows come to the driver.  Scoring is one pass over all documents without a
+Feature counts, neighbour counts and swaps are Spark aggregates over that sample; only the chosen features'
+0/1 rows, neighbour counts of at most ``TERMS`` and ``NEUTRAL`` words and the distinct swaps come to the driver.
+A fit takes at most ``CANDIDATES`` features of toxic rows, the most frequent, into the choice of its dictionary.  Scoring is one pass over all documents without a
 shuffle; the model it broadcasts has at most ``DICTIONARY`` weights.
 
 Defined cases: null and empty texts have no features and get the score of the
@@ -25,6 +31,8 @@ doc_ids are scored, never learned from, and held_out is false.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,6 +51,9 @@ CANDIDATES = 500_000
 MIN_DOCS = 4
 SWAP_WEIGHT = 1.0
 RIDGE = 0.02
+TERMS, NEUTRAL, PARTNERS = 256, 1024, 2
+CONTEXTS = 256  # neighbouring words are counted by hash
+NEUTRAL_SHARE = 64  # one in so many words, by hash, may be a partner
 THRESHOLD = 0.3
 
 # Identity terms by kind: a swap stays within a kind.  Fixed values, chosen for this build; a parameter of ``fit``.
@@ -83,14 +94,18 @@ def features_of(words: set[bytes]) -> set[int]:
     return set().union(*map(_FEATURES.__getitem__, words))
 
 
-def swaps(words: set[bytes], kinds=IDENTITY_TERMS) -> list[set[bytes]]:
-    """The word set after swapping each identity term in it for the others of its kind, one at a time."""
-    out = []
+def sentences(body: bytes | None) -> list[list[bytes]]:
+    """Words of each sentence, in order."""
+    low = body.decode().lower().encode() if body else b""
+    return [words for part in re.split(rb"[.!?\n]+", low) if (words := part.translate(_LETTERS).split())]
+
+
+def partners(kinds=IDENTITY_TERMS) -> dict[bytes, list[bytes]]:
+    """Each term's replacements: the others of its kinds."""
+    out: dict[bytes, list[bytes]] = {}
     for kind in kinds:
-        terms = [t.encode() for t in kind]
-        for t in terms:
-            if t in words:
-                out += [(words - {t}) | {other} for other in terms if other != t]
+        for t in kind:
+            out.setdefault(t.encode(), []).extend(o.encode() for o in kind if o != t)
     return out
 
 
@@ -99,6 +114,8 @@ class Model:
     """Log-odds = intercept + sum of the weights of the features present."""
     intercept: float = 0.0
     weights: dict[int, float] = field(default_factory=dict)
+    swapped: dict[str, int] = field(default_factory=dict)  # swaps in labelled sentences, by kind of group
+    learned: dict[bytes, list[bytes]] = field(default_factory=dict)  # terms found, with their partners
 
     def score(self, words: set[bytes], known: dict) -> float:
         w = self.weights
@@ -120,26 +137,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _present_task(wanted=None, kinds=IDENTITY_TERMS):
-    """Per labelled document its features (only those in ``wanted``, if given) and those gained or lost by identity swaps."""
+def _present_task(wanted=None):
+    """Per labelled document its features (only those in ``wanted``, if given)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_cache(_FEATURES)
         keep = None if wanted is None else wanted.value
-        list_type = pa.list_(pa.int64())
-        out = Out(pa.schema([("toxic", pa.int32()), ("features", list_type), ("gained", pa.list_(list_type)), ("lost", pa.list_(list_type))]))
+        out = Out(pa.schema([("toxic", pa.int32()), ("features", pa.list_(pa.int64()))]))
         for toxic, body in rows_of(batches, "toxic", "body"):
-            words = words_of(body)
-            own = features_of(words)
+            own = features_of(words_of(body))
             if keep is not None:
                 own &= keep
-            gained, lost = [], []
-            for other in swaps(words, kinds):
-                theirs = features_of(other)
-                if keep is not None:
-                    theirs &= keep
-                gained.append(sorted(theirs - own))
-                lost.append(sorted(own - theirs))
-            yield from out.add((toxic, sorted(own), gained, lost), 8 * len(own))
+            yield from out.add((toxic, sorted(own)), 8 * len(own))
         yield from out.flush()
     return run
 
@@ -148,21 +156,109 @@ def _number_task(shared):
     """Features as dictionary numbers; those outside the dictionary go."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = shared.value
-        cut = lambda fs: [number[f] for f in fs if f in number]
-        list_type = pa.list_(pa.int64())
-        out = Out(pa.schema([("toxic", pa.int32()), ("features", list_type), ("gained", pa.list_(list_type)), ("lost", pa.list_(list_type))]))
-        for toxic, own, gained, lost in rows_of(batches, "toxic", "features", "gained", "lost"):
-            yield from out.add((toxic, cut(own), [cut(g) for g in gained], [cut(x) for x in lost]))
+        out = Out(pa.schema([("toxic", pa.int32()), ("features", pa.list_(pa.int64()))]))
+        for toxic, own in rows_of(batches, "toxic", "features"):
+            yield from out.add((toxic, [number[f] for f in own if f in number]))
         yield from out.flush()
     return run
 
 
-ROWS = "toxic int, features array<bigint>, gained array<array<bigint>>, lost array<array<bigint>>"
+ROWS = "toxic int, features array<bigint>"
+
+
+def _context_task(shared):
+    """(word, pulls, context, n): neighbours of words that pull the label without cause, and of some neutral words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(_FEATURES)
+        known, spurious = shared.value
+        kind: dict[bytes, int] = {}
+        counts: Counter = Counter()
+        out = Out(pa.schema([("word", pa.binary()), ("pulls", pa.int32()), ("context", pa.int32()), ("n", pa.int64())]))
+
+        def what(word: bytes) -> int:
+            """1: pulls the label, 0: neutral, -1: neither."""
+            k = kind.get(word)
+            if k is None:
+                if len(kind) > 120_000:
+                    kind.clear()
+                own = [f for f in _FEATURES[word] if f in known]
+                neutral = not own and xxhash.xxh3_64_intdigest(word, 1) % NEUTRAL_SHARE == 0
+                k = kind[word] = 1 if own and all(f in spurious for f in own) else 0 if neutral else -1
+            return k
+
+        def send():
+            for (word, pulls, context), n in counts.items():
+                yield from out.add((word, pulls, context, n))
+            counts.clear()
+
+        for (body,) in rows_of(batches, "body"):
+            if not any(what(w) >= 0 for w in words_of(body)):
+                continue
+            for words in sentences(body):
+                for i, w in enumerate(words):
+                    if (k := what(w)) >= 0:
+                        for near in words[max(i - 1, 0):i] + words[i + 1:i + 2]:
+                            counts[w, k, xxhash.xxh3_64_intdigest(near) % CONTEXTS] += 1
+            if len(counts) > 200_000:
+                yield from send()
+        yield from send()
+        yield from out.flush()
+    return run
+
+
+def learned_groups(labelled: DataFrame, number: dict[int, int], spurious: set[int], terms: int = TERMS, neutral: int = NEUTRAL,
+                   each: int = PARTNERS) -> dict[bytes, list[bytes]]:
+    """Words that pull the label without cause, each with the neutral words of the most alike neighbours."""
+    if not spurious:
+        return {}
+    shared = labelled.sparkSession.sparkContext.broadcast((set(number), spurious))
+    counts = staged(labelled.mapInArrow(_context_task(shared), "word binary, pulls int, context int, n long")
+                    .groupBy("word", "pulls", "context").agg(F.sum("n").alias("n")), "toxicity_contexts")
+    shared.destroy()
+    totals = counts.groupBy("word", "pulls").agg(F.sum("n").alias("total"))
+    pick = [totals.where(f"pulls = {k}").orderBy(F.desc("total"), "word").limit(n) for k, n in ((1, terms), (0, neutral))]
+    chosen = pick[0].unionByName(pick[1]).select("word", "pulls")
+    rows = counts.join(F.broadcast(chosen), ["word", "pulls"]).collect()  # at most (terms + neutral) * CONTEXTS numbers
+    words = {k: sorted({bytes(r["word"]) for r in rows if r["pulls"] == k}) for k in (0, 1)}
+    if not words[0] or not words[1]:
+        return {}
+    place = {(k, w): i for k in words for i, w in enumerate(words[k])}
+    m = {k: np.zeros((len(words[k]), CONTEXTS)) for k in words}
+    for r in rows:
+        m[r["pulls"]][place[r["pulls"], bytes(r["word"])], r["context"]] = r["n"]
+    unit = {k: np.sqrt(x / x.sum(axis=1, keepdims=True)) for k, x in m.items()}  # cosine of the roots: shared probability
+    best = np.argsort(-(unit[1] @ unit[0].T), axis=1, kind="stable")[:, :each]
+    return {w: [words[0][j] for j in best[i]] for i, w in enumerate(words[1])}
+
+
+def _swap_task(shared):
+    """(kind, gained, lost): dictionary features that a sentence gains and loses by a swap, for swaps that change any."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_cache(_FEATURES)
+        number, groups = shared.value
+        cut = lambda fs: sorted(number[f] for f in fs if f in number)
+        out = Out(pa.schema([("kind", pa.int32()), ("gained", pa.list_(pa.int64())), ("lost", pa.list_(pa.int64()))]))
+        terms = set().union(*groups)
+        for (body,) in rows_of(batches, "body"):
+            if terms.isdisjoint(words_of(body)):
+                continue
+            for words in map(set, sentences(body)):
+                for term in sorted(words & terms):
+                    rest = features_of(words - {term})
+                    lost = features_of({term}) - rest
+                    for kind, group in enumerate(groups):
+                        for other in group.get(term, ()):
+                            new = features_of({other}) - rest
+                            yield from out.add((kind, cut(new - lost), cut(lost - new)))
+        yield from out.flush()
+    return run
 
 
 def solve(y: np.ndarray, rows: list[np.ndarray], weight: np.ndarray, gained: list, lost: list, swap_weight: np.ndarray, n: int,
           ridge: float = RIDGE, steps: int = 400) -> tuple[float, np.ndarray]:
-    """Intercept and weights of the regularised logistic regression (full-batch Adam; deterministic)."""
+    """Intercept and weights of the regularised logistic regression (full-batch Adam; deterministic).
+
+    ``swap_weight`` is the weight of each swap's squared change in the loss."""
     def flat(parts):
         sizes = np.array([len(p) for p in parts], np.int64)
         return (np.concatenate(parts).astype(np.int64) if sizes.sum() else np.empty(0, np.int64)), np.repeat(np.arange(len(parts)), sizes)
@@ -183,7 +279,7 @@ def solve(y: np.ndarray, rows: list[np.ndarray], weight: np.ndarray, gained: lis
         grad[n] = error.sum()
         if len(gained):
             change = np.bincount(plus_row, x[plus], len(gained)) - np.bincount(minus_row, x[minus], len(gained))
-            pull = 2 * swap_weight * change / len(gained)
+            pull = 2 * swap_weight * change
             grad[:n] += np.bincount(plus, pull[plus_row], n) - np.bincount(minus, pull[minus_row], n)
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.999 * m2 + 0.001 * grad * grad
@@ -193,7 +289,7 @@ def solve(y: np.ndarray, rows: list[np.ndarray], weight: np.ndarray, gained: lis
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dictionary: int = DICTIONARY, swap_weight: float = SWAP_WEIGHT,
-        kinds=IDENTITY_TERMS) -> Model:
+        kinds=IDENTITY_TERMS, learn_groups: bool = True) -> Model:
     """Learn from the labelled documents that are not held out."""
     spark = docs.sparkSession
     known = (labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -208,10 +304,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dictionary: in
     # bounded by `sample` per class, so it may be broadcast: no text is shuffled
     labelled = id_and_text(docs).join(F.broadcast(staged(chosen, "toxicity_sample")), "id").select("toxic", "body")
 
-    positive = labelled.where("toxic = 1").mapInArrow(_present_task(None, ()), ROWS)
+    positive = labelled.where("toxic = 1").mapInArrow(_present_task(), ROWS)
     counts = positive.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
     wanted = {r["f"] for r in counts.orderBy(F.desc("n"), "f").limit(CANDIDATES).collect()}
-    rows = staged(labelled.mapInArrow(_present_task(spark.sparkContext.broadcast(wanted), kinds), ROWS), "toxicity_rows")
+    candidates = spark.sparkContext.broadcast(wanted)
+    rows = staged(labelled.mapInArrow(_present_task(candidates), ROWS), "toxicity_rows")
+    candidates.destroy()
 
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
@@ -222,20 +320,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dictionary: in
     rate1, rate0 = (F.col("pos") + 0.5) / (n[1] + 1), (F.col("neg") + 0.5) / (n[0] + 1)
     pooled = (F.col("pos") + F.col("neg") + 1) / (n[1] + n[0] + 2)
     z = (rate1 - rate0) / F.sqrt(pooled * (1 - pooled + 1e-9) * (1 / n[1] + 1 / n[0]))
-    best = per.where(F.abs(z) > 4).orderBy(F.desc(F.abs(z)), "f").limit(dictionary).select("f").collect()
+    best = per.where(F.abs(z) > 4).orderBy(F.desc(F.abs(z)), "f").limit(dictionary).select("f", "pos", "neg").collect()
     number = {r["f"]: i for i, r in enumerate(best)}
-
-    slim = rows.mapInArrow(_number_task(spark.sparkContext.broadcast(number)), ROWS)
-    y, cols, plus, minus = [], [], [], []
-    for toxic, own, gained, lost in slim.toLocalIterator():  # a bounded sample, dictionary numbers only
+    each = {1: sizes[1] / n[1], 0: sizes[0] / n[0]}  # what a row of the sample stands for
+    spurious = {r["f"] for r in best if r["pos"] * n[0] > r["neg"] * n[1] and each[1] * r["pos"] <= each[0] * r["neg"]}
+
+    groups = [partners(kinds), learned_groups(labelled, number, spurious) if learn_groups else {}]
+    held = spark.sparkContext.broadcast((number, groups))
+    changes = (labelled.mapInArrow(_swap_task(held), "kind int, gained array<bigint>, lost array<bigint>")
+               .groupBy("kind", "gained", "lost").agg(F.count("*").alias("n")).collect())  # bounded by terms, partners and overlaps
+    held.destroy()
+    numbers = spark.sparkContext.broadcast(number)
+    y, cols = [], []
+    for toxic, own in rows.mapInArrow(_number_task(numbers), ROWS).toLocalIterator():  # a bounded sample, dictionary numbers only
         y.append(toxic)
         cols.append(np.array(own, np.int64))
-        plus += [np.array(g, np.int64) for g in gained]
-        minus += [np.array(x, np.int64) for x in lost]
+    numbers.destroy()
     y = np.array(y, float)
-    weight = np.where(y == 1, sizes[1] / n[1], sizes[0] / n[0])
-    b, w = solve(y, cols, weight, plus, minus, np.full(len(plus), swap_weight), len(number))
-    return Model(b, {f: float(w[i]) for f, i in number.items()})
+    weight = np.where(y == 1, each[1], each[0])
+    total = Counter()
+    for r in changes:
+        total[r["kind"]] += r["n"]
+    changes = sorted(((r["kind"], r["gained"], r["lost"], r["n"]) for r in changes if r["gained"] or r["lost"]))
+    share = np.array([swap_weight * c / total[kind] for kind, _, _, c in changes])
+    b, w = solve(y, cols, weight, [np.array(g, np.int64) for _, g, _, _ in changes], [np.array(x, np.int64) for _, _, x, _ in changes],
+                 share, len(number))
+    return Model(b, {f: float(w[i]) for f, i in number.items()}, {("listed", "learned")[k]: v for k, v in total.items()}, groups[1])
 
 
 SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
