@@ -409,7 +409,7 @@ def test_toxicity_learns_swap_groups(spark):
         labels.append((i, 1, int(bad)))
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    model, plain_model = (toxicity.fit(docs, lab, learn_groups=g) for g in (True, False))
+    model, plain_model = (toxicity.fit(docs, lab, learn_groups=g, neutral_share=16) for g in (True, False))
     assert b"zebra" in model.learned and b"idiotic" not in model.learned and model.swapped["learned"] > 100 and not plain_model.swapped
     pull = {w: [sum(m.weights.get(f, 0) for f in toxicity.features_of({w})) for m in (model, plain_model)] for w in (b"zebra", b"idiotic")}
     assert abs(pull[b"zebra"][0]) < 0.5 * abs(pull[b"zebra"][1]) and pull[b"idiotic"][0] > 2

@@ -53,7 +53,7 @@ SWAP_WEIGHT = 1.0
 RIDGE = 0.02
 TERMS, NEUTRAL, PARTNERS = 256, 1024, 2
 CONTEXTS = 256  # neighbouring words are counted by hash
-NEUTRAL_SHARE = 64  # one in so many words, by hash, may be a partner
+NEUTRAL_SHARE = 512  # one in so many words, by hash, may be a partner
 THRESHOLD = 0.3
 
 # Identity terms by kind: a swap stays within a kind.  Fixed values, chosen for this build; a parameter of ``fit``.
@@ -166,7 +166,7 @@ def _number_task(shared):
 ROWS = "toxic int, features array<bigint>"
 
 
-def _context_task(shared):
+def _context_task(shared, share: int):
     """(word, pulls, context, n): neighbours of words that pull the label without cause, and of some neutral words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_cache(_FEATURES)
@@ -182,7 +182,7 @@ def _context_task(shared):
                 if len(kind) > 120_000:
                     kind.clear()
                 own = [f for f in _FEATURES[word] if f in known]
-                neutral = not own and xxhash.xxh3_64_intdigest(word, 1) % NEUTRAL_SHARE == 0
+                neutral = not own and xxhash.xxh3_64_intdigest(word, 1) % share == 0
                 k = kind[word] = 1 if own and all(f in spurious for f in own) else 0 if neutral else -1
             return k
 
@@ -192,13 +192,14 @@ def _context_task(shared):
             counts.clear()
 
         for (body,) in rows_of(batches, "body"):
-            if not any(what(w) >= 0 for w in words_of(body)):
-                continue
-            for words in sentences(body):
+            hits = {w: k for w in words_of(body) if (k := what(w)) >= 0}
+            for words in sentences(body) if hits else ():
+                if hits.keys().isdisjoint(words):
+                    continue
                 for i, w in enumerate(words):
-                    if (k := what(w)) >= 0:
+                    if w in hits:
                         for near in words[max(i - 1, 0):i] + words[i + 1:i + 2]:
-                            counts[w, k, xxhash.xxh3_64_intdigest(near) % CONTEXTS] += 1
+                            counts[w, hits[w], xxhash.xxh3_64_intdigest(near) % CONTEXTS] += 1
             if len(counts) > 200_000:
                 yield from send()
         yield from send()
@@ -207,12 +208,12 @@ def _context_task(shared):
 
 
 def learned_groups(labelled: DataFrame, number: dict[int, int], spurious: set[int], terms: int = TERMS, neutral: int = NEUTRAL,
-                   each: int = PARTNERS) -> dict[bytes, list[bytes]]:
+                   each: int = PARTNERS, share: int = NEUTRAL_SHARE) -> dict[bytes, list[bytes]]:
     """Words that pull the label without cause, each with the neutral words of the most alike neighbours."""
     if not spurious:
         return {}
     shared = labelled.sparkSession.sparkContext.broadcast((set(number), spurious))
-    counts = staged(labelled.mapInArrow(_context_task(shared), "word binary, pulls int, context int, n long")
+    counts = staged(labelled.mapInArrow(_context_task(shared, share), "word binary, pulls int, context int, n long")
                     .groupBy("word", "pulls", "context").agg(F.sum("n").alias("n")), "toxicity_contexts")
     shared.destroy()
     totals = counts.groupBy("word", "pulls").agg(F.sum("n").alias("total"))
@@ -232,24 +233,46 @@ def learned_groups(labelled: DataFrame, number: dict[int, int], spurious: set[in
 
 
 def _swap_task(shared):
-    """(kind, gained, lost): dictionary features that a sentence gains and loses by a swap, for swaps that change any."""
+    """(kind, gained, lost, n): dictionary features that a sentence gains and loses by a swap, and how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_cache(_FEATURES)
         number, groups = shared.value
-        cut = lambda fs: sorted(number[f] for f in fs if f in number)
-        out = Out(pa.schema([("kind", pa.int32()), ("gained", pa.list_(pa.int64())), ("lost", pa.list_(pa.int64()))]))
         terms = set().union(*groups)
+        known: dict[bytes, tuple[int, ...]] = {}
+        counts: Counter = Counter()
+        out = Out(pa.schema([("kind", pa.int32()), ("gained", pa.list_(pa.int64())), ("lost", pa.list_(pa.int64())), ("n", pa.int64())]))
+
+        def numbers(word: bytes) -> tuple[int, ...]:
+            own = known.get(word)
+            if own is None:
+                if len(known) > 120_000:
+                    known.clear()
+                own = known[word] = tuple(number[f] for f in _FEATURES[word] if f in number)
+            return own
+
+        def send():
+            for (kind, gained, lost), n in counts.items():
+                yield from out.add((kind, gained, lost, n))
+            counts.clear()
+
         for (body,) in rows_of(batches, "body"):
             if terms.isdisjoint(words_of(body)):
                 continue
             for words in map(set, sentences(body)):
-                for term in sorted(words & terms):
-                    rest = features_of(words - {term})
-                    lost = features_of({term}) - rest
+                here = words & terms
+                if not here:
+                    continue
+                times = Counter(f for w in words for f in numbers(w))
+                for term in here:
+                    own = set(numbers(term))
+                    alone = {f for f in own if times[f] == 1}  # no other word of the sentence has them
                     for kind, group in enumerate(groups):
                         for other in group.get(term, ()):
-                            new = features_of({other}) - rest
-                            yield from out.add((kind, cut(new - lost), cut(lost - new)))
+                            new = {f for f in numbers(other) if times[f] == (f in own)}
+                            counts[kind, tuple(sorted(new - alone)), tuple(sorted(alone - new))] += 1
+            if len(counts) > 50_000:
+                yield from send()
+        yield from send()
         yield from out.flush()
     return run
 
@@ -289,7 +312,7 @@ def solve(y: np.ndarray, rows: list[np.ndarray], weight: np.ndarray, gained: lis
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dictionary: int = DICTIONARY, swap_weight: float = SWAP_WEIGHT,
-        kinds=IDENTITY_TERMS, learn_groups: bool = True) -> Model:
+        kinds=IDENTITY_TERMS, learn_groups: bool = True, neutral_share: int = NEUTRAL_SHARE) -> Model:
     """Learn from the labelled documents that are not held out."""
     spark = docs.sparkSession
     known = (labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -325,10 +348,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dictionary: in
     each = {1: sizes[1] / n[1], 0: sizes[0] / n[0]}  # what a row of the sample stands for
     spurious = {r["f"] for r in best if r["pos"] * n[0] > r["neg"] * n[1] and each[1] * r["pos"] <= each[0] * r["neg"]}
 
-    groups = [partners(kinds), learned_groups(labelled, number, spurious) if learn_groups else {}]
+    groups = [partners(kinds), learned_groups(labelled, number, spurious, share=neutral_share) if learn_groups else {}]
     held = spark.sparkContext.broadcast((number, groups))
-    changes = (labelled.mapInArrow(_swap_task(held), "kind int, gained array<bigint>, lost array<bigint>")
-               .groupBy("kind", "gained", "lost").agg(F.count("*").alias("n")).collect())  # bounded by terms, partners and overlaps
+    changes = (labelled.mapInArrow(_swap_task(held), "kind int, gained array<bigint>, lost array<bigint>, n long")
+               .groupBy("kind", "gained", "lost").agg(F.sum("n").alias("n")).collect())  # bounded by terms, partners and overlaps
     held.destroy()
     numbers = spark.sparkContext.broadcast(number)
     y, cols = [], []
