@@ -187,3 +187,34 @@ def test_time_without_a_date_is_null(spark):
     df = spark.createDataFrame([("10:00",), ("2024-01-01T10:00:00Z",), ("1704103200000",)], "t string")
     got = [r[0] is not None for r in df.select(parse_event_time(F.col("t"))).collect()]
     assert got == [False, True, True]
+
+
+def test_derived_messages_are_encoded_once(spark):
+    """No second copy of the encoding in a filter or join condition, and one JSON text for both shapes."""
+    from tidemark.sources import testdata as td
+    for e in ("payments", "transactions", "orders"):
+        plan = td.bronze(spark, "/root/testdata/sf0.001", e)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("StructsToJsonEvaluator") + plan.count("to_json") == 1, e
+
+
+def test_whole_stage_methods_stay_below_the_size_the_jvm_compiles(spark):
+    from tidemark.session import ensure_session_defaults
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    assert ensure_session_defaults(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_image_and_text_in_brackets_follow_the_op(spark):
+    """Each shape, delete or not: the picked image only, strings in brackets kept, objects and arrays null."""
+    def message(op, status, wrapped):
+        other = '{"order_id":9,"status":"OTHER"}'
+        mine = '{"order_id":1,"status":%s}' % status
+        before, after = (mine, other) if op == "d" else (other, mine)
+        body = '{"op":"%s","before":%s,"after":%s,"source":{"ts_ms":5}}' % (op, before, after)
+        return '{"payload":%s}' % body if wrapped else body
+    want = {'"[VIP] a"': "[VIP] a", '{"v":1}': None, '["a"]': None, '"PAID"': "PAID", "null": None}
+    for op in ("d", "u"):
+        for wrapped in (True, False):
+            rows = [(n, message(op, s, wrapped), ts(n)) for n, s in enumerate(want)]
+            topic = spark.createDataFrame(rows, "n long, value string, timestamp timestamp")
+            got = decode_envelope(topic, ORDERS).orderBy("kafka_event_ts").collect()
+            assert [(r.op, r.order_id, r.status, r.source_ts_ms) for r in got] == [(op, 1, w, 5) for w in want.values()]
