@@ -214,7 +214,7 @@ def test_image_and_text_in_brackets_follow_the_op(spark):
     want = {'"[VIP] a"': "[VIP] a", '{"v":1}': None, '["a"]': None, '"PAID"': "PAID", "null": None}
     for op in ("d", "u"):
         for wrapped in (True, False):
-            rows = [(n, message(op, s, wrapped), ts(n)) for n, s in enumerate(want)]
+            rows = [(n, message(op, s, wrapped), dt.datetime(2024, 1, 1, second=n)) for n, s in enumerate(want)]
             topic = spark.createDataFrame(rows, "n long, value string, timestamp timestamp")
             got = decode_envelope(topic, ORDERS).orderBy("kafka_event_ts").collect()
             assert [(r.op, r.order_id, r.status, r.source_ts_ms) for r in got] == [(op, 1, w, 5) for w in want.values()]

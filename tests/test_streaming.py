@@ -267,6 +267,25 @@ def test_console_view_resumes(spark, tmp_path):
     assert [shown("resume"), shown("resume"), shown("replay")] == [20, 20, 60]
 
 
+def test_console_view_shows_the_first_rows_of_all_it_reads(spark, tmp_path, capsys):
+    """Every message is read and decoded once; the first rows of the batch are shown."""
+    from tidemark.functions import envelope_view
+    from tidemark.streaming import start_console
+    value = '{"payload":{"op":"c","after":{"status":"%s"}}}'
+    text = "x" * 500
+    rows = spark.range(0, 20_000, numPartitions=3).selectExpr(
+        "cast(id as string) AS key", f"replace('{value}', '%s', concat('{text}', id)) AS value", "timestamp_millis(id) AS timestamp")
+    rows.write.parquet(str(tmp_path / "topic"))
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda v: seen.add(1) or v, "string").asNondeterministic()
+    view = envelope_view(read_topic(spark, fmt="parquet", path=str(tmp_path / "topic")).withColumn("value", count("value")))
+    q = start_console(view, str(tmp_path / "ck"), name="tail_few", available_now=True)
+    q.awaitTermination()
+    assert sum(p.numInputRows for p in q.recentProgress) == 20_000 and seen.value == 20_000
+    out = capsys.readouterr().out
+    assert "Batch: 0" in out and "only showing top 20 rows" in out and out.count(text) == 20
+
+
 def test_failure_of_one_query_stops_the_unit(spark, tmp_path):
     from tidemark.streaming import await_all
 

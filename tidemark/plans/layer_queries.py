@@ -21,6 +21,7 @@ from tidemark.session import ensure_session_defaults, scratch_path
 from tidemark.sources import testdata as td
 from tidemark.streaming.jobs import (
     INGEST_DATE,
+    TOPIC_SCHEMA,
     BatchTotals,
     bronze_read_schema,
     drain,
@@ -105,11 +106,13 @@ def console_view_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Messages the live view showed: in a first run, in one resumed after the topic came once more, and in a replay."""
     ensure_session_defaults(spark)
     root = scratch_path(spark, "console_view")
-    topic = td.topic_records(spark, sf, "orders")
+    topic = td.topic_records(spark, sf, "orders", spread=True)
     rows = []
-    for run, (mode, more) in enumerate((("resume", True), ("resume", True), ("replay", False))):
-        if more:
-            topic.write.mode("append").parquet(f"{root}/topic")
+    for run, mode in enumerate(("resume", "resume", "replay")):
+        if run == 0:
+            topic.write.parquet(f"{root}/topic")
+        elif run == 1:
+            spark.read.schema(TOPIC_SCHEMA).parquet(f"{root}/topic").write.mode("append").parquet(f"{root}/topic")
         q = start_console(envelope_view(read_topic(spark, fmt="parquet", path=f"{root}/topic"), mode), f"{root}/_ckpt", mode, name=f"orders_view_{mode}",
                           available_now=True, if_running="replace")
         q.awaitTermination()

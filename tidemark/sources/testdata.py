@@ -224,10 +224,16 @@ def _wrapped_for_even_key(spec: EntitySpec) -> Column:
     return F.pmod(k, F.lit(2)) == 0
 
 
-def topic_records(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """Topic records ``(key, value, timestamp)`` for an entity, as a CDC topic holds them."""
+def topic_records(spark: SparkSession, sf_dir: str, entity: str, spread: bool = False) -> DataFrame:
+    """Topic records ``(key, value, timestamp)`` for an entity, as a CDC topic holds them.
+
+    ``spread`` deals the changes by hash, so that arrival order is unrelated to event order and the number of files
+    follows the session, not the tables' files.  They are dealt before they are encoded: typed rows are a fraction of
+    their messages' size."""
     spec = SPECS[entity]
     changes = CHANGE_BUILDERS[entity](spark, sf_dir)
+    if spread:
+        changes = changes.repartition(F.xxhash64("op", "before", "after", "source_ts_ms", "kafka_event_ts"))
     return encode_envelope(changes, spec, wrapped=_wrapped_for_even_key(spec), lsn_col="lsn")
 
 

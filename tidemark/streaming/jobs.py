@@ -32,6 +32,7 @@ TOPIC_SCHEMA = T.StructType([
 ])
 
 INGEST_DATE = "ingest_date"
+CONSOLE_ROWS = 20    # of a batch, as Spark's console sink shows
 COMMIT_INTERVAL = "10 seconds"   # Bronze / Silver commit cadence
 POLL_INTERVAL = "5 seconds"      # Silver polling of Bronze
 RUN_MODES = ("replay", "resume")
@@ -264,13 +265,23 @@ def start_console(
 ) -> StreamingQuery:
     """Live view to the driver console (for humans; not a data sink).
 
+    Every message goes through the view, the first ``CONSOLE_ROWS`` of a batch are shown; no more of it comes to the driver
+    (Spark's console sink collects the whole batch there).
     ``resume`` continues behind the last batch shown, ``replay`` shows the topic from its start."""
     guard_running(df.sparkSession, name, if_running)
-    w = (df.writeStream.format("console").option("truncate", str(truncate).lower()).outputMode("append")
+    w = (df.writeStream.foreachBatch(lambda batch, n: _show_first(batch, n, truncate)).outputMode("append")
          .option("checkpointLocation", run_folder(checkpoint_root, name, mode)).queryName(name))
     return _trigger(w, trigger, available_now).start()
 
 
+def _show_first(batch: DataFrame, batch_id: int, truncate: bool) -> None:
+    # ordered by place, so one pass over all rows keeps the first few of each task
+    first = batch.withColumn("_at", F.monotonically_increasing_id()).orderBy("_at").drop("_at")
+    line = "-" * 43
+    print(f"{line}\nBatch: {batch_id}\n{line}")
+    first.show(CONSOLE_ROWS, truncate)
+
+
 def start_all(starters: list[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
     """Start several queries as one unit; if one fails to start, stop the rest."""
     started: list[StreamingQuery] = []
