@@ -208,3 +208,13 @@ def test_queries_and_oracles_are_all_named(spark):
     from tidemark.plans.oracle import oracle_sql
     assert set(layer_queries.QUERIES) | set(queries.QUERIES) == set(oracle_sql())
     assert not set(layer_queries.QUERIES) & set(queries.QUERIES)
+
+
+def test_buckets_grow_with_the_log(spark, monkeypatch):
+    from tidemark.plans import layer_queries as lq
+    made = []
+    write = lq.write_bucketed
+    monkeypatch.setattr(lq, "write_bucketed", lambda df, table, key, buckets, path=None: made.append(buckets) or write(df, table, key, buckets, path))
+    monkeypatch.setattr(lq, "BUCKET_ROWS", 500)
+    lq._bucketed(spark, "/root/testdata/sf0.001", ("orders", "payments"))
+    assert len(set(made)) == 1 and made[0] > lq.BUCKETS
