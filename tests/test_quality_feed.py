@@ -40,6 +40,17 @@ def test_validate_change_log(spark):
     assert v == {"unexpected_op": 1, "duplicate_event": 1, "out_of_order": 1, "delete_without_before": 1}
 
 
+def test_validate_change_log_null_and_tied_commits_without_a_sort(spark):
+    late, tied, null_only, null_late = 1, 2, 3, 4
+    ev = [("u", late, "A", 1, None, 1), ("u", late, "A", 1, 4, 9), ("u", late, "A", 1, 5, 3),  # the newest arrived before the last
+          ("u", tied, "A", 1, 5, 2), ("c", tied, "A", 1, 5, 8), ("u", tied, "A", 1, 4, 7),  # of one commit the later arrival counts
+          ("u", null_only, "A", 1, None, 2), ("u", null_only, "A", 1, None, 6),
+          ("u", null_late, "A", 1, 1, 2), ("u", null_late, "A", 1, None, 6)]
+    out = quality.validate_change_log(order_bronze(spark, ev), "order_id")
+    assert {r.check_name: r.violations for r in out.collect()}["out_of_order"] == len((late, null_late))
+    assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_change_feed_ops(spark):
     t = dt.datetime(2024, 1, 1)
     sch = ORDERS.payload_schema

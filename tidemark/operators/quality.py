@@ -222,11 +222,16 @@ def validate_change_log(bronze: DataFrame, key: str, allowed_ops: Sequence[str]
     # arrive last
     # (null keys are excluded in the count, not by a filter, so this branch
     # shares the per-event exchange with the totals instead of scanning again)
-    per_key = events.groupBy(key).agg(
-        F.max_by(F.col(arrival_col), F.struct(order_col, arrival_col)).alias("_arr_of_newest"),
-        F.max(arrival_col).alias("_last_arrival"),
+    # one row per commit first: then max_by has no ties to break and compares plain numbers, which Spark
+    # aggregates by hash; a maximum of structs would sort the whole log before and behind the exchange
+    per_commit = events.groupBy(key, order_col).agg(F.max(arrival_col).alias("_arrival"), F.sum("_copies").alias("_copies"))
+    per_key = per_commit.groupBy(key).agg(
+        F.max(order_col).alias("_newest"),
+        F.max_by("_arrival", order_col).alias("_arr_of_newest"),
+        F.max(F.when(F.col(order_col).isNull(), F.col("_arrival"))).alias("_arr_of_null"),  # null is older than any commit
+        F.max("_arrival").alias("_last_arrival"),
         F.sum("_copies").alias("_events"),
-    )
+    ).withColumn("_arr_of_newest", F.when(F.col("_newest").isNull(), F.col("_arr_of_null")).otherwise(F.col("_arr_of_newest")))
     # a key with a single event cannot be out of order
     late = F.col(key).isNotNull() & (F.col("_events") > 1) & (F.col("_arr_of_newest") < F.col("_last_arrival"))
     ooo = per_key.agg(F.count(F.when(late, F.lit(1))).cast("long").alias("v"))
