@@ -126,6 +126,19 @@ def test_near_duplicates_rows_that_share_an_id(spark):
     assert got == {(4, 26, 3), (4, 0, 4), (9, 27, 3), (3, 27, 3), (7, 2, 7), (7, 0, 7)}
 
 
+def test_near_duplicates_name_an_outsider_once_for_all_its_pairs(spark):
+    sig = near_dup.signature(near_dup.minima(near_dup.shingles(b"a b c d e f g h"), near_dup.multipliers()))
+    same = "a b c d e f g h"
+    rows = [(0, 7, 0, 0, 0, i, i, sig, True) for i in range(3)] + [(0, 7, 0, 0, 1, i, i, sig, i < 3) for i in range(40)]
+    schema = "band int, key long, tile int, part int, kind int, id long, comp long, sig binary, outside boolean"
+    near = spark.createDataFrame(rows, schema).coalesce(1).sortWithinPartitions(*near_dup.KEY, "kind", "id")
+    lists = near.mapInArrow(near_dup._nearest_task(False, 0.5), near_dup.LISTS)
+    assert [r.outsiders for r in lists.where("b IS NULL").collect()] == [[0, 1, 2]]
+    texts = spark.createDataFrame([(i, same.encode()) for i in range(40)], "id long, body binary")
+    links = near_dup.confirmed_lists(lists, texts)
+    assert {(r.a, r.b) for r in links.collect()} == {(a, b) for a in range(3) for b in range(40) if a < b}
+
+
 @pytest.mark.parametrize("tile,part", [(near_dup.TILE, near_dup.PART), (4, 8)])
 def test_near_duplicates_brute_force(spark, monkeypatch, tile, part):
     monkeypatch.setattr(near_dup, "TILE", tile)

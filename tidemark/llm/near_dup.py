@@ -266,17 +266,21 @@ def _nearest_task(best_only: bool, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("band", pa.int32()), ("key", pa.int64()), ("tile", pa.int32()), ("part", pa.int32()), ("b", pa.int64()),
                             ("outsiders", pa.list_(pa.int64())), ("score", pa.float64())])
-        at, tile, members = None, None, []
+        at, tile, members, held = None, None, [], set()
         out = Out(schema)
 
         def send():
             if members and tile.rows:
                 for b, wanted in tile.past(members):
+                    held.update(wanted.tolist())
                     yield from out.add((*at, b, wanted, None), 8 * len(wanted))
             members.clear()
 
         def end():
             yield from send()
+            if held:
+                yield from out.add((*at, None, sorted(held), None), 8 * len(held))
+                held.clear()
             if best_only and tile is not None and tile.ids is not None:
                 some = tile.score > 0
                 for own, mate, score in zip(tile.ids[some].tolist(), tile.partner[some].tolist(), tile.score[some].tolist()):
@@ -308,7 +312,8 @@ def open_lists(members: DataFrame, labels: DataFrame, sigs: DataFrame, best_only
     Only members outside their bucket's largest component are compared with the
     bucket.  Gives (tile, part, b, outsiders, score): a member and those of a tile's outsiders to check it
     with.  ``best_only`` keeps each outsider's best partner per
-    part of a bucket, with its estimate; otherwise every pair comes once, from the first band that it shares.
+    part of a bucket, with its estimate; otherwise every pair comes once, from the first band that it shares, and
+    a row without b names each outsider of the tile that is in any of the part's pairs.
     """
     m = members.join(labels, "id", "left").withColumn("comp", F.coalesce("label", "id")).select("band", "key", "id", "comp")
     m = checkpointed(m)
@@ -351,7 +356,8 @@ def _confirm_lists_task(percent: int):
 
 def confirmed_lists(lists: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) among the pairs of ``lists``; a tile's texts are held once, however many pairs they are in."""
-    wanted = lists.select(*KEY, F.explode("outsiders").alias("id")).distinct()
+    # named once by the task that found the pairs: pairs are never rows
+    wanted = lists.where("b IS NULL").select(*KEY, F.explode("outsiders").alias("id"))
     own = (wanted.join(texts, "id")
            .select(*KEY, F.lit(0).alias("kind"), "id", "body", F.lit(None).cast("array<bigint>").alias("outsiders")))
     rest = lists.join(texts, F.col("b") == F.col("id")).select(*KEY, F.lit(1).alias("kind"), "id", "body", "outsiders")
