@@ -4,11 +4,15 @@ import gzip
 import hashlib
 import re
 import zlib
+from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -564,3 +568,28 @@ def test_section_template_of_a_large_host(spark, monkeypatch, small):
     rows = [(i, f"http://h/{i}", f"<div class='x2'>story {i}</div>") for i in range(1000)]
     rows += [(i, f"http://h/{i}", f"<section><div class='x1'>Our section</div><div class='x2'>story {i}</div></section>") for i in range(1000, 1008)]
     assert texts_of(spark, rows) == {i: f"story {i}" for i in range(1008)}
+
+
+def test_context_rows_follow_the_tasks():
+    """A task sends its neighbour counts by bucket of words, not a row for each word and context (op2, pipeline)."""
+    known = toxicity.features_of({b"pull"})
+    bodies = [b" ".join(w for i in range(600) for w in (b"n%s" % bytes([97 + i % 26, 97 + i // 26, 97 + k]), b"pull")) for k in range(4)]
+    bodies += [b"far neutral pull. pull", None, b""]
+    task = toxicity._context_task(SimpleNamespace(value=(known, known)), 1)
+    sent = [b for _ in range(2) for b in task(iter([pa.record_batch({"body": pa.array(bodies, pa.binary())})]))]
+    assert sum(b.num_rows for b in sent) <= 2 * toxicity.BUCKETS
+    want = Counter()
+    for body in bodies:
+        for part in toxicity.sentences(body):
+            for i, w in enumerate(part):
+                for near in part[max(i - 1, 0):i] + part[i + 1:i + 2]:
+                    want[w, xxhash.xxh3_64_intdigest(near) % toxicity.CONTEXTS] += 2
+    assert len(want) > 2 * toxicity.BUCKETS
+    totals = Counter()
+    for (w, _), n in want.items():
+        totals[w] += n
+    rows = [r for b in toxicity._neighbour_task({1: 5, 0: 10_000})(iter(sent)) for r in b.to_pylist()]
+    assert {(r["word"], p % toxicity.CONTEXTS): p // toxicity.CONTEXTS for r in rows for p in r["pairs"]} == want
+    assert all(r["total"] == totals[r["word"]] and r["pulls"] == (r["word"] == b"pull") for r in rows) and len(rows) == len(totals)
+    first = [r["word"] for b in toxicity._neighbour_task({0: 7})(iter(sent)) for r in b.to_pylist()]
+    assert first == sorted(totals.keys() - {b"pull"}, key=lambda w: (-totals[w], w))[:7]

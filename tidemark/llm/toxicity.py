@@ -53,6 +53,7 @@ SWAP_WEIGHT = 1.0
 RIDGE = 0.02
 TERMS, NEUTRAL, PARTNERS = 256, 1024, 2
 CONTEXTS = 256  # neighbouring words are counted by hash
+BUCKETS = 512  # words are counted by bucket of their hash
 NEUTRAL_SHARE = 512  # one in so many words, by hash, may be a partner
 THRESHOLD = 0.3
 
@@ -167,13 +168,17 @@ ROWS = "toxic int, features array<bigint>"
 
 
 def _context_task(shared, share: int):
-    """(word, pulls, context, n): neighbours of words that pull the label without cause, and of some neutral words."""
+    """(bucket, words, pulls, ends, pairs): neighbours of words that pull the label without cause, and of some neutral words.
+
+    A row holds all words of a bucket counted so far: the pairs of a word, each n * CONTEXTS + context, end at its ``ends``.
+    So the rows follow the tasks; one per word and context would follow the words that the dictionary happens to cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_cache(_FEATURES)
         known, spurious = shared.value
         kind: dict[bytes, int] = {}
         counts: Counter = Counter()
-        out = Out(pa.schema([("word", pa.binary()), ("pulls", pa.int32()), ("context", pa.int32()), ("n", pa.int64())]))
+        out = Out(pa.schema([("bucket", pa.int32()), ("words", pa.list_(pa.binary())), ("pulls", pa.list_(pa.int32())),
+                             ("ends", pa.list_(pa.int64())), ("pairs", pa.list_(pa.int64()))]))
 
         def what(word: bytes) -> int:
             """1: pulls the label, 0: neutral, -1: neither."""
@@ -187,9 +192,19 @@ def _context_task(shared, share: int):
             return k
 
         def send():
+            near: dict[tuple[bytes, int], list[int]] = {}
             for (word, pulls, context), n in counts.items():
-                yield from out.add((word, pulls, context, n))
+                near.setdefault((word, pulls), []).append(n * CONTEXTS + context)
             counts.clear()
+            rows: dict[int, tuple[list, list, list, list]] = {}
+            for (word, pulls), own in near.items():
+                words, kinds, ends, pairs = rows.setdefault(xxhash.xxh3_64_intdigest(word, 2) % BUCKETS, ([], [], [], []))
+                words.append(word)
+                kinds.append(pulls)
+                pairs += own
+                ends.append(len(pairs))
+            for bucket, row in rows.items():
+                yield from out.add((bucket, *row), 8 * len(row[3]) + 32 * len(row[0]))
 
         for (body,) in rows_of(batches, "body"):
             hits = {w: k for w in words_of(body) if (k := what(w)) >= 0}
@@ -207,26 +222,48 @@ def _context_task(shared, share: int):
     return run
 
 
+CONTEXT_ROWS = "bucket int, words array<binary>, pulls array<int>, ends array<bigint>, pairs array<bigint>"
+
+
+def _neighbour_task(most: dict[int, int]):
+    """(word, pulls, total, pairs) of the words with the most neighbours, ``most`` by kind, added up over the rows of their bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[bytes, int], list[np.ndarray]] = {}
+        out = Out(pa.schema([("word", pa.binary()), ("pulls", pa.int32()), ("total", pa.int64()), ("pairs", pa.list_(pa.int64()))]))
+        for words, pulls, ends, pairs in rows_of(batches, "words", "pulls", "ends", "pairs", rows=16):
+            pairs = np.array(pairs, np.int64)
+            for word, kind, own in zip(words, pulls, np.split(pairs, ends[:-1])):
+                counts.setdefault((word, kind), []).append(own)
+        totals = {key: sum(int((own // CONTEXTS).sum()) for own in parts) for key, parts in counts.items()}
+        for kind, limit in most.items():
+            for word, _ in sorted((k for k in counts if k[1] == kind), key=lambda k: (-totals[k], k[0]))[:limit]:
+                pairs = np.concatenate(counts[word, kind])
+                n = np.bincount(pairs % CONTEXTS, pairs // CONTEXTS, CONTEXTS).astype(np.int64)
+                at = np.flatnonzero(n)
+                yield from out.add((word, kind, totals[word, kind], n[at] * CONTEXTS + at), 8 * len(at))
+        yield from out.flush()
+    return run
+
+
 def learned_groups(labelled: DataFrame, number: dict[int, int], spurious: set[int], terms: int = TERMS, neutral: int = NEUTRAL,
                    each: int = PARTNERS, share: int = NEUTRAL_SHARE) -> dict[bytes, list[bytes]]:
     """Words that pull the label without cause, each with the neutral words of the most alike neighbours."""
     if not spurious:
         return {}
     shared = labelled.sparkSession.sparkContext.broadcast((set(number), spurious))
-    counts = staged(labelled.mapInArrow(_context_task(shared, share), "word binary, pulls int, context int, n long")
-                    .groupBy("word", "pulls", "context").agg(F.sum("n").alias("n")), "toxicity_contexts")
+    most = {1: terms, 0: neutral}
+    buckets = labelled.mapInArrow(_context_task(shared, share), CONTEXT_ROWS).repartition("bucket")  # bounded by the sample
+    counts = staged(buckets.mapInArrow(_neighbour_task(most), "word binary, pulls int, total long, pairs array<bigint>"), "toxicity_contexts")
     shared.destroy()
-    totals = counts.groupBy("word", "pulls").agg(F.sum("n").alias("total"))
-    pick = [totals.where(f"pulls = {k}").orderBy(F.desc("total"), "word").limit(n) for k, n in ((1, terms), (0, neutral))]
-    chosen = pick[0].unionByName(pick[1]).select("word", "pulls")
-    rows = counts.join(F.broadcast(chosen), ["word", "pulls"]).collect()  # at most (terms + neutral) * CONTEXTS numbers
+    rows = [r for k, n in most.items() for r in counts.where(f"pulls = {k}").orderBy(F.desc("total"), "word").limit(n).collect()]
     words = {k: sorted({bytes(r["word"]) for r in rows if r["pulls"] == k}) for k in (0, 1)}
     if not words[0] or not words[1]:
         return {}
     place = {(k, w): i for k in words for i, w in enumerate(words[k])}
     m = {k: np.zeros((len(words[k]), CONTEXTS)) for k in words}
     for r in rows:
-        m[r["pulls"]][place[r["pulls"], bytes(r["word"])], r["context"]] = r["n"]
+        n, context = np.divmod(np.array(r["pairs"], np.int64), CONTEXTS)
+        m[r["pulls"]][place[r["pulls"], bytes(r["word"])], context] = n
     unit = {k: np.sqrt(x / x.sum(axis=1, keepdims=True)) for k, x in m.items()}  # cosine of the roots: shared probability
     best = np.argsort(-(unit[1] @ unit[0].T), axis=1, kind="stable")[:, :each]
     return {w: [words[0][j] for j in best[i]] for i, w in enumerate(words[1])}
