@@ -593,3 +593,31 @@ def test_context_rows_follow_the_tasks():
     assert all(r["total"] == totals[r["word"]] and r["pulls"] == (r["word"] == b"pull") for r in rows) and len(rows) == len(totals)
     first = [r["word"] for b in toxicity._neighbour_task({0: 7})(iter(sent)) for r in b.to_pylist()]
     assert first == sorted(totals.keys() - {b"pull"}, key=lambda w: (-totals[w], w))[:7]
+
+
+def test_old_cache_is_asked_word_by_word():
+    """A few new words do not walk all words of the last generation (op5, op8)."""
+    enc = Encoder(public_tokenizers.path("word_bpe_49k.json"), "words")
+
+    class Old(dict):
+        def __iter__(self):
+            raise AssertionError("walked")
+
+    enc.old_first = Old({b"word": b"\x07\0\0\0"})
+    assert enc.many([b"word other"])[0] == b"\x07\0\0\0" + enc.whole(b"other")
+
+
+def test_lines_are_cut_by_their_ids():
+    """Borders of a line's words are found without the library's places (op8), and by them where the ids do not tell."""
+    enc = Encoder(public_tokenizers.path("byte_bpe_50k.json"), "spaces")
+    lib, calls = enc.lib, []
+    enc.lib = SimpleNamespace(encode=lambda *a, **k: calls.append(a) or lib.encode(*a, **k), encode_batch_fast=lib.encode_batch_fast)
+    chunks = [b"plain", b"it's", "Ġxé".encode(), b"a,b.c!", b"12ab"]
+    for lead in ("", " "):
+        want = [np.array(lib.encode(lead + c.decode(), add_special_tokens=False).ids, "<u4").tobytes() for c in chunks]
+        assert enc._line(chunks, lead) == want and not calls
+        opens, feed = enc.opens, enc.feed
+        enc.opens, enc.feed = np.zeros_like(opens), b"\xff" * 4
+        assert enc._line(chunks, lead) == want and calls
+        enc.opens, enc.feed = opens, feed
+        calls.clear()

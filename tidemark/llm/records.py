@@ -106,12 +106,14 @@ def _write_task(path: str, split: str, folder: str):
                 system, _ = _open(folder)
                 system.create_dir(_open(folder)[1], recursive=True)
                 sink = system.open_output_stream(_open(name)[1])
+            frames = []
             for (doc, _), ids in zip(pending, enc.many([b for _, b in pending])):
                 ids += END
-                data = frame(payload_of(doc, ids))
-                sink.write(data)
+                frames.append(frame(payload_of(doc, ids)))
                 yield from out.add((doc, shard, name, at, len(ids) // 4))
-                at += len(data)
+                at += len(frames[-1])
+            if frames:
+                sink.write(b"".join(frames))
             pending.clear()
 
         for row in rows_of(batches, "id", "body"):
