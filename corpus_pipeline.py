@@ -50,7 +50,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, cache_bytes=48 << 20)  # its workers hold other stages' memory too
 
 
 STAGES = [

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import Out, id_and_text, rows_of, staged
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tokens import CACHE_BYTES, encoder
 
 CAPACITY = 2048
 END = np.array([0], "<u4").tobytes()
@@ -100,9 +100,9 @@ def slots(plan: list[tuple[list[int], int]], capacity: int = CAPACITY) -> dict[s
     return {"first": first, "rank": cols[:, 1].copy(), "sequence": cols[:, 2].copy(), "offset": cols[:, 3].copy()}
 
 
-def _cut_task(path: str, split: str, capacity: int):
+def _cut_task(path: str, split: str, capacity: int, cache_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, split)
+        enc = encoder(path, split, cache_bytes)
         task = TaskContext.get().partitionId()
         nth = [0] * (capacity + 1)
         out = Out(pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -145,10 +145,10 @@ def _place_task(shared):
     return run
 
 
-def pack(docs: DataFrame, path: str, split: str = "words", capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, path: str, split: str = "words", capacity: int = CAPACITY, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece of a document."""
     spark = docs.sparkSession
-    pieces = staged(id_and_text(docs).mapInArrow(_cut_task(path, split, capacity), PIECES), "pieces")
+    pieces = staged(id_and_text(docs).mapInArrow(_cut_task(path, split, capacity, cache_bytes), PIECES), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     counts = np.zeros(capacity + 1, np.int64)
     for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows

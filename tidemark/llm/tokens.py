@@ -31,12 +31,12 @@ _LOADED: dict[tuple[str, str], "Encoder"] = {}
 
 
 class Encoder:
-    def __init__(self, path: str, split: str):
+    def __init__(self, path: str, split: str, cache_bytes: int = CACHE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.split = split
+        self.split, self.cache_bytes = split, cache_bytes
         self._clear()
         self.marks = {m: self.whole(m) for m in MARKS}
         if split == "spaces":
@@ -115,7 +115,7 @@ class Encoder:
 
     def many(self, bodies: list[bytes | None]) -> list[bytes]:
         """Little-endian uint32 ids of each text (null: empty)."""
-        if self.held > CACHE_BYTES:
+        if self.held > self.cache_bytes:
             self._age()
         if self.split == "words":
             cut = [(b or b"").split() for b in bodies]
@@ -135,9 +135,10 @@ class Encoder:
         return out
 
 
-def encoder(path: str, split: str) -> Encoder:
+def encoder(path: str, split: str, cache_bytes: int = CACHE_BYTES) -> Encoder:
     """The worker's encoder for this file, loaded once."""
     only_cache(_LOADED)
     if (path, split) not in _LOADED:
         _LOADED[path, split] = Encoder(path, split)
+    _LOADED[path, split].cache_bytes = cache_bytes
     return _LOADED[path, split]
