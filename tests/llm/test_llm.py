@@ -621,3 +621,25 @@ def test_lines_are_cut_by_their_ids():
         assert enc._line(chunks, lead) == want and calls
         enc.opens, enc.feed = opens, feed
         calls.clear()
+
+
+@pytest.mark.parametrize("name, split", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaces")])
+def test_cache_is_asked_once_for_each_distinct_word(name, split):
+    """The words of a batch that repeat cost no look-up each (op8, op5)."""
+    enc, asked = Encoder(public_tokenizers.path(name), split), Counter()
+
+    class Cache(dict):
+        def get(self, key, default=None):
+            asked[key] += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            asked[key] += 1
+            return super().__getitem__(key)
+
+    texts = [b"one two\none" + b" two three" * 50, b"two", None, b"", b"one  two\n", "日 it's <|endoftext|> \r\n".encode()]
+    want = [enc.whole(t or b"") for t in texts]
+    enc.first, enc.spaced = Cache(), Cache()
+    assert enc.many(texts) == want
+    asked.clear()
+    assert enc.many(texts) == want and max(asked.values()) <= 2  # as the first of a line and behind a space

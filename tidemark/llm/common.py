@@ -70,6 +70,23 @@ def rows_of(batches: Iterator[pa.RecordBatch], *cols: str, rows: int = ROWS) ->
             yield from zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in cols))
 
 
+# rows, and bytes of their texts, that an operator cuts into words at a time
+BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
+
+
+def groups_of(rows: Iterator[tuple], text: int) -> Iterator[list[tuple]]:
+    """Rows in lists of bounded number and size; ``text`` is the place of the text in a row."""
+    group, size = [], 0
+    for row in rows:
+        group.append(row)
+        size += len(row[text] or b"")
+        if len(group) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 _ACTIVE: list = []
 
 

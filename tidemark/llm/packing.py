@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Out, id_and_text, rows_of, staged
+from tidemark.llm.common import Out, groups_of, id_and_text, rows_of, staged
 from tidemark.llm.tokens import CACHE_BYTES, encoder
 
 CAPACITY = 2048
@@ -108,9 +108,7 @@ def _cut_task(path: str, split: str, capacity: int, cache_bytes: int):
         out = Out(pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                              ("ids_crc32", pa.int64()), ("task", pa.int64()), ("nth", pa.int64())]))
         step = 4 * capacity
-        pending: list[tuple] = []
-
-        def cut():
+        for pending in groups_of(rows_of(batches, "id", "body"), 1):
             for (doc, _), ids in zip(pending, enc.many([b for _, b in pending])):
                 ids += END
                 for piece, at in enumerate(range(0, len(ids), step)):
@@ -118,13 +116,6 @@ def _cut_task(path: str, split: str, capacity: int, cache_bytes: int):
                     n = len(part) // 4
                     yield from out.add((doc, piece, at // 4, n, zlib.crc32(part), task, nth[n]))
                     nth[n] += 1
-            pending.clear()
-
-        for row in rows_of(batches, "id", "body"):
-            pending.append(row)
-            if len(pending) >= 256:
-                yield from cut()
-        yield from cut()
         yield from out.flush()
     return run
 

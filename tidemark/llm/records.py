@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Out, id_and_text, rows_of, staged
+from tidemark.llm.common import Out, groups_of, id_and_text, rows_of, staged
 from tidemark.llm.tokens import encoder
 from tidemark.session import scratch_path
 
@@ -98,11 +98,10 @@ def _write_task(path: str, split: str, folder: str):
         shard = TaskContext.get().partitionId()
         name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.rec"
         out = Out(pa.schema([("doc_id", pa.int64()), ("shard", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("n_tokens", pa.int64())]))
-        sink, at, pending = None, 0, []
+        sink, at = None, 0
 
-        def write():
-            nonlocal sink, at
-            if pending and sink is None:
+        for pending in groups_of(rows_of(batches, "id", "body"), 1):
+            if sink is None:
                 system, _ = _open(folder)
                 system.create_dir(_open(folder)[1], recursive=True)
                 sink = system.open_output_stream(_open(name)[1])
@@ -112,15 +111,7 @@ def _write_task(path: str, split: str, folder: str):
                 frames.append(frame(payload_of(doc, ids)))
                 yield from out.add((doc, shard, name, at, len(ids) // 4))
                 at += len(frames[-1])
-            if frames:
-                sink.write(b"".join(frames))
-            pending.clear()
-
-        for row in rows_of(batches, "id", "body"):
-            pending.append(row)
-            if len(pending) >= 256:
-                yield from write()
-        yield from write()
+            sink.write(b"".join(frames))
         if sink is not None:
             sink.close()
         yield from out.flush()

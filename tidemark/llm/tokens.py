@@ -2,7 +2,8 @@
 
 A BPE tokenizer splits a text into words before it merges, so the ids of a text are
 the ids of its chunks joined.  Chunks are encoded by the tokenizers library once
-per worker and kept in a cache of bounded size.  Two splits are used:
+per worker and kept in a cache of bounded size.  Texts are cut and joined by Arrow, a batch at a time,
+so the cache is asked once for each distinct chunk of a batch, not for every word.  Two splits are used:
 
 * ``words``: the file drops white space; any ASCII white space is a chunk border;
 * ``spaces``: a GPT-2 style file, where a single space belongs to the word behind it
@@ -16,8 +17,11 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidemark.llm.common import only_cache
 
@@ -27,6 +31,7 @@ MARKS = (b",", b".")
 # an empty chunk, one with white space or a byte beyond ASCII at its edge, or a special token's brackets
 _EDGE = re.compile(rb"\Z|[\x00-\x20\x7f-\xff]|(?s:.*)(?:<\||[\x00-\x20\x7f-\xff]\Z)").match
 
+_NEW = object()  # marks a chunk that is in no cache; a cached None means the whole text
 _LOADED: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -60,8 +65,7 @@ class Encoder:
     def whole(self, body: bytes) -> bytes:
         return np.array(self.lib.encode(body.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, cache: dict, old: dict, chunks: set[bytes], lead: str) -> None:
-        todo = chunks.difference(cache)
+    def _learn(self, cache: dict, old: dict, todo: set[bytes], lead: str) -> None:
         if old:
             known = {c: old[c] for c in todo if c in old}  # intersection() would walk all of a dict
             todo.difference_update(known)
@@ -117,21 +121,49 @@ class Encoder:
         """Little-endian uint32 ids of each text (null: empty)."""
         if self.held > self.cache_bytes:
             self._age()
+        texts = pa.array([b or b"" for b in bodies], pa.large_binary()).view(pa.large_string())
         if self.split == "words":
-            cut = [(b or b"").split() for b in bodies]
-            self._learn(self.first, self.old_first, set().union(*cut), "")
-            get = self.first.__getitem__
-            return [b"".join(map(get, c)) for c in cut]
-        cut = [[line.split(b" ") for line in b.split(b"\n")] if b else None for b in bodies]
-        self._learn(self.first, self.old_first, {line[0] for c in cut if c for line in c}, "")
-        self._learn(self.spaced, self.old_spaced, set().union(*(line[1:] for c in cut if c for line in c)), " ")
+            cut = pc.ascii_split_whitespace(texts)
+            words = cut.flatten().dictionary_encode()
+            table = pa.array(self._ids(self.first, self.old_first, words.dictionary, ""), pa.large_binary())
+            return self._joined(table.take(words.indices), cut.offsets.to_numpy(), bodies)
+        lines = pc.split_pattern(texts, "\n")
+        cut = pc.split_pattern(lines.flatten(), " ")
+        chunks, starts = cut.flatten(), cut.offsets.to_numpy()[:-1]
+        behind = np.ones(len(chunks), bool)  # behind a space; else the first of its line
+        behind[starts] = False
+        first, spaced = chunks.take(pa.array(starts)).dictionary_encode(), chunks.filter(pa.array(behind)).dictionary_encode()
+        opening = self._ids(self.first, self.old_first, first.dictionary, "")
+        inner = self._ids(self.spaced, self.old_spaced, spaced.dictionary, " ")
         feed = self.feed
-        out = []
-        for body, lines in zip(bodies, cut):
-            try:
-                out.append(feed.join(self.first[x[0]] + b"".join(map(self.spaced.__getitem__, x[1:])) for x in lines) if lines else b"")
-            except TypeError:  # a chunk that only the whole text can place
-                out.append(self.whole(body))
+        table = pa.array(inner + opening + [None if ids is None else feed + ids for ids in opening], pa.large_binary())
+        fed = np.ones(len(starts), np.int64)  # lines behind a line feed: all but the first of a text
+        fed[lines.offsets.to_numpy()[:-1]] = 0
+        at = np.empty(len(chunks), np.int64)
+        at[behind] = spaced.indices.to_numpy()
+        at[starts] = len(inner) + first.indices.to_numpy() + len(opening) * fed
+        return self._joined(table.take(pa.array(at)), cut.offsets.to_numpy()[lines.offsets.to_numpy()], bodies)
+
+    def _ids(self, cache: dict, old: dict, distinct: pa.Array, lead: str) -> list[bytes | None]:
+        """Ids of each distinct chunk."""
+        chunks = distinct.view(pa.large_binary()).to_pylist()
+        got = list(map(cache.get, chunks, repeat(_NEW)))
+        new = [i for i, ids in enumerate(got) if ids is _NEW]
+        self._learn(cache, old, {chunks[i] for i in new}, lead)
+        for i in new:
+            got[i] = cache[chunks[i]]
+        return got
+
+    def _joined(self, ids: pa.Array, ends: np.ndarray, bodies: list[bytes | None]) -> list[bytes]:
+        """Ids of each text, from those of all chunks in order; the chunks of text i end at ``ends[i + 1]``."""
+        _, places, data = ids.buffers()
+        cuts = np.frombuffer(places, np.int64)[ends].tolist()
+        data = memoryview(data or b"")
+        out = [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+        if ids.null_count:  # texts with a chunk that only the whole text can place
+            nulls = np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
+            for i in np.unique(np.searchsorted(ends, nulls, "right") - 1).tolist():
+                out[i] = self.whole(bodies[i] or b"")
         return out
 
 
