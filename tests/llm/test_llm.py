@@ -643,3 +643,19 @@ def test_cache_is_asked_once_for_each_distinct_word(name, split):
     assert enc.many(texts) == want
     asked.clear()
     assert enc.many(texts) == want and max(asked.values()) <= 2  # as the first of a line and behind a space
+
+
+def test_scores_of_a_batch_look_each_word_up_once():
+    """Scores of many texts at once are those of each text; words that repeat in the batch cost one look-up (op2)."""
+    texts = ["Bad words, bad WORDS", None, "", "fine day.\nbad", "Ünïcode straße İstanbul ΣΑΣ ", "  \t", "word " * 50]
+    bodies = [t.encode() if t is not None else None for t in texts]
+    weights = {f: 0.1 + i / 7 for i, f in enumerate(sorted(toxicity.features_of(toxicity.words_of("bad day straße ünïcode σας".encode()))))}
+    model, asked = toxicity.Model(-0.3, weights), Counter()
+
+    class Known(dict):
+        def get(self, key, default=None):
+            asked[key] += 1
+            return super().get(key, default)
+
+    assert model.scores(bodies, Known()) == [model.score(toxicity.words_of(b), {}) for b in bodies]
+    assert set(asked.values()) == {1} and model.scores([], {}) == []

@@ -38,12 +38,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Out, id_and_text, only_cache, rows_of, ship, staged
+from tidemark.llm.common import Out, groups_of, id_and_text, only_cache, rows_of, ship, staged
 
 SAMPLE = 30_000
 DICTIONARY = 4096
@@ -71,9 +72,24 @@ _DELIMS = bytes(b for b in range(0x80) if not (0x41 <= b <= 0x5A or 0x61 <= b <=
 _LETTERS = bytes.maketrans(_DELIMS, b" " * len(_DELIMS))
 
 
+def letters_of(body: bytes | None) -> bytes:
+    """The lower-cased text with a space for every other ASCII character than letters."""
+    return body.decode().lower().encode().translate(_LETTERS) if body else b""
+
+
 def words_of(body: bytes | None) -> set[bytes]:
     """Distinct lower-cased words: runs of ASCII letters and non-ASCII characters."""
-    return set(body.decode().lower().encode().translate(_LETTERS).split()) if body else set()
+    return set(letters_of(body).split())
+
+
+def hashes(word: bytes) -> tuple[int, ...]:
+    """Features of a word: the word and its prefixes."""
+    text = word if word.isascii() else word.decode()
+    names = [b"w" + word]
+    for n in (4, 5, 6):
+        if len(text) >= n:
+            names.append(b"p" + (text[:n] if text is word else text[:n].encode()))
+    return tuple([xxhash.xxh3_64_intdigest(n) >> 1 for n in names])
 
 
 class _Features(dict):
@@ -82,9 +98,7 @@ class _Features(dict):
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) > 120_000:
             self.clear()
-        text = word.decode()
-        names = {b"w" + word} | {b"p" + text[:n].encode() for n in (4, 5, 6) if len(text) >= n}
-        h = self[word] = tuple(xxhash.xxh3_64_intdigest(n) >> 1 for n in names)
+        h = self[word] = hashes(word)
         return h
 
 
@@ -118,20 +132,34 @@ class Model:
     swapped: dict[str, int] = field(default_factory=dict)  # swaps in labelled sentences, by kind of group
     learned: dict[bytes, list[bytes]] = field(default_factory=dict)  # terms found, with their partners
 
-    def score(self, words: set[bytes], known: dict) -> float:
-        w = self.weights
-        hit: set[int] = set()
-        for word in words:
-            own = known.get(word)
-            if own is None:
-                if len(known) > 120_000:
-                    known.clear()
-                own = known[word] = tuple(f for f in _FEATURES[word] if f in w)
-            if own:
-                hit.update(own)
-        z = self.intercept + sum(w[f] for f in sorted(hit))
+    def of_word(self, word: bytes, known: dict) -> tuple[int, ...]:
+        """Features of a word that have a weight."""
+        own = known.get(word)
+        if own is None:
+            if len(known) > 240_000:
+                known.clear()
+            own = known[word] = tuple(f for f in hashes(word) if f in self.weights) if word else ()
+        return own
+
+    def of_features(self, hit: set[int]) -> float:
+        z = self.intercept + sum(self.weights[f] for f in sorted(hit))
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
+    def score(self, words: set[bytes], known: dict) -> float:
+        return self.of_features({f for word in words for f in self.of_word(word, known)})
+
+    def scores(self, bodies: list[bytes | None], known: dict) -> list[float]:
+        """Score of each text: Arrow cuts the texts, and each distinct word of them all is looked up once."""
+        cut = pc.ascii_split_whitespace(pa.array([letters_of(b) for b in bodies], pa.large_binary()).view(pa.large_string()))
+        words = cut.flatten().dictionary_encode()
+        own = [self.of_word(word, known) for word in words.dictionary.view(pa.large_binary()).to_pylist()]
+        number = words.indices.to_numpy()
+        at = np.flatnonzero(np.fromiter(map(bool, own), bool, len(own))[number])
+        hits: list[set[int]] = [set() for _ in bodies]
+        for doc, word in zip((np.searchsorted(cut.offsets.to_numpy(), at, "right") - 1).tolist(), number[at].tolist()):
+            hits[doc].update(own[word])
+        return list(map(self.of_features, hits))
+
 
 def held_out(doc_id: Column) -> Column:
     """Rows never learned from: crc32 of the id's text leaves 2 modulo 4."""
@@ -417,9 +445,9 @@ def _score_task(shared, threshold: float):
         model, known = shared.value, {}
         only_cache(_FEATURES)
         out = Out(pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]))
-        for doc, held, body in rows_of(batches, "id", "held_out", "body"):
-            p = model.score(words_of(body), known)
-            yield from out.add((doc, held, p, int(p >= threshold)))
+        for group in groups_of(rows_of(batches, "id", "held_out", "body"), 2):
+            for (doc, held, _), p in zip(group, model.scores([body for _, _, body in group], known)):
+                yield from out.add((doc, held, p, int(p >= threshold)))
         yield from out.flush()
     return run
 
@@ -436,7 +464,8 @@ def _clean_task(shared, text_col: str, threshold: float):
         model, known = shared.value, {}
         only_cache(_FEATURES)
         for batch in batches:
-            keep = [model.score(words_of(t.encode() if t else None), known) < threshold for (t,) in rows_of([batch], text_col)]
+            bodies = ((t.encode() if t else None,) for (t,) in rows_of([batch], text_col))
+            keep = [p < threshold for group in groups_of(bodies, 0) for p in model.scores([b for (b,) in group], known)]
             yield batch.filter(pa.array(keep, pa.bool_()))
     return run
 
