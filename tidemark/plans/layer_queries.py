@@ -17,7 +17,7 @@ from tidemark.operators import marts, quality
 from tidemark.operators.feed import change_feed_by_digest
 from tidemark.plans import queries as base
 from tidemark.plans.catalog import create_entity_tables, create_layers, create_silver_views, write_bucketed, write_full_refresh
-from tidemark.session import ensure_session_defaults, scratch_path
+from tidemark.session import drop_staged, ensure_session_defaults, scratch_path, setting, stage
 from tidemark.sources import testdata as td
 from tidemark.streaming.jobs import (
     INGEST_DATE,
@@ -258,11 +258,12 @@ def dq_table_files(spark: SparkSession, sf: str) -> DataFrame:
     """Data files and rows of Bronze tables written in a stated number of files."""
     m = base._layers(spark, sf)
     root = scratch_path(spark, "table_files")
-    tables = {}
-    for e in ENTITY_NAMES:
-        m.bronze(e).repartition(FILES).write.parquet(f"{root}/{e}")
-        tables[f"{e}_bronze"] = spark.read.schema(ENTITIES[e].bronze_schema).parquet(f"{root}/{e}")
-    return quality.table_health(tables)
+    # the table of stated files is the plan's Bronze, not a second copy of it
+    m.write_bronze = lambda e, rows: stage(rows.repartition(FILES), f"{root}/{e}")
+    # rows are dealt in turn as they come: sorted by hash before, as is the default, texts that are alike lie apart, and the
+    # exchange and the files take more room.  Spark then runs the whole stage again where it would repeat a task
+    with setting(spark, "spark.sql.execution.sortBeforeRepartition", "false"):
+        return quality.table_health({f"{e}_bronze": m.bronze(e) for e in ENTITY_NAMES})
 
 
 def change_feed_orders_digest(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,6 +8,7 @@ lineage the way a table boundary does.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tidemark.entities import ENTITIES
 from tidemark.functions.envelope import decode_envelope
 from tidemark.operators import marts
 from tidemark.operators.state import silver
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stage
 
 
 @dataclass
@@ -24,15 +25,15 @@ class Medallion:
     spark: SparkSession
     topics: dict[str, DataFrame]
     tie_breakers: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    # (entity, Bronze rows) -> the written table; without it Bronze goes to a folder of this run
+    write_bronze: Callable[[str, DataFrame], DataFrame] | None = None
     _cache: dict[str, DataFrame] = field(default_factory=dict)
 
     def bronze(self, entity: str) -> DataFrame:
         k = f"bronze.{entity}"
         if k not in self._cache:
             rows = decode_envelope(self.topics[entity], ENTITIES[entity])
-            path = scratch_path(self.spark, "bronze", entity)
-            rows.write.parquet(path)
-            self._cache[k] = self.spark.read.schema(rows.schema).parquet(path)
+            self._cache[k] = self.write_bronze(entity, rows) if self.write_bronze else stage(rows, scratch_path(self.spark, "bronze", entity))
         return self._cache[k]
 
     def silver(self, entity: str) -> DataFrame:
