@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.entities import ENTITIES, LINEAGE_RENAMES, ORDER_COLUMNS, EntitySpec
+from tidemark.session import CODEC, shuffles_freed
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -53,9 +54,12 @@ def sql(spark: SparkSession, query: str) -> DataFrame:
 def write_full_refresh(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
     """Full-refresh mart write (``materialized: table``)."""
     w = df.write.mode("overwrite").format(fmt)
+    if fmt == "parquet":
+        w.option("compression", CODEC)
     if path:
         w.option("path", path)
-    w.saveAsTable(table)
+    with shuffles_freed(df.sparkSession):
+        w.saveAsTable(table)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:

@@ -132,23 +132,23 @@ def catalog_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     create_silver_views(spark, prefix=prefix)
     started = []
     for e in ENTITY_NAMES:
-        td.topic_records(spark, sf, e).write.parquet(f"{root}/topic/{e}")
+        stage(td.topic_records(spark, sf, e), f"{root}/topic/{e}")
         started.append(lambda e=e: start_bronze(
             read_topic(spark, fmt="parquet", path=f"{root}/topic/{e}"), ENTITIES[e], None, f"{root}/_ckpt/{e}",
             table=f"{prefix}bronze.{ENTITIES[e].bronze_table}", available_now=True, if_running="replace"))
     for q in start_all(started):
         q.awaitTermination()
-    silvers = {}
-    for e in ENTITY_NAMES:  # the marts read each Silver view two or three times: it is computed once for them
-        rows = spark.table(f"{prefix}silver.{ENTITIES[e].silver_table}")
-        rows.write.parquet(f"{root}/silver/{e}")
-        silvers[e] = spark.read.schema(rows.schema).parquet(f"{root}/silver/{e}")
+    drop_staged(spark, f"{root}/topic")  # Bronze holds every message of it
+    # the marts read each Silver view two or three times: it is computed once for them
+    silvers = {e: stage(spark.table(f"{prefix}silver.{ENTITIES[e].silver_table}"), f"{root}/silver/{e}") for e in ENTITY_NAMES}
     gold = marts.all_marts(silvers)
     for name, df in gold.items():
         write_full_refresh(df, f"{prefix}gold.{name}", path=f"{root}/gold/{name}")
     names = ([f"bronze.{ENTITIES[e].bronze_table}" for e in ENTITY_NAMES] + [f"silver.{ENTITIES[e].silver_table}" for e in ENTITY_NAMES]
              + [f"gold.{name}" for name in gold])
-    return spark.sql("\nUNION ALL\n".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM {prefix}{n}" for n in names))
+    # a Silver view is reduced from its whole log: each count is written before the next one starts, so that one log's shuffle is on disk
+    return reduce(DataFrame.unionByName, [
+        stage(spark.sql(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM {prefix}{n}"), f"{root}/counts/{n}") for n in names])
 
 
 def _bucketed(spark: SparkSession, sf: str, names) -> dict[str, DataFrame]:
