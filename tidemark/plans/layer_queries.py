@@ -244,12 +244,17 @@ def dq_pk_exists(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "pk_exists")
     prefix = _prefix(root)
     create_layers(spark, prefix)
+
+    def write(layer: str, e: str, df: DataFrame) -> DataFrame:
+        table = f"{prefix}{layer}.{e}_{layer}"
+        write_full_refresh(df, table, path=f"{root}/{layer}/{e}")
+        named[table] = ENTITIES[e].key
+        return spark.table(table)
     named = {}
+    m.write_bronze = lambda e, rows: write("bronze", e, rows)  # the named table is the plan's Bronze, not a second copy of it
     for e in ENTITY_NAMES:
-        for layer, df in (("bronze", m.bronze(e)), ("silver", m.silver(e))):
-            table = f"{prefix}{layer}.{e}_{layer}"
-            write_full_refresh(df, table, path=f"{root}/{layer}/{e}")
-            named[table] = ENTITIES[e].key
+        m.bronze(e)
+        write("silver", e, m.silver(e))
     write_full_refresh(base._dirty_bronze(spark, sf), f"{prefix}bronze.dirty_orders", path=f"{root}/dirty")
     return quality.pk_violations_by_exists(spark, {**named, f"{prefix}bronze.dirty_orders": ORDERS.key})
 
