@@ -1,9 +1,10 @@
 """Batch medallion plan: topics -> Bronze -> Silver -> Gold, as DataFrames.
 
 Bronze is written once per entity, when first asked for, and read back: each message
-is parsed once, however many later plans use it.  Silver and Gold are lazily built
-DataFrames over it; ``materialize`` writes a layer out and reads it back, cutting
-lineage the way a table boundary does.
+is parsed once, however many later plans use it.  ``silver`` is a lazily built DataFrame
+over it; ``staged_silver`` is written once, so the log is reduced once and its shuffle is
+freed before the next entity's.  Gold reads the staged Silver.  ``materialize`` writes a layer
+out and reads it back, cutting lineage the way a table boundary does.
 """
 
 from __future__ import annotations
@@ -42,6 +43,15 @@ class Medallion:
             self._cache[k] = silver(self.bronze(entity), ENTITIES[entity], self.tie_breakers.get(entity, ()))
         return self._cache[k]
 
+    def staged_silver(self, entity: str) -> DataFrame:
+        k = f"staged_silver.{entity}"
+        if k not in self._cache:
+            self._cache[k] = stage(self.silver(entity), scratch_path(self.spark, "silver", entity))
+        return self._cache[k]
+
+    def _silvers(self, *entities: str) -> list[DataFrame]:
+        return [self.staged_silver(e) for e in entities]
+
     def materialize(self, layer_entity: str, path: str) -> DataFrame:
         """Write a layer once and continue from the written copy."""
         layer, entity = layer_entity.split(".", 1)
@@ -51,17 +61,16 @@ class Medallion:
         return self._cache[layer_entity]
 
     def customer_order_summary(self) -> DataFrame:
-        return marts.customer_order_summary(self.silver("customers"), self.silver("orders"), self.silver("payments"))
+        return marts.customer_order_summary(*self._silvers("customers", "orders", "payments"))
 
     def order_payment_status(self, latest_payment_only: bool = False) -> DataFrame:
-        return marts.order_payment_status(self.silver("orders"), self.silver("payments"),
-                                          self.silver("transactions"), latest_payment_only)
+        return marts.order_payment_status(*self._silvers("orders", "payments", "transactions"), latest_payment_only)
 
     def daily_revenue(self) -> DataFrame:
-        return marts.daily_revenue(self.silver("orders"), self.silver("payments"), self.silver("transactions"))
+        return marts.daily_revenue(*self._silvers("orders", "payments", "transactions"))
 
     def gold(self) -> dict[str, DataFrame]:
-        return marts.all_marts({e: self.silver(e) for e in ("customers", "orders", "payments", "transactions")})
+        return marts.all_marts({e: self.staged_silver(e) for e in ("customers", "orders", "payments", "transactions")})
 
 
 GOLD_KEYS = {
