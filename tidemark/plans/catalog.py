@@ -68,10 +68,11 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str
 
     A hot key stays in one bucket: use it where keys are unique or nearly so, and size ``buckets`` for
     the executors' memory."""
-    w = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    w = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("compression", CODEC).bucketBy(buckets, key).sortBy(key)
     if path:
         w = w.option("path", path)
-    w.saveAsTable(table)
+    with shuffles_freed(df.sparkSession):
+        w.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
