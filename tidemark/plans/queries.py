@@ -282,7 +282,9 @@ def dq_change_log(spark: SparkSession, sf: str) -> DataFrame:
     m = _layers(spark, sf)
     for e in ENTITY_NAMES:
         v = quality.validate_change_log(m.bronze(e), td.SPECS[e].key)
-        frames.append(v.select(F.lit(f"{e}_bronze").alias("table_name"), "check_name", "violations"))
+        # a log's report is written before the next log is checked, so that the shuffles of one log only are on disk
+        report = v.select(F.lit(f"{e}_bronze").alias("table_name"), "check_name", "violations")
+        frames.append(stage(report, scratch_path(spark, "change_log", e)))
     return reduce(DataFrame.unionByName, frames)
 
 
