@@ -231,11 +231,11 @@ def dq_order_kept(spark: SparkSession, sf: str) -> DataFrame:
     bad = decode_envelope(encode_envelope(td.inverted_orders_changes(spark, sf), ORDERS, lsn_col="lsn"), ORDERS)
     # the check reads its log twice, for the ranges and for the sort: what it needs is written, each message parsed once
     path = scratch_path(spark, "inverted_orders")
-    bad = bad.select(ORDERS.key, *ORDER_COLUMNS)
-    bad.write.parquet(path)
-    bad = spark.read.schema(bad.schema).parquet(path)
+    bad = stage(bad.select(ORDERS.key, *ORDER_COLUMNS), path)
     logs = {f"{e}_bronze": (m.bronze(e), ENTITIES[e].key) for e in ENTITY_NAMES}
-    return quality.order_kept({**logs, "inverted_orders": (bad, ORDERS.key)})
+    # a log's report is written before the next log is checked, so that the shuffles of one log only are on disk
+    return reduce(DataFrame.unionByName, [stage(quality.order_kept({name: log}), scratch_path(spark, "order_kept", name))
+                                          for name, log in {**logs, "inverted_orders": (bad, ORDERS.key)}.items()])
 
 
 def dq_pk_exists(spark: SparkSession, sf: str) -> DataFrame:
