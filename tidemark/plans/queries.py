@@ -233,7 +233,7 @@ def _keys(layer: Callable[[str], DataFrame], suffix: str) -> dict[str, tuple[Dat
 
 def dq_silver_pk(spark: SparkSession, sf: str) -> DataFrame:
     m = _layers(spark, sf)
-    return quality.pk_violations(_keys(m.silver, "_silver"))
+    return quality.pk_violations(_keys(m.staged_silver, "_silver"))
 
 
 def dq_bronze_pk(spark: SparkSession, sf: str) -> DataFrame:
