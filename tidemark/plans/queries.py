@@ -259,7 +259,7 @@ def dq_bronze_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_table_counts(spark: SparkSession, sf: str) -> DataFrame:
     m = _layers(spark, sf)
-    return quality.table_counts({**{f"{e}_silver": m.silver(e) for e in ENTITY_NAMES}, **m.gold()})
+    return quality.table_counts({**{f"{e}_silver": m.staged_silver(e) for e in ENTITY_NAMES}, **m.gold()})
 
 
 def dq_gold_keys(spark: SparkSession, sf: str) -> DataFrame:
