@@ -243,7 +243,7 @@ def dq_bronze_pk(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_duplicate_counts(spark: SparkSession, sf: str) -> DataFrame:
     m = _layers(spark, sf)
-    return quality.duplicate_key_counts({**_keys(m.silver, "_silver"), **_keys(m.bronze, "_bronze")})
+    return quality.duplicate_key_counts({**_keys(m.staged_silver, "_silver"), **_keys(m.bronze, "_bronze")})
 
 
 def dq_delete_ops(spark: SparkSession, sf: str) -> DataFrame:
