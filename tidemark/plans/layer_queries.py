@@ -17,7 +17,7 @@ from tidemark.operators import marts, quality
 from tidemark.operators.feed import change_feed_by_digest
 from tidemark.plans import queries as base
 from tidemark.plans.catalog import create_entity_tables, create_layers, create_silver_views, write_bucketed, write_full_refresh
-from tidemark.session import drop_staged, ensure_session_defaults, scratch_path, setting, stage
+from tidemark.session import drop_staged, ensure_session_defaults, scratch_path, setting, shuffles_freed, stage
 from tidemark.sources import testdata as td
 from tidemark.streaming.jobs import (
     INGEST_DATE,
@@ -157,7 +157,8 @@ def _bucketed(spark: SparkSession, sf: str, names) -> dict[str, DataFrame]:
     prefix = _prefix(root)
     create_layers(spark, prefix)
     # one number for all, as tables bucketed alike join without an exchange; the counts come from Bronze's file footers
-    buckets = max(BUCKETS, -(-max(m.bronze(e).count() for e in names) // BUCKET_ROWS))
+    with shuffles_freed(spark):
+        buckets = max(BUCKETS, -(-max(m.bronze(e).count() for e in names) // BUCKET_ROWS))
     return {e: write_bucketed(m.silver(e), f"{prefix}silver.{e}_by_order", "order_id", buckets, path=f"{root}/{e}") for e in names}
 
 
